@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, token_files
+from . import bpe, html_text, packing, quality, substring, token_files, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,11 +19,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    written = warc.write_warc(table(spark, sf_dir, "pages"))
+    return warc.page_records(warc.read_warc(spark, written, payloads=False))
+
+
+def op2_substring_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.dedup_substrings(table(spark, sf_dir, "documents"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     return bpe.bpe_digest(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op4_quality_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = quality.quality(table(spark, sf_dir, "documents"))
+    return rows.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.json")
     written = token_files.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN, end_id=0)
@@ -35,7 +49,39 @@ def op8_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), path, WORD_PATTERN, end_id=2)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_byte_bpe, op5_token_files, op8_retrieval_packing)}
+def op10_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+QUERIES: dict[str, Query] = {
+    f.__name__: f
+    for f in (op1_warc_salvage, op2_substring_sketch, op3_byte_bpe, op4_quality_votes, op5_token_files, op8_retrieval_packing, op10_site_style_tree)
+}
 
 #: DuckDB SQL for those that SQL can express.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_warc_salvage": """
+        WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS g FROM pages),
+        f AS (SELECT g, min(page_id) AS first FROM p WHERE n >= 100 GROUP BY g)
+        SELECT page_id, n::BIGINT AS payload_bytes, g AS payload_digest,
+               CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN first <> page_id THEN first END AS refers_to
+        FROM p LEFT JOIN f USING (g)""",
+    "op2_substring_sketch": r"""
+        WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS a FROM documents),
+        s AS (SELECT doc_id, unnest(range(1, len(a) - 18)) AS i,
+                     unnest(list_transform(range(1, len(a) - 18), lambda i: md5(array_to_string(a[i:i + 19], ' ')))) AS h FROM w),
+        k AS (SELECT doc_id, i, row_number() OVER (PARTITION BY h ORDER BY doc_id, i) AS nth FROM s),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS p FROM k WHERE nth > 1),
+        l AS (SELECT doc_id, unnest(a) AS word, unnest(range(1, len(a) + 1)) AS p FROM w),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM l ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+        SELECT doc_id, len(a)::BIGINT AS n_words, (len(a) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+        FROM w LEFT JOIN kept USING (doc_id)""",
+    # on these pages the article element is the article
+    "op10_site_style_tree": r"""
+        WITH a AS (SELECT page_id, url, regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS body FROM pages),
+        b AS (SELECT page_id, url, list_transform(string_split_regex(body, '</?(?:h1|p)>'), lambda x: trim(regexp_replace(
+                replace(replace(regexp_replace(replace(x, '<br>', ' '), '<[^>]*>', '', 'g'), '&quot;', '"'), '&amp;', '&'), '\s+', ' ', 'g'))) AS parts FROM a),
+        t AS (SELECT page_id, url, coalesce(array_to_string(list_filter(parts, lambda x: x <> ''), chr(10)), '') AS text FROM b)
+        SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM t""",
+}
