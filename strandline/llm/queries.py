@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_text, packing, quality, substring, token_files, warc
+from . import bpe, html_text, jaccard, licenses, packing, quality, substring, token_files, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,18 +44,41 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_tokens(spark, written)
 
 
+def op6_pivot_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.range_join(table(spark, sf_dir, "embeddings"))
+
+
+def op7_minhash_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_groups(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op8_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     return packing.pack(table(spark, sf_dir, "documents"), path, WORD_PATTERN, end_id=2)
 
 
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op10_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Query] = {
     f.__name__: f
-    for f in (op1_warc_salvage, op2_substring_sketch, op3_byte_bpe, op4_quality_votes, op5_token_files, op8_retrieval_packing, op10_site_style_tree)
+    for f in (
+        op1_warc_salvage,
+        op2_substring_sketch,
+        op3_byte_bpe,
+        op4_quality_votes,
+        op5_token_files,
+        op6_pivot_range_join,
+        op7_minhash_join,
+        op8_retrieval_packing,
+        op9_license_scan,
+        op10_site_style_tree,
+    )
 }
 
 #: DuckDB SQL for those that SQL can express.
@@ -77,6 +100,32 @@ ORACLES: dict[str, str] = {
         kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS text, count(*) AS n FROM l ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
         SELECT doc_id, len(a)::BIGINT AS n_words, (len(a) - coalesce(n, 0))::BIGINT AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
         FROM w LEFT JOIN kept USING (doc_id)""",
+    "op6_pivot_range_join": """
+        WITH RECURSIVE v AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+            WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+        n AS (SELECT a, count(*) AS n FROM l GROUP BY a),
+        r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+        c AS (SELECT a, min(b) AS c FROM r GROUP BY a)
+        SELECT vec_id, coalesce(n.n, 0)::BIGINT AS n_links, c.c AS component_id, vec_id = c.c AS kept
+        FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN n ON n.a = vec_id""",
+    "op7_minhash_join": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS a FROM documents),
+        g AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(a) >= 5
+                THEN list_transform(range(1, len(a) - 3), lambda i: md5(array_to_string(a[i:i + 4], ' ')))
+                WHEN len(a) > 0 THEN [md5('short ' || array_to_string(a, ' '))] ELSE [] END) AS h FROM w),
+        s AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+        p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS k FROM g x JOIN g y ON x.h = y.h AND x.doc_id <> y.doc_id GROUP BY ALL),
+        l AS (SELECT a, b, k = sa.n AND k = sb.n AS equal FROM p JOIN s sa ON sa.doc_id = a JOIN s sb ON sb.doc_id = b
+            WHERE 9 * k >= 4 * (sa.n + sb.n)),
+        n AS (SELECT a, count(*) AS n, min(b) FILTER (WHERE equal) AS copy FROM l GROUP BY a),
+        r AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a),
+        c AS (SELECT a, min(b) AS c FROM r GROUP BY a)
+        SELECT doc_id, least(doc_id, coalesce(copy, doc_id)) AS class_id, coalesce(n.n, 0)::BIGINT AS n_links,
+               c.c AS component_id, doc_id = c.c AS kept
+        FROM documents JOIN c ON c.a = doc_id LEFT JOIN n ON n.a = doc_id""",
     # on these pages the article element is the article
     "op10_site_style_tree": r"""
         WITH a AS (SELECT page_id, url, regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS body FROM pages),
