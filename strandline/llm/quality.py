@@ -23,14 +23,14 @@ WINDOW = 8
 
 @dataclass(frozen=True)
 class Rule:
-    """Votes 1 where `good` holds, else -1 where `bad` holds, else 0 (abstains)."""
+    """Votes -1 where `bad` holds, else 1 where `good` holds, else 0 (abstains)."""
 
     name: str
     good: Column
     bad: Column
 
     def vote(self) -> Column:
-        return F.when(F.coalesce(self.good, F.lit(False)), 1).when(F.coalesce(self.bad, F.lit(False)), -1).otherwise(0).cast("tinyint").alias(f"vote_{self.name}")
+        return F.when(F.coalesce(self.bad, F.lit(False)), -1).when(F.coalesce(self.good, F.lit(False)), 1).otherwise(0).cast("tinyint").alias(f"vote_{self.name}")
 
 
 def word_statistics(rows: DataFrame) -> DataFrame:
@@ -69,6 +69,8 @@ def word_statistics(rows: DataFrame) -> DataFrame:
 
 
 def default_rules() -> list[Rule]:
+    """Rules for five kinds of fault. The label model takes rules to err independently, so tests that see the same kind
+    of fault make one rule: it votes bad if any of them does."""
     n = F.greatest(F.col("n_words"), F.lit(1))
     lines = F.greatest(F.col("n_lines"), F.lit(1))
     some = F.col("n_words") >= 20
@@ -77,16 +79,21 @@ def default_rules() -> list[Rule]:
     mean = F.col("word_chars") / n
     stops = share("n_stop_words")
     ended = F.col("n_ended_lines") / lines
+    repeated_lines = F.col("n_dup_lines") / lines
     return [
-        Rule("symbols", share("n_symbols") <= 0.03, share("n_symbols") > 0.1),
-        Rule("exclamations", share("n_exclamations") <= 0.1, share("n_exclamations") > 0.25),
-        Rule("upper_case", upper <= 0.2, upper > 0.4),
+        Rule(
+            "typography",
+            (share("n_symbols") <= 0.03) | (share("n_exclamations") <= 0.1) | (upper <= 0.2),
+            (share("n_symbols") > 0.1) | (share("n_exclamations") > 0.25) | (upper > 0.4),
+        ),
         Rule("word_length", (mean >= 2.5) & (mean <= 9.5), (mean < 2) | (mean > 13)),
         Rule("stop_words", some & (stops >= 0.06), some & (stops < 0.03)),
         Rule("ended_lines", ended >= 0.6, ended < 0.3),
-        Rule("repeated_lines", F.col("n_dup_lines") / lines <= 0.1, F.col("n_dup_lines") / lines > 0.3),
-        Rule("stutters", share("n_stutters") <= 0.05, share("n_stutters") > 0.2),
-        Rule("repeated_words", share("n_repeat_words") <= 0.1, share("n_repeat_words") > 0.25),
+        Rule(
+            "repetition",
+            (repeated_lines <= 0.1) | (share("n_repeat_words") <= 0.1) | (share("n_stutters") <= 0.05),
+            (repeated_lines > 0.3) | (share("n_repeat_words") > 0.25) | (share("n_stutters") > 0.2),
+        ),
     ]
 
 
@@ -142,14 +149,15 @@ def fit(patterns: Iterable[tuple[Sequence[int], float]], n_rules: int, rounds: i
 
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: Sequence[str] = (), rules: Sequence[Rule] | None = None, threshold: float = 0.5) -> tuple[DataFrame, LabelModel]:
-    """Statistics, votes and verdict of every whole text, and the model that was fitted to all of them.
+    """Statistics, votes and verdict of every whole text, and the model that was fitted to all that the base rules keep.
 
     The rows have `row` (a struct of the id and the carried columns, under their own names), the counts of
     word_statistics, base_failed, one vote_* per rule, quality_probability, and kept: the posterior probability of a good
     document is at least `threshold` and the base rules hold. The base rules: at least 20 words, and at most 30 % of the
     words in repeated windows of 8.
 
-    The statistics are written once to the shared folder; what comes to the driver is the number of documents for each
+    The model weighs the documents whose verdict it gives, all of them: those that the base rules keep. The statistics are
+    written once to the shared folder; what comes to the driver is the number of documents for each
     pattern of votes, at most 3**rules rows. A null or empty text has no words, so base_failed is true and kept false.
     Rows are independent, so null and repeated ids are carried as they are. An empty table gives no rows.
     """
@@ -159,7 +167,7 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", car
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     rows = materialise(rows.select("*", failed.alias("base_failed"), *[r.vote() for r in rules]), "quality")
     names = [f"vote_{r.name}" for r in rules]
-    counted = rows.groupBy(*names).count().collect()
+    counted = rows.filter("not base_failed").groupBy(*names).count().collect()
     # patterns in order, so that sums and thus the model don't depend on the order of arrival
     model = fit(sorted((tuple(r[:-1]), r["count"]) for r in counted), len(rules))
     odds = model.log_odds_column(names)
