@@ -49,27 +49,19 @@ def next_layer(found: DataFrame, key: str, order: list[str]) -> DataFrame:
     return tables.first_wins(found, [key], order)
 
 
-def add_layer(known: DataFrame, found: DataFrame, key: str, order: list[str], max_pages: int, total: Column | int, dead_ends: Column | int) -> DataFrame:
+def add_layer(known: DataFrame, found: DataFrame, key: str, order: list[str], max_pages: int, total: int, dead_ends: int) -> DataFrame:
     """New pages of a layer: addresses not known before, each once. Below the cap on pages as many as it leaves room for; at
-    the cap as many as there are dead ends, which they replace."""
+    the cap as many as there are dead ends, which they replace; without a cap (0) all."""
     fresh = next_layer(tables.new_rows(found, known, [key]), key, order)
-    slots = F.when(F.lit(max_pages) <= 0, F.lit((1 << 31) - 1)).when(F.lit(total) >= max_pages, F.lit(dead_ends)).otherwise(F.lit(max_pages) - F.lit(total))
-    # ranks of all pages by a running sum over ranges would need two passes; a layer is cut once, so sorted ids do
-    ranked = fresh.withColumn("__rank", F.row_number().over(_order(order + [key])))
-    return ranked.filter(F.col("__rank") <= slots).drop("__rank")
-
-
-def _order(columns: list[str]):
-    from pyspark.sql import Window
-
-    return Window.orderBy(*columns)
+    if max_pages <= 0:
+        return fresh
+    return fresh.orderBy(*order, key).limit(dead_ends if total >= max_pages else max_pages - total)
 
 
 def unseen_or_all(seeds: DataFrame, seen: DataFrame, key: str) -> DataFrame:
     """Seeds that earlier crawls haven't seen; all of them if none is left."""
-    flagged = seeds.join(seen.select(key, F.lit(True).alias("__seen")).distinct(), key, "left")
-    some = flagged.agg(F.count_if(F.col("__seen").isNull()).alias("__fresh"))
-    return flagged.crossJoin(F.broadcast(some)).filter(F.col("__seen").isNull() | (F.col("__fresh") == 0)).drop("__seen", "__fresh")
+    fresh = tables.new_rows(seeds, seen, [key])
+    return seeds if fresh.isEmpty() else fresh
 
 
 def tandem_edges(messages: DataFrame, invalid: DataFrame, source: str = "source_channel", links: str = "links") -> DataFrame:
@@ -107,8 +99,8 @@ def walk_step(batches: DataFrame, valid: DataFrame, known: DataFrame, walkback_r
     claimed ones). A batch without new channels walks back; else a draw of 1..100 up to the rate walks back. Forward goes to
     a uniform new channel; new channels not taken become skipped edges. Back goes to a uniform known channel other than
     the source and the new ones, and starts a new sequence for the page while the edge stays in the old one.
-    Draws are hashes of seed and batch. A walk back is by rejection like a sampler, but over hashed ranks of all known
-    channels, so it fails only if there is none to go to.
+    Draws are hashes of seed and batch, and known channels are drawn by buckets of their hashes, so no task ranks them all. A
+    walk back fails only if there is no channel to go to.
     """
     # each batch needs its rank among few new channels and a few candidates to walk back to
     new = valid.withColumn("__h", F.md5(F.concat_ws(":", F.lit(seed), "batch_id", "channel")))
@@ -117,16 +109,21 @@ def walk_step(batches: DataFrame, valid: DataFrame, known: DataFrame, walkback_r
     draw = F.pmod(F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), "batch_id")), 1, 8), 16, 10).cast("bigint"), F.lit(100)) + 1
     back = (F.col("new_channels") == 0) | (F.lit(walkback_rate) >= draw)
     rows = rows.withColumn("walkback", back)
-    # known channels in an order of hashes; each batch starts at its own place in it and takes the first that it may
-    ordered = known.select(F.col("channel").alias("back")).distinct()
-    total = ordered.count()
-    place = F.row_number().over(_order([F.md5(F.concat_ws(":", F.lit(seed), "back"))])) - 1
-    ordered = ordered.withColumn("place", place)
-    tries = F.col("new_channels") + 1
-    start = F.pmod(F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.lit("back"), "batch_id")), 1, 12), 16, 10).cast("bigint"), F.lit(max(1, total)))
-    wanted = rows.filter("walkback").select("batch_id", "source_channel", "__new", F.posexplode(F.transform(F.sequence(F.lit(0), F.least(tries, F.lit(max(1, total) - 1)).cast("int")), lambda k: F.pmod(start + k, F.lit(max(1, total))))).alias("attempt", "place"))
-    allowed = wanted.join(ordered, "place").filter((F.col("back") != F.col("source_channel")) & ~F.coalesce(F.array_contains("__new", F.col("back")), F.lit(False)))
-    targets = allowed.groupBy("batch_id").agg(F.min_by("back", "attempt").alias("back"))
+    # known channels in buckets of about eight by their hash; a batch draws a bucket and looks into it and the next two
+    places = known.select(F.col("channel").alias("back")).distinct()
+    buckets = max(1, places.count() // 8)
+    places = places.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "back"), F.lit(buckets)))
+    drawn = F.pmod(F.xxhash64(F.lit(seed), F.lit("back"), "batch_id"), F.lit(buckets))
+    back = rows.filter("walkback").select("batch_id", "source_channel", "__new")
+    wanted = back.withColumn("attempt", F.explode(F.sequence(F.lit(0), F.lit(min(2, buckets - 1))))).withColumn("bucket", F.pmod(drawn + F.col("attempt"), F.lit(buckets)))
+    allowed = (F.col("back") != F.col("source_channel")) & ~F.coalesce(F.array_contains("__new", F.col("back")), F.lit(False))
+    choice = F.struct("attempt", F.md5(F.concat_ws(":", F.lit(seed), "batch_id", "back")))
+    targets = wanted.join(places, "bucket").filter(allowed).groupBy("batch_id").agg(F.min_by("back", choice).alias("back"))
+    # a batch that may go to none of those takes the first of the smallest names that it may go to: one more than it rules out
+    most = back.agg(F.coalesce(F.max(F.size(F.coalesce("__new", F.array().cast("array<string>")))), F.lit(0))).first()[0]
+    spare = [r.back for r in places.select("back").orderBy("back").limit(most + 2).collect()]
+    other = F.filter(F.array(*map(F.lit, spare)).cast("array<string>"), lambda x: (x != F.col("source_channel")) & ~F.coalesce(F.array_contains("__new", x), F.lit(False)))
+    targets = back.join(targets, "batch_id", "left").select("batch_id", F.coalesce("back", F.get(other, F.lit(0))).alias("back"))
     rows = rows.join(targets, "batch_id", "left").withColumn("next", F.when(F.col("walkback"), F.col("back")).otherwise(F.col("forward"))).filter("next IS NOT NULL")
     fresh = F.sha2(F.concat_ws(":", F.lit(seed), F.lit("sequence"), "batch_id"), 256)
     pages = rows.select(
@@ -153,12 +150,12 @@ def replacement(failed: DataFrame, edges: DataFrame, seeds: DataFrame, seed: str
     skipped = skipped.join(failed.select(F.col("url").alias("destination_channel"), "sequence_id"), ["destination_channel", "sequence_id"], "left_anti")
     best = skipped.groupBy("source_channel", "sequence_id").agg(F.min_by("destination_channel", F.struct("__h", "edge_id")).alias("other"))
     usable = seeds.join(failed.select(F.col("url").alias("channel_username")), "channel_username", "left_anti")
-    one = usable.agg(F.min_by("channel_username", F.md5(F.concat_ws(":", F.lit(seed), "channel_username"))).alias("other_seed"))
+    other_seed = F.lit(usable.agg(F.min_by("channel_username", F.md5(F.concat_ws(":", F.lit(seed), "channel_username")))).first()[0]).cast("string")
     known = seeds.select(F.col("channel_username").alias("url"), F.lit(True).alias("is_seed")).distinct()
-    rows = failed.join(led, ["url", "sequence_id"], "left").join(known, "url", "left").join(best, ["source_channel", "sequence_id"], "left").crossJoin(F.broadcast(one))
+    rows = failed.join(led, ["url", "sequence_id"], "left").join(known, "url", "left").join(best, ["source_channel", "sequence_id"], "left")
     no_edge = F.col("edge_id").isNull()
-    action = F.when(no_edge & F.coalesce("is_seed", F.lit(False)), F.when(F.col("other_seed").isNotNull(), "seed").otherwise("walkback")).when(no_edge | F.col("walkback"), "walkback").when(F.col("other").isNotNull(), "promote").otherwise("walkback")
-    return rows.select("page_id", "url", action.alias("action"), F.when(action == "promote", F.col("other")).when(action == "seed", F.col("other_seed")).alias("channel"))
+    action = F.when(no_edge & F.coalesce("is_seed", F.lit(False)), F.when(other_seed.isNotNull(), "seed").otherwise("walkback")).when(no_edge | F.col("walkback"), "walkback").when(F.col("other").isNotNull(), "promote").otherwise("walkback")
+    return rows.select("page_id", "url", action.alias("action"), F.when(action == "promote", F.col("other")).when(action == "seed", other_seed).alias("channel"))
 
 
 def layers(edges: DataFrame, roots: DataFrame, max_depth: int = -1, allowed: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:

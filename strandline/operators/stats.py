@@ -103,7 +103,8 @@ def needs_work(status: Column, retries: Column, max_retries: int = 3) -> Column:
 
 def tandem_done(buffered: DataFrame, in_flight: int, incomplete: DataFrame) -> DataFrame:
     """Whether a tandem crawl is over: nothing buffered, nothing in flight, no batch incomplete."""
-    return buffered.agg(F.count("*").alias("pages")).crossJoin(incomplete.agg(F.sum("n").alias("batches"))).select(((F.col("pages") == 0) & F.lit(in_flight == 0) & (F.col("batches") == 0)).alias("done"))
+    left = buffered.agg(F.count("*").alias("n")).union(incomplete.agg(F.sum("n").alias("n")))
+    return left.agg(((F.sum("n") == 0) & F.lit(in_flight == 0)).alias("done"))
 
 
 def match_results(pages: DataFrame, results: DataFrame) -> DataFrame:

@@ -77,7 +77,7 @@ def b12_stored_posts(t: Tables) -> DataFrame:
 
 @query("SELECT doc_id, floor(coalesce(sum(n_chars) OVER (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 100000)::BIGINT AS part FROM documents")
 def b14_export_parts(t: Tables) -> DataFrame:
-    return files.export_parts(t.read("documents"), "n_chars", ["doc_id"], 100_000).select("doc_id", "part")
+    return files.export_parts(t.read("documents"), "n_chars", "doc_id", 100_000).select("doc_id", "part")
 
 
 @query(f"SELECT number FROM v_videos WHERE size <= 40 AND number NOT IN (SELECT number FROM v_videos WHERE number % 3 = 0 AND published_at >= {NOW} - INTERVAL 20 DAY)")

@@ -163,7 +163,8 @@ def a22_ready_batches(t: Tables) -> DataFrame:
 @query(f"WITH c AS (SELECT * FROM {_READY} ORDER BY created_at, batch_id LIMIT 1) SELECT batch_id, 'processing' AS status, attempt_count + 1 AS attempt_count, (SELECT count(*) FROM v_pending p WHERE p.batch_id = c.batch_id)::BIGINT AS edges FROM c")
 def a22_claim_ready_batch(t: Tables) -> DataFrame:
     claimed, edges, _ = queues.claim_batch(t.batches, t.pending, now())
-    return claimed.crossJoin(edges.agg(F.count("*").alias("edges"))).select("batch_id", "status", "attempt_count", "edges")
+    counted = edges.groupBy("batch_id").agg(F.count("*").alias("edges"))
+    return claimed.join(counted, "batch_id", "left").select("batch_id", "status", "attempt_count", F.coalesce("edges", F.lit(0)).cast("bigint").alias("edges"))
 
 
 @query("SELECT status, count(*)::BIGINT AS n FROM (SELECT CASE WHEN batch_id = 'b9' THEN 'completed' ELSE status END AS status FROM v_batches) GROUP BY status")

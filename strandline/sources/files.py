@@ -82,10 +82,20 @@ def write_posts(posts: DataFrame, path: str) -> None:
     posts.withColumn("day", F.to_date("published_at")).write.mode("append").partitionBy("platform_name", "day").parquet(path)
 
 
-def export_parts(pages: DataFrame, size: str, order: list[str], part_bytes: int = 100 << 20) -> DataFrame:
-    """Pages with the number of the export part they go to: parts close as they reach their size."""
-    before = Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    return pages.withColumn("part", F.floor(F.coalesce(F.sum(size).over(before), F.lit(0)) / part_bytes).cast("bigint"))
+def export_parts(pages: DataFrame, size: str, order: str, part_bytes: int = 100 << 20, slices: int = 200) -> DataFrame:
+    """Pages in the order of a number with the export part they go to: a part closes as it reaches its size.
+
+    The running sum is taken in slices of the order, found by quantiles, and the slices' sums are added up before; so no
+    task sees all pages."""
+    bounds = pages.agg(F.percentile_approx(order, [k / slices for k in range(1, slices)], 10_000)).first()[0] or []
+    cuts = F.array(*[F.lit(b) for b in sorted(set(bounds))]) if bounds else F.array().cast("array<bigint>")
+    rows = pages.withColumn("__slice", F.size(F.filter(cuts, lambda b: b < F.col(order))))
+    sums = rows.groupBy("__slice").agg(F.sum(size).alias("__sum"))
+    before = Window.orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select("__slice", F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__base"))
+    inside = Window.partitionBy("__slice").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("__own", F.coalesce(F.sum(size).over(inside), F.lit(0))).join(F.broadcast(sums), "__slice")
+    return rows.withColumn("part", F.floor((F.col("__base") + F.col("__own")) / part_bytes).cast("bigint")).drop("__slice", "__own", "__base")
 
 
 def write_export(pages: DataFrame, path: str, most_rows: int = 1_000_000) -> None:
@@ -101,12 +111,12 @@ def manifest(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> DataFr
     return files.select("path", F.col("length").alias("size"), F.col("modificationTime").alias("mtime"))
 
 
-def combine(spark: SparkSession, packed: DataFrame, out: str) -> None:
-    """Write the lines of each bin's files (columns path, bin) as one file under out/bin=n."""
-    paths = [r.path for r in packed.filter("bin IS NOT NULL").select("path").distinct().collect()]
-    if paths:
-        lines = spark.read.text(paths).withColumn("path", F.input_file_name())
-        lines.join(F.broadcast(packed.select("path", "bin")), "path").select("value", "bin").repartition("bin").write.mode("append").partitionBy("bin").text(out)
+def combine(spark: SparkSession, folder: str, packed: DataFrame, out: str, pattern: str = "*.jsonl") -> None:
+    """Write the lines of each bin's files (columns path, bin) as one file under out/bin=n; dropped files have no bin."""
+    same = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+    lines = spark.read.option("pathGlobFilter", pattern).text(folder).select("value", same(F.col("_metadata.file_path")).alias("path"))
+    bins = packed.filter("bin IS NOT NULL").select(same(F.col("path")).alias("path"), "bin")
+    lines.join(bins, "path").select("value", "bin").repartition("bin").write.mode("append").partitionBy("bin").text(out)
 
 
 def write_snapshot(table: DataFrame, path: str, version: int) -> str:
