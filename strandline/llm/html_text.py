@@ -30,10 +30,12 @@ NO_ARTICLE_ROLES = frozenset("navigation banner contentinfo complementary search
 NO_ARTICLE_WORDS = frozenset(
     "ad ads adsense advert advertisement advertising adverts banner breadcrumb breadcrumbs comment comments commentlist consent cookie cookies disqus "
     "dropdown footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo "
-    "promoted promotion recommended related reply respond share sharing sidebar signup skyscraper social sponsor sponsored subscribe toolbar widget".split()
+    "promoted promotion recommended related replies reply respond responses share sharing sidebar signup skyscraper social sponsor sponsored subscribe toolbar widget".split()
 )
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
+#: Up to so many keys of unimportant branches (8 bytes each) are broadcast; beyond that pages meet them by host and part.
+BROADCAST_KEYS, HOST_PARTS = 200_000, 64
 _HEADER_WORDS = frozenset({"header"})
 
 
@@ -81,10 +83,10 @@ class Page:
             words, role, names = frozenset(), "", ""
             if attributes:
                 for kind, *values in _NAMES.findall(attributes):
-                    value = "".join(values).lower()
-                    names += f" {kind.lower()}={value}"
+                    value = "".join(values)
+                    names += f" {kind.lower()}={value.lower()}"
                     if kind.lower() == "role":
-                        role = value.strip()
+                        role = value.strip().lower()
                     else:
                         words |= frozenset(w for name in value.split() for w in _name_words(name))
             parent = stack[-1]
@@ -117,9 +119,10 @@ class Page:
 
 
 def _name_words(name: str) -> list[str]:
-    """The words of a class or id; names that say what a page has or lacks mark nothing."""
-    words = re.split(r"[-_]+", name)
-    return [] if words[0] in ("has", "with", "no", "without", "is") else words
+    """The words of a class or id, parted by hyphens, underscores or capitals; names that say what a page has or lacks mark
+    nothing."""
+    words = re.sub(r"(?<=[a-z])(?=[A-Z])", "-", name).lower().replace("_", "-").split("-")
+    return [] if words[0] in ("has", "with", "no", "without", "is") else [*words, "".join(words)]
 
 
 def clean(text: str) -> str:
@@ -244,8 +247,14 @@ def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", carr
     host = F.coalesce(F.regexp_extract(F.lower(pages[url_col]), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1), F.lit(""))
     held = F.struct(*[pages[c].alias(c) for c in carry])
     rows = pages.select(held.alias("row"), host.alias("host"), F.coalesce(pages[html_col], F.lit("")).alias("html"))
-    noise = style_tree(rows, least_pages, threshold)
-    joined = rows.join(noise, "host", "left").select("row", "html", "noise")
+    noise = materialise(style_tree(rows, least_pages, threshold), "noise")
+    if (noise.agg(F.sum(F.size("noise"))).first()[0] or 0) <= BROADCAST_KEYS:
+        joined = rows.join(F.broadcast(noise), "host", "left")
+    else:  # pages go to their host's keys in several parts each, so a large host is not one task
+        part = F.pmod(F.xxhash64("html"), F.lit(HOST_PARTS))
+        copies = noise.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(HOST_PARTS - 1).cast("bigint"))))
+        joined = rows.withColumn("part", part).join(copies, ["host", "part"], "left")
+    joined = joined.select("row", "html", "noise")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

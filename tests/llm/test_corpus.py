@@ -367,6 +367,7 @@ def text_of(source):
         ("<ul><li>one<li>two</ul>three", "one\ntwo\nthree"),
         ("a < b and <unclosed", "a < b and"),
         ("<div class=cookie-notice>ok?</div><p>x</p>", "x"),
+        ("<div class=sideBar>s</div><div id=mainMenu>m</div><div class='Reader-Comments'>c</div><p>x</p>", "x"),
         ("<table><tr><td>1<td>2<tr><td>3</table>", "1\n2\n3"),
     ],
 )
@@ -374,7 +375,9 @@ def test_main_text(source, expected):
     assert text_of(source) == expected
 
 
-def test_style_tree_removes_what_all_pages_of_a_host_share(spark):
+@pytest.mark.parametrize("most", [200_000, 0])  # also where keys are too many to broadcast
+def test_style_tree_removes_what_all_pages_of_a_host_share(spark, monkeypatch, most):
+    monkeypatch.setattr(html_text, "BROADCAST_KEYS", most)
     rng = random.Random(3)
     page = lambda k: f"<body><div class=top>Same on every page</div><div class=story><p>{sentence(rng, 30)}</p><p>{sentence(rng, 20)}</p></div><div class=end><p>All rights</p></div>"
     rows = [(k, "http://one.example/x", page(k)) for k in range(40)] + [(100 + k, "http://two.example/x", page(k)) for k in range(3)] + [(200, None, "<p>x</p>"), (201, "odd", None), (None, "http://one.example/y", "")]
