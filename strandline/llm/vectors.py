@@ -15,8 +15,9 @@ from .common import NULL_ID, id_key, materialise, partitions
 from .components import components
 from .jaccard import _groups
 
-#: Vectors that pivots are chosen from, vectors for each pivot, most pivots, and vectors of a side of a cell's part.
-SAMPLE, PER_PIVOT, MOST_PIVOTS, BLOCK = 4096, 2000, 256, 2048
+#: Vectors that pivots are chosen from, most pivots, how many comparisons a copy of a vector costs, and vectors of a side of
+#: a cell's part, which are compared in strips.
+SAMPLE, MOST_PIVOTS, COPY_COST, BLOCK, STRIP = 4096, 256, 500, 8192, 1024
 SLACK = 1e-9
 
 
@@ -34,37 +35,59 @@ def distances(vectors: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(0.0, (vectors**2).sum(axis=1)[:, None] + (pivots**2).sum(axis=1)[None, :] - 2 * vectors @ pivots.T))
 
 
-def visits(d: np.ndarray, between: np.ndarray, lo: np.ndarray, hi: np.ndarray, reach: float) -> np.ndarray:
+def visits(d: np.ndarray, lo: np.ndarray, hi: np.ndarray, reach: float) -> np.ndarray:
     """Which cells a vector visits, from its distances to the pivots: those where another vector within reach may be at home.
 
     For x at home in cell i and |xy| <= reach, the triangle inequality gives d(y,p) - reach <= d(x,p) <= d(y,p) + reach for
     every pivot p; the home's d(x,p) lies in lo..hi, and p_i is x's nearest pivot, so d(y,p_i) <= d(y,p) + 2 reach."""
-    k = len(between)
     out = d <= d.min(axis=1, keepdims=True) + 2 * reach
-    for i in range(k):
+    for i in range(len(lo)):
         out[:, i] &= ((d >= lo[i] - reach) & (d <= hi[i] + reach)).all(axis=1)
     return out
 
 
-def links_between(own: np.ndarray, other: np.ndarray, same: np.ndarray, threshold: float) -> np.ndarray:
-    """Whether cosines of unit vectors reach the threshold, in double precision; single precision decides the clear cases.
-    same: pairs that are one class."""
-    rough = own.astype(np.float32) @ other.astype(np.float32).T
-    linked = rough >= threshold + 1e-4
-    i, j = np.nonzero(~linked & (rough >= threshold - 1e-4))
-    for a in range(0, len(i), 65536):
-        p, q = i[a : a + 65536], j[a : a + 65536]
-        linked[p, q] = np.einsum("ij,ij->i", own[p], other[q]) >= threshold
-    return linked & ~same
-
-
-def bipartite_labels(linked: np.ndarray, own: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The least node that each of both sides reaches by links."""
+def useful_pivots(vectors: np.ndarray, n: int, reach: float) -> np.ndarray:
+    """Pivots for n vectors of which some are given: of 2, 4, 8, ... the number with the least work, as these vectors tell it.
+    A vector costs a comparison with each home of the cells that it visits, and a copy for each; vectors without structure
+    visit every cell, so few pivots do for them."""
+    pivots = choose_pivots(vectors, MOST_PIVOTS)
+    d = distances(vectors, pivots)
+    best = (math.inf, 1)
+    k = 2
+    while k <= len(pivots):
+        part = d[:, :k]
+        home = part.argmin(axis=1)
+        lo, hi = np.full((k, k), np.inf), np.full((k, k), -np.inf)
+        for i in np.unique(home).tolist():
+            lo[i], hi[i] = part[home == i].min(axis=0), part[home == i].max(axis=0)
+        there = visits(part, lo, hi, reach)
+        best = min(best, (float((there @ np.bincount(home, minlength=k)).mean()) * n / len(vectors) + COPY_COST * float(there.sum(axis=1).mean()), k))
+        k *= 2
+    return pivots[: best[1]]
+
+
+def links_between(own: np.ndarray, other: np.ndarray, own_nodes: np.ndarray, other_nodes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the pairs of unit vectors of different nodes whose cosine reaches the threshold, in double precision;
+    single precision rules out the others, a strip at a time."""
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    narrow = np.ascontiguousarray(other.astype(np.float32).T)
+    for a in range(0, len(own), STRIP):
+        rough = own[a : a + STRIP].astype(np.float32) @ narrow
+        i, j = np.divmod(np.flatnonzero(rough >= np.float32(threshold - 1e-4)), len(other))
+        for c in range(0, len(i), 65536):
+            p, q = i[c : c + 65536] + a, j[c : c + 65536]
+            good = (np.einsum("ij,ij->i", own[p], other[q]) >= threshold) & (own_nodes[p] != other_nodes[q])
+            found.append((p[good], q[good]))
+    return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (zip(*found, strict=True) if found else ((), ())))
+
+
+def bipartite_labels(i: np.ndarray, j: np.ndarray, own: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The least node that each of both sides reaches by the links i, j."""
     a, b = own.copy(), other.copy()
-    most = np.iinfo(np.int64).max
     while True:
-        new_a = np.minimum(a, np.where(linked, b[None, :], most).min(axis=1, initial=most))
-        new_b = np.minimum(b, np.where(linked, new_a[:, None], most).min(axis=0, initial=most))
+        new_a, new_b = a.copy(), b.copy()
+        np.minimum.at(new_a, i, b[j])
+        np.minimum.at(new_b, j, new_a[i])
         if (new_a == a).all() and (new_b == b).all():
             return a, b
         a, b = new_a, new_b
@@ -78,8 +101,8 @@ def range_join(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     those of their own length. A null id is the largest and shown as null; it is kept if it is alone. Rows that share an id
     are separate vectors. Equal vectors are one class, compared once. Other columns are ignored; an empty table gives no rows.
 
-    Pivots come from a sample of up to 4096 classes (those of the least hashes), the farthest from each other, one for 2000
-    classes up to 256. Every class has its home in the cell of the nearest pivot, and visits the cells that `visits` can't
+    Pivots come from a sample of up to 4096 classes (those of the least hashes), the farthest from each other, as many as
+    `useful_pivots` finds worth it. Every class has its home in the cell of the nearest pivot, and visits the cells that `visits` can't
     rule out. In each cell those at home meet all present, so each link is seen at the home of either end. A cell with
     many vectors is dealt to blocks of homes and of visitors that meet in tasks of their own.
     """
@@ -109,11 +132,10 @@ def range_join(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     classes = signed.filter("node is not null").groupBy("node").agg(F.min("id").alias("first"), F.count("*").alias("size"), F.first("unit").alias("unit"))
     classes = materialise(classes, "vector-classes")
     n = classes.count()
-    k = max(1, min(MOST_PIVOTS, math.ceil(n / PER_PIVOT)))
     sample: dict[int, list[np.ndarray]] = {}
     for r in classes.select("node", "unit").orderBy("node").limit(SAMPLE).collect():
         sample.setdefault(len(r.unit) // 8, []).append(np.frombuffer(r.unit))
-    pivots = {dim: choose_pivots(np.array(x), k) for dim, x in sample.items()}
+    pivots = {dim: useful_pivots(np.array(x), n, reach) for dim, x in sample.items()}
     shared_pivots = spark.sparkContext.broadcast(pivots)
 
     def matrices(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
@@ -160,7 +182,7 @@ def range_join(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "em
                 else:
                     never = (np.full(len(p), np.inf), np.full(len(p), -np.inf))
                     lo, hi = (np.array([shared_extent.value.get(dim * MOST_PIVOTS + i, never)[side] for i in range(len(p))]) for side in (0, 1))
-                    there = visits(d, p, lo - SLACK, hi + SLACK, reach)
+                    there = visits(d, lo - SLACK, hi + SLACK, reach)
                     there[np.arange(len(at)), home] = True
                 i, cell = np.nonzero(there)
                 each = pa.array(at[i])
@@ -183,14 +205,13 @@ def range_join(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "em
                 continue
             x = np.frombuffer(b"".join(units)).reshape(len(nodes), -1)
             own, other = nodes[asks], nodes[~asks]
-            linked = links_between(x[asks], x[~asks], own[:, None] == other[None, :], threshold)
-            some, seen = linked.any(axis=1), linked.any(axis=0)
-            if not some.any():
+            i, j = links_between(x[asks], x[~asks], own, other, threshold)
+            if not len(i):
                 continue
-            linked, own, other = linked[np.ix_(some, seen)], own[some], other[seen]
-            a, b = bipartite_labels(linked, own, other)
-            found = linked @ sizes[~asks][seen]
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([own, other])), pa.array(np.concatenate([a, b])), pa.array(np.concatenate([found, np.zeros(len(other), np.int64)]))], ["a", "b", "links"])
+            a, b = bipartite_labels(i, j, own, other)
+            links = np.bincount(i, sizes[~asks][j], len(own)).astype(np.int64)
+            some, seen = np.unique(i), np.unique(j)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([own[some], other[seen]])), pa.array(np.concatenate([a[some], b[seen]])), pa.array(np.concatenate([links[some], np.zeros(len(seen), np.int64)]))], ["a", "b", "links"])
 
     found = materialise(dealt.repartition(n_parts, "part").sortWithinPartitions("part").mapInArrow(meet, "a long, b long, links long"), "vector-links")
     links = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))

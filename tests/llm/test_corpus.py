@@ -235,15 +235,26 @@ def test_range_join_equals_brute_force(spark, monkeypatch):
     rows += [(k, rows[3][1]) for k in range(160, 175)] + [(175, [2 * x for x in rows[3][1]]), (176, None), (177, [0.0] * 16), (178, [float("nan")] + [1.0] * 15), (179, [None] + [1.0] * 15), (180, []), (181, [1.0, 2.0]), (182, [2.0, 4.1]), (None, rows[5][1]), (None, rows[7][1]), (184, [-0.0] + [1.0] * 15), (185, [0.0] + [1.0] * 15), (186, [1e-200] * 16), (187, [1e200] * 16)]
     df = spark.createDataFrame([(*r, "x", 1) for r in rows], "vec_id long, embedding array<double>, node string, size int")
     expected = sorted(map(repr, brute_vectors([(i, None if v is None else [x / 1e200 if x == 1e200 else x * 1e200 if x == 1e-200 else x for x in [y for y in v]] if v and None not in v else v) for i, v in rows], 0.95)))
-    for per, block in ((2000, 2048), (10, 7)):  # also with many pivots and with cells dealt to blocks
-        monkeypatch.setattr(vectors, "PER_PIVOT", per)
+    choose = vectors.useful_pivots
+    for most, block, strip in ((None, 8192, 1024), (16, 7, 3)):  # also with many pivots and with cells dealt to blocks
+        monkeypatch.setattr(vectors, "useful_pivots", choose if most is None else lambda v, n, reach: vectors.choose_pivots(v, most))
         monkeypatch.setattr(vectors, "BLOCK", block)
+        monkeypatch.setattr(vectors, "STRIP", strip)
         found = vectors.range_join(df).collect()
         assert sorted(repr((r.vec_id, r.n_links, r.component_id)) for r in found) == expected
         assert all(r.kept == (r.vec_id == r.component_id) for r in found if r.vec_id is not None)
     assert vectors.range_join(df.limit(0)).collect() == []
 
 
+def test_pivots_pay_where_vectors_have_structure():
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(40, 32))
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    clustered = unit(np.repeat(centres, 50, axis=0) + 0.05 * rng.normal(size=(2000, 32)))
+    assert len(vectors.useful_pivots(clustered, 100_000, 0.32)) >= 16
+    assert len(vectors.useful_pivots(unit(rng.normal(size=(2000, 64))), 100_000, 0.32)) <= 4
+
+
 # ---- components
 
 
