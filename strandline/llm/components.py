@@ -15,7 +15,7 @@ def components(edges: DataFrame) -> DataFrame:
 
     Alternates two steps until the edges stay: each vertex links its larger neighbours to its smallest one, then each
     links its smaller neighbours so. All that is left then are stars around the smallest ids. Each round is written to
-    the shared folder and read back; a vertex with very many neighbours is one key of a join that Spark splits at run time.
+    the shared folder and read back.
     """
     spark = edges.sparkSession
 
@@ -28,10 +28,11 @@ def components(edges: DataFrame) -> DataFrame:
     now = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     now, path, sign = written(now)
     while sign[0]:
-        both = now.union(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-        large = both.join(least, "a").filter("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.distinct()
+        # (a, b) goes to b's smallest neighbour where that is under b. Only vertices between two others have one that matters,
+        # so that side is small and soon empty, and the star of a smallest vertex needn't meet anything
+        below = now.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "b")
+        below = below.join(now.select("b").distinct(), "b", "left_semi")
+        large = now.join(below, "b", "left").select("a", F.coalesce("m", "b").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
         new, new_path, new_sign = written(small.union(least.select("a", F.col("m").alias("b"))).distinct())
