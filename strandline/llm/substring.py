@@ -13,10 +13,8 @@ from pyspark.sql import functions as F
 
 from .common import ROLL_BASE_1, ROLL_BASE_2, id_key, partitions, rolling_hashes, sliding_argmin, span_hashes, text_bytes, text_slices, word_spans
 
-DEPTH, SHARDS = 2, 256
-_FACTORS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-#: Windows that a task holds before it combines and passes them on.
-HELD = 1 << 20
+#: Cells of the sketch (as a power of two, up to 40) and anchors or windows that a task holds before it passes them on.
+CELL_BITS, HELD = 40, 1 << 20
 
 
 class Scan:
@@ -48,74 +46,75 @@ class Scan:
         self.anchors = values[at[opens]]
 
 
-def cells(anchors: np.ndarray, row: int, bits: int) -> np.ndarray:
-    return (anchors * np.uint64(_FACTORS[row])) >> np.uint64(64 - bits)
+def cells(anchors: np.ndarray, bits: int) -> np.ndarray:
+    return (anchors * np.uint64(0xC2B2AE3D27D4EB4F)) >> np.uint64(64 - bits)
 
 
-class Repeated:
-    """The cells of a merged sketch with a count of two or more, a bit each."""
+def _narrow(values: np.ndarray) -> bytes:
+    """Cells as five bytes each."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :5]).tobytes()
 
-    def __init__(self, rows: Sequence[np.ndarray], bits: int):
-        self.rows, self.bits = rows, bits
 
-    def __call__(self, anchors: np.ndarray) -> np.ndarray:
-        """Whether the estimate (the least count over the rows) is two or more."""
-        out = np.ones(len(anchors), bool)
-        for k, row in enumerate(self.rows):
-            at = cells(anchors, k, self.bits)
-            out &= (row[at >> np.uint64(3)] >> (np.uint8(7) - (at & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
-        return out
+def _wide(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 5, 8), np.uint8)
+    out[:, :5] = np.frombuffer(raw, np.uint8).reshape(-1, 5)
+    return out.view("<u8").ravel()
 
 
-def sketch(texts: DataFrame, window: int, n_bytes: int, most_bits: int = 27) -> Repeated:
-    """Count-min sketch of all anchors. Each task emits the cells it counted, in shards of the sketch; the shards are summed
-    apart and come back as a bit for each cell. The sketch has about eight cells for each anchor, up to 2**most_bits in each
-    of its rows: at most 2 * 16 MB at the driver and in a worker, whatever the input. Beyond that more windows pass to the
-    exact grouping, which stays right."""
-    bits = min(most_bits, max(16, int(np.ceil(np.log2(max(1, n_bytes) / 40 * 8)))))
-    width = 1 << bits
+def repeated_cells(placed: DataFrame, window: int, bits: int) -> DataFrame:
+    """home, cells: for each bucket of documents the cells of its anchors that the count-min sketch holds twice or more.
+
+    The sketch has 2**bits cells and is kept sparse: each task sends the cells that it counted (twice at most each), in shards
+    of the sketch and by bucket; a shard adds them up and answers each bucket. So the sketch grows with the corpus, no task
+    holds more than a shard of it, and none of it passes through the driver. Two anchors in one cell only raise an
+    estimate, so no repeated window is lost."""
+    shards = partitions(placed.sparkSession)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         n = 0
         for batch in text_slices(batches, "text"):
-            held.append(Scan(batch.column("text"), window).anchors)
-            n += len(held[-1])
+            scan = Scan(batch.column("text"), window)
+            if len(scan.where):
+                opens = np.flatnonzero(np.concatenate([[True], scan.stretch[1:] != scan.stretch[:-1]]))
+                text = np.searchsorted(scan.first, scan.where[opens], side="right") - 1
+                held.append((batch.column("home").to_numpy()[text], cells(scan.anchors, bits)))
+                n += len(opens)
             if n >= HELD:
-                yield flush(np.concatenate(held))
+                yield flush(held)
                 held, n = [], 0
         if n:
-            yield flush(np.concatenate(held))
-
-    def flush(anchors: np.ndarray) -> pa.RecordBatch:
-        keys, blobs = [], []
-        for row in range(DEPTH):
-            at = np.sort(cells(anchors, row, bits)).astype(np.uint32)
-            at = at[(np.arange(len(at)) < 2) | (at != np.concatenate([at[:2], at[:-2]]))]  # two of a cell tell enough
-            bounds = np.searchsorted(at, np.arange(SHARDS + 1, dtype=np.uint64) << np.uint64(bits - 8))
-            for s in np.flatnonzero(np.diff(bounds)):
-                keys.append(row * SHARDS + int(s))
-                blobs.append((at[bounds[s] : bounds[s + 1]] - np.uint32(int(s) << bits - 8)).tobytes())
-        return pa.RecordBatch.from_arrays([pa.array(keys, pa.int32()), pa.array(blobs, pa.binary())], ["shard", "cells"])
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, np.ndarray] = {}
+            yield flush(held)
+
+    def flush(held: list[tuple[np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+        home, cell = (np.concatenate(x) for x in zip(*held, strict=True))
+        shard = (cell % np.uint64(shards)).astype(np.int64)
+        order = np.lexsort((cell, home, shard))
+        home, cell, shard = home[order], cell[order], shard[order]
+        same = np.zeros(len(cell), bool)  # a third of one cell in a bucket tells nothing more
+        same[2:] = (cell[2:] == cell[:-2]) & (home[2:] == home[:-2])
+        home, cell, shard = home[~same], cell[~same], shard[~same]
+        new = np.flatnonzero(np.concatenate([[True], (shard[1:] != shard[:-1]) | (home[1:] != home[:-1])]))
+        ends = np.append(new[1:], len(cell))
+        blobs = [_narrow(cell[a:b]) for a, b in zip(new, ends, strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(shard[new]), pa.array(home[new]), pa.array(blobs, pa.binary())], ["shard", "home", "cells"])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        homes: list[int] = []
+        blobs: list[np.ndarray] = []
         for batch in batches:
-            for shard, blob in zip(batch.column("shard").to_pylist(), batch.column("cells"), strict=True):
-                if shard not in counts:
-                    counts[shard] = np.zeros(width // SHARDS, np.uint8)
-                at, n = np.unique(np.frombuffer(blob.as_buffer(), np.uint32), return_counts=True)
-                counts[shard][at] = np.minimum(2, counts[shard][at] + n)
-        yield pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int32()), pa.array([np.packbits(c > 1).tobytes() for c in counts.values()], pa.binary())], ["shard", "cells"])
-
-    schema = "shard int, cells binary"
-    merged = texts.select("text").mapInArrow(count, schema).repartition(partitions(texts.sparkSession), "shard").mapInArrow(merge, schema).collect()
-    rows = [np.zeros(width // 8, np.uint8) for _ in range(DEPTH)]
-    part = width // SHARDS // 8
-    for r in merged:
-        row, s = divmod(r.shard, SHARDS)
-        rows[row][s * part : (s + 1) * part] = np.frombuffer(r.cells, np.uint8)
-    return Repeated(rows, bits)
+            homes += batch.column("home").to_pylist()
+            blobs += [_wide(x.as_py()) for x in batch.column("cells")]
+        if not homes:
+            return
+        values, counts = np.unique(np.concatenate(blobs), return_counts=True)
+        values = values[counts > 1]
+        rows = [(h, np.unique(b[np.isin(b, values)])) for h, b in zip(homes, blobs, strict=True)]
+        rows = [(h, _narrow(b)) for h, b in rows if len(b)]
+        yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in rows], pa.int64()), pa.array([b for _, b in rows], pa.binary())], ["home", "cells"])
+
+    counted = placed.mapInArrow(count, "shard long, home long, cells binary")
+    return counted.repartition(shards, "shard").mapInArrow(answer, "home long, cells binary")
 
 
 def _firsts(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -127,7 +126,7 @@ def _firsts(h1: np.ndarray, h2: np.ndarray, doc: np.ndarray, start: np.ndarray)
     return order[new]
 
 
-def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, carry: Sequence[str] = (), texts: bool = False) -> DataFrame:
+def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20, carry: Sequence[str] = (), texts: bool = False, cell_bits: int = CELL_BITS) -> DataFrame:
     """Remove each word covered by a window of words that also starts earlier.
 
     Words are maximal runs of bytes outside [\\x20\\x09-\\x0D]. Earlier means in a document of smaller id, or in the same
@@ -137,25 +136,42 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     Null and empty texts have no words. A null id is the largest id. Rows that share an id count as one document whose
     texts start at the same place: of their equal windows with equal starts both stay. Empty tables give no rows.
 
-    Two passes as the sketch needs: the first counts, the second sends the windows estimated repeated to an exact grouping
-    by 128 bits of hash, combined in each task first, so that a frequent window is a few rows. The grouping gives the
-    earliest place of each window; places go back to their documents in buckets, and a candidate window that isn't an
-    earliest place is removed. Buckets are as many as the bytes ask for, by hash, so none grows with a popular passage.
+    Documents are dealt once to buckets of about 16 MB by a hash of their ids, and each pass reads the buckets. The first
+    counts anchors in the sketch; the second sends the windows estimated repeated to an exact grouping by 128 bits of hash,
+    combined in each task first, so that a frequent window is a few rows. The grouping gives the earliest place of each
+    window; places go back to the buckets, and there a candidate that isn't an earliest place is removed. No bucket grows
+    with a popular passage.
     """
     spark = docs.sparkSession
     held = F.struct(*[docs[c].alias(c) for c in dict.fromkeys([id_col, *carry])])
     rows = docs.select(held.alias("row"), id_key(id_col).alias("doc"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     n_bytes = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
-    repeated = spark.sparkContext.broadcast(sketch(rows, window, n_bytes))
-    buckets = max(64, n_bytes >> 22)
+    buckets = max(64, n_bytes >> 24)
     n_parts = partitions(spark)
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # the home of a document, as _home; all passes read the same shuffle
+    home = F.pmod(F.col("doc").bitwiseXOR(F.shiftrightunsigned("doc", 32)), F.lit(buckets))
+    placed = rows.withColumn("home", home).repartition(n_parts, "home")
+
+    def candidates(scan: Scan, repeated: np.ndarray) -> np.ndarray:
+        """First words of the windows whose anchor's cell is one of the sorted repeated ones."""
+        if not len(scan.where) or not len(repeated):
+            return scan.where[:0]
+        cell = cells(scan.anchors, cell_bits)
+        near = np.minimum(np.searchsorted(repeated, cell), len(repeated) - 1)
+        return scan.where[(repeated[near] == cell)[scan.stretch]]
+
+    def repeated_of(right: pa.Table) -> np.ndarray:
+        found = [_wide(x.as_py()) for x in right.column("cells") if x.is_valid]
+        return np.unique(np.concatenate(found)) if found else np.zeros(0, np.uint64)
+
+    def windows(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        repeated = repeated_of(right)
         parts: list[tuple[np.ndarray, ...]] = []
+        out: list[pa.RecordBatch] = []
         n = 0
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(iter(left.combine_chunks().to_batches()), "text"):
             scan = Scan(batch.column("text"), window)
-            at = scan.where[repeated.value(scan.anchors)[scan.stretch]] if len(scan.where) else scan.where
+            at = candidates(scan, repeated)
             if not len(at):
                 continue
             text = np.searchsorted(scan.first, at, side="right") - 1
@@ -163,27 +179,28 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             parts.append((rolling_hashes(scan.hashes, window, ROLL_BASE_1)[at], rolling_hashes(scan.hashes, window, ROLL_BASE_2)[at], doc, (at - scan.first[text]).astype(np.int32)))
             n += len(at)
             if n >= HELD:
-                yield from combined(parts)
+                out += combined(parts)
                 parts, n = [], 0
-        if parts:
-            yield from combined(parts)
+        out += combined(parts) if parts else []
+        return pa.Table.from_batches(out, sent_schema)
 
-    def combined(parts: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
+    def combined(parts: list[tuple[np.ndarray, ...]]) -> list[pa.RecordBatch]:
         columns = [np.concatenate(c) for c in zip(*parts, strict=True)]
         least = _firsts(*columns)
         bucket = (columns[0][least] >> np.uint64(32)) % np.uint64(buckets)
         order = np.argsort(bucket, kind="stable")
-        yield _blobs("bucket", bucket[order].astype(np.int64), [c[least][order] for c in columns], ["h1", "h2", "doc", "start"])
+        return [_blobs("bucket", bucket[order].astype(np.int64), [c[least][order] for c in columns], ["h1", "h2", "doc", "start"])]
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, (h1, h2, doc, start) in _buckets(batches, "bucket", {"h1": np.uint64, "h2": np.uint64, "doc": np.int64, "start": np.int32}):
             least = _firsts(h1, h2, doc, start)
             home = _home(doc[least], buckets)
             order = np.lexsort((start[least], doc[least], home))
-            yield _blobs("home", home[order], [doc[least][order], start[least][order]], ["doc", "start"])
+            yield _blobs("home", home[order], [doc[least][order], start[least][order]], ["places", "start"])
 
     def remove(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        doc, start = (np.concatenate([np.frombuffer(x.as_buffer(), t) for x in right.column(c)] or [np.zeros(0, t)]) for c, t in (("doc", np.int64), ("start", np.int32)))
+        repeated = repeated_of(right)
+        doc, start = (np.concatenate([np.frombuffer(x.as_buffer(), t) for x in right.column(c) if x.is_valid] or [np.zeros(0, t)]) for c, t in (("places", np.int64), ("start", np.int32)))
         order = np.lexsort((start, doc))
         doc, start = doc[order], start[order]
         out: list[tuple] = []
@@ -191,7 +208,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         rows_done: list[pa.Array] = []
         for batch in batches:
             scan = Scan(batch.column("text"), window)
-            flagged = scan.where[repeated.value(scan.anchors)[scan.stretch]] if len(scan.where) else scan.where
+            flagged = candidates(scan, repeated)
             bounds = np.searchsorted(flagged, scan.first)
             ids = batch.column("doc").to_numpy()
             lo, hi = np.searchsorted(doc, ids), np.searchsorted(doc, ids, side="right")
@@ -215,13 +232,14 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         row = pa.chunked_array(rows_done, left.schema.field("row").type)
         return pa.table([row, *[pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True)]], names=["row", "n_words", "n_removed", "kept_sha256", "kept_text"])
 
-    sent = rows.select("doc", "text").mapInArrow(windows, "bucket long, h1 binary, h2 binary, doc binary, start binary")
-    firsts = sent.repartition(n_parts, "bucket").sortWithinPartitions("bucket").mapInArrow(places, "home long, doc binary, start binary")
-    # the home of a document: as _home
-    home = F.pmod(F.col("doc").bitwiseXOR(F.shiftrightunsigned("doc", 32)), F.lit(buckets))
-    left = rows.withColumn("home", home).select("home", "row", "doc", "text")
+    sent_schema = pa.schema([("bucket", pa.int64()), *[(c, pa.binary()) for c in ("h1", "h2", "doc", "start")]])
+    told = repeated_cells(placed, window, cell_bits)
+    sent = placed.groupBy("home").cogroup(told.groupBy("home")).applyInArrow(windows, "bucket long, h1 binary, h2 binary, doc binary, start binary")
+    firsts = sent.repartition(n_parts, "bucket").sortWithinPartitions("bucket").mapInArrow(places, "home long, places binary, start binary")
+    none = F.lit(None).cast("binary")
+    known = told.select("home", "cells", none.alias("places"), none.alias("start")).union(firsts.select("home", none, "places", "start"))
     schema = f"row {rows.schema['row'].dataType.simpleString()}, n_words long, n_removed long, kept_sha256 string, kept_text string"
-    out = left.groupBy("home").cogroup(firsts.groupBy("home")).applyInArrow(remove, schema)
+    out = placed.groupBy("home").cogroup(known.groupBy("home")).applyInArrow(remove, schema)
     return out.select("row.*", "n_words", "n_removed", "kept_sha256", *(["kept_text"] if texts else []))
 
 

@@ -140,18 +140,30 @@ def test_substrings_of_repeated_rows_and_empty_tables(spark):
     assert substring.dedup_substrings(frame(spark, [])).collect() == []
 
 
-def test_a_full_sketch_loses_nothing(spark):
+@pytest.mark.parametrize("bits", [1, 10])
+def test_a_full_sketch_loses_nothing(spark, bits):
     rows = corpus()
-    texts = frame(spark, rows).selectExpr("coalesce(text, '') AS text")
-    small = substring.sketch(texts, 20, 1, most_bits=16)
-    large = substring.sketch(texts, 20, 1 << 24)
+    found = substring.dedup_substrings(frame(spark, rows), texts=True, cell_bits=bits).collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, brute_substrings(rows, 20)))
+
+
+def test_sketch_tells_repeated_anchors(spark):
     import pyarrow as pa
 
-    scan = substring.Scan(pa.array([t or "" for _, t in rows]), 20)
-    values, counts = np.unique(scan.anchors, return_counts=True)
-    for s in (small, large):
-        assert s(values[counts > 1]).all()
-    assert large(values).sum() <= (counts > 1).sum() + 5
+    rows = corpus()
+    texts = [t or "" for _, t in rows]
+    placed = spark.createDataFrame([(k % 3, t) for k, t in enumerate(texts)], "home long, text string")
+    told = {}
+    for r in substring.repeated_cells(placed, 20, 40).collect():
+        told.setdefault(r.home, set()).update(substring._wide(bytes(r.cells)).tolist())
+    anchors = [substring.cells(substring.Scan(pa.array([t]), 20).anchors, 40).tolist() for t in texts]
+    counts = {}
+    for a in anchors:
+        for x in a:
+            counts[x] = counts.get(x, 0) + 1
+    for h in range(3):
+        mine = {x for k, a in enumerate(anchors) if k % 3 == h for x in a}
+        assert told.get(h, set()) == {x for x in mine if counts[x] > 1}
 
 
 # ---- Jaccard
