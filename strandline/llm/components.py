@@ -6,7 +6,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_path, scratch
+from .common import drop_path, materialise, scratch
+
+#: Up to so many rows (16 bytes each) go to all executors in a round; beyond that the edges are shuffled to meet them.
+BROADCAST_ROWS = 500_000
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -31,7 +34,9 @@ def components(edges: DataFrame) -> DataFrame:
         # (a, b) goes to b's smallest neighbour where that is under b. Only vertices between two others have one that matters,
         # so that side is small and soon empty, and the star of a smallest vertex needn't meet anything
         below = now.groupBy("a").agg(F.min("b").alias("m")).withColumnRenamed("a", "b")
-        below = below.join(now.select("b").distinct(), "b", "left_semi")
+        below = materialise(below.join(now.select("b").distinct(), "b", "left_semi"), "below")
+        if below.count() <= BROADCAST_ROWS:
+            below = F.broadcast(below)
         large = now.join(below, "b", "left").select("a", F.coalesce("m", "b").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").filter("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))

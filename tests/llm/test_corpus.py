@@ -270,7 +270,9 @@ def test_pivots_pay_where_vectors_have_structure():
 # ---- components
 
 
-def test_components_equal_union_find(spark):
+@pytest.mark.parametrize("most", [500_000, -1])  # also where a round's changes are too many to broadcast
+def test_components_equal_union_find(spark, monkeypatch, most):
+    monkeypatch.setattr(components, "BROADCAST_ROWS", most)
     rng = random.Random(9)
     edges = [(k, k + 1) for k in range(100, 160)] + [(500, k) for k in range(501, 600)] + [(rng.randrange(1000, 1300), rng.randrange(1000, 1300)) for _ in range(180)] + [(7, 7)]
     parent = {x: x for e in edges for x in e}
