@@ -173,3 +173,19 @@ def test_neighbours_come_first():
     assert [(p[0], p[3]) for p in pieces] == [(0, 0), (2, 0), (1, 1), (3, 1)]
     brute = [sum(np.log1p((4 - df[t] + 0.5) / (df[t] + 0.5)) * (d == t).sum() * 2.2 / ((d == t).sum() + 1.2) for t in np.unique(documents[0])) for d in documents]
     assert np.allclose(index.scores(0), brute, rtol=1e-5)
+
+
+def test_neighbours_are_found_in_the_whole_corpus(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK_TOKENS", 2_000)
+    monkeypatch.setattr(packing, "SEED_TOKENS", 2_000)
+    words = [f"{a}{b}" for a in ("red", "old", "big", "sea", "sun", "ice", "oak", "fog") for b in ("ship", "bird", "farm", "hill")]
+    rows = []
+    for topic in range(8):  # 40 documents of each topic, dealt over the table
+        rows += [(8 * k + topic, " ".join(random.Random(100 * topic + k).choices(words[4 * topic : 4 * topic + 4], k=12))) for k in range(40)]
+    out = packing.pack(odd(spark, sorted(rows)), P.path("word_bpe_49k.json"), WORD_PATTERN, end_id=2, window=64, shard_tokens=300).collect()
+    sequences = {}
+    for r in out:
+        sequences.setdefault(r.sequence_id, []).append(r)
+    full = [s for s in sequences.values() if sum(p.length for p in s) == 64]
+    pure = sum(max(np.bincount([p.doc_id % 8 for p in s], [p.length for p in s])) for s in full)
+    assert pure > 0.8 * 64 * len(full)
