@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
@@ -35,6 +36,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
     "BSD-2-Clause": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
+        "SPDX-License-Identifier: BSD-2-Clause",
     ),
     "BSD-3-Clause": (
         "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
@@ -42,6 +44,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     ),
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
+        "SPDX-License-Identifier: ISC",
     ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
@@ -52,9 +55,17 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
     "CC-BY-NC-4.0": ("Licensed under CC BY-NC 4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License"),
     "CC-BY-SA-4.0": ("Licensed under CC BY-SA 4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
     "CC-BY-4.0": ("Licensed under CC BY 4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
+    "CC-BY-3.0": ("Licensed under CC BY 3.0", "This work is licensed under a Creative Commons Attribution 3.0 Unported License"),
+    "CC-BY-ND-4.0": ("Licensed under CC BY-ND 4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License", "SPDX-License-Identifier: CC-BY-ND-4.0"),
+    "GPL-2.0": ("This work is licensed under the GNU General Public License, version 2", "SPDX-License-Identifier: GPL-2.0-only"),
+    "GPL-3.0-or-later": ("SPDX-License-Identifier: GPL-3.0-or-later",),
     "CC0-1.0": ("To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",),
 }
 GRAM, WINDOW = 3, 2
+#: Templates of fewer words are notices: what lies between their first and last word that isn't one of these names the
+#: license, and has to stand in the text without gap or mismatch.
+NOTICE_WORDS = 20
+COMMON_WORDS = frozenset("a by international is license licensed released spdx identifier the this under unported version work".split()) - {"by"}
 
 #: Letters and digits (any byte over 0x7F too) make words, in lower case; all else separates.
 _FOLD = np.full(256, 0x20, np.uint8)
@@ -105,6 +116,7 @@ class TemplateIndex:
 
     def __init__(self, templates: Mapping[str, tuple[str, ...]]):
         self.entries: list[tuple[str, int, np.ndarray]] = []
+        self.cores: list[list[int]] = []
         self.places: dict[int, list[tuple[int, int]]] = defaultdict(list)
         for name, texts in templates.items():
             for k, text in enumerate(texts):
@@ -112,6 +124,9 @@ class TemplateIndex:
                 for f, at in zip(*(x.tolist() for x in fingerprints(hashes)), strict=True):
                     self.places[f].append((len(self.entries), at))
                 self.entries.append((name, k, hashes))
+                words = re.findall(r"[a-z0-9]+", text.lower())
+                own = [i for i, x in enumerate(words) if x not in COMMON_WORDS]
+                self.cores.append(hashes[own[0] : own[-1] + 1].tolist() if own and len(words) < NOTICE_WORDS else [])
         self.known = np.array(sorted(self.places), np.uint64)
 
     def scan(self, hashes: np.ndarray, hits: list[tuple[int, int]], least: float) -> list[Match]:
@@ -130,11 +145,19 @@ class TemplateIndex:
                 to = at + 1
                 while to < len(seen) and seen[to][0] - seen[to - 1][0] <= band:
                     to += 1
-                middle = seen[(at + to) // 2][0]
-                width = band + seen[to - 1][0] - seen[at][0]
-                matched, first, last = align(template, hashes, middle, width)
-                if matched >= least * len(template):
-                    found.append(Match(name, k, matched / len(template), matched, first, last))
+                rest = [(seen[at:to], 0, len(hashes))]
+                while rest:  # and may be several, where they follow each other closely
+                    chain, lo, hi = rest.pop()
+                    middle, width = chain[len(chain) // 2][0], band + chain[-1][0] - chain[0][0]
+                    matched, first, last = align(template, hashes[lo:hi], middle - lo, width)
+                    if matched < least * len(template):
+                        continue
+                    first, last = first + lo, last + lo
+                    if holds(hashes[first : last + 1].tolist(), self.cores[entry]):
+                        found.append(Match(name, k, matched / len(template), matched, first, last))
+                    for part, a, b in (([x for x in chain if x[1] < first], lo, first), ([x for x in chain if x[1] > last], last + 1, hi)):
+                        if part:
+                            rest.append((part, a, b))
                 at = to
         found.sort(key=lambda m: (-m.matched, -m.coverage, m.first_word, m.license))
         kept: list[Match] = []
@@ -144,6 +167,11 @@ class TemplateIndex:
         return sorted(kept, key=lambda m: m.first_word)
 
 
+def holds(words: list[int], core: list[int]) -> bool:
+    """Whether a run of words has another in it, without a gap."""
+    return any(words[i : i + len(core)] == core for i in range(len(words) - len(core) + 1))
+
+
 def align(template: np.ndarray, text: np.ndarray, diagonal: int, band: int) -> tuple[int, int, int]:
     """Local alignment of a template with the words of a text within a band around a diagonal: matched words, and the first
     and last word of the text in it. A match scores 2, a mismatch or gap -1."""
@@ -175,7 +203,8 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row for each license notice found: the id, license, template (its number), coverage (matched words of the
     template), matched_words, start_char and end_char (code points of the whole text, end exclusive).
 
-    Words are runs of letters and digits in lower case. Where found notices overlap, that with more matched words stays.
+    A notice of under NOTICE_WORDS words must hold the words that name its license and version, without a gap; the others,
+    and long texts, may differ as far as `least_coverage` allows. Words are runs of letters and digits in lower case. Where found notices overlap, that with more matched words stays.
     Null and empty texts have none; each row is scanned by itself, so null and repeated ids are carried as they are. Other
     columns are ignored, an empty table gives no rows. The index is as large as the templates and is broadcast.
     """

@@ -4,6 +4,7 @@ import re
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from strandline.llm import components, html_text, jaccard, licenses, quality, substring, vectors, warc
@@ -370,6 +371,28 @@ def test_license_lines_of_the_corpus(spark):
     assert found == expected and expected
 
 
+@pytest.mark.parametrize(
+    ("text", "expected"),
+    [
+        ("SPDX-License-Identifier: BSD-2-Clause", ["BSD-2-Clause"]),
+        ("SPDX-License-Identifier: GPL-2.0-only", ["GPL-2.0"]),
+        ("SPDX-License-Identifier: LGPL-3.0-only", []),
+        ("This work is licensed under the GNU General Public License, version 2", ["GPL-2.0"]),
+        ("This work is licensed under the GNU Lesser General Public License, version 3", []),
+        ("Licensed under CC BY 3.0", ["CC-BY-3.0"]),
+        ("Licensed under CC BY-ND 4.0", ["CC-BY-ND-4.0"]),
+        ("This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License", ["CC-BY-ND-4.0"]),
+        ("This text is licensed under the GNU General Public License, version 3", ["GPL-3.0"]),
+        ("SPDX-License-Identifier: MIT\n" * 5, ["MIT"] * 5),
+    ],
+)
+def test_sibling_licenses_and_repeated_lines(text, expected):
+    words, index = licenses.Words(pa.array([text])), licenses.TemplateIndex(licenses.TEMPLATES)
+    values, at = licenses.fingerprints(words.hashes)
+    hits = [(v, k) for v, k in zip(values.tolist(), at.tolist(), strict=True) if v in index.places]
+    assert [m.license for m in index.scan(words.hashes, hits, 0.8)] == expected
+
+
 # ---- HTML
 
 
