@@ -154,10 +154,17 @@ def main_text(page: Page, noise: frozenset[int] = frozenset()) -> str:
     if noise:
         weak = {k for k, e in enumerate(elements) if e[4] in noise and k not in holds}
         if weak:
-            left = text(page.under(no_tag | named | weak))
-            # a branch with most of the page's text is its article, however often it was copied
-            if 2 * sum(map(len, left)) > sum(map(len, out)):
-                return "\n".join(left)
+            # a branch with most of the page's text is its article, however often it was copied; all of it stays
+            size = [0] * len(elements)
+            for block in page.blocks:
+                for k, t in block:
+                    if not gone[k] and (inside[k] or not bodies):
+                        size[k] += len(clean(t))
+            whole = sum(size)
+            for k in range(len(elements) - 1, 0, -1):
+                size[elements[k][0]] += size[k]
+            spared = page.under({k for k in weak if 2 * size[k] >= whole})
+            return "\n".join(text(page.under(no_tag | named | {k for k in weak if not spared[k]})))
     return "\n".join(out)
 
 

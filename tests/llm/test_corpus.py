@@ -444,6 +444,14 @@ def test_copies_of_one_page_keep_their_text(spark):
     assert {r.text for r in html_text.extract(df).collect()} == {"the very same story"}
 
 
+def test_short_stories_lose_long_site_text(spark):
+    rng = random.Random(5)
+    site = [sentence(rng, 20) for _ in range(3)]
+    html = lambda: f"<div class=a><p>{site[0]}</p></div><div class=b><p>{site[1]}</p></div><div class=story><p>{sentence(rng, 40)}</p></div><div class=c><p>{site[2]}</p></div>"
+    df = spark.createDataFrame([(k, "http://s.example/", html()) for k in range(40)], "page_id long, url string, html string")
+    assert all("\n" not in r.text and len(r.text.split()) == 40 for r in html_text.extract(df).collect())
+
+
 def test_long_and_odd_markup_takes_linear_time():
     for source in ("<" * 50_000, "<a href=\"" * 20_000, "<p>" * 50_000, "<div>" * 3_000 + "deep", "<!--" * 20_000, "&" * 50_000):
         text_of(source)
