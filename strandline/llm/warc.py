@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
 import re
 import zlib
@@ -53,18 +54,46 @@ class Found:
     digest: str = ""
 
 
-def _member(content: memoryview, at: int) -> tuple[bytes, int]:
-    """The decompressed gzip member at a place, and where it ends; zlib checks its CRC and length."""
+def _member(content: memoryview, at: int) -> tuple[bytes, int, str | None]:
+    """The decompressed gzip member at a place, where it ends, and what is wrong with it: zlib checks its CRC and length.
+    Of a damaged member, the bytes up to the damage."""
     inflate, out, to = zlib.decompressobj(31), [], at
-    try:
-        while not inflate.eof:
-            if to >= len(content):
-                raise Damaged("member cut short")
+    while not inflate.eof:
+        if to >= len(content):
+            return b"".join(out), to, "member cut short"
+        before = inflate.copy()
+        try:
             out.append(inflate.decompress(content[to : to + 65536]))
             to = min(len(content), to + 65536)
-    except zlib.error as e:
-        raise Damaged(f"member: {e}") from None
-    return b"".join(out), to - len(inflate.unused_data)
+        except zlib.error as e:
+            with contextlib.suppress(zlib.error):
+                while True:
+                    out.append(before.decompress(content[to : to + 1]))
+                    to += 1
+            return b"".join(out), to, f"member: {e}"
+    return b"".join(out), to - len(inflate.unused_data), None
+
+
+def _inside(data: bytes, at: int, end: int) -> tuple[list[Found], str | None]:
+    """The valid records of a decompressed member, with the gaps between them as places in it; the first reason of a gap."""
+    found, inner, reason, bad = [], 0, None, None
+    while inner < len(data):
+        try:
+            record, to = _record(data, inner)
+        except Damaged as e:
+            reason, bad = reason or str(e), bad or (inner, str(e))
+            line = data.find(b"\nWARC/", inner)
+            inner = line + 1 if line >= 0 else len(data)
+            continue
+        if bad:
+            found.append(Found(at, end, f"{bad[1]} (bytes {bad[0]} to {inner} of the member)"))
+            bad = None
+        record.start, record.end = at, end
+        found.append(record)
+        inner = to
+    if bad:
+        found.append(Found(at, end, f"{bad[1]} (bytes {bad[0]} to {inner} of the member)"))
+    return found, reason
 
 
 def _record(data: bytes, at: int) -> tuple[Found, int]:
@@ -105,23 +134,35 @@ def salvage(content: bytes) -> Iterator[Found]:
 
     Where a check fails (CRC, lengths, header, payload digest), the reader looks for the next gzip magic or version line
     that opens a valid member or record and goes on there; the bytes passed over are yielded as one gap with the first
-    reason. An empty file gives nothing. Empty members and blank lines between records are no gaps.
+    reason. Inside a member the search goes on in its decompressed bytes, and a gap there is one with the member's place,
+    whose reason says which of its bytes; of a damaged member, the records before the damage are yielded, and the gap from
+    its start. An empty file gives nothing. Empty members and blank lines between records are no gaps.
     """
     view, n, at = memoryview(content), len(content), 0
     bad: tuple[int, str] | None = None
+    known: set[str] = set()
     while at < n:
         try:
             if content.startswith(GZIP_MAGIC, at):
-                data, end = _member(view, at)
-                found, inner = [], 0
-                while inner < len(data):
-                    record, inner = _record(data, inner)
-                    record.start, record.end = at, end
-                    found.append(record)
+                data, end, broken = _member(view, at)
+                found, reason = _inside(data, at, end)
+                good = [x for x in found if not x.reason]
+                if (broken or reason) and not good:
+                    raise Damaged(broken or reason)
+                if broken:  # its good records; what follows the damage is sought in the file
+                    if bad and bad[0] < at:
+                        yield Found(bad[0], at, bad[1])
+                    yield from good
+                    bad = (at, broken)
+                    known = {x.headers["warc-record-id"] for x in good}
+                    at = _candidate(content, at + 1)
+                    continue
             elif bad is None and content.startswith(b"\r\n", at):
                 found, end = [], at + 2
             else:
                 record, end = _record(content, at)
+                if bad and record.headers["warc-record-id"] in known:
+                    raise Damaged(bad[1])  # stored bytes of a damaged member, whose records were yielded
                 record.start, record.end = at, end
                 found = [record]
         except Damaged as e:
@@ -130,7 +171,7 @@ def salvage(content: bytes) -> Iterator[Found]:
             continue
         if bad:
             yield Found(bad[0], at, bad[1])
-            bad = None
+            bad, known = None, set()
         yield from found
         at = end
     if bad:

@@ -107,6 +107,21 @@ def test_salvage_of_cut_and_foreign_bytes():
     assert [f.reason is None for f in warc.salvage(b"no archive")] == [False]
 
 
+def test_salvage_inside_members():
+    plain = [record(k, random.Random(k).randbytes(400)) for k in range(4)]
+    ids = lambda found: [f.headers["warc-record-id"][-2] for f in found if not f.reason]
+    damaged = bytearray(b"".join(plain))
+    damaged[len(plain[0]) + len(plain[1]) - 50] ^= 0x5A
+    found = list(warc.salvage(gz(bytes(damaged)) + gz(record(7, b"x"))))
+    assert ids(found) == ["0", "2", "3", "7"] and [f.reason for f in found if f.reason] == [f"payload digest differs (bytes {len(plain[0])} to {len(plain[0] + plain[1])} of the member)"]
+    whole = gz(b"".join(plain))
+    assert ids(warc.salvage(whole[:-200])) == ["0", "1", "2"]
+    crc = bytearray(whole)
+    crc[-6] ^= 1
+    found = list(warc.salvage(bytes(crc) + gz(record(7, b"x"))))
+    assert ids(found) == ["0", "1", "2", "3", "7"] and sum(f.reason is not None for f in found) == 1
+
+
 # ---- substrings
 
 
