@@ -36,6 +36,8 @@ _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 #: Up to so many keys of unimportant branches (8 bytes each) are broadcast; beyond that pages meet them by host and part.
 BROADCAST_KEYS, HOST_PARTS = 200_000, 64
+#: So many pages of full importance are added to an element's own: at a threshold of 0.1, four equal pages tell.
+PRIOR = 0.4
 _HEADER_WORDS = frozenset({"header"})
 
 
@@ -204,14 +206,14 @@ def _tree_rows(pages: list[tuple[str, str]]) -> list[tuple[str, int, int, int, i
     return [(*k, n, float(logs.get(k, 0.0))) for k, n in count.items()]
 
 
-def style_tree(pages: DataFrame, least_pages: int = 10, threshold: float = 0.1) -> DataFrame:
+def style_tree(pages: DataFrame, least_pages: int = 2, threshold: float = 0.1) -> DataFrame:
     """host, noise: the keys of each host's unimportant branches, from pages with columns host and html.
 
     The pages of a host are merged by the paths of their elements. With m pages, a feature's entropy over pages to the
     base m is (ln T - sum(c ln c) / T) / ln m, for T occurrences, c of them in a page. A leaf's content importance is one
     less the mean entropy of its texts, by occurrence; an inner element's presentation importance is the entropy of its
-    sequences of child tags. A branch is noise if its top and all below it are under `threshold`. Hosts with fewer than
-    `least_pages` pages tell nothing, and give no row. All sums are combined before they are shuffled, so a large host is
+    sequences of child tags. A branch is noise if its top and all below it are under `threshold`. Few pages tell little: PRIOR pages of
+    importance 1 are added to those that have an element. Hosts with fewer than `least_pages` pages give no row. All sums are combined before they are shuffled, so a large host is
     no large group anywhere.
     """
     kinds = (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64())
@@ -233,14 +235,14 @@ def style_tree(pages: DataFrame, least_pages: int = 10, threshold: float = 0.1)
     base = F.log(F.col("pages"))
     content = F.when(F.col("texts") > 0, 1 - F.col("content") / (F.col("texts") * base))
     style = F.when(F.col("styles") > 0, (F.log("styles") - F.col("styles_log") / F.col("styles")) / base)
-    per = per.filter(F.col("pages") >= max(2, least_pages)).select("host", "key", F.greatest(content, style).alias("importance"))
+    per = per.filter(F.col("pages") >= max(2, least_pages)).select("host", "key", ((F.greatest(content, style) * F.col("pages") + PRIOR) / (F.col("pages") + PRIOR)).alias("importance"))
     # an element in enough pages has everything above it in as many; those below it that are rarer count as important
     above = stats.filter("kind = 3").select("host", "key", F.col("feature").alias("top"))
     below = above.join(per, ["host", "key"], "left").groupBy("host", "top").agg(F.max(F.coalesce("importance", F.lit(1.0))).alias("most"))
     return below.filter(F.col("most") < threshold).groupBy("host").agg(F.collect_list("top").alias("noise"))
 
 
-def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", carry: tuple[str, ...] = ("page_id", "url"), least_pages: int = 10, threshold: float = 0.1) -> DataFrame:
+def extract(pages: DataFrame, url_col: str = "url", html_col: str = "html", carry: tuple[str, ...] = ("page_id", "url"), least_pages: int = 2, threshold: float = 0.1) -> DataFrame:
     """The carried columns, and text: the article of every whole page; n_chars: its code points.
 
     Removed from a page: branches that its host's style tree finds unimportant; what mark-up says is no article (elements,

@@ -467,6 +467,12 @@ def test_short_stories_lose_long_site_text(spark):
     assert all("\n" not in r.text and len(r.text.split()) == 40 for r in html_text.extract(df).collect())
 
 
+def test_hosts_of_few_pages_are_cleaned(spark):
+    rng = random.Random(6)
+    df = spark.createDataFrame([(k, "http://f.example/", f"<div class=top>Same on every page</div><div class=story><p>{sentence(rng, 30)}</p></div>") for k in range(5)], "page_id long, url string, html string")
+    assert all("Same" not in r.text and r.text for r in html_text.extract(df).collect())
+
+
 def test_long_and_odd_markup_takes_linear_time():
     for source in ("<" * 50_000, "<a href=\"" * 20_000, "<p>" * 50_000, "<div>" * 3_000 + "deep", "<!--" * 20_000, "&" * 50_000):
         text_of(source)
