@@ -1,4 +1,4 @@
-"""Pack documents into windows with their lexical neighbours, found by BM25 over the whole corpus in blocks."""
+"""Pack documents into windows with their lexical neighbours, found by BM25 in an inverted index sharded by content."""
 
 from __future__ import annotations
 
@@ -8,45 +8,85 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import drop_path, materialise, partitions, scratch, text_slices
+from .common import materialise, partitions, text_slices
 from .token_files import worker_encoder
 
-_CHUNK = 1024
-#: Ids of the documents in a block, and of the seeds that meet it in one task.
-BLOCK_TOKENS, SEED_TOKENS = 1 << 22, 1 << 23
+#: Ids are 16-bit, so a vocabulary has up to VOCABULARY entries; document frequencies travel in chunks of them.
+VOCABULARY, _CHUNK = 1 << 16, 1024
+#: Saturation of repeated ids and weight of a document's length.
+K1, B = 1.2, 0.75
+#: Most ids that one task packs, shard by shard.
+TASK_TOKENS = 1 << 26
+
+
+def document_terms(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct ids of documents: id, document and count, in the order of id and document."""
+    owner = np.repeat(np.arange(len(documents), dtype=np.int64), [len(d) for d in documents])
+    both = np.sort(np.concatenate(documents).astype(np.int64) << 32 | owner)
+    new = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
+    count = np.diff(np.append(new, len(both)))
+    return both[new] >> 32, both[new] & (1 << 32) - 1, count
+
+
+class Dealer:
+    """A key by which like documents come next to each other: four ids of each, drawn by weighted MinHash.
+
+    Two documents draw the same id with a chance that grows with the weight of the ids that they share, where a repeated id
+    weighs more as BM25 has it. The draws need no count over the corpus, so documents are dealt while they are encoded."""
+
+    def __init__(self, seed: int = 1):
+        self.draws = -np.log(np.random.default_rng(seed).random((4, VOCABULARY)))
+
+    def __call__(self, terms: np.ndarray, owner: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
+        order = np.argsort(owner, kind="stable")
+        terms, first = terms[order], np.searchsorted(owner[order], np.arange(n))
+        weight = count[order] / (count[order] + K1)
+        key = np.zeros(n, np.int64)
+        for draw in self.draws:
+            cost = draw[terms] / weight
+            least = np.repeat(np.minimum.reduceat(cost, first), np.diff(np.append(first, len(terms))))
+            at = np.flatnonzero(cost == least)
+            at = at[np.unique(np.searchsorted(first, at, side="right"), return_index=True)[1]]
+            key = key << 16 | terms[at]
+        return key
+
+
+TOKEN_SCHEMA = "doc_id long, ids binary, n_tokens long, deal long, chunk int, counts binary"
+_TOKEN_NAMES = [x.split()[0] for x in TOKEN_SCHEMA.split(", ")]
 
 
 def encode_documents(docs: DataFrame, tokenizer_file: str, pattern: str, end_id: int, id_col: str, text_col: str, keeps_spaces: bool, lower: bool) -> DataFrame:
-    """doc_id, ids (16-bit little-endian bytes with the end id), n_tokens."""
+    """A row for each document: doc_id, ids (16-bit little-endian bytes with the end id), n_tokens, deal (see Dealer); and for
+    each task a row for each chunk of the vocabulary that it met: chunk, counts (64-bit numbers of its documents with each id)."""
     definition = docs.sparkSession.sparkContext.broadcast(open(tokenizer_file, encoding="utf-8").read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = worker_encoder(definition.value, pattern, keeps_spaces, lower)
+        deal = Dealer()
         end = np.array([end_id], np.uint16).tobytes()
+        total = np.zeros(VOCABULARY, np.int64)
         for batch in text_slices(batches, "text"):
+            n = batch.num_rows
             ids = [encode(t or "") + end for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array([len(x) // 2 for x in ids], pa.int64())], ["doc_id", "ids", "n_tokens"])
+            terms, owner, count = document_terms([np.frombuffer(x, np.uint16) for x in ids])
+            total += np.bincount(terms, minlength=VOCABULARY)
+            columns = [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(deal(terms, owner, count, n)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, _TOKEN_NAMES)
+        parts = total.reshape(-1, _CHUNK)
+        used = np.flatnonzero(parts.any(axis=1))
+        none = [pa.nulls(len(used), t) for t in (pa.int64(), pa.binary(), pa.int64(), pa.int64())]
+        yield pa.RecordBatch.from_arrays([*none, pa.array(used.astype(np.int32)), pa.array([parts[k].tobytes() for k in used], pa.binary())], _TOKEN_NAMES)
 
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    return rows.mapInArrow(run, "doc_id long, ids binary, n_tokens long")
-
+    return rows.mapInArrow(run, TOKEN_SCHEMA)
 
-def document_frequencies(tokens: DataFrame, vocabulary: int) -> np.ndarray:
-    """Number of documents with each id, over all documents. Tasks sum their own; what comes to the driver is one number per
-    id of the vocabulary."""
-    width = -(-vocabulary // _CHUNK) * _CHUNK
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(width, np.int64)
-        for batch in batches:
-            for ids in batch.column("ids"):
-                total[np.unique(np.frombuffer(ids.as_buffer(), np.uint16))] += 1
-        parts = total.reshape(-1, _CHUNK)
-        used = np.flatnonzero(parts.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array([parts[k].tobytes() for k in used], pa.binary())], ["chunk", "counts"])
+def document_frequencies(tokens: DataFrame) -> np.ndarray:
+    """Number of documents with each id, over all documents, from the tasks' counts. What comes to the driver is one number
+    for each id of the vocabulary."""
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -55,84 +95,40 @@ def document_frequencies(tokens: DataFrame, vocabulary: int) -> np.ndarray:
                 sums[chunk] = sums.get(chunk, 0) + np.frombuffer(counts.as_buffer(), np.int64)
         yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], ["chunk", "counts"])
 
+    parts = tokens.select("chunk", "counts").filter("chunk is not null")
     schema = "chunk int, counts binary"
-    found = tokens.select("ids").mapInArrow(count, schema).repartition(width // _CHUNK, "chunk").mapInArrow(add, schema).collect()
-    out = np.zeros((width // _CHUNK, _CHUNK), np.int64)
+    found = parts.mapInArrow(add, schema).repartition(VOCABULARY // _CHUNK, "chunk").mapInArrow(add, schema).collect()
+    out = np.zeros((VOCABULARY // _CHUNK, _CHUNK), np.int64)
     for row in found:
         out[row.chunk] = np.frombuffer(row.counts, np.int64)
     return out.reshape(-1)
 
 
 class Bm25Index:
-    """An inverted index over the documents of a block, with the idf and mean length of the whole corpus."""
+    """An inverted index over the documents of a shard, with the idf and mean length of the whole corpus."""
 
-    def __init__(self, documents: list[np.ndarray], idf: np.ndarray, mean_length: float, k1: float = 1.2, b: float = 0.75):
+    def __init__(self, documents: list[np.ndarray], idf: np.ndarray, mean_length: float):
         self.n = len(documents)
-        counted = [np.unique(d, return_counts=True) for d in documents]
-        self.terms = [t for t, _ in counted]
-        owner = np.repeat(np.arange(self.n, dtype=np.int32), [len(t) for t in self.terms])
-        terms = np.concatenate(self.terms)
-        tf = np.concatenate([c for _, c in counted]).astype(np.float32)
-        norm = k1 * (1 - b + b * np.array([len(d) for d in documents], np.float32) / mean_length)
-        weight = idf[terms].astype(np.float32) * tf * np.float32(k1 + 1) / (tf + norm[owner])
-        order = np.argsort(terms, kind="stable")
-        self.owner, self.weight = owner[order], weight[order]
-        self.bounds = np.searchsorted(terms[order], np.arange(len(idf) + 1))
-        self.hot: np.ndarray | None = None
-
-    def scores(self, document: int) -> np.ndarray:
-        """Score of every document of the block for the distinct ids of one of them."""
-        return self._postings(self.terms[document])
-
-    def _postings(self, terms: np.ndarray) -> np.ndarray:
-        lo, hi = self.bounds[terms], self.bounds[terms.astype(np.int64) + 1]
-        sizes = hi - lo
-        at = np.repeat(lo - np.concatenate([[0], np.cumsum(sizes)[:-1]]), sizes) + np.arange(sizes.sum())
+        terms, self.owner, count = document_terms(documents)
+        norm = K1 * (1 - B + B * np.array([len(d) for d in documents]) / mean_length)
+        self.weight = idf[terms] * count * (K1 + 1) / (count + norm[self.owner])
+        self.bounds = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=len(idf)))])
+
+    def scores(self, terms: np.ndarray) -> np.ndarray:
+        """Score of every document for a set of distinct ids."""
+        lo = self.bounds[terms]
+        sizes = self.bounds[terms.astype(np.int64) + 1] - lo
+        at = np.repeat(lo - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
         return np.bincount(self.owner[at], self.weight[at], self.n)
 
-    def block_scores(self, queries: list[np.ndarray]) -> np.ndarray:
-        """Score of every document for each of some sets of distinct ids: a matrix product for the ids that many documents
-        have, postings for the others."""
-        if self.hot is None:
-            hot = np.flatnonzero(16 * np.diff(self.bounds) > self.n)
-            self.row = np.full(len(self.bounds) - 1, -1)
-            self.row[hot] = np.arange(len(hot))
-            self.hot = np.zeros((len(hot), self.n), np.float32)
-            for k, t in enumerate(hot.tolist()):
-                lo, hi = self.bounds[t], self.bounds[t + 1]
-                self.hot[k, self.owner[lo:hi]] = self.weight[lo:hi]
-        has = np.zeros((len(queries), len(self.hot)), np.float32)
-        for k, terms in enumerate(queries):
-            row = self.row[terms]
-            has[k, row[row >= 0]] = 1
-        out = has @ self.hot
-        for k, terms in enumerate(queries):
-            rare = terms[self.row[terms] < 0]
-            if len(rare):
-                out[k] += self._postings(rare)
-        return out
-
-
-def nearest(scores: np.ndarray, left: np.ndarray, enough: int) -> np.ndarray:
-    """Places of the best documents, best first, as many as have `enough` ids left together."""
-    k = min(len(scores), 64)
-    while True:
-        top = np.argpartition(-scores, k - 1)[:k] if k < len(scores) else np.arange(k)
-        top = top[np.lexsort((top, -scores[top]))]
-        held = np.cumsum(left[top])
-        if k == len(scores) or held[-1] >= enough:
-            return top[: int(np.searchsorted(held, enough)) + 1]
-        k = min(len(scores), 4 * k)
-
 
 Piece = tuple[int, int, int, int, int]
 
 
-def pack_shard(documents: list[np.ndarray], index: Bm25Index, window: int, starts: list[int] | None = None) -> list[Piece]:
+def pack_shard(documents: list[np.ndarray], index: Bm25Index, window: int) -> list[Piece]:
     """Pieces (document, start, length, sequence, offset). A seed's own ids open a window, then its best unused neighbours
-    follow until the window is full. The last one is cut there, and its rest seeds the next window. What is left at the
-    end goes to sequences of a power of two, so nothing is padded. starts: where what is left of each document begins."""
-    starts = starts or [0] * len(documents)
+    follow until the window is full, earlier ones first where scores are equal. The last one is cut there, and its rest
+    seeds the next window. What is left at the end goes to sequences of a power of two, so nothing is padded."""
     unused = np.ones(len(documents), bool)
     pieces: list[Piece] = []
     sequence = filled = 0
@@ -152,19 +148,19 @@ def pack_shard(documents: list[np.ndarray], index: Bm25Index, window: int, start
                 next_seed += 1
             if next_seed == len(documents):
                 break
-            seed, start = next_seed, starts[next_seed]
+            seed, start = next_seed, 0
             unused[seed] = False
         head, start = seed, put(seed, start)
         if start == len(documents[seed]):
             seed = -1
-        if seed < 0 and filled < window and unused.any():
-            scores = index.scores(head)
-            ranked = np.argsort(-scores, kind="stable")
-            for near in ranked[unused[ranked]].tolist():
+        if seed < 0 and filled < window:
+            left = np.flatnonzero(unused)
+            ranked = left[np.argsort(-index.scores(np.unique(documents[head]))[left], kind="stable")]
+            for near in ranked:
                 unused[near] = False
-                stopped = put(near, starts[near])
+                stopped = put(int(near), 0)
                 if stopped < len(documents[near]):
-                    seed, start = near, stopped
+                    seed, start = int(near), stopped
                 if filled == window:
                     break
         if filled == window:
@@ -187,187 +183,57 @@ def pack_shard(documents: list[np.ndarray], index: Bm25Index, window: int, start
     return pieces
 
 
-PIECE_SCHEMA = "key long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 _PIECE_NAMES = [x.split()[0] for x in PIECE_SCHEMA.split(", ")]
 
 
-def _piece(key: int, doc_id: int | None, ids: np.ndarray, start: int, length: int, sequence: int, offset: int) -> tuple:
-    return key, doc_id, start, length, zlib.crc32(ids[start : start + length].astype("<u4").tobytes()), len(ids), sequence, offset
-
-
-def _piece_batch(pieces: list[tuple]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*pieces, strict=True)], _PIECE_NAMES)
-
-
-def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for batch in batches:
-        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
-
-
-def ask_all(docs: DataFrame, seeds: DataFrame, blocks: int, seed_blocks: int, idf, mean: float, enough: int) -> DataFrame:
-    """seed, doc, rank: each seed's best documents of all, as many as have `enough` ids left. Every block of documents
-    meets every block of seeds in a cell; the lists of a seed from all its cells are merged."""
-    parts = partitions(docs.sparkSession)
-    of = lambda n: F.pmod(F.xxhash64("key"), F.lit(n))
-    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1).cast("bigint")))
-    rows = docs.withColumn("asks", F.lit(False)).withColumn("b", of(blocks)).withColumn("s", every(seed_blocks))
-    rows = rows.unionByName(seeds.withColumn("asks", F.lit(True)).withColumn("s", of(seed_blocks)).withColumn("b", every(blocks)))
-    cells = rows.select("key", "ids", "start", "asks", (F.col("b") * seed_blocks + F.col("s")).alias("cell"))
-    cells = cells.repartition(min(blocks * seed_blocks, 8 * parts), "cell").sortWithinPartitions("cell", "asks", "key")
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, held, asked = None, [], []
-        index = None
-
-        def answers() -> Iterator[pa.RecordBatch]:
-            nonlocal asked
-            if held and asked:
-                out = []
-                for (seed, _), scores in zip(asked, index.block_scores([t for _, t in asked]), strict=True):
-                    top = nearest(scores, left, enough)
-                    out.append((seed, keys[top].tobytes(), scores[top].astype(np.float32).tobytes(), left[top].tobytes()))
-                columns = list(zip(*out, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.binary(), pa.binary(), pa.binary()), strict=True)], ["seed", "docs", "scores", "left"])
-            asked = []
-
-        for key, ids, start, asks, at in _rows(batches):
-            if at != cell:
-                yield from answers()
-                cell, held, index = at, [], None
-            words = np.frombuffer(ids, np.uint16)
-            if not asks:
-                held.append((key, words, start))
-                continue
-            if held and index is None:
-                index = Bm25Index([w for _, w, _ in held], idf.value, mean)
-                keys = np.array([k for k, _, _ in held], np.int64)
-                left = np.array([len(w) - s for _, w, s in held], np.int32)
-            asked.append((key, np.unique(words)))
-            if len(asked) * max(1, len(held)) >= 1 << 22 or len(asked) == 256:
-                yield from answers()
-        yield from answers()
-
-    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists: list[tuple] = []
-        for row in _rows(batches):
-            if lists and lists[0][0] != row[0]:
-                yield merged(lists)
-                lists = []
-            lists.append(row)
-        if lists:
-            yield merged(lists)
-
-    def merged(lists: list[tuple]) -> pa.RecordBatch:
-        docs, scores, left = (np.concatenate([np.frombuffer(x[k], t) for x in lists]) for k, t in ((1, np.int64), (2, np.float32), (3, np.int32)))
-        order = np.argsort(docs)  # ties of scores go by key
-        docs, scores, left = docs[order], scores[order], left[order]
-        top = nearest(scores, left, enough)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(len(top), lists[0][0], np.int64)), pa.array(docs[top]), pa.array(np.arange(len(top), dtype=np.int32))], ["seed", "doc", "rank"])
-
-    lists = cells.mapInArrow(score, "seed long, docs binary, scores binary, left binary")
-    return lists.repartition(parts, "seed").sortWithinPartitions("seed").mapInArrow(merge, "seed long, doc long, rank int")
-
-
-def fill_windows(pool: DataFrame, seeds: DataFrame, granted: DataFrame, window: int, number: int) -> DataFrame:
-    """The pieces of all windows that a seed and the documents granted to it fill."""
-    columns = ["key", "doc_id", "ids", "start"]
-    own = seeds.select(F.col("key").alias("seed"), F.lit(-1).alias("rank"), *columns)
-    near = granted.join(pool, granted.doc == pool.key).select("seed", "rank", *columns)
-    rows = own.unionByName(near).repartition(partitions(pool.sparkSession), "seed").sortWithinPartitions("seed", "rank", "key")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sequence = (number << 52) + (TaskContext.get().partitionId() << 32)
-        group: list[tuple] = []
-
-        def filled() -> Iterator[pa.RecordBatch]:
-            nonlocal sequence
-            if not group:
-                return
-            pieces, whole = [], (len(group[0][2]) - group[0][3]) // window * window
-            held = sum(len(ids) - start for _, _, ids, start in group)
-            room = whole if whole and held < whole + window or whole == len(group[0][2]) - group[0][3] and whole else whole + window
-            if held < room:
-                return
-            offset = 0
-            for key, doc_id, ids, start in group:
-                while start < len(ids) and room:
-                    n = min(len(ids) - start, window - offset)
-                    pieces.append(_piece(key, doc_id, ids, start, n, sequence, offset))
-                    start, offset, room = start + n, offset + n, room - n
-                    if offset == window:
-                        sequence, offset = sequence + 1, 0
-            if pieces:
-                yield _piece_batch(pieces)
-
-        seed = None
-        for at, _, key, doc_id, ids, start in _rows(batches):
-            if at != seed:
-                yield from filled()
-                seed, group = at, []
-            group.append((key, doc_id, np.frombuffer(ids, np.uint16), start))
-        yield from filled()
-
-    return rows.mapInArrow(run, PIECE_SCHEMA)
-
-
 def pack(docs: DataFrame, tokenizer_file: str, pattern: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", window: int = 4096, shard_tokens: int = 1 << 20, keeps_spaces: bool = False, lower: bool = True) -> DataFrame:
     """Every id of every document in just one piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
-    Null texts are empty documents (the end id alone). Null and repeated ids are separate documents. Packing goes in
-    rounds. In each, documents drawn by hash, for a quarter of the windows that are left or fewer, are seeds, rests of
-    documents that a window cut first; each is scored by BM25 against all other unused documents, in blocks, with document frequencies
-    and the mean length of all. A document that several seeds ask for goes to the one
-    on whose list it stands highest. A window that is filled is
-    done; all others' documents wait for the next round. The last `shard_tokens` ids are packed in one task, one seed after
-    the other, and what doesn't fill a window there goes to sequences of a power of two. A seed longer than a window fills
-    whole windows by itself first. The scores of a round are of all pairs of seeds and documents, so the work grows with the
-    square of the table. An empty table gives no rows. Other columns are ignored.
+    Documents are sorted by content (see Dealer), so that near copies and documents of the same words come next to each
+    other, and cut into shards of about `shard_tokens` ids. Each shard is an inverted index with the document frequencies
+    and mean length of the whole corpus; each seed asks that of its shard, and its best unused neighbours fill its window.
+    A window that isn't full at the end of a shard goes to sequences of powers of two.
+
+    Null texts are empty documents (the end id alone). Null and repeated ids are separate documents. Ties of the order go
+    by the ids, and what ties in those too are equal texts; rows that repeat id and text are told apart by their place in
+    the table, so any number of them is dealt to many tasks. Range bounds are sampled where there are several tasks, so
+    shards may differ between runs there. A vocabulary may have 65 536 entries; larger ids raise OverflowError. An empty
+    table gives no rows. Other columns are ignored.
     """
     spark = docs.sparkSession
     tokens = encode_documents(docs, tokenizer_file, pattern, end_id, id_col, text_col, keeps_spaces, lower)
-    tokens = materialise(tokens.withColumn("key", F.monotonically_increasing_id()).withColumn("start", F.lit(0).cast("long")), "packing-ids")
-    n_docs, n_ids = tokens.agg(F.count("*"), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
-    frequency = document_frequencies(tokens, 1 << 16)
-    idf = spark.sparkContext.broadcast(np.log1p((n_docs - frequency + 0.5) / (frequency + 0.5)).astype(np.float32))
+    tokens = materialise(tokens.withColumn("place", F.monotonically_increasing_id()), "packing-ids")
+    n_docs, n_ids = tokens.agg(F.count("n_tokens"), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
+    frequency = document_frequencies(tokens)
+    idf = spark.sparkContext.broadcast(np.log1p((n_docs - frequency + 0.5) / (frequency + 0.5)))
     mean = max(1.0, n_ids / max(1, n_docs))
-    pool, left, n, rests, first, path = tokens, n_ids, n_docs, 0, 0, None
-    number, divide = 0, 1
-    rounds: list[DataFrame] = []
-    while left > max(shard_tokens, 4 * window):
-        number += 1
-        quota = max(1, left // (4 * window * divide))
-        of_rests = min(1.0, quota / max(1, rests))
-        of_others = max(0, quota - rests) / max(1, n - rests)
-        drawn = F.pmod(F.xxhash64("key", F.lit(number)), F.lit(1 << 30))
-        seeds_if: Column = (drawn < F.when(F.col("start") > 0, int(of_rests * (1 << 30))).otherwise(int(of_others * (1 << 30)))) | (F.col("key") == first)
-        seeds, others = pool.filter(seeds_if), pool.filter(~seeds_if)
-        blocks, seed_blocks = -(-left // BLOCK_TOKENS), -(-quota * left // (n * SEED_TOKENS))
-        asked = ask_all(others, seeds, blocks, max(1, seed_blocks), idf, mean, 3 * window)
-        best = F.min(F.struct("rank", F.xxhash64("doc", "seed").alias("draw"), "seed")).alias("best")  # scores of two seeds don't compare
-        granted = asked.groupBy("doc").agg(best).select("doc", "best.seed", "best.rank")
-        pieces = materialise(fill_windows(others, seeds, granted, window, number), "packing-pieces")
-        rounds.append(pieces)
-        done = pieces.groupBy(F.col("key").alias("of")).agg(F.max(F.col("start") + F.col("length")).alias("to"))
-        rest = pool.join(done, F.col("key") == F.col("of"), "left").withColumn("start", F.coalesce("to", "start")).drop("of", "to").filter("start < n_tokens")
-        before, path = path, scratch(spark, "packing-pool")
-        rest.write.option("compression", "zstd").parquet(path)
-        pool = spark.read.schema(rest.schema).parquet(path)
-        if before:
-            drop_path(spark, before)
-        was = left
-        left, n, rests, first = pool.agg(F.coalesce(F.sum(F.col("n_tokens") - F.col("start")), F.lit(0)), F.count("*"), F.count(F.when(F.col("start") > 0, 1)), F.min("key")).first()
-        filled = (was - left) // window
-        divide = 4 * divide if not filled else 2 * divide if 3 * filled < quota else max(1, divide // 2)
+    tasks = max(1, -(-n_ids // TASK_TOKENS), min(partitions(spark), n_ids // shard_tokens))
+    order = ("deal", F.xxhash64("ids"), "doc_id", "place")
+    dealt = tokens.filter("n_tokens is not null").repartitionByRange(tasks, *order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = [(key, doc_id, np.frombuffer(ids, np.uint16), start) for key, doc_id, ids, start in _rows(batches)]
+        held: list[tuple[int | None, np.ndarray]] = []
+        size, sequence = 0, TaskContext.get().partitionId() << 32
+
+        def packed() -> pa.RecordBatch:
+            nonlocal sequence
+            documents = [x for _, x in held]
+            rows = []
+            for d, start, length, at, offset in pack_shard(documents, Bm25Index(documents, idf.value, mean), window):
+                crc = zlib.crc32(documents[d][start : start + length].astype("<u4").tobytes())
+                rows.append((held[d][0], start, length, crc, len(documents[d]), sequence + at, offset))
+            sequence = rows[-1][5] + 1
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], _PIECE_NAMES)
+
+        for batch in batches:
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), batch.column("ids").to_pylist(), strict=True):
+                held.append((doc_id, np.frombuffer(ids, np.uint16)))
+                size += len(held[-1][1])
+                if size >= shard_tokens:
+                    yield packed()
+                    held, size = [], 0
         if held:
-            documents = [x[2] for x in held]
-            pieces = pack_shard(documents, Bm25Index(documents, idf.value, mean), window, [x[3] for x in held])
-            yield _piece_batch([_piece(*held[d][:3], s, n, at, offset) for d, s, n, at, offset in pieces])
-
-    last = pool.repartition(1).sortWithinPartitions(F.col("start") == 0, "doc_id", "n_tokens")
-    out = last.select("key", "doc_id", "ids", "start").mapInArrow(run, PIECE_SCHEMA)
-    for pieces in rounds:
-        out = out.unionByName(pieces)
-    return out.drop("key")
+            yield packed()
+
+    return dealt.select("doc_id", "ids").mapInArrow(run, PIECE_SCHEMA)

@@ -165,27 +165,80 @@ def test_packing_covers_every_id_once(spark, shard_tokens):
     assert packing.pack(odd(spark, []), path, WORD_PATTERN, end_id=2).collect() == []
 
 
-def test_neighbours_come_first():
-    documents = [np.array(x, np.uint16) for x in ([1, 2, 3, 9], [7, 8, 7, 8], [1, 2, 3, 5], [7, 8, 6, 6])]
-    df = np.bincount(np.concatenate([np.unique(d) for d in documents]), minlength=16)
-    index = packing.Bm25Index(documents, np.log1p((4 - df + 0.5) / (df + 0.5)), 4.0)
-    pieces = packing.pack_shard(documents, index, 8)
-    assert [(p[0], p[3]) for p in pieces] == [(0, 0), (2, 0), (1, 1), (3, 1)]
-    brute = [sum(np.log1p((4 - df[t] + 0.5) / (df[t] + 0.5)) * (d == t).sum() * 2.2 / ((d == t).sum() + 1.2) for t in np.unique(documents[0])) for d in documents]
-    assert np.allclose(index.scores(0), brute, rtol=1e-5)
-
-
-def test_neighbours_are_found_in_the_whole_corpus(spark, monkeypatch):
-    monkeypatch.setattr(packing, "BLOCK_TOKENS", 2_000)
-    monkeypatch.setattr(packing, "SEED_TOKENS", 2_000)
+def brute_pack(documents, weight, window):
+    """Windows filled greedily, with scores summed id by id: (document, start, length, window)."""
+    unused, pieces, at, filled = list(range(len(documents))), [], 0, 0
+    rest = None
+    while unused or rest:
+        head, start = rest or (unused.pop(0), 0)
+        rest = None
+        queue = [(head, start)]
+        ranked = sorted(unused, key=lambda d: (-sum(weight(d, t) for t in set(documents[head])), d))
+        for d, start in queue:
+            n = min(len(documents[d]) - start, window - filled)
+            pieces.append((d, start, n, at))
+            filled += n
+            if filled == window:
+                at, filled = at + 1, 0
+                rest = (d, start + n) if start + n < len(documents[d]) else None
+                break
+            if ranked:
+                queue.append((ranked.pop(0), 0))
+                unused.remove(queue[-1][0])
+    return pieces
+
+
+def test_windows_are_filled_as_by_brute_force():
+    rng = np.random.default_rng(3)
+    documents = [np.minimum(rng.zipf(1.3, rng.integers(1, 40)), 60).astype(np.uint16) for _ in range(80)]
+    documents += [documents[4], np.full(100, 7, np.uint16), np.array([61], np.uint16)]
+    n, mean = len(documents), float(np.mean([len(d) for d in documents]))
+    df = np.bincount(np.concatenate([np.unique(d) for d in documents]), minlength=64)
+    idf = np.log1p((n - df + 0.5) / (df + 0.5))
+    index = packing.Bm25Index(documents, idf, mean)
+
+    def weight(d, t):
+        tf = int((documents[d] == t).sum())
+        return idf[t] * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len(documents[d]) / mean))
+
+    for head in (0, 4, 81, 82):
+        assert np.allclose(index.scores(np.unique(documents[head])), [sum(weight(d, t) for t in set(documents[head].tolist())) for d in range(n)])
+    index.weight = np.round(index.weight * 2**20) / 2**20  # so that sums are exact in any order
+    exact = lambda d, t: round(weight(d, t) * 2**20) / 2**20
+    pieces = packing.pack_shard(documents, index, 32)
+    full = [p[:4] for p in pieces]
+    expected = brute_pack([d.tolist() for d in documents], exact, 32)
+    last = expected[-1][3]
+    assert [p for p in full if p[3] < last] == [p for p in expected if p[3] < last]
+
+
+def test_ties_go_by_content(spark):
+    rows = [(5, "alpha river stone"), (5, "gamma cloud apple"), (5, "delta stone apple"), (None, "alpha river stone"), (6, None), (6, "")] * 2
+    shown = []
+    for order in (rows, rows[::-1]):
+        out = packing.pack(odd(spark, order), P.path("word_bpe_49k.json"), WORD_PATTERN, end_id=2, window=8).collect()
+        shown.append(sorted((tuple(-1 if x is None else x for x in r)) for r in out))
+    assert shown[0] == shown[1]
+
+
+def test_like_documents_share_shards(spark):
     words = [f"{a}{b}" for a in ("red", "old", "big", "sea", "sun", "ice", "oak", "fog") for b in ("ship", "bird", "farm", "hill")]
     rows = []
     for topic in range(8):  # 40 documents of each topic, dealt over the table
         rows += [(8 * k + topic, " ".join(random.Random(100 * topic + k).choices(words[4 * topic : 4 * topic + 4], k=12))) for k in range(40)]
-    out = packing.pack(odd(spark, sorted(rows)), P.path("word_bpe_49k.json"), WORD_PATTERN, end_id=2, window=64, shard_tokens=300).collect()
+    out = packing.pack(odd(spark, sorted(rows)), P.path("word_bpe_49k.json"), WORD_PATTERN, end_id=2, window=64, shard_tokens=600).collect()
     sequences = {}
     for r in out:
         sequences.setdefault(r.sequence_id, []).append(r)
     full = [s for s in sequences.values() if sum(p.length for p in s) == 64]
     pure = sum(max(np.bincount([p.doc_id % 8 for p in s], [p.length for p in s])) for s in full)
-    assert pure > 0.8 * 64 * len(full)
+    assert pure > 0.75 * 64 * len(full)
+
+
+def test_a_row_repeated_very_often_is_dealt_to_many_tasks(spark):
+    rows = [(1, "alpha river stone cloud apple")] * 4000
+    out = packing.pack(odd(spark, rows), P.path("word_bpe_49k.json"), WORD_PATTERN, end_id=2, window=64, shard_tokens=500).collect()
+    tasks = {}
+    for r in out:
+        tasks[r.sequence_id >> 32] = tasks.get(r.sequence_id >> 32, 0) + r.length
+    assert len(tasks) == 4 and max(tasks.values()) < 0.5 * sum(tasks.values())
