@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from .common import text_slices
-from .piece_cache import PieceEncoder
+from .piece_cache import SLICE, PieceEncoder
 
 
 def load_ranks(lines: bytes) -> dict[bytes, int]:
@@ -152,8 +152,8 @@ def bpe_roundtrip(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, tokens = _worker_encoder(lines.value, pattern)
-        for batch in text_slices(batches, "text"):
-            ids = [np.frombuffer(encode(t or ""), np.uint16) for t in batch.column("text").to_pylist()]
+        for batch in text_slices(batches, "text", SLICE):
+            ids = [np.frombuffer(x, np.uint16) for x in encode.encode_all(batch.column("text"))]
             offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
             column = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(ids).astype(np.int32)))
             decoded = [b"".join(map(tokens.__getitem__, x.tolist())) for x in ids]
@@ -171,10 +171,10 @@ def bpe_digest(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, tokens = _worker_encoder(lines.value, pattern)
         decimal = [str(k) for k in range(len(tokens))]
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", SLICE):
             counts, shas, decoded = [], [], []
-            for text in batch.column("text").to_pylist():
-                ids = array("H", encode(text or "")).tolist()
+            for raw in encode.encode_all(batch.column("text")):
+                ids = array("H", raw).tolist()
                 counts.append(len(ids))
                 shas.append(hashlib.sha256(",".join([decimal[i] for i in ids]).encode()).hexdigest())
                 decoded.append(hashlib.sha256(b"".join([tokens[i] for i in ids])).hexdigest())

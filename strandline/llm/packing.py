@@ -12,23 +12,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise, partitions, text_slices
+from .piece_cache import SLICE
 from .token_files import worker_encoder
 
 #: Ids are 16-bit, so a vocabulary has up to VOCABULARY entries; document frequencies travel in chunks of them.
 VOCABULARY, _CHUNK = 1 << 16, 1024
 #: Saturation of repeated ids and weight of a document's length.
 K1, B = 1.2, 0.75
-#: Most ids that one task packs, shard by shard.
-TASK_TOKENS = 1 << 26
+#: Most ids that one task packs, shard by shard, and the share of a shard's documents (one in so many) that makes an id frequent.
+TASK_TOKENS, FREQUENT = 1 << 25, 16
 
 
 def document_terms(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct ids of documents: id, document and count, in the order of id and document."""
-    owner = np.repeat(np.arange(len(documents), dtype=np.int64), [len(d) for d in documents])
-    both = np.sort(np.concatenate(documents).astype(np.int64) << 32 | owner)
+    kind, bits = (np.uint32, 16) if len(documents) <= 1 << 16 else (np.int64, 32)
+    owner = np.repeat(np.arange(len(documents), dtype=kind), [len(d) for d in documents])
+    both = np.sort(np.concatenate(documents).astype(kind) << kind(bits) | owner)
     new = np.flatnonzero(np.concatenate([[True], both[1:] != both[:-1]]))
     count = np.diff(np.append(new, len(both)))
-    return both[new] >> 32, both[new] & (1 << 32) - 1, count
+    both = both[new].astype(np.int64)
+    return both >> bits, both & (1 << bits) - 1, count
 
 
 class Dealer:
@@ -68,9 +71,9 @@ def encode_documents(docs: DataFrame, tokenizer_file: str, pattern: str, end_id:
         deal = Dealer()
         end = np.array([end_id], np.uint16).tobytes()
         total = np.zeros(VOCABULARY, np.int64)
-        for batch in text_slices(batches, "text"):
+        for batch in text_slices(batches, "text", SLICE):
             n = batch.num_rows
-            ids = [encode(t or "") + end for t in batch.column("text").to_pylist()]
+            ids = [x + end for x in encode.encode_all(batch.column("text"))]
             terms, owner, count = document_terms([np.frombuffer(x, np.uint16) for x in ids])
             total += np.bincount(terms, minlength=VOCABULARY)
             columns = [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(deal(terms, owner, count, n)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
@@ -105,21 +108,31 @@ def document_frequencies(tokens: DataFrame) -> np.ndarray:
 
 
 class Bm25Index:
-    """An inverted index over the documents of a shard, with the idf and mean length of the whole corpus."""
+    """An inverted index over the documents of a shard, with the idf and mean length of the whole corpus. Lists of ids that
+    many documents have are also kept as dense rows, which take at most FREQUENT times the room of the lists."""
 
     def __init__(self, documents: list[np.ndarray], idf: np.ndarray, mean_length: float):
         self.n = len(documents)
         terms, self.owner, count = document_terms(documents)
         norm = K1 * (1 - B + B * np.array([len(d) for d in documents]) / mean_length)
-        self.weight = idf[terms] * count * (K1 + 1) / (count + norm[self.owner])
-        self.bounds = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=len(idf)))])
+        self.weight = (idf[terms] * count * (K1 + 1) / (count + norm[self.owner])).astype(np.float32)
+        sizes = np.bincount(terms, minlength=len(idf))
+        self.bounds = np.concatenate([[0], np.cumsum(sizes)])
+        frequent = np.flatnonzero(FREQUENT * sizes > self.n)
+        self.row = np.full(len(idf), -1)
+        self.row[frequent] = np.arange(len(frequent))
+        self.dense = np.zeros((len(frequent), self.n), np.float32)
+        at = self.row[terms]
+        self.dense[at[at >= 0], self.owner[at >= 0]] = self.weight[at >= 0]
 
     def scores(self, terms: np.ndarray) -> np.ndarray:
         """Score of every document for a set of distinct ids."""
+        row = self.row[terms]
+        terms = terms[row < 0].astype(np.int64)
         lo = self.bounds[terms]
-        sizes = self.bounds[terms.astype(np.int64) + 1] - lo
+        sizes = self.bounds[terms + 1] - lo
         at = np.repeat(lo - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
-        return np.bincount(self.owner[at], self.weight[at], self.n)
+        return self.dense[row[row >= 0]].sum(axis=0) + np.bincount(self.owner[at], self.weight[at], self.n)
 
 
 Piece = tuple[int, int, int, int, int]

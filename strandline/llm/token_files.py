@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import partitions, scratch, text_slices
-from .piece_cache import LibraryEncoder
+from .piece_cache import SLICE, LibraryEncoder
 
 #: Fixed values of the zstandard frame format and its seekable variant.
 SKIPPABLE_MAGIC = 0x184D2A50
@@ -114,9 +114,9 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, pattern: str, end_id: int
             content = write_file(held, part, chunk)[:-4]  # the writer ends each row with the last four bytes
             return pa.RecordBatch.from_arrays([pa.array([content], pa.binary())], ["content"])
 
-        for batch in text_slices(batches, "text"):
-            for doc_id, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                held.append((doc_id, np.frombuffer(encode(text or "") + end, np.uint16)))
+        for batch in text_slices(batches, "text", SLICE):
+            for doc_id, ids in zip(batch.column("id").to_pylist(), encode.encode_all(batch.column("text")), strict=True):
+                held.append((doc_id, np.frombuffer(ids + end, np.uint16)))
                 size += held[-1][1].nbytes
                 if size >= 2 * file_bytes:  # ids take about half their bytes when compressed
                     yield close()
