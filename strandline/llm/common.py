@@ -58,6 +58,17 @@ def id_key(name: str) -> Column:
     return F.coalesce(F.col(name).cast("long"), F.lit(NULL_ID))
 
 
+def split_twins(signed: DataFrame, classes: DataFrame) -> DataFrame | None:
+    """None where each node of the classes (a 63-bit hash) stands for one `check` (another one); else the rows, whose nodes
+    are made of both hashes where they stood for several. Classes have the columns least_check and most_check. Some n**2 / 2**64
+    of n nodes are such."""
+    twins = classes.filter("least_check <> most_check").select("node", F.lit(True).alias("twin"))
+    if twins.isEmpty():
+        return None
+    both = F.shiftrightunsigned(F.xxhash64("node", "check"), 1)
+    return signed.join(twins, "node", "left").withColumn("node", F.when(F.col("twin"), both).otherwise(F.col("node"))).drop("twin")
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

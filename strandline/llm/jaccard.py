@@ -11,13 +11,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, id_key, materialise, mix, partitions, rolling_hashes, span_hashes, text_bytes, text_slices, word_spans
+from .common import NULL_ID, id_key, materialise, mix, partitions, rolling_hashes, span_hashes, split_twins, text_bytes, text_slices, word_spans
 from .components import components, local_roots
 
 #: Bytes of a signature that travel with a candidate, one for each of the first hash functions.
 SIGNATURE = 64
 #: A bucket or group with more members is dealt to blocks, and each two blocks meet in a cell of their own.
 BUCKET, BLOCK, BLOCK_NGRAMS = 1 << 14, 1 << 10, 1 << 22
+#: Up to so many keys of rows (16 bytes each) are broadcast to pick those rows before a shuffle.
+BROADCAST_KEYS = 1_000_000
 
 
 def choose_bands(threshold: float, recall: float, hashes: int) -> tuple[int, int]:
@@ -68,6 +70,12 @@ class MinHash:
         return signatures, np.ascontiguousarray(mix(bands + np.arange(1, self.bands + 1, dtype=np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15)).T)
 
 
+def set_hashes(grams: np.ndarray) -> tuple[int, int]:
+    """Two 63-bit hashes of a sorted set of n-grams."""
+    raw = grams.tobytes()
+    return xxhash.xxh3_64_intdigest(raw) >> 1, xxhash.xxh3_64_intdigest(raw, 1) >> 1
+
+
 def near_in_bucket(signatures: np.ndarray, least_equal: int) -> np.ndarray:
     """For each member of a bucket the first member of its part, where members with that many equal signature bytes are
     joined. Each member is compared with those not yet reached, so a bucket of near copies takes few passes."""
@@ -125,7 +133,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Words are runs of bytes outside [\\x20\\x09-\\x0D], as they are. A text of fewer than n words has one n-gram, all of it. A
     null or empty text or one without words has no links and is its own group, and is kept. A null id is the largest id,
     and shown as null. Rows that share id and text are links of each other like any equal texts, and only they can both be
-    kept. Other columns are ignored; an empty table gives no rows. Classes are told apart by 64 bits of hash.
+    kept. Other columns are ignored; an empty table gives no rows. Classes are told apart by 126 bits of hash.
     """
     spark = docs.sparkSession
     exact = Fraction(threshold).limit_denominator(1000)
@@ -142,22 +150,31 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             sets = ngram_sets(batch.column("text"), n)
             some = [k for k, s in enumerate(sets) if len(s)]
             node: list[int | None] = [None] * len(sets)
+            check: list[int | None] = [None] * len(sets)
             signature: list[bytes | None] = [None] * len(sets)
             band: list[bytes | None] = [None] * len(sets)
             if some:
                 s, b = minhash([sets[k] for k in some])
                 for at, k in enumerate(some):
-                    node[k] = xxhash.xxh3_64_intdigest(sets[k].tobytes()) >> 1
+                    node[k], check[k] = set_hashes(sets[k])
                     signature[k], band[k] = s[at].tobytes(), b[at].tobytes()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), batch.column("text_hash"), pa.array(node, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(signature, pa.binary()), pa.array(band, pa.binary())],
-                ["doc", "text_hash", "node", "n_grams", "signature", "bands"],
+                [batch.column("doc"), batch.column("text_hash"), pa.array(node, pa.int64()), pa.array(check, pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(signature, pa.binary()), pa.array(band, pa.binary())],
+                ["doc", "text_hash", "node", "check", "n_grams", "signature", "bands"],
             )
 
-    signed = materialise(rows.mapInArrow(sign, "doc long, text_hash long, node long, n_grams long, signature binary, bands binary"), "signed")
-    first = F.min(F.struct("doc", "text_hash")).alias("first")
-    classes = signed.filter("node is not null").groupBy("node").agg(first, F.count("*").alias("size"), F.first("n_grams").alias("n_grams"), F.first("signature").alias("signature"), F.first("bands").alias("bands"))
-    classes = materialise(classes, "classes")
+    signed = materialise(rows.mapInArrow(sign, "doc long, text_hash long, node long, check long, n_grams long, signature binary, bands binary"), "signed")
+
+    def classed() -> DataFrame:
+        first = [F.min(F.struct("doc", "text_hash")).alias("first"), *(F.first(c).alias(c) for c in ("n_grams", "signature", "bands"))]
+        checks = [F.min("check").alias("least_check"), F.max("check").alias("most_check")]
+        return materialise(signed.filter("node is not null").groupBy("node").agg(F.count("*").alias("size"), *first, *checks), "classes")
+
+    classes = classed()
+    apart = split_twins(signed, classes)
+    if apart is not None:
+        signed = materialise(apart, "signed")
+        classes = classed()
 
     # candidates
     def band_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,6 +213,8 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     targets = weighed.join(totals.select("component", blocks.alias("blocks")), "component").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.xxhash64("component", F.least("block", j), F.greatest("block", j)).alias("cell"), (F.col("block") == j).alias("own")))
     targets = targets.select(F.col("first.doc").alias("doc"), F.col("first.text_hash").alias("text_hash"), F.col("id").alias("node"), "size", "block", cells.alias("cells"))
+    targets = materialise(targets, "targets")
+    n_targets = targets.count()
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches, "text"):
@@ -219,7 +238,9 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             root = local_roots(linked)
             yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root]), pa.array(linked @ sizes)], ["a", "b", "links"])
 
-    sent = rows.join(targets, ["doc", "text_hash"]).select("text", "node", "size", "block", "cells")
+    keys = targets.select("doc", "text_hash")
+    picked = rows.join(F.broadcast(keys), ["doc", "text_hash"], "left_semi") if n_targets <= BROADCAST_KEYS else rows
+    sent = picked.join(targets, ["doc", "text_hash"]).select("text", "node", "size", "block", "cells")
     sent = sent.mapInArrow(spread, "cell long, own boolean, node long, size long, block int, grams binary")
     found = sent.repartition(n_parts, "cell").sortWithinPartitions("cell").mapInArrow(verify, "a long, b long, links long")
     found = materialise(found, "links")

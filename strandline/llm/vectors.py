@@ -11,13 +11,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, id_key, materialise, partitions
+from .common import NULL_ID, id_key, materialise, partitions, split_twins
 from .components import components
 from .jaccard import _groups
 
 #: Vectors that pivots are chosen from, most pivots, how many comparisons a copy of a vector costs, and vectors of a side of
 #: a cell's part, which are compared in strips.
-SAMPLE, MOST_PIVOTS, COPY_COST, BLOCK, STRIP = 4096, 256, 500, 8192, 1024
+SAMPLE, MOST_PIVOTS, COPY_COST, BLOCK, STRIP = 4096, 256, 500, 8192, 128
 SLACK = 1e-9
 
 
@@ -66,31 +66,43 @@ def useful_pivots(vectors: np.ndarray, n: int, reach: float) -> np.ndarray:
     return pivots[: best[1]]
 
 
-def links_between(own: np.ndarray, other: np.ndarray, own_nodes: np.ndarray, other_nodes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Places of the pairs of unit vectors of different nodes whose cosine reaches the threshold, in double precision;
-    single precision rules out the others, a strip at a time."""
-    found: list[tuple[np.ndarray, np.ndarray]] = []
-    narrow = np.ascontiguousarray(other.astype(np.float32).T)
-    for a in range(0, len(own), STRIP):
-        rough = own[a : a + STRIP].astype(np.float32) @ narrow
-        i, j = np.divmod(np.flatnonzero(rough >= np.float32(threshold - 1e-4)), len(other))
-        for c in range(0, len(i), 65536):
-            p, q = i[c : c + 65536] + a, j[c : c + 65536]
-            good = (np.einsum("ij,ij->i", own[p], other[q]) >= threshold) & (own_nodes[p] != other_nodes[q])
-            found.append((p[good], q[good]))
-    return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (zip(*found, strict=True) if found else ((), ())))
-
-
-def bipartite_labels(i: np.ndarray, j: np.ndarray, own: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The least node that each of both sides reaches by the links i, j."""
-    a, b = own.copy(), other.copy()
-    while True:
-        new_a, new_b = a.copy(), b.copy()
-        np.minimum.at(new_a, i, b[j])
-        np.minimum.at(new_b, j, new_a[i])
-        if (new_a == a).all() and (new_b == b).all():
-            return a, b
-        a, b = new_a, new_b
+class Links:
+    """Links of a block of unit vectors with another, reduced strip by strip: for each vector of the first the number of
+    others it links with, weighed by their sizes, and for each of both sides a node that all linked with it share."""
+
+    def __init__(self, own: np.ndarray, other: np.ndarray):
+        self.own, self.other = own, other
+        self.nodes, place = np.unique(np.concatenate([own, other]), return_inverse=True)
+        self.own_at, self.other_at = place[: len(own)], place[len(own) :]
+        self.root = np.arange(len(self.nodes))
+        self.count = np.zeros(len(own), np.int64)
+
+    def compare(self, x: np.ndarray, y: np.ndarray, sizes: np.ndarray, threshold: float) -> None:
+        """Single precision rules out most pairs, by the bound of its error; double precision settles the others."""
+        narrow = np.ascontiguousarray(y.astype(np.float32).T)
+        rough = threshold - (x.shape[1] + 4) * 2.0**-24 * 2
+        for a in range(0, len(x), STRIP):
+            i, j = np.divmod(np.flatnonzero(x[a : a + STRIP].astype(np.float32) @ narrow >= rough), len(y))
+            i += a
+            good = np.zeros(len(i), bool)
+            for c in range(0, len(i), 65536):
+                p, q = i[c : c + 65536], j[c : c + 65536]
+                good[c : c + 65536] = (np.einsum("ij,ij->i", x[p], y[q]) >= threshold) & (self.own[p] != self.other[q])
+            i, j = i[good], j[good]
+            self.count += np.bincount(i, sizes[j], len(x)).astype(np.int64)
+            self._join(self.own_at[i], self.other_at[j])
+
+    def _join(self, a: np.ndarray, b: np.ndarray) -> None:
+        while len(a):
+            a, b = self.root[a], self.root[b]
+            apart = a != b
+            a, b = a[apart], b[apart]
+            np.minimum.at(self.root, np.maximum(a, b), np.minimum(a, b))
+            while True:
+                up = self.root[self.root]
+                if (up == self.root).all():
+                    break
+                self.root = up
 
 
 def range_join(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.95) -> DataFrame:
@@ -99,7 +111,7 @@ def range_join(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "em
 
     Vectors that are null, empty, zero or hold null or non-finite components link with nothing, and vectors link only with
     those of their own length. A null id is the largest and shown as null; it is kept if it is alone. Rows that share an id
-    are separate vectors. Equal vectors are one class, compared once. Other columns are ignored; an empty table gives no rows.
+    are separate vectors. Equal vectors are one class (by 126 bits of hash), compared once. Other columns are ignored; an empty table gives no rows.
 
     Pivots come from a sample of up to 4096 classes (those of the least hashes), the farthest from each other, as many as
     `useful_pivots` finds worth it. Every class has its home in the cell of the nearest pivot, and visits the cells that `visits` can't
@@ -114,23 +126,35 @@ def range_join(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             nodes: list[int | None] = []
+            checks: list[int | None] = []
             units: list[bytes | None] = []
             for v in batch.column("v"):
                 x = v.values.to_numpy(zero_copy_only=False).astype(np.float64) if v.is_valid and v.values.null_count == 0 else np.zeros(0)
                 top = np.abs(x).max(initial=0.0)
                 if not (len(x) and np.isfinite(x).all() and top > 0):
                     nodes.append(None)
+                    checks.append(None)
                     units.append(None)
                     continue
                 x = x / top + 0.0  # so that squares neither overflow nor vanish; -0.0 becomes 0.0
                 x = x / np.sqrt((x * x).sum())
                 nodes.append(xxhash.xxh3_64_intdigest(x.tobytes()) >> 1)
+                checks.append(xxhash.xxh3_64_intdigest(x.tobytes(), 1) >> 1)
                 units.append(x.tobytes())
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(nodes, pa.int64()), pa.array(units, pa.binary())], ["id", "node", "unit"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(nodes, pa.int64()), pa.array(checks, pa.int64()), pa.array(units, pa.binary())], ["id", "node", "check", "unit"])
 
-    signed = materialise(rows.mapInArrow(sign, "id long, node long, unit binary"), "vectors")
-    classes = signed.filter("node is not null").groupBy("node").agg(F.min("id").alias("first"), F.count("*").alias("size"), F.first("unit").alias("unit"))
-    classes = materialise(classes, "vector-classes")
+    signed = materialise(rows.mapInArrow(sign, "id long, node long, check long, unit binary"), "vectors")
+
+    def classed() -> DataFrame:
+        checks = [F.min("check").alias("least_check"), F.max("check").alias("most_check")]
+        found = signed.filter("node is not null").groupBy("node").agg(F.min("id").alias("first"), F.count("*").alias("size"), F.first("unit").alias("unit"), *checks)
+        return materialise(found, "vector-classes")
+
+    classes = classed()
+    apart = split_twins(signed, classes)
+    if apart is not None:
+        signed = materialise(apart, "vectors")
+        classes = classed()
     n = classes.count()
     sample: dict[int, list[np.ndarray]] = {}
     for r in classes.select("node", "unit").orderBy("node").limit(SAMPLE).collect():
@@ -204,14 +228,14 @@ def range_join(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "em
             if not asks.any() or asks.all():
                 continue
             x = np.frombuffer(b"".join(units)).reshape(len(nodes), -1)
-            own, other = nodes[asks], nodes[~asks]
-            i, j = links_between(x[asks], x[~asks], own, other, threshold)
-            if not len(i):
-                continue
-            a, b = bipartite_labels(i, j, own, other)
-            links = np.bincount(i, sizes[~asks][j], len(own)).astype(np.int64)
-            some, seen = np.unique(i), np.unique(j)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([own[some], other[seen]])), pa.array(np.concatenate([a[some], b[seen]])), pa.array(np.concatenate([links[some], np.zeros(len(seen), np.int64)]))], ["a", "b", "links"])
+            links = Links(nodes[asks], nodes[~asks])
+            links.compare(x[asks], x[~asks], sizes[~asks], threshold)
+            linked = np.flatnonzero(links.root != np.arange(len(links.root)))
+            some = np.flatnonzero(links.count)
+            if len(some):
+                a = np.concatenate([links.nodes[linked], links.own[some]])
+                b = np.concatenate([links.nodes[links.root[linked]], links.own[some]])
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.concatenate([np.zeros(len(linked), np.int64), links.count[some]]))], ["a", "b", "links"])
 
     found = materialise(dealt.repartition(n_parts, "part").sortWithinPartitions("part").mapInArrow(meet, "a long, b long, links long"), "vector-links")
     links = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))

@@ -6,6 +6,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from strandline.llm import components, html_text, jaccard, licenses, quality, substring, vectors, warc
 
@@ -145,8 +146,8 @@ def brute_substrings(rows, window):
 @pytest.mark.parametrize("window", [1, 5, 20])
 def test_substrings_equal_brute_force(spark, window):
     rows = corpus()
-    found = substring.dedup_substrings(frame(spark, rows), window=window, texts=True).collect()
-    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, brute_substrings(rows, window)))
+    found = [(r.row.doc_id, r.n_words, r.n_removed, r.kept_sha256, r.kept_text) for r in substring.substring_rows(frame(spark, rows), window=window, texts=True).collect()]
+    assert sorted(map(repr, found)) == sorted(map(repr, brute_substrings(rows, window)))
 
 
 def test_substrings_of_repeated_rows_and_empty_tables(spark):
@@ -156,11 +157,12 @@ def test_substrings_of_repeated_rows_and_empty_tables(spark):
     assert substring.dedup_substrings(frame(spark, [])).collect() == []
 
 
-@pytest.mark.parametrize("bits", [1, 10])
-def test_a_full_sketch_loses_nothing(spark, bits):
+@pytest.mark.parametrize("rate", [0.999999, 0.5])
+def test_a_full_sketch_loses_nothing(spark, monkeypatch, rate):
+    monkeypatch.setattr(substring, "ANCHOR_BYTES", 24 if rate == 0.5 else 1 << 30)
     rows = corpus()
-    found = substring.dedup_substrings(frame(spark, rows), texts=True, cell_bits=bits).collect()
-    assert sorted(map(repr, map(tuple, found))) == sorted(map(repr, brute_substrings(rows, 20)))
+    found = [(r.row.doc_id, r.n_words, r.n_removed, r.kept_sha256, r.kept_text) for r in substring.substring_rows(frame(spark, rows), texts=True, rate=rate).collect()]
+    assert sorted(map(repr, found)) == sorted(map(repr, brute_substrings(rows, 20)))
 
 
 def test_sketch_tells_repeated_anchors(spark):
@@ -170,9 +172,9 @@ def test_sketch_tells_repeated_anchors(spark):
     texts = [t or "" for _, t in rows]
     placed = spark.createDataFrame([(k % 3, t) for k, t in enumerate(texts)], "home long, text string")
     told = {}
-    for r in substring.repeated_cells(placed, 20, 40).collect():
-        told.setdefault(r.home, set()).update(substring._wide(bytes(r.cells)).tolist())
-    anchors = [substring.cells(substring.Scan(pa.array([t]), 20).anchors, 40).tolist() for t in texts]
+    for r in substring.repeated_keys(placed, 20, 5, 20).collect():
+        told.setdefault(r.home, set()).update(substring._wide(bytes(r["keys"])).tolist())
+    anchors = [substring.anchor_keys(substring.Scan(pa.array([t]), 20).anchors).tolist() for t in texts]
     counts = {}
     for a in anchors:
         for x in a:
@@ -182,6 +184,28 @@ def test_sketch_tells_repeated_anchors(spark):
         assert told.get(h, set()) == {x for x in mine if counts[x] > 1}
 
 
+def test_sketch_overestimates_as_stated():
+    rng = np.random.default_rng(2)
+    values = rng.integers(0, 1 << 40, 200_000, np.uint64)
+    sketch = substring.Sketch(substring.sketch_bits(len(values), 0.01))
+    for part in np.array_split(np.concatenate([values, values[:500]]), 7):
+        other = substring.Sketch(sketch.bits)
+        other.add(part)
+        np.minimum(sketch.counters + other.counters, 2, out=sketch.counters)  # merged by addition
+    assert sketch.repeated(values[:500]).all()
+    assert sketch.repeated(values[500:]).mean() < 0.01
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_windows(spark):
+    words = [" ".join(f"{c}{k}" for k in range(25)) for c in "abc"]
+    rows = [(None, words[0]), (None, words[1]), (None, words[2]), (5, words[1]), (6, words[0] + " x"), (None, "")]
+    found = substring.dedup_substrings(frame(spark, rows)).collect()
+    assert sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in found) == [(0, 0, 0), (0, 25, 0), (0, 25, 25), (0, 25, 25), (5, 25, 0), (6, 26, 0)]
+    many = [(None, f"q{k} " + words[k % 3]) for k in range(300)] + [(1, words[0]), (2, words[1])]
+    found = substring.dedup_substrings(frame(spark, many)).collect()
+    assert sorted(map(repr, map(tuple, found))) == sorted(repr(x[:4]) for x in brute_substrings(many, 20))
+
+
 # ---- Jaccard
 
 
@@ -283,6 +307,40 @@ def test_pivots_pay_where_vectors_have_structure():
     assert len(vectors.useful_pivots(unit(rng.normal(size=(2000, 64))), 100_000, 0.32)) <= 4
 
 
+def test_links_of_a_dense_block_are_reduced_by_strips():
+    rng = np.random.default_rng(6)
+    unit = lambda x: x / np.linalg.norm(x, axis=1, keepdims=True)
+    x = unit(np.concatenate([unit(rng.normal(size=(4, 16)))[rng.integers(0, 4, 600)] + 0.05 * rng.normal(size=(600, 16)), rng.normal(size=(50, 16))]))
+    nodes, sizes = rng.permutation(len(x)).astype(np.int64), rng.integers(1, 4, len(x))
+    own = np.arange(0, 300)
+    links = vectors.Links(nodes[own], nodes)
+    links.compare(x[own], x, sizes, 0.95)
+    linked = (x[own] @ x.T >= 0.95) & (nodes[own][:, None] != nodes[None, :])
+    assert links.count.tolist() == (linked * sizes).sum(axis=1).tolist() and links.count.max() > 50
+    edges = [(int(nodes[i]), int(nodes[j])) for i, j in zip(*np.nonzero(linked), strict=True)]
+    least = {int(n): int(n) for n in nodes}
+    moved = True
+    while moved:
+        moved = False
+        for a, b in edges:
+            m = min(least[a], least[b])
+            moved |= least[a] != m or least[b] != m
+            least[a] = least[b] = m
+    assert {int(n): int(links.nodes[r]) for n, r in zip(links.nodes, links.root, strict=True)} == least
+
+
+def test_classes_that_share_a_hash_are_told_apart(spark):
+    from strandline.llm.common import split_twins
+
+    rows = [(1, 10, 100), (2, 10, 200), (3, 10, 100), (4, 11, 300), (5, None, None)]
+    signed = spark.createDataFrame(rows, "id long, node long, check long")
+    classes = lambda df: df.filter("node is not null").groupBy("node").agg(F.min("check").alias("least_check"), F.max("check").alias("most_check"))
+    apart = split_twins(signed, classes(signed))
+    nodes = {r.id: r.node for r in apart.collect()}
+    assert nodes[1] == nodes[3] != nodes[2] and nodes[4] == 11 and nodes[5] is None
+    assert split_twins(apart, classes(apart)) is None
+
+
 # ---- components
 
 
