@@ -18,18 +18,31 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near duplicates, unchanged. Of rows that repeat id and text, one stays."""
-    kept = jaccard.jaccard_groups(docs).filter("kept").select(id_key("doc_id").alias("doc"), F.col("text_hash")).distinct()
+    """The first document of each group of near duplicates, unchanged. Of rows that repeat id and text, one stays.
+
+    Only the keys of rows that may go are looked up, so texts aren't shuffled where those are few enough to be broadcast."""
+    groups = jaccard.jaccard_groups(docs).select(id_key("doc_id").alias("doc"), "text_hash", "kept")
+    keys = materialise(groups.groupBy("doc", "text_hash").agg(F.max("kept").alias("kept"), F.count("*").alias("n")), "near-duplicates")
+
+    def few(found: DataFrame) -> DataFrame:
+        found = found.select("doc", "text_hash")
+        return F.broadcast(found) if found.count() <= jaccard.BROADCAST_KEYS else found
+
     held = docs.select(F.struct(*docs.columns).alias("row"), id_key("doc_id").alias("doc"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_hash"))
-    return held.join(kept, ["doc", "text_hash"], "left_semi").dropDuplicates(["doc", "text_hash"]).select("row.*")
+    stay = held.join(few(keys.filter("not kept")), ["doc", "text_hash"], "left_anti")
+    repeated = keys.filter("kept and n > 1")
+    if not repeated.isEmpty():
+        repeated = few(repeated)
+        twice = stay.join(repeated, ["doc", "text_hash"], "left_semi").dropDuplicates(["doc", "text_hash"])
+        stay = stay.join(repeated, ["doc", "text_hash"], "left_anti").unionByName(twice)
+    return stay.select("row.*")
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the words of passages that occur earlier; n_chars is that of the text that stays."""
-    others = [c for c in docs.columns if c != "text"]
-    out = substring.dedup_substrings(docs, carry=others, texts=True)
+    out = substring.substring_rows(docs, carry=[c for c in docs.columns if c != "text"], texts=True)
     text = {"text": F.col("kept_text").alias("text"), "n_chars": F.length("kept_text").cast("long").alias("n_chars")}
-    return out.select(*[text.get(c, F.col(c)) for c in docs.columns])
+    return out.select(*[text[c] if c in text else F.col("row")[c].alias(c) for c in docs.columns])
 
 
 def retrieval_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
