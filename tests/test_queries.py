@@ -1,6 +1,10 @@
 """Every query with SQL gives the same rows as DuckDB on the smallest tables."""
 
 import math
+import shutil
+import subprocess
+import sys
+from pathlib import Path
 
 import duckdb
 import pandas as pd
@@ -44,3 +48,16 @@ def test_entry_runs(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(QUERIES) <= set(__spark_entry__.queries()) and set(ORACLES) <= set(__spark_entry__.oracle_sql())
+
+
+@pytest.mark.parametrize("pipeline_too", [True, False])
+def test_the_rest_works_without_the_corpus_operators(tmp_path, pipeline_too):
+    root = Path(__file__).parent.parent
+    copy = tmp_path / "copy"
+    shutil.copytree(root, copy, ignore=shutil.ignore_patterns(".git", "__pycache__"))
+    for folder in ("strandline/llm", "tests/llm"):
+        shutil.rmtree(copy / folder, ignore_errors=True)
+    if pipeline_too:
+        (copy / "corpus_pipeline.py").unlink(missing_ok=True)
+    code = "import __spark_entry__ as e; from strandline.plans import catalogue as c; q, o = c.load(); assert e.queries().keys() == q.keys() and e.oracle_sql() == o"
+    subprocess.run([sys.executable, "-c", code], cwd=copy, check=True, timeout=120)
