@@ -1,10 +1,13 @@
 import importlib
 
 import public_tokenizers as P
+import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
 from strandline.llm import quality, queries
+from strandline.llm.common import materialise
 
 from .test_corpus import brute_groups, brute_substrings
 
@@ -48,3 +51,32 @@ def test_all_operators_are_registered():
     found = entry.queries()
     assert {f"op{k}" for k in range(1, 11)} <= {name.split("_")[0] for name in found} and "pipeline" in found
     assert set(queries.ORACLES) <= set(queries.QUERIES)
+
+
+def test_columns_of_any_name_pass_the_stages(spark):
+    names = "row doc text_hash node check home keys n_words n_removed kept_sha256 kept_text kept label base_failed size first n place deal ids start".split()
+    docs = small(spark)
+    for k, name in enumerate(names):
+        docs = docs.withColumn(name, F.lit(f"{name} {k}") if k % 2 else F.lit(k))
+    plain = small(spark)
+    for _, stage in corpus_pipeline.STAGES:
+        docs, plain = materialise(stage(spark, docs, ""), "wide"), materialise(stage(spark, plain, ""), "plain")
+        if "text" in plain.columns:
+            assert docs.columns == [*plain.columns, *names]
+            assert {tuple(r[c] for c in names) for r in docs.collect()} == {tuple(f"{name} {k}" if k % 2 else k for k, name in enumerate(names))}
+        assert sorted(map(repr, map(tuple, docs.select(*plain.columns).collect()))) == sorted(map(repr, map(tuple, plain.collect())))
+
+
+@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+def test_queries_take_tables_with_clashing_columns(spark, tmp_path, name):
+    names = "row doc text_hash node check home keys n_words n_removed kept_sha256 kept size first n place deal ids start payload digest of host noise unit cell id content n_chars page".split()
+    for table in ("documents", "pages", "embeddings"):
+        rows = spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet").limit(30).coalesce(1)
+        rows.write.parquet(f"{tmp_path}/plain/{table}.parquet")
+        for k, c in enumerate(names):
+            rows = rows if c in rows.columns else rows.withColumn(c, F.lit(k))
+        rows.write.parquet(f"{tmp_path}/wide/{table}.parquet")
+    found = [queries.QUERIES[name](spark, f"{tmp_path}/{kind}") for kind in ("plain", "wide")]
+    assert found[0].columns == found[1].columns
+    plain, wide = (sorted(map(repr, map(tuple, df.collect()))) for df in found)
+    assert plain == wide
