@@ -32,6 +32,8 @@ NO_ARTICLE_WORDS = frozenset(
     "dropdown footer gdpr login masthead menu modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo "
     "promoted promotion recommended related replies reply respond responses share sharing sidebar signup skyscraper social sponsor sponsored subscribe toolbar widget".split()
 )
+#: Words that say where or what kind of part something is, and nothing about its content.
+PART_WORDS = frozenset("area bar block bottom box buttons card center container content inline inner item items left link links list panel posts right section slot stories top unit wrapper zone".split())
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']|\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z))*+)(?:>|\Z)", re.S)
 _NAMES = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 #: Up to so many keys of unimportant branches (8 bytes each) are broadcast; beyond that pages meet them by host and part.
@@ -39,6 +41,9 @@ BROADCAST_KEYS, HOST_PARTS = 200_000, 64
 #: So many pages of full importance are added to an element's own: at a threshold of 0.1, four equal pages tell.
 PRIOR = 0.4
 _HEADER_WORDS = frozenset({"header"})
+#: Stands among the words of an element of which a whole class or id is such words.
+_ONLY = "="
+_MARK = frozenset({_ONLY})
 
 
 class Page:
@@ -90,7 +95,11 @@ class Page:
                     if kind.lower() == "role":
                         role = value.strip().lower()
                     else:
-                        words |= frozenset(w for name in value.split() for w in _name_words(name))
+                        for name in value.split():
+                            parts = _name_words(name)
+                            words |= frozenset(parts)
+                            if not NO_ARTICLE_WORDS.isdisjoint(parts) and all(x in NO_ARTICLE_WORDS or x in PART_WORDS or x.isdecimal() for x in parts[:-1]):
+                                words |= _MARK
             parent = stack[-1]
             key = xxhash.xxh64_intdigest(f"{elements[parent][4]}/{tag}{names}") >> 1
             elements.append((parent, tag, words, role, key))
@@ -145,7 +154,8 @@ def main_text(page: Page, noise: frozenset[int] = frozenset()) -> str:
         while k >= 0:
             holds.add(k)
             k = elements[k][0]
-    named = {k for k, e in enumerate(elements) if k not in holds and e[1] not in ("html", "body") and (e[2] & NO_ARTICLE_WORDS or not inside[k] and (e[1] == "header" or e[2] & _HEADER_WORDS))}
+    # inside an article a name must say nothing else: "notice", not "related-work"
+    named = {k for k, e in enumerate(elements) if k not in holds and e[1] not in ("html", "body") and (_ONLY in e[2] if inside[k] else e[2] & NO_ARTICLE_WORDS or e[1] == "header" or e[2] & _HEADER_WORDS)}
     gone = page.under(no_tag | named)
 
     def text(gone: list[bool]) -> list[str]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
@@ -138,17 +139,18 @@ class TemplateIndex:
         found: list[Match] = []
         for entry, seen in by_entry.items():
             name, k, template = self.entries[entry]
-            band = max(4, len(template) // 10)
+            band, reach = max(4, len(template) // 10), max(4, len(template) // 4)
             seen.sort()
             at = 0
-            while at < len(seen):  # hits on diagonals within a band of each other are one occurrence
+            while at < len(seen):  # hits on diagonals near each other are one occurrence
                 to = at + 1
-                while to < len(seen) and seen[to][0] - seen[to - 1][0] <= band:
+                while to < len(seen) and seen[to][0] - seen[to - 1][0] <= band and seen[to][0] - seen[at][0] <= reach:
                     to += 1
                 rest = [(seen[at:to], 0, len(hashes))]
-                while rest:  # and may be several, where they follow each other closely
+                while rest:  # or several, where they follow each other closely
                     chain, lo, hi = rest.pop()
-                    middle, width = chain[len(chain) // 2][0], band + chain[-1][0] - chain[0][0]
+                    middle, width = (chain[0][0] + chain[-1][0]) // 2, band + chain[-1][0] - chain[0][0]
+                    lo, hi = max(lo, middle - width), min(hi, middle + len(template) + width)  # all of the text in the band
                     matched, first, last = align(template, hashes[lo:hi], middle - lo, width)
                     if matched < least * len(template):
                         continue
@@ -160,11 +162,12 @@ class TemplateIndex:
                             rest.append((part, a, b))
                 at = to
         found.sort(key=lambda m: (-m.matched, -m.coverage, m.first_word, m.license))
-        kept: list[Match] = []
+        kept: list[Match] = []  # by place
         for m in found:
-            if all(m.last_word < o.first_word or m.first_word > o.last_word for o in kept):
-                kept.append(m)
-        return sorted(kept, key=lambda m: m.first_word)
+            at = bisect_left(kept, m.first_word, key=lambda o: o.last_word)  # the first that ends at or after its start
+            if at == len(kept) or kept[at].first_word > m.last_word:
+                kept.insert(at, m)
+        return kept
 
 
 def holds(words: list[int], core: list[int]) -> bool:
@@ -206,7 +209,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     A notice of under NOTICE_WORDS words must hold the words that name its license and version, without a gap; the others,
     and long texts, may differ as far as `least_coverage` allows. Words are runs of letters and digits in lower case. Where found notices overlap, that with more matched words stays.
     Null and empty texts have none; each row is scanned by itself, so null and repeated ids are carried as they are. Other
-    columns are ignored, an empty table gives no rows. The index is as large as the templates and is broadcast.
+    columns are ignored, an empty table gives no rows. The work grows with a text's length. The index is as large as the templates and is broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(TemplateIndex(templates))
 
@@ -220,14 +223,17 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             values, at = values[hit], at[hit]
             text = np.searchsorted(words.first, at, side="right") - 1
             out: list[tuple] = []
+            bounds = np.searchsorted(text, np.arange(batch.num_rows + 1))
             for k in np.unique(text).tolist():
-                mine = text == k
+                mine = slice(bounds[k], bounds[k + 1])
                 lo, hi = int(words.first[k]), int(words.first[k + 1])
-                for m in index.scan(words.hashes[lo:hi], list(zip(values[mine].tolist(), (at[mine] - lo).tolist(), strict=True)), least_coverage):
-                    start, end = words.starts[lo + m.first_word], words.ends[lo + m.last_word]
-                    points = np.cumsum((words.data[words.offsets[k] : end] & 0xC0) != 0x80)
-                    a = int(points[start - words.offsets[k]]) - 1
-                    out.append((k, m.license, m.template, m.coverage, m.matched, a, int(points[-1])))
+                matches = index.scan(words.hashes[lo:hi], list(zip(values[mine].tolist(), (at[mine] - lo).tolist(), strict=True)), least_coverage)
+                if matches:
+                    begin = words.offsets[k]
+                    points = np.concatenate([[0], np.cumsum((words.data[begin : words.offsets[k + 1]] & 0xC0) != 0x80)])
+                for m in matches:
+                    start, end = words.starts[lo + m.first_word] - begin, words.ends[lo + m.last_word] - begin
+                    out.append((k, m.license, m.template, m.coverage, m.matched, int(points[start]), int(points[end])))
             if out:
                 columns = list(zip(*out, strict=True))
                 kinds = (pa.string(), pa.int32(), pa.float64(), pa.int64(), pa.int64(), pa.int64())

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import base64
 import contextlib
 import hashlib
 import re
@@ -96,6 +97,15 @@ def _inside(data: bytes, at: int, end: int) -> tuple[list[Found], str | None]:
     return found, reason
 
 
+def _digest_holds(stated: str, content: bytes) -> bool:
+    """Whether a digest (in lower case; sha1 is mostly in base32, sha256 in hex) fits; others can't be told."""
+    kind, _, value = stated.partition(":")
+    if kind not in ("sha1", "sha256", "md5") or not value:
+        return True
+    raw = hashlib.new(kind, content, usedforsecurity=False).digest()
+    return value in (raw.hex(), base64.b32encode(raw).decode().lower(), base64.b32encode(raw).decode().lower().rstrip("="))
+
+
 def _record(data: bytes, at: int) -> tuple[Found, int]:
     """The record at a place in plain bytes, and where it ends, after all checks."""
     if not data.startswith(b"WARC/", at):
@@ -124,15 +134,17 @@ def _record(data: bytes, at: int) -> tuple[Found, int]:
         digest, n = stated.removeprefix("sha256:"), sent if sent is not None else 0
     else:
         digest, n = hashlib.sha256(payload).hexdigest(), len(payload)
-        if stated.startswith("sha256:") and stated != f"sha256:{digest}":
+        if not _digest_holds(stated, payload):
             raise Damaged("payload digest differs")
+    if headers.get("warc-block-digest") and not _digest_holds(headers["warc-block-digest"].lower(), block):
+        raise Damaged("block digest differs")
     return Found(0, 0, None, headers, payload, n, digest), end + 4
 
 
 def salvage(content: bytes) -> Iterator[Found]:
     """Every valid record of an archive, gzip members or plain, with the gaps between them.
 
-    Where a check fails (CRC, lengths, header, payload digest), the reader looks for the next gzip magic or version line
+    Where a check fails (CRC, lengths, header, payload or block digest), the reader looks for the next gzip magic or version line
     that opens a valid member or record and goes on there; the bytes passed over are yielded as one gap with the first
     reason. Inside a member the search goes on in its decompressed bytes, and a gap there is one with the member's place,
     whose reason says which of its bytes; of a damaged member, the records before the damage are yielded, and the gap from

@@ -123,6 +123,18 @@ def test_salvage_inside_members():
     assert ids(found) == ["0", "1", "2", "3", "7"] and sum(f.reason is not None for f in found) == 1
 
 
+def test_digests_of_other_writers_are_checked():
+    import base64
+
+    body = b"hello"
+    sha1 = base64.b32encode(hashlib.sha1(body).digest()).decode()
+    for stated, good in ((f"sha1:{sha1}", True), (f"sha1:{sha1[:-1]}A", False), ("md5:" + hashlib.md5(body).hexdigest(), True), ("sha1:" + hashlib.sha1(b"x").hexdigest(), False), ("blake9:zz", True)):
+        for field in ("WARC-Payload-Digest", "WARC-Block-Digest"):
+            record = f"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <a>\r\n{field}: {stated}\r\nContent-Length: 5\r\n\r\n".encode() + body + b"\r\n\r\n"
+            found = list(warc.salvage(record))
+            assert [f.reason is None for f in found] == [good], (stated, field)
+
+
 # ---- substrings
 
 
@@ -466,6 +478,76 @@ def test_sibling_licenses_and_repeated_lines(text, expected):
     assert [m.license for m in index.scan(words.hashes, hits, 0.8)] == expected
 
 
+def brute_scan(index, hashes, least):
+    """Every template aligned with the whole text, without fingerprints or bands; each alignment found parts the text."""
+    found = []
+    for (name, k, template), core in zip(index.entries, index.cores, strict=True):
+        rest = [(0, len(hashes))]
+        while rest:
+            lo, hi = rest.pop()
+            rows = [[(0, 0, -1)] * (hi - lo + 1) for _ in range(len(template) + 1)]
+            best = (0, 0, -1, -1)
+            for i, t in enumerate(template):
+                for j in range(hi - lo):
+                    score, matched, first = rows[i][j]
+                    cell = (score + 2, matched + 1, first if score else j) if hashes[lo + j] == t else (score - 1, matched, first)
+                    up, left = rows[i][j + 1], rows[i + 1][j]
+                    cell = max(cell, (up[0] - 1, up[1], up[2]), (left[0] - 1, left[1], left[2]), key=lambda c: c[0])
+                    rows[i + 1][j + 1] = cell if cell[0] > 0 else (0, 0, -1)
+                    if cell[0] > best[0]:
+                        best = (*cell, j)
+            if best[1] < least * len(template) or not best[0]:
+                continue
+            first, last = lo + best[2], lo + best[3]
+            if licenses.holds(hashes[first : last + 1].tolist(), core):
+                found.append(licenses.Match(name, k, best[1] / len(template), best[1], first, last))
+            rest += [(lo, first), (last + 1, hi)]
+    found.sort(key=lambda m: (-m.matched, -m.coverage, m.first_word, m.license))
+    kept = []
+    for m in found:
+        if all(m.last_word < o.first_word or m.first_word > o.last_word for o in kept):
+            kept.append(m)
+    return sorted(kept, key=lambda m: m.first_word)
+
+
+def test_scan_equals_alignment_with_whole_texts():
+    rng = random.Random(12)
+    short = {name: tuple(t for t in texts if len(t) < 420) for name, texts in licenses.TEMPLATES.items()}
+    index = licenses.TemplateIndex(short)
+    notices = [t for texts in short.values() for t in texts]
+    for _ in range(25):
+        words = []
+        for _ in range(rng.randint(0, 4)):
+            words += rng.choices("code of the license work is under file public x1 y2 z3".split(), k=rng.randint(0, 12))
+            part = rng.choice(notices).split()
+            for _ in range(rng.randint(0, 2)):
+                at = rng.randrange(len(part))
+                part[at : at + rng.randint(0, 1)] = rng.choices(["inserted", "the", "word"], k=rng.randint(0, 2))
+            words += part
+        text = licenses.Words(pa.array([" ".join(words)]))
+        values, at = licenses.fingerprints(text.hashes)
+        hits = [(v, k) for v, k in zip(values.tolist(), at.tolist(), strict=True) if v in index.places]
+        shown = lambda found: [(m.license, m.template, m.matched, m.first_word, m.last_word) for m in found]
+        assert shown(index.scan(text.hashes, hits, 0.8)) == shown(brute_scan(index, text.hashes, 0.8)), " ".join(words)
+
+
+def test_scanning_takes_linear_time():
+    import time
+
+    index = licenses.TemplateIndex(licenses.TEMPLATES)
+
+    def seconds(n):
+        text = licenses.Words(pa.array(["Released under the MIT License. SPDX-License-Identifier: MIT\n" * n]))
+        values, at = licenses.fingerprints(text.hashes)
+        hits = [(v, k) for v, k in zip(values.tolist(), at.tolist(), strict=True) if v in index.places]
+        start = time.process_time()
+        assert len(index.scan(text.hashes, hits, 0.8)) == 2 * n
+        return time.process_time() - start
+
+    seconds(100)
+    assert seconds(4000) < 8 * seconds(1000)
+
+
 # ---- HTML
 
 
@@ -477,6 +559,7 @@ def text_of(source):
     ("source", "expected"),
     [
         ("", ""),
+        ('<article><p>a</p><section class="related-work"><p>b</p></section><div class="ad-slot">c</div><p class="notice">d</p></article>', "a\nb"),
         ("plain", "plain"),
         ("<p>a&amp;b &lt;i&gt; &#233;&nbsp;c\n d<b>old</b><br>e</p><p>f", "a&b <i> é c dold e\nf"),
         ("<html><head><title>t</title><style>p{}</style></head><body><nav>n</nav><header>h</header><p>x<script>var t='</p>';</script>y</p><aside>s</aside><footer>f</footer>", "xy"),
