@@ -10,6 +10,8 @@ from .common import drop_path, materialise, scratch
 
 #: Up to so many rows (16 bytes each) go to all executors in a round; beyond that the edges are shuffled to meet them.
 BROADCAST_ROWS = 500_000
+#: Members from which on a component is large.
+LARGE = 1024
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -49,6 +51,24 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).union(now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct())
 
 
+def join_components(rows: DataFrame, groups: DataFrame, spread: str) -> DataFrame:
+    """rows (with a column component) with the columns of groups: one row for each component, with its number of `members`.
+
+    Components of more than LARGE members are few; they are broadcast (their number is checked), and their rows are dealt by
+    the column `spread` where the others meet their groups, so a giant component is not one task."""
+    groups = materialise(groups, "groups")
+    large = groups.filter(F.col("members") > LARGE)
+    if large.count() > BROADCAST_ROWS:
+        return rows.join(groups, "component")
+    names = [c for c in groups.columns if c != "component"]
+    held = rows.join(F.broadcast(large.select("component", F.struct(*names).alias("of_large"))), "component", "left")
+    others = groups.filter(F.col("members") <= LARGE).select(F.col("component").alias("meet"), F.struct(*names).alias("of_other"))
+    meet = F.when(F.col("of_large").isNull(), F.col("component")).otherwise(F.col(spread))
+    held = held.withColumn("meet", meet).join(others, "meet", "left")
+    found = F.coalesce("of_large", "of_other")
+    return held.select(*rows.columns, *[found[c].alias(c) for c in names])
+
+
 def local_roots(linked: np.ndarray) -> np.ndarray:
     """For a symmetric matrix of links, the first member of each member's component."""
     n = len(linked)

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import NULL_ID, id_key, materialise, mix, partitions, rolling_hashes, span_hashes, split_twins, text_bytes, text_slices, word_spans
-from .components import components, local_roots
+from .components import components, join_components, local_roots
 
 #: Bytes of a signature that travel with a candidate, one for each of the first hash functions.
 SIGNATURE = 64
@@ -208,9 +208,9 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     # verification
     weighed = groups.join(classes.select(F.col("node").alias("id"), "first", "size", "n_grams"), "id")
-    totals = weighed.groupBy("component").agg(F.count("*").alias("members"), F.sum("n_grams").alias("total"))
-    blocks = F.greatest(F.ceil(F.col("members") / BLOCK), F.ceil(F.col("total") / BLOCK_NGRAMS)).cast("int")
-    targets = weighed.join(totals.select("component", blocks.alias("blocks")), "component").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    blocks = F.greatest(F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("n_grams") / BLOCK_NGRAMS)).cast("int")
+    totals = weighed.groupBy("component").agg(F.count("*").alias("members"), blocks.alias("blocks"))
+    targets = join_components(weighed, totals, "id").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
     cells = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda j: F.struct(F.xxhash64("component", F.least("block", j), F.greatest("block", j)).alias("cell"), (F.col("block") == j).alias("own")))
     targets = targets.select(F.col("first.doc").alias("doc"), F.col("first.text_hash").alias("text_hash"), F.col("id").alias("node"), "size", "block", cells.alias("cells"))
     targets = materialise(targets, "targets")
@@ -250,8 +250,8 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # back to the rows
     info = classes.select("node", "first", "size").join(links, "node", "left").join(joined, "node", "left")
     info = info.withColumn("component", F.coalesce("component", "node"))
-    tops = info.groupBy("component").agg(F.min("first").alias("top"))
-    info = info.join(tops, "component").select("node", "first", "size", "links", "top")
+    tops = info.groupBy("component").agg(F.min("first").alias("top"), F.count("*").alias("members"))
+    info = join_components(info, tops, "node").select("node", "first", "size", "links", "top")
     out = signed.select("doc", "text_hash", "node").join(info, "node", "left")
     me = F.struct("doc", "text_hash")
     shown = lambda c: F.when(c != NULL_ID, c)

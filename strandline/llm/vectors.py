@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import NULL_ID, id_key, materialise, partitions, split_twins
-from .components import components
+from .components import components, join_components
 from .jaccard import _groups
 
 #: Vectors that pivots are chosen from, most pivots, how many comparisons a copy of a vector costs, and vectors of a side of
@@ -242,8 +242,8 @@ def range_join(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     joined = components(found.select("a", "b")).withColumnRenamed("id", "node")
     info = classes.select("node", "first", "size").join(links, "node", "left").join(joined, "node", "left")
     info = info.withColumn("component", F.coalesce("component", "node"))
-    tops = info.groupBy("component").agg(F.min("first").alias("top"))
-    info = info.join(tops, "component").select("node", F.col("size"), "links", "top")
+    tops = info.groupBy("component").agg(F.min("first").alias("top"), F.count("*").alias("members"))
+    info = join_components(info, tops, "node").select("node", "size", "links", "top")
     out = signed.select("id", "node").join(info, "node", "left")
     shown = lambda c: F.when(c != NULL_ID, c)
     top = F.coalesce("top", "id")

@@ -356,6 +356,16 @@ def test_classes_that_share_a_hash_are_told_apart(spark):
 # ---- components
 
 
+@pytest.mark.parametrize(("large", "most"), [(1024, 500_000), (3, 500_000), (3, 0)])
+def test_rows_meet_their_components(spark, monkeypatch, large, most):
+    monkeypatch.setattr(components, "LARGE", large)
+    monkeypatch.setattr(components, "BROADCAST_ROWS", most)
+    rows = spark.createDataFrame([(k, 1 if k < 9 else 20 if k < 12 else k) for k in range(1, 40)], "node long, component long")
+    groups = rows.groupBy("component").agg(F.count("*").alias("members"), F.max("node").alias("top"))
+    found = {(r.node, r.component, r.members, r.top) for r in components.join_components(rows, groups, "node").collect()}
+    assert found == {(k, 1, 8, 8) if k < 9 else (k, 20, 4, 20) if k < 12 or k == 20 else (k, k, 1, k) for k in range(1, 40)}
+
+
 @pytest.mark.parametrize("most", [500_000, -1])  # also where a round's changes are too many to broadcast
 def test_components_equal_union_find(spark, monkeypatch, most):
     monkeypatch.setattr(components, "BROADCAST_ROWS", most)
