@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Sizes in bytes at which a batch is sent, and that it never exceeds.
 TRIGGER, HARD_CAP = 170 << 20, 200 << 20
@@ -13,29 +17,32 @@ def pack(files: DataFrame, order: list[str], size: str = "size", trigger: int |
     """Files with their bin; files over the cap have bin null (dropped). Within a key (a watched folder) in order.
 
     A bin closes before it would exceed the cap, and as soon as it reaches the trigger (None: never). Where the next bin
-    starts depends on all before, so a key's sizes are folded in one array; it holds sizes of one folder's files only."""
+    starts depends on all before, so the files of a key pass through one task in order; that task streams over names and
+    sizes and holds a sum and a number. A null size counts as 0."""
     keys = keys or []
-    items = F.struct(*order, F.col(size).cast("bigint").alias("__size"))
-    rows = files.groupBy(*keys).agg(F.array_sort(F.collect_list(items)).alias("__files"))
-    start = F.struct(F.lit(0).cast("bigint").alias("sum"), F.lit(0).alias("bin"), F.array().cast("array<int>").alias("bins"))
-    never = F.lit((1 << 63) - 1) if trigger is None else F.lit(trigger)
-
-    def step(acc: Column, x: Column) -> Column:
-        n = x["__size"]
-        over = n > cap
-        full = (acc["sum"] > 0) & (acc["sum"] + n > cap)
-        total = F.when(full, n).otherwise(acc["sum"] + n)
-        mine = acc["bin"] + F.when(full, 1).otherwise(0)
-        done = total >= never
-        return F.struct(
-            F.when(over, acc["sum"]).when(done, F.lit(0).cast("bigint")).otherwise(total).alias("sum"),
-            F.when(over, acc["bin"]).otherwise(mine + F.when(done, 1).otherwise(0)).alias("bin"),
-            F.concat(acc["bins"], F.array(F.when(~over, mine))).alias("bins"),
-        )
-
-    folded = rows.withColumn("__bins", F.aggregate("__files", start, step)["bins"])
-    out = folded.select(*keys, F.explode(F.arrays_zip("__files", "__bins")).alias("x"))
-    return out.select(*keys, *[F.col(f"x.__files.{c}").alias(c) for c in order], F.col("x.__files.__size").alias(size), F.col("x.__bins").alias("bin"))
+    rows = files.select(*keys, *order, F.coalesce(F.col(size).cast("bigint"), F.lit(0)).alias(size))
+    rows = (rows.repartition(*keys) if keys else rows.repartition(1)).sortWithinPartitions(*keys, *order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, total, number = None, 0, 0
+        for batch in batches:
+            at = list(zip(*(batch.column(k).to_pylist() for k in keys), strict=True)) if keys else [()] * batch.num_rows
+            bins: list[int | None] = []
+            for mine, n in zip(at, batch.column(size).to_pylist(), strict=True):
+                if mine != key:
+                    key, total, number = mine, 0, 0
+                if n > cap:
+                    bins.append(None)
+                    continue
+                if total and total + n > cap:
+                    total, number = 0, number + 1
+                bins.append(number)
+                total += n
+                if trigger is not None and total >= trigger:
+                    total, number = 0, number + 1
+            yield batch.append_column("bin", pa.array(bins, pa.int32()))
+
+    return rows.mapInArrow(run, T.StructType([*rows.schema, T.StructField("bin", T.IntegerType())]))
 
 
 def stale_files(manifest: DataFrame, now: Column, days: int) -> DataFrame:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import uuid
+import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.links import username_fault
+from ..functions.links import prefix_match, username_fault
 from . import tables
 
 
@@ -71,7 +71,7 @@ def tandem_edges(messages: DataFrame, invalid: DataFrame, source: str = "source_
     rows = rows.select("batch_id", "source_channel", F.col("link.name").alias("destination_channel"), F.col("link.source_type").alias("source_type"))
     rows = without_loops(rows, "source_channel", "destination_channel").filter(username_fault(F.col("destination_channel")).isNull())
     rows = rows.join(invalid.select(F.col("channel_username").alias("destination_channel")), "destination_channel", "left_anti")
-    return tables.first_wins(rows, ["batch_id", "destination_channel"], ["source_type"])
+    return tables.first_wins(rows, ["batch_id", "destination_channel"], ["source_type", "source_channel"])
 
 
 def classify(edges: DataFrame, invalid: DataFrame, known: DataFrame, verdicts: DataFrame, order: list[str | Column]) -> DataFrame:
@@ -92,38 +92,48 @@ def classify(edges: DataFrame, invalid: DataFrame, known: DataFrame, verdicts: D
     return rows.select("key", "channel", status.alias("status"), reason.alias("reason"))
 
 
+def hash_ranks(channels: DataFrame, seed: str) -> tuple[DataFrame, int]:
+    """channel, rank (from 0, in the order of a hash with the seed) of distinct channels, and how many there are.
+
+    Hashes are cut to buckets by their first digits: ranks are counted in each bucket, and the buckets' sizes are added up
+    before, so no task ranks them all."""
+    places = channels.select("channel").filter("channel IS NOT NULL").distinct().withColumn("__h", F.md5(F.concat_ws(":", F.lit(seed), "channel")))
+    n = places.count()
+    digits = max(1, min(5, len(f"{n // 10_000:x}")))
+    places = places.withColumn("__bucket", F.substring("__h", 1, digits))
+    before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)  # of at most 16**5 rows
+    base = places.groupBy("__bucket").agg(F.count("*").alias("__n")).select("__bucket", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
+    inside = F.row_number().over(Window.partitionBy("__bucket").orderBy("__h", "channel")) - 1
+    return places.withColumn("__own", inside).join(base, "__bucket").select("channel", (F.col("__base") + F.col("__own")).alias("rank")), n
+
+
+def walkback_targets(back: DataFrame, valid: DataFrame, known: DataFrame, seed: str, draws: int = 10) -> DataFrame:
+    """batch_id, back: for each batch (batch_id, source_channel) the first of up to `draws` uniform draws of a known channel
+    that is neither its source nor one of its new channels (valid: batch_id, channel). A batch whose draws are all
+    excluded has no row. Draws are hashes of seed, batch and attempt."""
+    places, n = hash_ranks(known, seed)
+    drawn = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.lit("back"), "batch_id", F.col("attempt").cast("string"))), 1, 15), 16, 10).cast("bigint")
+    wanted = back.select("batch_id", "source_channel", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("attempt")).withColumn("rank", F.pmod(drawn, F.lit(max(1, n))))
+    found = wanted.join(places.withColumnRenamed("channel", "back"), "rank").filter(F.col("back") != F.col("source_channel"))
+    found = found.join(valid.select("batch_id", F.col("channel").alias("back")), ["batch_id", "back"], "left_anti")
+    return found.groupBy("batch_id").agg(F.min_by("back", "attempt").alias("back"))
+
+
 def walk_step(batches: DataFrame, valid: DataFrame, known: DataFrame, walkback_rate: int, seed: str) -> tuple[DataFrame, DataFrame]:
     """Pages and edges that finished batches give.
 
     batches: batch_id, crawl_id, source_channel, source_page_id, source_depth, sequence_id. valid: batch_id, channel (newly
-    claimed ones). A batch without new channels walks back; else a draw of 1..100 up to the rate walks back. Forward goes to
+    claimed ones, each once). A batch without new channels walks back; else a draw of 1..100 up to the rate walks back. Forward goes to
     a uniform new channel; new channels not taken become skipped edges. Back goes to a uniform known channel other than
-    the source and the new ones, and starts a new sequence for the page while the edge stays in the old one.
-    Draws are hashes of seed and batch, and known channels are drawn by buckets of their hashes, so no task ranks them all. A
-    walk back fails only if there is no channel to go to.
+    the source and the new ones, and starts a new sequence for the page while the edge stays in the old one. A batch whose
+    ten draws of a channel to go back to all fail gives no page and no edges. Draws are hashes of seed and batch.
     """
-    # each batch needs its rank among few new channels and a few candidates to walk back to
     new = valid.withColumn("__h", F.md5(F.concat_ws(":", F.lit(seed), "batch_id", "channel")))
-    chosen = new.groupBy("batch_id").agg(F.count("*").alias("new_channels"), F.min_by("channel", F.struct("__h", "channel")).alias("forward"), F.array_sort(F.collect_set("channel")).alias("__new"))
+    chosen = new.groupBy("batch_id").agg(F.count("*").alias("new_channels"), F.min_by("channel", F.struct("__h", "channel")).alias("forward"))
     rows = batches.join(chosen, "batch_id", "left").fillna({"new_channels": 0})
     draw = F.pmod(F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), "batch_id")), 1, 8), 16, 10).cast("bigint"), F.lit(100)) + 1
-    back = (F.col("new_channels") == 0) | (F.lit(walkback_rate) >= draw)
-    rows = rows.withColumn("walkback", back)
-    # known channels in buckets of about eight by their hash; a batch draws a bucket and looks into it and the next two
-    places = known.select(F.col("channel").alias("back")).distinct()
-    buckets = max(1, places.count() // 8)
-    places = places.withColumn("bucket", F.pmod(F.xxhash64(F.lit(seed), "back"), F.lit(buckets)))
-    drawn = F.pmod(F.xxhash64(F.lit(seed), F.lit("back"), "batch_id"), F.lit(buckets))
-    back = rows.filter("walkback").select("batch_id", "source_channel", "__new")
-    wanted = back.withColumn("attempt", F.explode(F.sequence(F.lit(0), F.lit(min(2, buckets - 1))))).withColumn("bucket", F.pmod(drawn + F.col("attempt"), F.lit(buckets)))
-    allowed = (F.col("back") != F.col("source_channel")) & ~F.coalesce(F.array_contains("__new", F.col("back")), F.lit(False))
-    choice = F.struct("attempt", F.md5(F.concat_ws(":", F.lit(seed), "batch_id", "back")))
-    targets = wanted.join(places, "bucket").filter(allowed).groupBy("batch_id").agg(F.min_by("back", choice).alias("back"))
-    # a batch that may go to none of those takes the first of the smallest names that it may go to: one more than it rules out
-    most = back.agg(F.coalesce(F.max(F.size(F.coalesce("__new", F.array().cast("array<string>")))), F.lit(0))).first()[0]
-    spare = [r.back for r in places.select("back").orderBy("back").limit(most + 2).collect()]
-    other = F.filter(F.array(*map(F.lit, spare)).cast("array<string>"), lambda x: (x != F.col("source_channel")) & ~F.coalesce(F.array_contains("__new", x), F.lit(False)))
-    targets = back.join(targets, "batch_id", "left").select("batch_id", F.coalesce("back", F.get(other, F.lit(0))).alias("back"))
+    rows = rows.withColumn("walkback", (F.col("new_channels") == 0) | (F.lit(walkback_rate) >= draw))
+    targets = walkback_targets(rows.filter("walkback"), valid, known, seed)
     rows = rows.join(targets, "batch_id", "left").withColumn("next", F.when(F.col("walkback"), F.col("back")).otherwise(F.col("forward"))).filter("next IS NOT NULL")
     fresh = F.sha2(F.concat_ws(":", F.lit(seed), F.lit("sequence"), "batch_id"), 256)
     pages = rows.select(
@@ -161,39 +171,60 @@ def replacement(failed: DataFrame, edges: DataFrame, seeds: DataFrame, seed: str
 def layers(edges: DataFrame, roots: DataFrame, max_depth: int = -1, allowed: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """channel, depth: breadth-first layers from the roots over edges (source, destination), each channel in its first one.
 
-    Stops at an empty layer or after max_depth layers (-1: none). `allowed` filters the channels of a layer. Each layer is
-    checkpointed, so lineage doesn't grow with depth."""
+    Stops at an empty layer or after max_depth layers (-1: none). `allowed` filters the channels of a layer. Edges are made
+    distinct and dealt by their source once; each layer is checkpointed, so lineage doesn't grow with depth."""
     spark = edges.sparkSession
     ensure_checkpoints(spark)
+    held = without_loops(edges, "source", "destination").select("source", "destination").distinct().repartition("source").checkpoint()
     layer = roots.select("channel").distinct().withColumn("depth", F.lit(0)).checkpoint()
     seen, depth = layer, 0
     while (max_depth < 0 or depth < max_depth) and not layer.isEmpty():
         depth += 1
-        found = edges.join(layer.select(F.col("channel").alias("source")), "source", "left_semi").select(F.col("destination").alias("channel")).distinct()
+        found = held.join(layer.select(F.col("channel").alias("source")), "source", "left_semi").select(F.col("destination").alias("channel")).distinct()
         found = allowed(found) if allowed else found
         layer = found.join(seen, "channel", "left_anti").withColumn("depth", F.lit(depth)).checkpoint()
         seen = seen.union(layer)
     return seen
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder in spark.checkpoint.dir; a local session without one gets its own."""
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if path is None:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        path = f"{tempfile.gettempdir()}/strandline-{spark.sparkContext.applicationId}"
+    return path.rstrip("/")
+
+
 def ensure_checkpoints(spark: SparkSession) -> None:
-    """Use the folder in spark.checkpoint.dir; a local session without one gets its own."""
     if spark.sparkContext.getCheckpointDir() is None:
-        path = spark.conf.get("spark.checkpoint.dir", None)
-        if path is None:
-            if not spark.sparkContext.master.startswith("local"):
-                raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-            import tempfile
+        spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/checkpoints")
 
-            path = f"{tempfile.gettempdir()}/strandline-checkpoints-{uuid.uuid4().hex}"
-        spark.sparkContext.setCheckpointDir(path)
 
-
-def snowball(edges: DataFrame, seeds: DataFrame, sizes: DataFrame, min_videos: int = 10, limit: int | None = None) -> DataFrame:
+def snowball(edges: DataFrame, seeds: DataFrame, sizes: DataFrame, min_videos: int = 10) -> DataFrame:
     """Layers over mentions in which only channels with more than min_videos videos go on; sizes: channel, video_count."""
     large = sizes.filter(F.col("video_count") > min_videos).select("channel")
-    found = layers(edges, seeds, -1, lambda df: df.join(large, "channel", "left_semi"))
-    return found.orderBy("depth", "channel").limit(limit) if limit is not None else found
+    return layers(edges, seeds, -1, lambda df: df.join(large, "channel", "left_semi"))
+
+
+def snowball_videos(found: DataFrame, videos: DataFrame, at: str, key: str, per_channel: int = 50, limit: int = -1) -> DataFrame:
+    """The newest videos (with a column channel) of the channels of a snowball (channel, depth), so many of each; in all at
+    most `limit` (-1: no limit), those of nearer layers first."""
+    newest = tables.top_per_key(tables.known_rows(videos, found, ["channel"]), ["channel"], [F.desc(at), F.col(key)], per_channel).join(found.select("channel", "depth"), "channel")
+    return newest.orderBy("depth", "channel", F.desc(at), key).limit(limit) if limit >= 0 else newest
+
+
+def prefix_sample(videos: DataFrame, prefixes: DataFrame, sizes: DataFrame, n: int, seed: str, per_search: int = 10, min_videos: int = 10) -> DataFrame:
+    """n random videos (id, channel, number) found by searches for prefixes of ids (column prefix, each searched once). A search
+    gives the videos of at most `per_search` channels, and channels with no more than min_videos videos are left out."""
+    searched = prefixes.select(F.lower("prefix").alias("prefix")).distinct()
+    hits = videos.withColumn("prefix", F.lower(F.left("id", F.lit(5)))).join(searched, "prefix").filter(prefix_match(F.col("id"), F.col("prefix")))
+    channels = tables.top_per_key(hits.select("prefix", "channel").distinct(), ["prefix"], [tables.hash_order(seed, "prefix", "channel"), F.col("channel")], per_search)
+    large = sizes.filter(F.col("video_count") > min_videos).select("channel")
+    kept = tables.known_rows(hits, tables.known_rows(channels, large, ["channel"]), ["prefix", "channel"])
+    return tables.random_rows(kept, n, seed, "number")
 
 
 def draw_seeds(seeds: DataFrame, n: int, seed: str, key: str = "channel_username") -> DataFrame:

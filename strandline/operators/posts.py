@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.links import channel_links, channel_url, message_link, public_message_id, urls
 from ..functions.parsing import duration_seconds
 from ..schemas import POST, struct
+from . import tables
 
 #: Message types whose text is their own, and those with a caption; others have none. Fixed values.
 TEXT_TYPES = ("messageText",)
@@ -148,6 +149,33 @@ def stored_posts(posts: DataFrame, method: str, crawl_label: str) -> DataFrame:
     return kept.withColumn("crawl_label", F.coalesce(F.nullif(F.col("crawl_label"), F.lit("")), F.lit(crawl_label)))
 
 
+def first_comments(comments: DataFrame, keys: list[str], order: list[str], text: str, most: int) -> DataFrame:
+    """keys, comments (texts in order): the first `most` of each thread; -1 keeps all, 0 none. The cap is applied before
+    the texts of a thread are gathered, and in each task before the shuffle."""
+    rows = comments if most < 0 else tables.top_per_key(comments, keys, [F.col(c) for c in order], most) if most else comments.limit(0)
+    gathered = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*order, F.col(text).alias("__text")))).alias("c"))
+    return gathered.select(*keys, F.transform("c", lambda x: x["__text"]).alias("comments"))
+
+
+def posts_of_jobs(jobs: DataFrame, posts: DataFrame, key: str) -> DataFrame:
+    """The posts that each job stores: those of its crawl, with the job's id and label. Jobs without a crawl store none; a
+    post of several jobs is stored for each."""
+    rows = jobs.filter(F.coalesce(key, F.lit("")) != "").select(key, "job_id", F.col("crawl_label").alias("__label"))
+    return posts.join(rows, key).withColumn("crawl_label", F.col("__label")).drop("__label")
+
+
+def work_results(items: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame:
+    """Results of work: success with the number of posts and found channels, or error with its text; items without an
+    outcome have none."""
+    found = outcomes.select("id", F.col("error").alias("__error"), "post_count", "discovered")
+    failed = F.coalesce("__error", F.lit("")) != ""
+    return items.join(found, "id").select(
+        "id", "crawl_id", "url", F.when(failed, "error").otherwise("success").alias("status"), F.when(failed, F.col("__error")).otherwise("").alias("error"),
+        F.when(failed, 0).otherwise(F.coalesce("post_count", F.lit(0))).cast("bigint").alias("post_count"),
+        F.when(failed, F.array().cast("array<string>")).otherwise(F.coalesce("discovered", F.array().cast("array<string>"))).alias("discovered"), now.alias("completed_at"),
+    )
+
+
 def work_item(pages: DataFrame, now: Column, **config: Column) -> DataFrame:
     """Pages as work for a worker, with the settings of the crawl as a struct."""
     settings = F.struct(*[v.alias(k) for k, v in config.items()]) if config else F.lit(None).alias("config")

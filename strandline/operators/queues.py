@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from . import tables
+from . import graph, tables
 
 #: A batch is given up after so many attempts.
 MAX_ATTEMPTS = 3
@@ -101,13 +106,57 @@ def blocked_state(outcomes: DataFrame, keys: list[str], order: list[str], outcom
     """Per key, over its outcomes in order: the counter at the end (blocked adds one, transient takes one off down to zero,
     definitive resets) and at which outcome it first reached the limit, from 1; null if never.
 
-    A fold over the outcomes of a key in order, one array a key: keys are validators, each with the outcomes of a run."""
-    steps = outcomes.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*order, F.col(outcome).alias("__o")))).alias("s"))
-    start = F.struct(F.lit(0).alias("n"), F.lit(0).alias("at"), F.lit(None).cast("int").alias("first"))
-
-    def step(acc: Column, x: Column) -> Column:
-        n = F.when(x["__o"] == "blocked", acc["n"] + 1).when(x["__o"] == "transient", F.greatest(acc["n"] - 1, F.lit(0))).otherwise(0)
-        return F.struct(n.alias("n"), (acc["at"] + 1).alias("at"), F.coalesce(acc["first"], F.when(n >= limit, acc["at"] + 1)).alias("first"))
-
-    folded = steps.withColumn("f", F.aggregate("s", start, step))
-    return folded.select(*keys, F.col("f.n").alias("counter"), F.col("f.first").alias("blocked_at"))
+    The outcomes of a key pass through one task in order, which holds three numbers for it."""
+    rows = outcomes.select(*keys, *[o for o in order if o not in keys], F.col(outcome).alias("__o")).repartition(*keys).sortWithinPartitions(*keys, *order)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, n, at, first = None, 0, 0, None
+        out: list[tuple] = []
+        for batch in batches:
+            for *mine, kind in zip(*(batch.column(c).to_pylist() for c in (*keys, "__o")), strict=True):
+                if mine != key:
+                    if key is not None:
+                        out.append((*key, n, first))
+                    key, n, at, first = mine, 0, 0, None
+                n, at = n + 1 if kind == "blocked" else max(0, n - 1) if kind == "transient" else 0, at + 1
+                first = at if first is None and n >= limit else first
+            if len(out) > 10_000:
+                yield made(out)
+                out = []
+        if key is not None:
+            yield made([*out, (*key, n, first)])
+
+    def made(out: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], [*keys, "counter", "blocked_at"])
+
+    schema = T.StructType([*(rows.schema[k] for k in keys), T.StructField("counter", T.LongType()), T.StructField("blocked_at", T.LongType())])
+    kinds = [f.type for f in to_arrow_schema(schema)]
+    return rows.mapInArrow(run, schema)
+
+
+def walkback_round(batches: DataFrame, edges: DataFrame, statistics: DataFrame, known: DataFrame, now: Column, walkback_rate: int, seed: str, stale_minutes: int = 10) -> Iterator[dict[str, DataFrame]]:
+    """One round of the walk-back processor, as the changes to write one after the other.
+
+    Stale batches are recovered; the oldest ready batch is claimed; its valid edges give a page and edges to follow; the
+    batch is completed; then its counts are added to the statistics and its edges deleted. As completion is written before that, a
+    crash in between leaves a completed batch with edges, which without_orphans deletes; nothing is counted twice."""
+    recovered, _ = recover_batches(batches, now, stale_minutes)
+    claimed, mine, processing = claim_batch(recovered, edges, now)
+    yield {"batches": processing}
+    valid = mine.filter("validation_status = 'valid'").select("batch_id", F.col("destination_channel").alias("channel")).distinct()
+    pages, followed = graph.walk_step(claimed, valid, known, walkback_rate, seed)
+    yield {"page_buffer": pages, "edges": followed}
+    marks = claimed.select("batch_id", F.lit("completed").alias("status"), now.alias("completed_at"))
+    done = processing if "completed_at" in processing.columns else processing.withColumn("completed_at", F.lit(None).cast(marks.schema["completed_at"].dataType))
+    yield {"batches": tables.update_by_key(done, marks, ["batch_id"])}
+    counts = tables.additive_merge(statistics, batch_statistics(mine), ["crawl_id", "source_type"])
+    yield {"source_stats": counts, "pending_edges": tables.new_rows(edges, claimed, ["batch_id"])}
+
+
+def validation_round(edges: DataFrame, invalid: DataFrame, known: DataFrame, verdicts: DataFrame, k: int, now: Column) -> DataFrame:
+    """The pending edges after one round: the k found first are claimed, classified and updated; those without a definite
+    verdict wait again. invalid, known: channel. verdicts: channel, verdict, reason."""
+    claimed, validating = claim_edges(edges, k, now)
+    rows = claimed.select(F.col("pending_id").alias("key"), F.col("destination_channel").alias("channel"), "discovery_time")
+    found = graph.classify(rows, invalid, known, verdicts, ["discovery_time", "key"])
+    return update_edges(validating, found.select(F.col("key").alias("pending_id"), F.col("status").alias("validation_status"), F.col("reason").alias("validation_reason")))

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import tables
+
 
 def total_views(messages: DataFrame, keys: Sequence[str], views: str = "views") -> DataFrame:
     """Views and number of the messages fetched, by key; a message without interactions has none."""
@@ -101,6 +103,14 @@ def needs_work(status: Column, retries: Column, max_retries: int = 3) -> Column:
     return (status == "unfetched") | ((status == "error") & (retries < max_retries))
 
 
+def distribute(pages: DataFrame, unpublished: DataFrame, max_retries: int = 3) -> tuple[DataFrame, DataFrame]:
+    """Pages handed out, and the table after it: what needs work is being processed, but pages whose message couldn't be
+    published (page_id) go back to the status they had."""
+    given = tables.new_rows(pages.filter(needs_work(F.col("status"), F.col("retries"), max_retries)), unpublished, ["page_id"])
+    marks = given.select("page_id", F.lit("processing").alias("status"))
+    return given, tables.update_by_key(pages, marks, ["page_id"])
+
+
 def tandem_done(buffered: DataFrame, in_flight: int, incomplete: DataFrame) -> DataFrame:
     """Whether a tandem crawl is over: nothing buffered, nothing in flight, no batch incomplete."""
     left = buffered.agg(F.count("*").alias("n")).union(incomplete.agg(F.sum("n").alias("n")))

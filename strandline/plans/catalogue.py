@@ -144,6 +144,6 @@ def now():
 
 def load() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
     """All queries and their SQL."""
-    from . import queries_flow, queries_tables, queries_values  # noqa: F401  they register themselves
+    from . import queries_flow, queries_settings, queries_tables, queries_values  # noqa: F401  they register themselves
 
     return QUERIES, ORACLES

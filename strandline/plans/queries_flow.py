@@ -52,10 +52,10 @@ def b09_lookup(t: Tables) -> DataFrame:
     return files.lookup(rows, channels, ("id", "handle")).select("c_custkey", "found.n_name")
 
 
-@query("SELECT conv_id, least(count(*), 3)::BIGINT AS n FROM conversations GROUP BY conv_id")
+@query("SELECT conv_id, count(*)::BIGINT AS n, md5(string_agg(text, '|' ORDER BY turn)) AS texts FROM conversations WHERE turn IN (SELECT c.turn FROM conversations c WHERE c.conv_id = conversations.conv_id ORDER BY c.turn LIMIT 3) GROUP BY conv_id")
 def b10_capped_comments(t: Tables) -> DataFrame:
-    rows = t.read("conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("c"))
-    return rows.select("conv_id", F.size(posts.capped(F.col("c"), 3)).cast("bigint").alias("n"))
+    rows = posts.first_comments(t.read("conversations"), ["conv_id"], ["turn"], "text", 3)
+    return rows.select("conv_id", F.size("comments").cast("bigint").alias("n"), F.md5(F.array_join("comments", "|")).alias("texts"))
 
 
 @query("SELECT CAST(user_id AS STRING) AS channel_id, count(*)::BIGINT AS n FROM events GROUP BY user_id")
@@ -225,13 +225,22 @@ def e14_classify(t: Tables) -> DataFrame:
 
 
 @query("""
-    SELECT DISTINCT batch_id, concat('chan_', CAST(pending_id % 40 AS STRING)) AS destination_channel FROM v_pending WHERE pending_id % 40 <> 7 AND NOT (pending_id % 40 = 9 AND pending_id % 2 = 1)""")
+    SELECT batch_id, concat('chan_', CAST(pending_id % 40 AS STRING)) AS destination_channel, min(CASE WHEN pending_id % 40 = 9 THEN 'chan_9' ELSE concat('source', CAST(pending_id % 7 AS STRING)) END) AS source_channel
+    FROM v_pending WHERE pending_id % 40 NOT IN (7, 9) GROUP BY ALL""")
 def e15_tandem_edges(t: Tables) -> DataFrame:
     n = (F.col("pending_id") % 40).cast("string")
     link = lambda name, kind: F.struct(name.alias("name"), F.lit(kind).alias("source_type"))
-    rows = t.pending.select("batch_id", F.when(F.col("pending_id") % 40 == 9, "chan_9").otherwise("source").alias("source_channel"), F.array(link(F.concat(F.lit("chan_"), n), "url"), link(F.lit("somebot"), "mention"), link(F.lit("abc"), "url")).alias("links"))
+    source = F.when(F.col("pending_id") % 40 == 9, "chan_9").otherwise(F.concat(F.lit("source"), (F.col("pending_id") % 7).cast("string")))
+    rows = t.pending.select("batch_id", source.alias("source_channel"), F.array(link(F.concat(F.lit("chan_"), n), "url"), link(F.lit("somebot"), "mention"), link(F.lit("abc"), "url")).alias("links"))
     invalid = t.spark.range(1).select(F.lit("chan_7").alias("channel_username"))
-    return graph.tandem_edges(rows, invalid).select("batch_id", "destination_channel")
+    return graph.tandem_edges(rows, invalid).select("batch_id", "destination_channel", "source_channel")
+
+
+@query("SELECT page_id, concat('label', substring(crawl_id, 2)) AS crawl_label, job_id FROM v_pages JOIN (SELECT * FROM (VALUES ('j1', 'c1'), ('j2', 'c2'), ('j3', 'c1')) j(job_id, crawl)) ON crawl = crawl_id")
+def e16_posts_of_jobs(t: Tables) -> DataFrame:
+    jobs = t.spark.createDataFrame([("j1", "c1", "label1"), ("j2", "c2", "label2"), ("j3", "c1", "label1"), ("j4", "", "none"), ("j5", None, "none")], "job_id string, crawl_id string, crawl_label string")
+    rows = t.pages.select("page_id", "crawl_id", F.lit("").alias("crawl_label"))
+    return posts.posts_of_jobs(jobs, rows, "crawl_id").select("page_id", "crawl_label", "job_id")
 
 
 @query("SELECT depth, url, CASE WHEN CAST(substring(url, 5, 9) AS INT) % 2 = 0 THEN 'fetched' ELSE status END AS status, count(*)::BIGINT AS n FROM v_pages GROUP BY ALL")
@@ -313,36 +322,54 @@ _WALK = """
     d AS (SELECT b.batch_id, coalesce(n, 0) AS n, ('0x' || substring(md5(concat_ws(':', '9', b.batch_id)), 1, 8))::BIGINT % 100 + 1 AS draw FROM b LEFT JOIN n ON n.batch_id = b.batch_id)"""
 
 
-@query(f"WITH {_WALK.strip()} SELECT CAST(n = 0 OR 30 >= draw AS BOOLEAN) AS walkback, count(*)::BIGINT AS pages FROM d GROUP BY 1")
+_TARGETS = _WALK + """,
+    k AS (SELECT channel, row_number() OVER (ORDER BY md5(concat_ws(':', '9', channel)), channel) - 1 AS rank FROM (SELECT source_channel AS channel FROM v_edges UNION SELECT destination_channel FROM v_edges) WHERE channel IS NOT NULL),
+    a AS (SELECT b.batch_id, b.source_channel, i, ('0x' || substring(md5(concat_ws(':', '9', 'back', b.batch_id, CAST(i AS STRING))), 1, 15))::BIGINT % (SELECT count(*) FROM k) AS rank FROM b, range(10) r(i)),
+    c AS (SELECT a.batch_id, arg_min(k.channel, i) AS back FROM a JOIN k ON k.rank = a.rank WHERE k.channel <> a.source_channel AND NOT EXISTS (SELECT 1 FROM v WHERE v.batch_id = a.batch_id AND v.channel = k.channel) GROUP BY a.batch_id),
+    w AS (SELECT batch_id, arg_min(channel, md5(concat_ws(':', '9', batch_id, channel))) AS forward FROM v GROUP BY batch_id),
+    g AS (SELECT b.*, n = 0 OR 30 >= draw AS walkback, CASE WHEN n = 0 OR 30 >= draw THEN back ELSE forward END AS next FROM b JOIN d ON d.batch_id = b.batch_id LEFT JOIN c ON c.batch_id = b.batch_id LEFT JOIN w ON w.batch_id = b.batch_id)"""
+
+
+@query(f"WITH {_TARGETS.strip()} SELECT batch_id, next AS back FROM g WHERE walkback AND next IS NOT NULL")
+def f13_walkback_target(t: Tables) -> DataFrame:
+    batches, valid, known = _walk_input(t)
+    counted = valid.groupBy("batch_id").agg(F.count("*").alias("n"))
+    draw = F.pmod(F.conv(F.substring(F.md5(F.concat_ws(":", F.lit("9"), "batch_id")), 1, 8), 16, 10).cast("bigint"), F.lit(100)) + 1
+    back = batches.join(counted, "batch_id", "left").filter(F.col("n").isNull() | (F.lit(30) >= draw))
+    return graph.walkback_targets(back, valid, known, "9")
+
+
+@query(f"""WITH {_TARGETS.strip()} SELECT sha256(concat_ws(':', '9', 'page', batch_id)) AS page_id, source_page_id AS parent_id, (source_depth + 1)::INT AS depth, next AS url, crawl_id,
+    CASE WHEN walkback THEN sha256(concat_ws(':', '9', 'sequence', batch_id)) ELSE sequence_id END AS sequence_id FROM g WHERE next IS NOT NULL""")
 def f14_walk_step(t: Tables) -> DataFrame:
-    _, edges = _walk(t)
-    return edges.filter("NOT skipped").groupBy("walkback").agg(F.count("*").alias("pages"))
+    return graph.walk_step(*_walk_input(t), 30, "9")[0]
 
 
-@query(f"WITH {_WALK.strip()} SELECT CAST(sum(CASE WHEN n = 0 THEN 0 WHEN 30 >= draw THEN n ELSE n - 1 END) AS BIGINT) AS skipped, count(*)::BIGINT AS followed FROM d")
+@query(f"""WITH {_TARGETS.strip()} SELECT next AS destination_channel, source_channel, walkback, false AS skipped, crawl_id, sequence_id FROM g WHERE next IS NOT NULL
+    UNION ALL SELECT v.channel, source_channel, false, true, crawl_id, sequence_id FROM g JOIN v ON v.batch_id = g.batch_id WHERE next IS NOT NULL AND (walkback OR v.channel <> next)""")
 def f14_walk_edges(t: Tables) -> DataFrame:
-    pages, edges = _walk(t)
-    return edges.agg(F.count_if("skipped").alias("skipped"), F.count_if(~F.col("skipped")).alias("followed"))
+    return graph.walk_step(*_walk_input(t), 30, "9")[1]
 
 
-def _walk(t: Tables) -> tuple[DataFrame, DataFrame]:
-    batches = t.batches.filter("status = 'closed'")
+def _walk_input(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     valid = t.pending.filter("validation_status = 'valid'").select("batch_id", F.col("destination_channel").alias("channel")).distinct()
-    return graph.walk_step(batches, valid, graph.vertices(t.edges), 30, "9")
+    return t.batches.filter("status = 'closed'"), valid, graph.vertices(t.edges)
 
 
 @query("""
     WITH f AS (SELECT concat('p', CAST(event_id AS STRING)) AS page_id, concat('chan', CAST(event_id % 211 AS STRING)) AS url, concat('s', CAST(user_id % 10 AS STRING)) AS sequence_id FROM events WHERE event_id % 40 = 0),
     f2 AS (SELECT page_id, CASE WHEN CAST(substring(page_id, 2, 9) AS INT) % 120 = 0 THEN concat('chan', CAST(1 + CAST(substring(page_id, 2, 9) AS INT) % 7 + 300 AS STRING)) ELSE url END AS url, sequence_id FROM f),
     l AS (SELECT destination_channel AS url, sequence_id, source_channel, walkback FROM (SELECT *, row_number() OVER (PARTITION BY destination_channel, sequence_id ORDER BY edge_id) AS n FROM v_edges) WHERE n = 1),
-    s AS (SELECT DISTINCT source_channel, sequence_id FROM v_edges e WHERE skipped AND NOT EXISTS (SELECT 1 FROM f2 WHERE f2.url = e.destination_channel AND f2.sequence_id = e.sequence_id))
-    SELECT page_id, CASE WHEN l.url IS NULL THEN CASE WHEN f2.url IN (SELECT channel_username FROM v_seeds) THEN 'seed' ELSE 'walkback' END WHEN walkback THEN 'walkback' WHEN s.source_channel IS NOT NULL THEN 'promote' ELSE 'walkback' END AS action
-    FROM f2 LEFT JOIN l ON l.url = f2.url AND l.sequence_id = f2.sequence_id LEFT JOIN s ON s.source_channel = l.source_channel AND s.sequence_id = l.sequence_id""")
+    s AS (SELECT source_channel, sequence_id, arg_min(destination_channel, md5(concat_ws(':', '1', CAST(edge_id AS STRING)))) AS other FROM v_edges e WHERE skipped AND NOT EXISTS (SELECT 1 FROM f2 WHERE f2.url = e.destination_channel AND f2.sequence_id = e.sequence_id) GROUP BY ALL),
+    o AS (SELECT arg_min(channel_username, md5(concat_ws(':', '1', channel_username))) AS seed FROM v_seeds WHERE channel_username <> '' AND channel_username NOT IN (SELECT url FROM f2)),
+    r AS (SELECT page_id, other, CASE WHEN l.url IS NULL THEN CASE WHEN f2.url IN (SELECT channel_username FROM v_seeds) THEN 'seed' ELSE 'walkback' END WHEN walkback THEN 'walkback' WHEN s.source_channel IS NOT NULL THEN 'promote' ELSE 'walkback' END AS action
+    FROM f2 LEFT JOIN l ON l.url = f2.url AND l.sequence_id = f2.sequence_id LEFT JOIN s ON s.source_channel = l.source_channel AND s.sequence_id = l.sequence_id)
+    SELECT page_id, action, CASE action WHEN 'promote' THEN other WHEN 'seed' THEN (SELECT seed FROM o) END AS channel FROM r""")
 def f15_replacement(t: Tables) -> DataFrame:
     n = F.col("edge_id")
     url = F.when(n % 120 == 0, F.concat(F.lit("chan"), (n % 7 + 301).cast("string"))).otherwise(F.col("destination_channel"))
     failed = t.edges.filter("edge_id % 40 = 0").select(F.concat(F.lit("p"), n.cast("string")).alias("page_id"), url.alias("url"), "sequence_id")
-    return graph.replacement(failed, t.edges, t.seeds.filter("channel_username <> ''"), "1").select("page_id", "action")
+    return graph.replacement(failed, t.edges, t.seeds.filter("channel_username <> ''"), "1").select("page_id", "action", "channel")
 
 
 @query("""
@@ -360,32 +387,44 @@ def f17_frontier_step(t: Tables) -> DataFrame:
 
 
 @query("""
-    WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS a, (o_custkey * 7 + o_orderkey % 3) % 1500 AS b FROM orders), g AS (SELECT o_custkey AS c FROM orders GROUP BY 1 HAVING count(*) > 10),
-    r AS (SELECT 1::BIGINT AS channel UNION SELECT e.b FROM r JOIN e ON e.a = r.channel WHERE e.b IN (SELECT c FROM g))
-    SELECT channel FROM r""")
+    WITH RECURSIVE c AS (SELECT channel_id, CAST(substring(channel_id, 3) AS INT) AS k, count(*) AS n FROM v_videos GROUP BY 1, 2), e AS (SELECT k AS a, concat('UC', CAST((k * 7 + j) % 120 AS STRING)) AS b FROM c, range(3) r(j)),
+    r AS (SELECT 'UC1' AS channel, 0 AS depth UNION SELECT e.b, depth + 1 FROM r JOIN e ON e.a = CAST(substring(r.channel, 3) AS INT) WHERE depth < 12 AND e.b IN (SELECT channel_id FROM c WHERE n > 10)),
+    f AS (SELECT channel, min(depth) AS depth FROM r GROUP BY 1),
+    v AS (SELECT number, channel_id, depth, published_at, row_number() OVER (PARTITION BY channel_id ORDER BY published_at DESC, number) AS i FROM v_videos JOIN f ON channel = channel_id)
+    SELECT channel_id AS channel, number, depth FROM v WHERE i <= 5 ORDER BY depth, channel_id, published_at DESC, number LIMIT 90""")
 def f18_snowball(t: Tables) -> DataFrame:
-    o = t.read("orders")
-    edges = o.select(F.col("o_custkey").alias("source"), ((F.col("o_custkey") * 7 + F.col("o_orderkey") % 3) % 1500).alias("destination")).distinct()
-    sizes = o.groupBy(F.col("o_custkey").alias("channel")).agg(F.count("*").alias("video_count"))
-    return graph.snowball(edges, t.spark.range(1, 2).withColumnRenamed("id", "channel"), sizes).select("channel")
+    videos = t.videos.withColumnRenamed("channel_id", "channel")
+    sizes = videos.groupBy("channel").agg(F.count("*").alias("video_count"))
+    k = F.substring("channel", 3, 9).cast("int")
+    edges = sizes.select(F.col("channel").alias("source"), F.explode(F.array(*[F.concat(F.lit("UC"), ((k * 7 + j) % 120).cast("string")) for j in range(3)])).alias("destination"))
+    found = graph.snowball(edges, t.spark.range(1).select(F.lit("UC1").alias("channel")), sizes)
+    return graph.snowball_videos(found, videos, "published_at", "number", 5, 90).select("channel", "number", "depth")
 
 
 @query("""
-    WITH l AS (SELECT channel_id FROM v_videos GROUP BY channel_id HAVING count(*) > 10)
-    SELECT number FROM v_videos WHERE length(id) = 11 AND substring(id, 6, 1) = '-' AND channel_id IN (SELECT channel_id FROM l) ORDER BY md5(concat_ws(':', '8', CAST(number AS STRING))), number LIMIT 60""")
+    WITH c AS (SELECT channel_id, count(*) AS n FROM v_videos GROUP BY 1), p AS (SELECT DISTINCT lower(substring(id, 1, 5)) AS prefix FROM v_videos WHERE number % 4 = 0),
+    h AS (SELECT number, channel_id, prefix FROM v_videos JOIN p ON prefix = lower(substring(id, 1, 5)) WHERE length(id) = 11 AND substring(id, 6, 1) = '-'),
+    q AS (SELECT prefix, channel_id, row_number() OVER (PARTITION BY prefix ORDER BY md5(concat_ws(':', '8', prefix, channel_id)), channel_id) AS i FROM (SELECT DISTINCT prefix, channel_id FROM h))
+    SELECT number FROM h JOIN q ON q.prefix = h.prefix AND q.channel_id = h.channel_id JOIN c ON c.channel_id = h.channel_id WHERE i <= 2 AND n > 10 ORDER BY md5(concat_ws(':', '8', CAST(number AS STRING))), number LIMIT 40""")
 def f19_prefix_sample(t: Tables) -> DataFrame:
-    from ..functions.links import prefix_match
-
-    large = t.videos.groupBy("channel_id").count().filter("count > 10")
-    rows = tables.known_rows(t.videos.filter(prefix_match(F.col("id"), F.lower(F.left("id", F.lit(5))))), large, ["channel_id"])
-    return tables.random_rows(rows, 60, "8", "number").select("number")
+    videos = t.videos.withColumnRenamed("channel_id", "channel")
+    prefixes = videos.filter("number % 4 = 0").select(F.left("id", F.lit(5)).alias("prefix"))
+    sizes = videos.groupBy("channel").agg(F.count("*").alias("video_count"))
+    return graph.prefix_sample(videos, prefixes, sizes, 40, "8", per_search=2).select("number")
 
 
-@query("SELECT validation_status AS status, count(*)::BIGINT AS n FROM v_pending GROUP BY 1")
+@query("""
+    WITH c AS (SELECT pending_id, destination_channel AS channel, discovery_time, CAST(substring(destination_channel, 5, 9) AS INT) AS k FROM v_pending WHERE validation_status = 'pending' ORDER BY discovery_time, pending_id LIMIT 200),
+    w AS (SELECT channel, arg_min(pending_id, struct_pack(t := discovery_time, i := pending_id)) AS winner FROM c WHERE k % 10 >= 2 AND k % 5 = 2 GROUP BY 1),
+    r AS (SELECT pending_id, CASE WHEN k % 10 = 0 THEN 'invalid' WHEN k % 10 = 1 THEN 'duplicate' WHEN k % 5 = 2 THEN CASE WHEN pending_id = winner THEN 'valid' ELSE 'duplicate' END WHEN k % 5 = 3 THEN 'not_channel' WHEN k % 5 = 4 THEN 'invalid' ELSE 'pending' END AS status,
+      CASE WHEN k % 10 = 0 THEN 'cached_invalid' WHEN k % 10 > 1 AND k % 5 IN (3, 4) THEN 'seen' ELSE '' END AS reason FROM c LEFT JOIN w ON w.channel = c.channel)
+    SELECT p.pending_id, coalesce(r.status, validation_status) AS validation_status, coalesce(r.reason, validation_reason) AS validation_reason FROM v_pending p LEFT JOIN r ON r.pending_id = p.pending_id""")
 def h01_validation_round(t: Tables) -> DataFrame:
-    _, now_validating = queues.claim_edges(t.pending, 10, now())
-    back = now_validating.filter("validation_status = 'validating'").join(t.pending.select("pending_id", F.col("validation_status").alias("was")), "pending_id").select("pending_id", F.col("was").alias("validation_status"))
-    return queues.update_edges(now_validating, back).groupBy(F.col("validation_status").alias("status")).agg(F.count("*").alias("n"))
+    channels = t.pending.select(F.col("destination_channel").alias("channel")).distinct().withColumn("k", F.substring("channel", 5, 9).cast("int"))
+    k = F.col("k") % 5
+    verdicts = channels.select("channel", F.when(k == 2, "valid").when(k == 3, "not_channel").when(k == 4, "invalid").otherwise("blocked").alias("verdict"), F.lit("seen").alias("reason"))
+    after = queues.validation_round(t.pending, channels.filter("k % 10 = 0"), channels.filter("k % 10 = 1"), verdicts, 200, now())
+    return after.select("pending_id", "validation_status", "validation_reason")
 
 
 @query("""
@@ -414,9 +453,39 @@ def h06_high_water(t: Tables) -> DataFrame:
     return out.select("channel_username", F.date_format("min_date", "yyyy-MM-dd").alias("min_date"))
 
 
-@query("SELECT page_id, CASE WHEN status = 'unfetched' OR (status = 'error' AND retries < 3) THEN 'processing' ELSE status END AS status FROM v_pages")
+@query("SELECT page_id, CASE WHEN CAST(substring(page_id, 2) AS BIGINT) % 5 <> 0 AND (status = 'unfetched' OR (status = 'error' AND retries < 3)) THEN 'processing' ELSE status END AS status FROM v_pages")
 def h07_distribute(t: Tables) -> DataFrame:
-    return tables.update(t.pages, stats.needs_work(F.col("status"), F.col("retries")), status=F.lit("processing")).select("page_id", "status")
+    unpublished = t.pages.filter("CAST(substring(page_id, 2) AS BIGINT) % 5 = 0").select("page_id")
+    return stats.distribute(t.pages, unpublished)[1].select("page_id", "status")
+
+
+_ROUND = """
+    s AS (SELECT * REPLACE (CASE WHEN status = 'processing' AND attempt_count < 3 THEN 'closed' ELSE status END AS status) FROM v_batches),
+    o AS (SELECT * FROM s WHERE status = 'closed' AND attempt_count < 3 AND batch_id NOT IN (SELECT batch_id FROM v_pending WHERE validation_status IN ('pending', 'validating')) ORDER BY created_at, batch_id LIMIT 1)"""
+
+
+@query(f"WITH {_ROUND.strip()} SELECT s.batch_id, CASE WHEN o.batch_id IS NULL THEN s.status ELSE 'completed' END AS status, (s.attempt_count + CASE WHEN o.batch_id IS NULL THEN 0 ELSE 1 END)::INT AS attempt_count FROM s LEFT JOIN o ON o.batch_id = s.batch_id")
+def h03_walkback_round(t: Tables) -> DataFrame:
+    return _round(t)[2]["batches"].select("batch_id", "status", "attempt_count")
+
+
+@query(f"""WITH {_ROUND.strip()}, p AS (SELECT * FROM v_pending WHERE batch_id IN (SELECT batch_id FROM o)),
+    a AS (SELECT crawl_id, 'unknown' AS source_type, 10::BIGINT AS total FROM v_batches GROUP BY 1 UNION ALL SELECT crawl_id, coalesce(nullif(source_type, ''), 'unknown'), count(*) FROM p GROUP BY 1, 2)
+    SELECT crawl_id, source_type, sum(total)::BIGINT AS total FROM a GROUP BY 1, 2""")
+def h03_walkback_stats(t: Tables) -> DataFrame:
+    return _round(t)[3]["source_stats"].select("crawl_id", "source_type", "total")
+
+
+@query(f"WITH {_ROUND.strip()} SELECT pending_id FROM v_pending WHERE batch_id NOT IN (SELECT batch_id FROM o) AND batch_id NOT IN (SELECT batch_id FROM v_batches WHERE status = 'completed')")
+def h04_orphans_of_a_crash(t: Tables) -> DataFrame:
+    """The round stops after its batch is completed and before its edges are deleted; the orphan rule deletes them."""
+    completed = _round(t)[2]["batches"]
+    return queues.without_orphans(t.pending, completed).select("pending_id")
+
+
+def _round(t: Tables) -> list[dict[str, DataFrame]]:
+    none = t.batches.select("crawl_id").distinct().select("crawl_id", F.lit("unknown").alias("source_type"), F.lit(10).cast("bigint").alias("total"), *[F.lit(0).cast("bigint").alias(c) for c in queues.COUNTED])
+    return list(queues.walkback_round(t.batches, t.pending, none, graph.vertices(t.edges), now(), 30, "9"))
 
 
 @query("SELECT page_id FROM v_pages WHERE status = 'unfetched' OR (status = 'error' AND retries < 3)")

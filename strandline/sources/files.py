@@ -112,11 +112,14 @@ def manifest(spark: SparkSession, path: str, pattern: str = "*.jsonl") -> DataFr
 
 
 def combine(spark: SparkSession, folder: str, packed: DataFrame, out: str, pattern: str = "*.jsonl") -> None:
-    """Write the lines of each bin's files (columns path, bin) as one file under out/bin=n; dropped files have no bin."""
+    """Write each bin's files (columns path, bin) one after the other, in the order of their paths, as one file under
+    out/bin=n; dropped files have no bin. Lines keep their order. A bin is no larger than packing lets it be, so its files
+    are read whole; a file that doesn't end with a line break gets one."""
     same = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
-    lines = spark.read.option("pathGlobFilter", pattern).text(folder).select("value", same(F.col("_metadata.file_path")).alias("path"))
+    whole = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True).select(F.regexp_replace("value", "\n$", "").alias("value"), same(F.col("_metadata.file_path")).alias("path"))
     bins = packed.filter("bin IS NOT NULL").select(same(F.col("path")).alias("path"), "bin")
-    lines.join(bins, "path").select("value", "bin").repartition("bin").write.mode("append").partitionBy("bin").text(out)
+    placed = whole.join(bins, "path").repartition("bin").sortWithinPartitions("bin", "path")
+    placed.select("value", "bin").write.mode("append").partitionBy("bin").text(out)
 
 
 def write_snapshot(table: DataFrame, path: str, version: int) -> str:
@@ -126,15 +129,24 @@ def write_snapshot(table: DataFrame, path: str, version: int) -> str:
     return out
 
 
-def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete version of a table."""
+def newest_version(spark: SparkSession, path: str) -> int:
+    """Number of the newest complete version of a table; -1 if there is none."""
     jvm = spark.sparkContext._jvm
     top = jvm.org.apache.hadoop.fs.Path(path)
     fs = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = [s.getPath() for s in fs.listStatus(top)]
+    found = [s.getPath() for s in fs.listStatus(top)] if fs.exists(top) else []
     done = [p for p in found if p.getName().startswith("version=") and fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS"))]
-    newest = max(done, key=lambda p: int(p.getName().removeprefix("version=")))
-    return spark.read.parquet(newest.toString())
+    return max((int(p.getName().removeprefix("version=")) for p in done), default=-1)
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The newest complete version of a table."""
+    return spark.read.parquet(f"{path}/version={newest_version(spark, path)}")
+
+
+def setting(spark: SparkSession, name: str, fallback: str) -> str:
+    """A setting of the session, or the fallback where it is unset or empty."""
+    return spark.conf.get(name, None) or fallback
 
 
 def storage_path(*parts: Column | str) -> Column:

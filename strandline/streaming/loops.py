@@ -1,17 +1,16 @@
-"""Streams of edges, messages and worker status. State tables are snapshots; each micro-batch writes a new one."""
+"""Streams of edges, messages and worker status; walk-back rounds on stored tables."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from .. import schemas
-from ..operators import stats, tables
-from ..sources.files import write_snapshot
+from ..operators import queues, stats, tables
+from ..sources.files import newest_version, read_snapshot, write_snapshot
 
 
 def file_stream(spark: SparkSession, path: str, schema: str, most_files: int = 1000, fmt: str = "json") -> DataFrame:
@@ -37,20 +36,23 @@ def run_available(stream: DataFrame, each: Callable[[DataFrame, int], None], che
 
 
 def first_discoveries(spark: SparkSession, stream: DataFrame, state: str, checkpoint: str, key: str, order: list[str]) -> StreamingQuery:
-    """Keep the first row of each key over all batches: version n of the snapshot is that after batch n, and is rewritten
-    if the batch comes again."""
+    """Keep the first row of each key over all batches: batch n adds its new keys as the folder batch=n, which is written
+    again if the batch comes again; earlier ones stay as they are."""
 
     def each(batch: DataFrame, number: int) -> None:
-        known = spark.read.parquet(f"{state}/version={number - 1}") if number else batch.limit(0)
-        new = tables.claim_first(batch, known, [key], order)
-        known.unionByName(new).write.mode("overwrite").parquet(f"{state}/version={number}")
+        known = discoveries(spark, state).filter(F.col("batch") < number).drop("batch") if number else batch.limit(0)
+        tables.claim_first(batch, known, [key], order).write.mode("overwrite").parquet(f"{state}/batch={number}")
 
     return run_available(stream, each, checkpoint)
 
 
+def discoveries(spark: SparkSession, state: str) -> DataFrame:
+    """What first_discoveries has kept, with the number of the batch."""
+    return spark.read.parquet(state)
+
+
 def validation_loop(spark: SparkSession, stream: DataFrame, checkpoint: str, step: Callable[[DataFrame, int], DataFrame], out: str) -> StreamingQuery:
-    """Claim, classify and update edges: each batch's verdicts go to a folder of its own, so a batch that comes again
-    replaces them. A walk is completed before its statistics are flushed, so a crash leaves orphans only."""
+    """Run a step on each batch and keep its rows in a folder of its own, so a batch that comes again replaces them."""
 
     def each(batch: DataFrame, number: int) -> None:
         step(batch, number).write.mode("overwrite").parquet(f"{out}/batch={number}")
@@ -58,6 +60,29 @@ def validation_loop(spark: SparkSession, stream: DataFrame, checkpoint: str, ste
     return run_available(stream, each, checkpoint)
 
 
+def walkback_loop(spark: SparkSession, path: str, known: DataFrame, now: Column, walkback_rate: int, seed: str, rounds: int) -> int:
+    """Rounds of the walk-back processor over the tables stored under `path` (batches, pending_edges, source_stats,
+    page_buffer, edges), until no batch is ready or `rounds` are done; returns how many were.
+
+    Each change is a new version of a table, written in the order of queues.walkback_round. Orphans that a crash left are
+    deleted first."""
+    read = lambda name: read_snapshot(spark, f"{path}/{name}")
+
+    def write(name: str, table: DataFrame) -> None:
+        write_snapshot(table, f"{path}/{name}", newest_version(spark, f"{path}/{name}") + 1)
+
+    for done in range(rounds):
+        write("pending_edges", queues.without_orphans(read("pending_edges"), read("batches")))
+        recovered, _ = queues.recover_batches(read("batches"), now, 10)
+        if queues.ready_batches(recovered, read("pending_edges")).isEmpty():
+            return done
+        for change in queues.walkback_round(read("batches"), read("pending_edges"), read("source_stats"), known, now, walkback_rate, f"{seed}:{done}"):
+            for name, table in change.items():
+                grows = name in ("page_buffer", "edges")
+                write(name, read(name).unionByName(table, allowMissingColumns=True) if grows else table)
+    return rounds
+
+
 def heartbeats(status: DataFrame) -> DataFrame:
     """Last message of each worker, as a streaming aggregate."""
     return stats.last_seen(status, "worker_id", "timestamp", "status")
@@ -92,10 +117,3 @@ class Blocked(StatefulProcessor):
 def blocked_events(outcomes: DataFrame) -> DataFrame:
     """validator, at, event (paused or resumed) from a stream of validator, at, outcome; needs the RocksDB state store."""
     return outcomes.groupBy("validator").transformWithStateInPandas(Blocked(), "validator string, at timestamp, event string", "Append", "None")
-
-
-def save_state(table: DataFrame, path: str, number: int) -> str:
-    return write_snapshot(table, path, number)
-
-
-SCHEMAS = {"work": schemas.WORK_ITEMS, "status": schemas.WORKER_STATUS, "edges": schemas.PENDING_EDGES}
