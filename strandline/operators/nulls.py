@@ -44,40 +44,15 @@ DIFFERENT = {
     "comments": ("unavailable", "log"),
 }
 PLATFORMS = ("youtube", "telegram")
-#: Fields that a platform doesn't offer, for its messages.
-NOT_OFFERED = {
-    "youtube": "channel_data.channel_engagement_data.following_count channel_data.channel_engagement_data.like_count channel_data.channel_engagement_data.comment_count channel_data.channel_engagement_data.share_count share_count shares_count performance_scores.shares reactions".split(),
-    "telegram": "channel_data.channel_engagement_data.following_count channel_data.channel_engagement_data.like_count channel_data.channel_engagement_data.comment_count".split(),
-}
-NOT_DIRECTLY = {"telegram": ["like_count", "likes_count", "performance_scores.likes"], "youtube": []}
-NUMBERS = "engagement view_count like_count share_count comment_count engagement_steps_count likes_count shares_count comments_count views_count performance_scores.views follower_count following_count post_count".split()
+#: Fields that are true nullables, for which only null is empty.
 POINTERS = "video_length is_verified shared_id quoted_id replied_id ai_label root_post_id performance_scores.likes performance_scores.shares performance_scores.comments has_embed_media repost_channel_data post_title is_reply ad_fields".split()
 
 Rules = dict[str, tuple[str, str]]
 
 
-def _title(path: str) -> str:
-    words = {"id": "ID", "ids": "IDs", "url": "URL", "uid": "UID", "ai": "AI", "ocr": "OCR"}
-    parts = ["".join(words.get(w, w.capitalize()) for w in p.split("_")) for p in path.split(".")]
-    return parts[-1] if parts[0] == "ChannelData" else ".".join(parts)
-
-
 def message(path: str, behavior: str, platform: str) -> str:
-    name, leaf = _title(path), path.rsplit(".", 1)[-1]
-    if behavior == "critical":
-        return f"{name} is required"
-    label = {"youtube": "YouTube", "telegram": "Telegram"}[platform]
-    if path in NOT_OFFERED[platform]:
-        return f"{name} not available on {label}"
-    if path in NOT_DIRECTLY[platform]:
-        return f"{name} not directly available on {label}"
-    if path == "is_ad":
-        return f"{name} is false"
-    if path in POINTERS:
-        return f"{name} is null"
-    if path in NUMBERS or leaf in NUMBERS or leaf.endswith("_at") or leaf == "capture_time":
-        return f"{name} is zero"
-    return f"{name} is empty"
+    """What an empty field is told as; texts of this library's own."""
+    return f"{path} {({'critical': 'is required', 'unavailable': f'is never there on {platform}'}).get(behavior, 'is empty')}"
 
 
 def default_rules(platform: str) -> Rules:

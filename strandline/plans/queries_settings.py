@@ -121,7 +121,7 @@ def f20_quota_rounds(t: Tables) -> DataFrame:
     return _cases(t, "number", cases, lambda found, target: parameters.quota_rounds(found, target))
 
 
-@query("SELECT * FROM (VALUES ('url', 'log', 'own text'), ('not_a_rule', 'critical', 'new'), ('post_link', 'critical', 'PostLink is required')) v(path, behavior, message)")
+@query("SELECT * FROM (VALUES ('url', 'log', 'own text'), ('not_a_rule', 'critical', 'new'), ('post_link', 'critical', 'post_link is required')) v(path, behavior, message)")
 def d02_merged_rules(t: Tables) -> DataFrame:
     rules = nulls.rules_table(t.spark, nulls.merged_rules("youtube", {"url": ("log", "own text"), "not_a_rule": ("critical", "new")}))
     return rules.filter(F.col("path").isin("url", "not_a_rule", "post_link"))

@@ -168,7 +168,7 @@ def test_null_rules(spark):
     row = nulls.validate(zero, rules).first()
     assert [e.path for e in row["events"]] == ["is_ad", "like_count", "description", "outlinks"] or {e.path for e in row["events"]} == {"is_ad", "like_count", "description", "outlinks"}
     assert nulls.merged_rules("youtube", {"url": ("log", "x")})["url"] == ("log", "x")
-    assert nulls.message("post_link", "critical", "youtube") == "PostLink is required"
+    assert nulls.message("post_link", "critical", "youtube") == "post_link is required"
     with pytest.raises(ValueError, match="unknown platform"):
         nulls.default_rules("other")
 
