@@ -21,6 +21,8 @@ VOCABULARY, _CHUNK = 1 << 16, 1024
 K1, B = 1.2, 0.75
 #: Most ids that one task packs, shard by shard, and the share of a shard's documents (one in so many) that makes an id frequent.
 TASK_TOKENS, FREQUENT = 1 << 25, 16
+#: Ids of a shard; and an id that one in so many documents of the corpus has, or more, may say where a document is dealt.
+SHARD_TOKENS, DEAL_SHARE = 1 << 20, 100
 
 
 def document_terms(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -35,52 +37,60 @@ def document_terms(documents: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray,
 
 
 class Dealer:
-    """A key by which like documents come next to each other: four ids of each, drawn by weighted MinHash.
+    """A key by which like documents come next to each other: the four ids that weigh most in each, as BM25 has it, of those
+    that at least one in DEAL_SHARE documents has. Near copies have the same ones mostly."""
 
-    Two documents draw the same id with a chance that grows with the weight of the ids that they share, where a repeated id
-    weighs more as BM25 has it. The draws need no count over the corpus, so documents are dealt while they are encoded."""
+    def __init__(self, frequency: np.ndarray, n_docs: int, mean_length: float):
+        self.idf = np.where(DEAL_SHARE * frequency >= n_docs, idf_of(frequency, n_docs), 0.0)
+        self.mean_length = mean_length
 
-    def __init__(self, seed: int = 1):
-        self.draws = -np.log(np.random.default_rng(seed).random((4, VOCABULARY)))
-
-    def __call__(self, terms: np.ndarray, owner: np.ndarray, count: np.ndarray, n: int) -> np.ndarray:
+    def __call__(self, documents: list[np.ndarray]) -> np.ndarray:
+        terms, owner, count = document_terms(documents)
         order = np.argsort(owner, kind="stable")
-        terms, first = terms[order], np.searchsorted(owner[order], np.arange(n))
-        weight = count[order] / (count[order] + K1)
-        key = np.zeros(n, np.int64)
-        for draw in self.draws:
-            cost = draw[terms] / weight
-            least = np.repeat(np.minimum.reduceat(cost, first), np.diff(np.append(first, len(terms))))
-            at = np.flatnonzero(cost == least)
-            at = at[np.unique(np.searchsorted(first, at, side="right"), return_index=True)[1]]
+        terms, owner, count = terms[order], owner[order], count[order]
+        first = np.searchsorted(owner, np.arange(len(documents)))
+        weight = bm25_weights(self.idf[terms], count, np.array([len(d) for d in documents])[owner], self.mean_length)
+        key = np.zeros(len(documents), np.int64)
+        for _ in range(4):
+            at = np.flatnonzero(weight == np.maximum.reduceat(weight, first)[owner])
+            at = at[np.unique(owner[at], return_index=True)[1]]
             key = key << 16 | terms[at]
+            weight[at] = -1
         return key
 
 
-TOKEN_SCHEMA = "doc_id long, ids binary, n_tokens long, deal long, chunk int, counts binary"
+def idf_of(frequency: np.ndarray, n_docs: int) -> np.ndarray:
+    return np.log1p((n_docs - frequency + 0.5) / (frequency + 0.5))
+
+
+def bm25_weights(idf: np.ndarray, count: np.ndarray, length: np.ndarray, mean_length: float) -> np.ndarray:
+    """What each id of a document adds to its score for a query that has the id."""
+    return idf * count * (K1 + 1) / (count + K1 * (1 - B + B * length / mean_length))
+
+
+TOKEN_SCHEMA = "doc_id long, ids binary, n_tokens long, chunk int, counts binary"
 _TOKEN_NAMES = [x.split()[0] for x in TOKEN_SCHEMA.split(", ")]
 
 
 def encode_documents(docs: DataFrame, tokenizer_file: str, pattern: str, end_id: int, id_col: str, text_col: str, keeps_spaces: bool, lower: bool) -> DataFrame:
-    """A row for each document: doc_id, ids (16-bit little-endian bytes with the end id), n_tokens, deal (see Dealer); and for
+    """A row for each document: doc_id, ids (16-bit little-endian bytes with the end id), n_tokens; and for
     each task a row for each chunk of the vocabulary that it met: chunk, counts (64-bit numbers of its documents with each id)."""
     definition = docs.sparkSession.sparkContext.broadcast(open(tokenizer_file, encoding="utf-8").read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = worker_encoder(definition.value, pattern, keeps_spaces, lower)
-        deal = Dealer()
         end = np.array([end_id], np.uint16).tobytes()
         total = np.zeros(VOCABULARY, np.int64)
         for batch in text_slices(batches, "text", SLICE):
             n = batch.num_rows
             ids = [x + end for x in encode.encode_all(batch.column("text"))]
-            terms, owner, count = document_terms([np.frombuffer(x, np.uint16) for x in ids])
+            terms, _, _ = document_terms([np.frombuffer(x, np.uint16) for x in ids])
             total += np.bincount(terms, minlength=VOCABULARY)
-            columns = [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(deal(terms, owner, count, n)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
+            columns = [batch.column("doc_id"), pa.array(ids, pa.binary()), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, _TOKEN_NAMES)
         parts = total.reshape(-1, _CHUNK)
         used = np.flatnonzero(parts.any(axis=1))
-        none = [pa.nulls(len(used), t) for t in (pa.int64(), pa.binary(), pa.int64(), pa.int64())]
+        none = [pa.nulls(len(used), t) for t in (pa.int64(), pa.binary(), pa.int64())]
         yield pa.RecordBatch.from_arrays([*none, pa.array(used.astype(np.int32)), pa.array([parts[k].tobytes() for k in used], pa.binary())], _TOKEN_NAMES)
 
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
@@ -114,8 +124,7 @@ class Bm25Index:
     def __init__(self, documents: list[np.ndarray], idf: np.ndarray, mean_length: float):
         self.n = len(documents)
         terms, self.owner, count = document_terms(documents)
-        norm = K1 * (1 - B + B * np.array([len(d) for d in documents]) / mean_length)
-        self.weight = (idf[terms] * count * (K1 + 1) / (count + norm[self.owner])).astype(np.float32)
+        self.weight = bm25_weights(idf[terms], count, np.array([len(d) for d in documents])[self.owner], mean_length).astype(np.float32)
         sizes = np.bincount(terms, minlength=len(idf))
         self.bounds = np.concatenate([[0], np.cumsum(sizes)])
         frequent = np.flatnonzero(FREQUENT * sizes > self.n)
@@ -200,7 +209,7 @@ PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens
 _PIECE_NAMES = [x.split()[0] for x in PIECE_SCHEMA.split(", ")]
 
 
-def pack(docs: DataFrame, tokenizer_file: str, pattern: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", window: int = 4096, shard_tokens: int = 1 << 20, keeps_spaces: bool = False, lower: bool = True) -> DataFrame:
+def pack(docs: DataFrame, tokenizer_file: str, pattern: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", window: int = 4096, shard_tokens: int = SHARD_TOKENS, keeps_spaces: bool = False, lower: bool = True) -> DataFrame:
     """Every id of every document in just one piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Documents are sorted by content (see Dealer), so that near copies and documents of the same words come next to each
@@ -219,11 +228,19 @@ def pack(docs: DataFrame, tokenizer_file: str, pattern: str, end_id: int, id_col
     tokens = materialise(tokens.withColumn("place", F.monotonically_increasing_id()), "packing-ids")
     n_docs, n_ids = tokens.agg(F.count("n_tokens"), F.coalesce(F.sum("n_tokens"), F.lit(0))).first()
     frequency = document_frequencies(tokens)
-    idf = spark.sparkContext.broadcast(np.log1p((n_docs - frequency + 0.5) / (frequency + 0.5)))
     mean = max(1.0, n_ids / max(1, n_docs))
+    idf = spark.sparkContext.broadcast(idf_of(frequency, n_docs))
+    dealer = spark.sparkContext.broadcast(Dealer(frequency, n_docs, mean))
     tasks = max(1, -(-n_ids // TASK_TOKENS), min(partitions(spark), n_ids // shard_tokens))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, "ids", SLICE):
+            if batch.num_rows:
+                yield batch.append_column("deal", pa.array(dealer.value([np.frombuffer(x.as_buffer(), np.uint16) for x in batch.column("ids")])))
+
     order = ("deal", F.xxhash64("ids"), "doc_id", "place")
-    dealt = tokens.filter("n_tokens is not null").repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    dealt = tokens.filter("n_tokens is not null").select("doc_id", "ids", "place").mapInArrow(deal, "doc_id long, ids binary, place long, deal long")
+    dealt = dealt.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[int | None, np.ndarray]] = []

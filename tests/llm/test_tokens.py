@@ -262,3 +262,26 @@ def test_a_row_repeated_very_often_is_dealt_to_many_tasks(spark):
     for r in out:
         tasks[r.sequence_id >> 32] = tasks.get(r.sequence_id >> 32, 0) + r.length
     assert len(tasks) == 4 and max(tasks.values()) < 0.5 * sum(tasks.values())
+
+
+def test_most_near_copies_meet_in_a_shard():
+    """Share of documents whose best neighbour of the whole corpus, by brute force, is dealt to the same shard."""
+    rng = np.random.default_rng(8)
+    documents = [np.minimum(rng.zipf(1.2, rng.integers(30, 400)), 3000).astype(np.uint16) for _ in range(600)]
+    for k in range(200):  # copies with a tenth of the ids changed
+        copy = documents[k].copy()
+        copy[rng.random(len(copy)) < 0.1] = 2999
+        documents.append(copy)
+    n, mean = len(documents), float(np.mean([len(d) for d in documents]))
+    df = np.bincount(np.concatenate([np.unique(d) for d in documents]), minlength=packing.VOCABULARY)
+    order = np.argsort(packing.Dealer(df, n, mean)(documents), kind="stable")
+    held = np.cumsum([len(documents[d]) for d in order])
+    shard = np.empty(n, int)
+    shard[order] = held // (held[-1] // 20)
+    index = packing.Bm25Index(documents, packing.idf_of(df, n), mean)
+    same = 0
+    for k in range(200):
+        scores = index.scores(np.unique(documents[k]))
+        scores[k] = -1
+        same += shard[scores.argmax()] == shard[k]
+    assert same > 0.6 * 200  # one in twenty by chance
