@@ -36,34 +36,42 @@ class Rule:
 def word_statistics(rows: DataFrame) -> DataFrame:
     """Add counts to rows with a column `text` (not null); each step is a projection of its own, so that arrays that
     later lambdas refer to are made once."""
-    space = r"[\x20\x09-\x0D]"
-    rows = rows.withColumn("words", F.array_remove(F.split("text", space + "+"), ""))
+    flat = F.col("text")
+    for c in "\t\n\x0b\x0c\r":
+        flat = F.replace(flat, F.lit(c), F.lit(" "))
+    rows = rows.withColumn("flat", flat)
+    rows = rows.withColumn("words", F.array_remove(F.split("flat", " "), ""))
     rows = rows.withColumn("lines", F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
+    rows = rows.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
     n = F.size("words")
-    lower = F.lower("text")
+    length = F.length("text")
+    count = lambda pattern: (length - F.length(F.regexp_replace("text", pattern, ""))).cast("long")
     stops = sorted({w for words in STOP_WORDS.values() for w in words})
     rows = rows.select(
         "row",
         n.cast("long").alias("n_words"),
-        F.length(F.regexp_replace("text", space, "")).cast("long").alias("word_chars"),
-        (F.length("text") - F.length(F.translate("text", "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
-        (F.length("text") - F.length(F.translate("text", "!", ""))).cast("long").alias("n_exclamations"),
+        F.length(F.replace("flat", F.lit(" "), F.lit(""))).cast("long").alias("word_chars"),
+        count(r"[#*$%&|<>]+").alias("n_symbols"),
+        (length - F.length(F.replace("text", F.lit("!"), F.lit("")))).cast("long").alias("n_exclamations"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.size("lines").cast("long").alias("n_lines"),
         F.size(F.filter("lines", lambda x: x.rlike(r"[.!?:;\"')…。][\x20\x09-\x0D]*$"))).cast("long").alias("n_ended_lines"),
         F.size(F.filter("words", lambda w: w.isin(stops))).cast("long").alias("n_stop_words"),
-        F.size(F.filter("words", lambda w, i: w == F.get(F.col("words"), i - 1))).cast("long").alias("n_stutters"),
-        # characters that lower case changes are upper case
-        F.length(F.regexp_replace("text", r"[^\p{Lu}]", "")).cast("long").alias("n_upper"),
-        F.length(F.regexp_replace(lower, r"[^\p{L}]", "")).cast("long").alias("n_letters"),
-        F.when(n >= WINDOW, F.transform(F.sequence(F.lit(1), n - (WINDOW - 1)), lambda i: F.xxhash64(F.slice("words", i, WINDOW)))).otherwise(F.array().cast("array<bigint>")).alias("windows"),
+        F.size(F.filter("hashes", lambda h, i: h == F.get(F.col("hashes"), i - 1))).cast("long").alias("n_stutters"),
+        count(r"\p{Lu}+").alias("n_upper"),
+        F.length(F.regexp_replace("text", r"[^\p{L}]+", "")).cast("long").alias("n_letters"),
+        F.col("hashes").alias("windows"),
     )
+    # a hash of each word and the next, then of each two and the next two, then of eight; the last seven lack words
+    for width in (1, 2, 4):
+        rows = rows.withColumn("windows", F.zip_with("windows", F.slice("windows", width + 1, F.size("windows")), lambda a, b: F.xxhash64(a, b)))
+    rows = rows.withColumn("windows", F.slice("windows", 1, F.greatest(F.size("windows") - (WINDOW - 1), F.lit(0))))
     # windows in the order of their hashes; those next to an equal one are repeated
     repeats = F.size(F.array_distinct("windows")) < F.size("windows")
     pairs = F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i")))
-    rows = rows.withColumn("windows", F.when(repeats, F.array_sort(pairs)).otherwise(F.array().cast("array<struct<h:bigint,i:int>>")))
+    rows = rows.withColumn("windows", F.when(repeats, F.sort_array(pairs)).otherwise(F.array().cast("array<struct<h:bigint,i:int>>")))
     equal = F.filter("windows", lambda x, k: (x.h == F.get(F.col("windows"), k - 1).h) | (x.h == F.get(F.col("windows"), k + 1).h))
-    rows = rows.withColumn("windows", F.array_sort(F.transform(equal, lambda x: x.i)))
+    rows = rows.withColumn("windows", F.sort_array(F.transform(equal, lambda x: x.i)))
     covered = F.transform("windows", lambda p, k: F.least(F.lit(WINDOW), F.get(F.col("windows"), k + 1) - p))
     return rows.withColumn("n_repeat_words", F.aggregate(covered, F.lit(0), lambda a, x: a + x).cast("long")).drop("windows")
 

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import unicodedata
 import zlib
 
 import numpy as np
@@ -400,7 +401,7 @@ def brute_statistics(text):
 
 
 def test_quality_statistics_equal_brute_force(spark):
-    rows = corpus() + [(300, "a b\na b\n \na b\nc"), (301, "#x *y $z %% && | <a> 😀"), (302, "one two three four five six seven eight " * 3), (303, "y " * 9)]
+    rows = corpus() + [(300, "a b\na b\n \na b\nc"), (301, "#x *y $z %% && | <a> 😀"), (302, "one two three four five six seven eight " * 3), (303, "y " * 9), (304, " a\x0bb\x0cc\r\n\td\n\n\x0b\n!!"), (305, "é\u00a0ü\u2003İ ǅ 中文 " * 9), (306, "p q r s t u v w x y p q r s t u v w x")]
     found, _ = quality.quality(frame(spark, rows), carry=["n_words", "row"])
     assert found.columns[0] == "row" and found.select("row.*").columns == ["doc_id", "n_words", "row"]
     got = sorted(repr((r["row"].doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed)) for r in found.collect())
@@ -435,6 +436,58 @@ def test_quality_agrees_with_labels(spark):
     assert sum(good) >= 0.99 * len(good) and sum(bad) <= 0.1 * len(bad)
 
 
+def brute_votes(text):
+    """The default rules, written out."""
+    n_words, chars, symbols, dup_lines, repeats = brute_statistics(text)
+    words, n = WORDS.findall(text), max(1, n_words)
+    lines = [x for x in text.split("\n") if WORDS.search(x)]
+    stop = {w for x in quality.STOP_WORDS.values() for w in x}
+    stops = sum(w in stop for w in words) / n
+    shout, stutter = text.count("!") / n, sum(a == b for a, b in zip(words, words[1:])) / n
+    letters = [c for c in text if unicodedata.category(c)[0] == "L"]
+    upper = sum(unicodedata.category(c) == "Lu" for c in letters) / max(1, len(letters))
+    ended = sum(x.rstrip(" \t\n\x0b\x0c\r")[-1] in ".!?:;\"')…。" for x in lines) / max(1, len(lines))
+    dup, mean = dup_lines / max(1, len(lines)), chars / n
+    vote = lambda good, bad: -1 if bad else 1 if good else 0
+    return (
+        vote(symbols / n <= 0.03 or shout <= 0.1 or upper <= 0.2, symbols / n > 0.1 or shout > 0.25 or upper > 0.4),
+        vote(2.5 <= mean <= 9.5, mean < 2 or mean > 13),
+        vote(n_words >= 20 and stops >= 0.06, n_words >= 20 and stops < 0.03),
+        vote(ended >= 0.6, ended < 0.3),
+        vote(dup <= 0.1 or repeats / n <= 0.1 or stutter <= 0.05, dup > 0.3 or repeats / n > 0.25 or stutter > 0.2),
+    ), n_words < 20 or 100 * repeats > 30 * n_words
+
+
+def brute_posteriors(votes, rounds=100):
+    """Expectation-maximisation over single documents, in products of chances."""
+    v = np.array(votes)
+    up, down = v > 0, v < 0
+    prior, g, b = 0.8, np.full(v.shape[1], 0.95), np.full(v.shape[1], 0.5)
+    for k in range(rounds + 1):
+        good = prior * np.where(up, g, np.where(down, 1 - g, 1)).prod(axis=1)
+        bad = (1 - prior) * np.where(up, 1 - b, np.where(down, b, 1)).prod(axis=1)
+        p = (good / (good + bad))[:, None]
+        if k < rounds:
+            prior = (p.sum() + 1.6) / (len(v) + 2)
+            g, b = ((p * up).sum(axis=0) + 1.9) / ((p * (up | down)).sum(axis=0) + 2), (((1 - p) * down).sum(axis=0) + 1) / (((1 - p) * (up | down)).sum(axis=0) + 2)
+    return p[:, 0]
+
+
+def test_quality_verdicts_equal_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in docs.collect()}
+    judged = {k: brute_votes(t) for k, t in texts.items()}
+    passed = [k for k, (_, failed) in judged.items() if not failed]
+    expected = dict.fromkeys(texts, False) | dict(zip(passed, brute_posteriors([judged[k][0] for k in passed]), strict=True))
+    found = {r["row"].doc_id: r for r in quality.quality(docs)[0].collect()}
+    assert found.keys() == expected.keys()
+    for k, r in found.items():
+        assert tuple(r[f"vote_{x.name}"] for x in quality.default_rules()) == judged[k][0]
+        assert r.kept == (expected[k] >= 0.5)
+        assert not r.kept or abs(r.quality_probability - expected[k]) < 1e-6
+    assert 0 < sum(r.kept for r in found.values()) < len(found)
+
+
 def test_quality_plan_has_no_python(spark):
     found, _ = quality.quality(spark.read.parquet("/root/testdata/sf0.001/documents.parquet"))
     assert not re.search("Python|Pandas|Arrow", found._jdf.queryExecution().toString())
