@@ -481,8 +481,9 @@ def test_quality_verdicts_equal_brute_force(spark):
     expected = dict.fromkeys(texts, False) | dict(zip(passed, brute_posteriors([judged[k][0] for k in passed]), strict=True))
     found = {r["row"].doc_id: r for r in quality.quality(docs)[0].collect()}
     assert found.keys() == expected.keys()
+    names = [f"vote_{x.name}" for x in quality.default_rules()]
     for k, r in found.items():
-        assert tuple(r[f"vote_{x.name}"] for x in quality.default_rules()) == judged[k][0]
+        assert tuple(r[x] for x in names) == judged[k][0]
         assert r.kept == (expected[k] >= 0.5)
         assert not r.kept or abs(r.quality_probability - expected[k]) < 1e-6
     assert 0 < sum(r.kept for r in found.values()) < len(found)
