@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, html_text, jaccard, licenses, packing, quality, substring, token_files, vectors, warc
+from . import alignment, bpe, html_text, jaccard, licenses, packing, quality, substring, token_files, vectors, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -65,6 +65,15 @@ def op10_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_compensated_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return alignment.align_tokenizers(table(spark, sf_dir, "documents"), *paths, texts=False).drop("groups")
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -78,6 +87,8 @@ QUERIES: dict[str, Query] = {
         op8_retrieval_packing,
         op9_license_scan,
         op10_site_style_tree,
+        op11_compensated_whitening,
+        op12_tokenizer_alignment,
     )
 }
 
