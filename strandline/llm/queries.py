@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import alignment, bpe, html_text, jaccard, licenses, packing, quality, substring, token_files, vectors, warc, whitening
+from . import alignment, bpe, html_text, jaccard, licenses, packing, quality, substring, suffixes, token_files, vectors, warc, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -74,6 +74,10 @@ def op12_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align_tokenizers(table(spark, sf_dir, "documents"), *paths, texts=False).drop("groups")
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.dedup_bytes(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -89,6 +93,7 @@ QUERIES: dict[str, Query] = {
         op10_site_style_tree,
         op11_compensated_whitening,
         op12_tokenizer_alignment,
+        op13_suffix_dedup,
     )
 }
 

@@ -49,7 +49,7 @@ def test_rows_with_null_and_repeated_ids_pass_the_stages(spark):
 def test_all_operators_are_registered():
     entry = importlib.import_module("__spark_entry__")
     found = entry.queries()
-    assert {f"op{k}" for k in range(1, 13)} <= {name.split("_")[0] for name in found} and "pipeline" in found
+    assert {f"op{k}" for k in range(1, 14)} <= {name.split("_")[0] for name in found} and "pipeline" in found
     assert set(queries.ORACLES) <= set(queries.QUERIES)
 
 
