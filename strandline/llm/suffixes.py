@@ -243,8 +243,9 @@ def repeated_windows(bucket: Bucket, window: int, gram: int, bounds: Sequence[by
 def separators(sample: DataFrame, buckets: int) -> list[bytes]:
     """Up to about so many shortest separators of the sampled suffixes (key, with the hash of its start, gram), which deal them to
     ranges of equal weight. Spark sorts the sample; a separator for each bucket comes to the driver."""
-    often = sample.groupBy("gram").agg(F.count("*").alias("often"))
-    weighed = materialise(sample.join(often, "gram").select("key", F.when(F.col("often") > 1, REPEATED_WEIGHT).otherwise(1).alias("weight")), "weighed")
+    often = materialise(sample.groupBy("gram").agg(F.count("*").alias("often")).filter("often > 1"), "often")
+    often = F.broadcast(often) if often.count() <= BROADCAST_GROUPS else often
+    weighed = materialise(sample.join(often, "gram", "left").select("key", F.when(F.col("often") > 1, REPEATED_WEIGHT).otherwise(1).alias("weight")), "weighed")
     step = (weighed.agg(F.sum("weight")).first()[0] or 0) / buckets
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -322,7 +323,7 @@ def byte_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     placed = work.withColumn("home", F.pmod("h1", F.lit(homes))).withColumn("doc", F.col("h2")).select("row", "text", "home", "doc").repartition(n_parts, "home")
     told = _repeated_anchors(placed, window, gram, shards)
     sent = placed.groupBy("home").cogroup(told.groupBy("home")).applyInArrow(_send(window, gram, bounds), SENT)
-    found = sent.repartition(n_parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_settle(window, gram, bounds, buckets), FOUND)
+    found = sent.repartition(n_parts, "bucket").sortWithinPartitions("bucket").mapInArrow(_settle(window, gram, bounds, n_parts), FOUND)
     spans = found.repartition(n_parts, "place").sortWithinPartitions("place").mapInArrow(_meet(window), "home long, doc binary, start binary, length binary")
     schema = f"row {row_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
     cut = placed.groupBy("home").cogroup(spans.groupBy("home")).applyInArrow(_remove(texts), schema).filter("row is not null")
@@ -335,7 +336,7 @@ def byte_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
 
 
 SENT = "bucket long, home long, settled boolean, doc binary, start binary, length binary, high binary, twice binary, data binary"
-FOUND = "place long, home long, h1 binary, h2 binary, doc binary, start binary, length binary"
+FOUND = "place long, home long, homes binary, h1 binary, h2 binary, doc binary, start binary, length binary"
 
 
 def _schema(ddl: str) -> pa.Schema:
@@ -481,8 +482,9 @@ def merged(doc: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.n
     return doc[new], start[new], furthest[last] - begin[new]
 
 
-def _settle(window: int, gram: int, bounds, buckets: int):
-    """Repeated spans of each bucket's stretches, and hashes of windows that may be met in other buckets."""
+def _settle(window: int, gram: int, bounds, places: int):
+    """Repeated spans of each bucket's stretches, and hashes of windows that may be met in other buckets, which are dealt to so
+    many places."""
     schema = _schema(FOUND)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -512,8 +514,8 @@ def _settle(window: int, gram: int, bounds, buckets: int):
         order = np.argsort(home, kind="stable")
         out = _blobs("home", home[order], [x[order].astype(np.int64) for x in (doc, start, length)], ["doc", "start", "length"])
         none = pa.nulls(out.num_rows, pa.binary())
-        place = pa.array(buckets + out.column("home").to_numpy())
-        return pa.RecordBatch.from_arrays([place, out.column("home"), none, none, *out.columns[1:]], schema=schema)
+        place = pa.array(places + out.column("home").to_numpy())
+        return pa.RecordBatch.from_arrays([place, out.column("home"), none, none, none, *out.columns[1:]], schema=schema)
 
     def windows_of(bucket: Bucket, home: np.ndarray, doc: np.ndarray, start: np.ndarray, beyond: np.ndarray) -> pa.RecordBatch:
         who, offset, known = beyond.T
@@ -523,18 +525,14 @@ def _settle(window: int, gram: int, bounds, buckets: int):
         at = (first + part.high)[who] - offset
         h1, h2 = (_hashes(_sums(data, base), base, at, at + window) for base in (ROLL_BASE_1, ROLL_BASE_2))
         to = np.where(known > 0, -1, home[some][who])  # none, where a window is known to be repeated
-        place = ((h1 >> np.uint64(16)) % np.uint64(buckets)).astype(np.int64)
+        place = ((h1 >> np.uint64(16)) % np.uint64(places)).astype(np.int64)
         order = np.lexsort((h2, h1, to, place))
         keep = np.ones(len(order), bool)  # known ones once
         keep[1:] = ~((to[order][1:] < 0) & (to[order][:-1] < 0) & (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1]))
-        order = order[keep]
-        new = np.flatnonzero(np.concatenate([[True], (np.diff(place[order]) != 0) | (np.diff(to[order]) != 0)]))
-        rows = []
-        for a, b in zip(new, np.append(new[1:], len(order)), strict=True):
-            k = order[a:b]
-            texts, starts = doc[some][who[k]], start[some][who[k]] + part.high[who[k]] - offset[k]
-            rows.append((int(place[k[0]]), int(to[k[0]]), h1[k].tobytes(), h2[k].tobytes(), texts.astype(np.int64).tobytes(), starts.astype(np.int64).tobytes(), None))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
+        k = order[keep]
+        starts = start[some][who[k]] + part.high[who[k]] - offset[k]
+        out = _blobs("place", place[k], [to[k], h1[k], h2[k], doc[some][who[k]].astype(np.int64), starts.astype(np.int64)], ["homes", "h1", "h2", "doc", "start"])
+        return pa.RecordBatch.from_arrays([out.column(0), pa.nulls(out.num_rows, pa.int64()), *out.columns[1:], pa.nulls(out.num_rows, pa.binary())], schema=schema)
 
     return run
 
@@ -549,7 +547,7 @@ def _meet(window: int):
                 continue
             h1, h2 = (np.concatenate([np.frombuffer(x, np.uint64) for x in rows[c]]) for c in ("h1", "h2"))
             doc, start = (np.concatenate([np.frombuffer(x, np.int64) for x in rows[c]]) for c in ("doc", "start"))
-            home = np.repeat(np.array(rows["home"], np.int64), [len(x) // 8 for x in rows["h1"]])
+            home = np.concatenate([np.frombuffer(x, np.int64) for x in rows["homes"]])
             order = np.lexsort((h2, h1))
             same = (h1[order][1:] == h1[order][:-1]) & (h2[order][1:] == h2[order][:-1])
             again = order[np.concatenate([[False], same]) | np.concatenate([same, [False]])]
