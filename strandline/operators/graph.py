@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.links import prefix_match, username_fault
 from . import tables
+from .slices import ensure_checkpoints
 
 
 def save_edges(edges: DataFrame, rows: DataFrame, crawl_id: str) -> DataFrame:
@@ -187,22 +187,6 @@ def layers(edges: DataFrame, roots: DataFrame, max_depth: int = -1, allowed: Cal
     return seen
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder in spark.checkpoint.dir; a local session without one gets its own."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if path is None:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        path = f"{tempfile.gettempdir()}/strandline-{spark.sparkContext.applicationId}"
-    return path.rstrip("/")
-
-
-def ensure_checkpoints(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(f"{shared_dir(spark)}/checkpoints")
-
-
 def snowball(edges: DataFrame, seeds: DataFrame, sizes: DataFrame, min_videos: int = 10) -> DataFrame:
     """Layers over mentions in which only channels with more than min_videos videos go on; sizes: channel, video_count."""
     large = sizes.filter(F.col("video_count") > min_videos).select("channel")

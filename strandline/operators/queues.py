@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from . import graph, tables
+from .slices import in_slices, runs
 
 #: A batch is given up after so many attempts.
 MAX_ATTEMPTS = 3
@@ -102,36 +103,72 @@ def without_orphans(edges: DataFrame, batches: DataFrame) -> DataFrame:
     return tables.new_rows(edges, batches.filter("status = 'completed'"), ["batch_id"])
 
 
+class Outcomes:
+    """What outcomes in order do to a counter: blocked adds one, transient takes one off down to zero, definitive resets.
+
+    From any counter x, the one behind the k-th is max(low[k], x + sums[k]) until the first reset, and low[k] from there on:
+    sums without resets, and the counter that the lowest point so far, or the reset, leaves at least."""
+
+    def __init__(self, kinds: np.ndarray):
+        step = np.where(kinds == "blocked", 1, np.where(kinds == "transient", -1, 0)).astype(np.int64)
+        reset = (kinds != "blocked") & (kinds != "transient")
+        n = len(step)
+        self.n, self.first_reset = n, int(reset.argmax()) if reset.any() else n
+        sums = np.cumsum(step)
+        part = np.cumsum(reset)
+        base = np.concatenate([[0], sums[reset]])[part]  # a reset takes no step, so its sum is that before it
+        deepest = np.minimum.accumulate(sums - part * (2 * n + 2)) + part * (2 * n + 2)  # within a part, as later parts are far below
+        self.sums, self.low = sums, sums - np.where(part > 0, np.minimum(deepest, base), deepest)
+
+    def reached(self, limit: int) -> list[int | None]:
+        """For a counter of 0 to limit - 1 before: the outcome, from 1, at which the limit is first reached."""
+        high = self.low >= limit
+        own = int(high.argmax()) if high.any() else self.n
+        most = np.maximum.accumulate(self.sums[: self.first_reset])
+        from_ = np.minimum(own, np.searchsorted(most, limit - np.arange(limit)))
+        from_ = np.where(from_ >= len(most), own, from_)
+        return [int(k) + 1 if k < self.n else None for k in from_]
+
+    def map(self) -> tuple[int, int | None]:
+        """(a, b) of the map x -> max(a, x + b) over all of them; b is null after a reset."""
+        return (int(self.low[-1]), int(self.sums[-1]) if self.first_reset == self.n else None) if self.n else (0, 0)
+
+
 def blocked_state(outcomes: DataFrame, keys: list[str], order: list[str], outcome: str = "outcome", limit: int = 5) -> DataFrame:
-    """Per key, over its outcomes in order: the counter at the end (blocked adds one, transient takes one off down to zero,
-    definitive resets) and at which outcome it first reached the limit, from 1; null if never.
-
-    The outcomes of a key pass through one task in order, which holds three numbers for it."""
-    rows = outcomes.select(*keys, *[o for o in order if o not in keys], F.col(outcome).alias("__o")).repartition(*keys).sortWithinPartitions(*keys, *order)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, n, at, first = None, 0, 0, None
-        out: list[tuple] = []
-        for batch in batches:
-            for *mine, kind in zip(*(batch.column(c).to_pylist() for c in (*keys, "__o")), strict=True):
-                if mine != key:
-                    if key is not None:
-                        out.append((*key, n, first))
-                    key, n, at, first = mine, 0, 0, None
-                n, at = n + 1 if kind == "blocked" else max(0, n - 1) if kind == "transient" else 0, at + 1
-                first = at if first is None and n >= limit else first
-            if len(out) > 10_000:
-                yield made(out)
-                out = []
-        if key is not None:
-            yield made([*out, (*key, n, first)])
-
-    def made(out: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], [*keys, "counter", "blocked_at"])
-
-    schema = T.StructType([*(rows.schema[k] for k in keys), T.StructField("counter", T.LongType()), T.StructField("blocked_at", T.LongType())])
-    kinds = [f.type for f in to_arrow_schema(schema)]
-    return rows.mapInArrow(run, schema)
+    """Per key, over its outcomes in order: the counter at the end (blocked adds one, transient takes one off down to zero, all
+    else resets) and at which outcome it first reached the limit, from 1; null if never.
+
+    Each outcome is a map of the counter, and such maps compose: a slice of a key's outcomes is one map, and for each
+    counter below the limit the place where it is reached. So a key with all outcomes is dealt to many slices, and what one
+    task takes in order is a few numbers of each of its slices."""
+    rows = outcomes.select(*keys, *[o for o in order if o not in keys], F.col(outcome).alias("__o"))
+    dealt = in_slices(rows, keys, order)
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, found in runs(batches):
+            heads, out = [], []
+            for _, part in found:
+                own = Outcomes(part.column("__o").to_numpy().astype(str))
+                heads.append(part.slice(0, 1).select(keys))
+                out.append((number, own.n, *own.map(), own.reached(limit)))
+            columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())), strict=True)]
+            head = pa.concat_tables(heads).combine_chunks()
+            yield pa.RecordBatch.from_arrays([*[c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in head.columns], *columns], [*keys, *numbers])
+
+    numbers = ["__slice", "__n", "__a", "__b", "__reached"]
+    kept = T.StructType([rows.schema[k] for k in keys])
+    summaries = dealt.select(*keys, "__o", "__key", "__slice").mapInArrow(summarise, T.StructType([*kept, *T.StructType.fromDDL("__slice long, __n long, __a long, __b long, __reached array<long>")]))
+
+    def compose(table: pa.Table) -> pa.Table:
+        counter, before, first = 0, 0, None
+        for r in sorted(table.select(numbers).to_pylist(), key=lambda r: r["__slice"]):
+            at = r["__reached"][counter] if first is None else None
+            first = before + at if at is not None else first
+            counter = r["__a"] if r["__b"] is None else max(r["__a"], counter + r["__b"])
+            before += r["__n"]
+        return table.slice(0, 1).select(keys).append_column("counter", pa.array([counter], pa.int64())).append_column("blocked_at", pa.array([first], pa.int64()))
+
+    return summaries.groupBy(*keys).applyInArrow(compose, T.StructType([*kept, T.StructField("counter", T.LongType()), T.StructField("blocked_at", T.LongType())]))
 
 
 def walkback_round(batches: DataFrame, edges: DataFrame, statistics: DataFrame, known: DataFrame, now: Column, walkback_rate: int, seed: str, stale_minutes: int = 10) -> Iterator[dict[str, DataFrame]]:
