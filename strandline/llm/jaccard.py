@@ -217,7 +217,12 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     n_targets = targets.count()
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sent: set[int] = set()  # rows may repeat; a task sends the n-grams of a class once
         for batch in text_slices(batches, "text"):
+            nodes = batch.column("node").to_pylist()
+            fresh = [k for k, node in enumerate(nodes) if node not in sent and nodes.index(node) == k] if len(set(nodes)) < len(nodes) else [k for k, node in enumerate(nodes) if node not in sent]
+            sent.update(nodes)
+            batch = batch.take(pa.array(fresh, pa.int64()))
             out: list[tuple] = []
             for s, node, size, block, at in zip(ngram_sets(batch.column("text"), n), batch.column("node").to_pylist(), batch.column("size").to_pylist(), batch.column("block").to_pylist(), batch.column("cells").to_pylist(), strict=True):
                 raw = s.tobytes()
@@ -227,13 +232,12 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], ["cell", "own", "node", "size", "block", "grams"])
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for own, nodes, sizes, block, raw in _groups(batches, "cell", ("own", "node", "size", "block", "grams")):
-            once = sorted({x: k for k, x in enumerate(nodes)}.values())
-            if len(once) < 2:
+        for own, nodes, sizes, block, raw in _groups(_once(batches, "cell", "node"), "cell", ("own", "node", "size", "block", "grams")):
+            if len(nodes) < 2:
                 continue
-            nodes, sizes, block = (np.array(x)[once] for x in (nodes, sizes, block))
-            linked = linked_pairs([np.frombuffer(raw[k], np.uint64) for k in once], exact)
-            if not own[once[0]] or (block != block[0]).any():  # two blocks meet: their own pairs have a cell of their own
+            nodes, sizes, block = (np.array(x) for x in (nodes, sizes, block))
+            linked = linked_pairs([np.frombuffer(x, np.uint64) for x in raw], exact)
+            if not own[0] or (block != block[0]).any():  # two blocks meet: their own pairs have a cell of their own
                 linked &= block[:, None] != block[None, :]
             root = local_roots(linked)
             yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[root]), pa.array(linked @ sizes)], ["a", "b", "links"])
@@ -242,7 +246,7 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     picked = rows.join(F.broadcast(keys), ["doc", "text_hash"], "left_semi") if n_targets <= BROADCAST_KEYS else rows
     sent = picked.join(targets, ["doc", "text_hash"]).select("text", "node", "size", "block", "cells")
     sent = sent.mapInArrow(spread, "cell long, own boolean, node long, size long, block int, grams binary")
-    found = sent.repartition(n_parts, "cell").sortWithinPartitions("cell").mapInArrow(verify, "a long, b long, links long")
+    found = sent.repartition(n_parts, "cell").sortWithinPartitions("cell", "node").mapInArrow(verify, "a long, b long, links long")
     found = materialise(found, "links")
     links = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     joined = components(found.select("a", "b")).withColumnRenamed("id", "node")
@@ -266,6 +270,19 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
 
 
+def _once(batches: Iterator[pa.RecordBatch], *names: str) -> Iterator[pa.RecordBatch]:
+    """Rows of a partition that is sorted by some columns (longs), the first of each of their values."""
+    last: list[int] | None = None
+    for batch in batches:
+        if batch.num_rows:
+            columns = [batch.column(c).to_numpy() for c in names]
+            new = np.ones(batch.num_rows, bool)
+            new[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+            new[0] = last != [c[0] for c in columns]
+            last = [c[-1] for c in columns]
+            yield batch.filter(pa.array(new))
+
+
 def _groups(batches: Iterator[pa.RecordBatch], name: str, columns: Sequence[str]) -> Iterator[list[list]]:
     """The values of each key of a partition that is sorted by it."""
     key, held = None, [[] for _ in columns]

@@ -19,8 +19,8 @@ _UNSAFE = re.compile(rf" [{_WHITE}]|[{_WHITE}] |^ | $")
 #: Below U+0250 and without control characters Python's and Rust's classes and lower case agree (U+0130 becomes two characters).
 _ODD = re.compile(r"[^\n\x20-\x7e\xa1-\xac\xae-ɏ]")
 _SYMBOLS = "!#$%&()*+,-./:;=?@[]^_{}~|"
-#: Bytes of text that are encoded together.
-SLICE = 1 << 22
+#: Bytes of text that are encoded together; of the longest string that is kept; and of the table of pieces and their ids.
+SLICE, LONG_PIECE, TABLE_BYTES = 1 << 22, 64, 1 << 26
 _PLAIN = re.compile(r"[\n\x20-\x7e\xa1-\xac\xae-įı-ɏ]*\Z")
 
 
@@ -30,8 +30,9 @@ class PieceEncoder:
     token: ids of one match of `pattern` in the folded string. whole: ids of any string, by the library; it takes strings with special tokens or
     rare characters, and with keeps_spaces texts with runs of white space. keeps_spaces: a match may start with one space,
     so a piece carries the space before it; else white space only separates.
-    A table of more than `limit` entries keeps those found again since it was last full. This bounds memory and changes no
-    result.
+    Longer strings than LONG_PIECE bytes (text without white space is one piece) are encoded each time. A table of more than
+    `limit` entries or TABLE_BYTES keeps those found again since it was last full. This bounds memory in bytes and changes
+    no result.
     """
 
     def __init__(self, token: Callable[[str], bytes], whole: Callable[[str], bytes], pattern: str, keeps_spaces: bool, fold: Callable[[str], str] = str, limit: int = 450_000):
@@ -93,12 +94,19 @@ class PieceEncoder:
         ends = tails.dictionary_encode()
         symbols = pa.array([self._bare(x) if x else b"" for x in _strings(ends.dictionary)], pa.large_binary())
         out = pc.binary_join_element_wise(self.table_ids.take(pa.array(place[coded.indices.to_numpy()])), symbols.take(ends.indices), pa.scalar(b"", pa.large_binary()))
-        if len(self.table) > self.limit:
-            kept = self.used if 2 * self.used.sum() <= self.limit else np.zeros(len(self.used), bool)
-            self.table, self.table_ids = self.table.filter(pa.array(kept)), self.table_ids.filter(pa.array(kept))
+        sizes = pc.binary_length(self.table).to_numpy(zero_copy_only=False)
+        if len(new) and sizes[len(sizes) - len(new) :].max() > LONG_PIECE:
+            self._keep(sizes <= LONG_PIECE)
+        if len(self.table) > self.limit or self.table.nbytes + self.table_ids.nbytes > TABLE_BYTES:
+            few = 2 * self.used.sum() <= len(self.used)
+            self._keep(self.used if few else np.zeros(len(self.used), bool))
             self.used = np.zeros(len(self.table), bool)
         return out
 
+    def _keep(self, kept: np.ndarray) -> None:
+        """Only these entries of the table."""
+        self.table, self.table_ids, self.used = self.table.filter(pa.array(kept)), self.table_ids.filter(pa.array(kept)), self.used[kept]
+
     def _spaces_matter(self, text: str) -> bool:
         """Whether a text has white space that can't be told by cutting it at single spaces."""
         return bool(text) and ("  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " " or _ODD.search(text) is not None and _UNSAFE.search(text) is not None)
@@ -113,6 +121,8 @@ class PieceEncoder:
         ids = table.get(string)
         if ids is None:
             ids = make(string)
+            if len(string) > LONG_PIECE:
+                return ids
             if len(table) >= self.limit // 2:
                 table.clear()
             table[string] = ids

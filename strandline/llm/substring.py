@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ROLL_BASE_1, ROLL_BASE_2, id_key, partitions, rolling_hashes, sliding_argmin, span_hashes, text_bytes, text_slices, word_spans
+from .common import ROLL_BASE_1, ROLL_BASE_2, id_key, materialise, partitions, rolling_hashes, sliding_argmin, span_hashes, text_bytes, text_slices, word_spans
 
 #: Anchors or windows that a task holds before it passes them on, and text bytes of a home, of a shard of the sketch, and of
 #: a task.
@@ -20,6 +20,8 @@ HELD, HOME_BYTES, SHARD_BYTES, TASK_BYTES = 1 << 20, 1 << 24, 1 << 26, 1 << 27
 #: Text bytes for each anchor, at least as far as texts have words of ordinary length; a shard with more anchors overestimates more.
 ANCHOR_BYTES = 24
 DEPTH, RATE = 3, 0.01
+#: Rows that repeat id and text from which on they spread, and such groups that are broadcast at most (16 bytes each).
+REPEATS, BROADCAST_ROWS = 1024, 1 << 20
 _ROW_FACTORS = (0xC2B2AE3D27D4EB4F, 0x9E3779B185EBCA87, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 _START_FACTOR = np.uint64(0x165667B19E3779F9)
 
@@ -177,8 +179,8 @@ def substring_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Null and empty texts have no words. A null id is the largest id. Rows that share an id count as one document whose
     texts start at the same place: of their equal windows with equal starts both stay. Empty tables give no rows.
 
-    Documents are dealt once to homes of about 16 MB by a hash of id and text, so rows that share an id spread, and each
-    pass reads the homes. The first counts anchors in the sketch, whose rows are wide enough that about `rate` of the
+    Documents are dealt once to homes of about 16 MB by a hash of id and text, so rows that share an id spread (rows that repeat
+    both, too, where they are many), and each pass reads the homes. The first counts anchors in the sketch, whose rows are wide enough that about `rate` of the
     anchors that aren't repeated pass; the second sends the windows estimated repeated to an exact grouping by 128 bits of
     hash, combined in each task first, so that a frequent window is a few rows. The grouping gives the earliest place of
     each window; places go back to the homes, and there a candidate that isn't an earliest place is removed. No home grows
@@ -187,11 +189,18 @@ def substring_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     held = F.struct(*[docs[c].alias(c) for c in dict.fromkeys([id_col, *carry])])
     rows = docs.select(held.alias("row"), id_key(id_col).alias("doc"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
-    n_bytes = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    counted = materialise(rows.groupBy(F.xxhash64("doc", "text").alias("same")).agg(F.count("*").alias("often"), F.sum(F.octet_length("text").cast("long")).alias("size")), "rows")
+    n_bytes = counted.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     homes = buckets = max(64, n_bytes // HOME_BYTES)
     n_parts = max(partitions(spark), n_bytes // TASK_BYTES)
     shards = max(partitions(spark), n_bytes // SHARD_BYTES)
-    placed = rows.withColumn("home", F.pmod(F.xxhash64("doc", "text"), F.lit(homes))).repartition(n_parts, "home")  # all passes read the same shuffle
+    same = rows.withColumn("same", F.xxhash64("doc", "text"))
+    frequent = counted.filter((F.col("often") > REPEATS) & (F.col("size") > HOME_BYTES // 16)).select("same", F.ceil(F.greatest(F.col("often") / REPEATS, F.col("size") * 16 / HOME_BYTES)).alias("places"))
+    n_frequent = frequent.count()
+    if n_frequent:  # rows that repeat id and text go to several homes, by their places in the table
+        same = same.join(F.broadcast(frequent) if n_frequent <= BROADCAST_ROWS else frequent, "same", "left")
+        same = same.withColumn("same", F.when(F.col("places").isNotNull(), F.xxhash64("same", F.pmod(F.monotonically_increasing_id(), F.col("places")))).otherwise(F.col("same")))
+    placed = same.select("row", "doc", "text", F.pmod("same", F.lit(homes)).alias("home")).repartition(n_parts, "home")  # all passes read the same shuffle
 
     def candidates(scan: Scan, repeated: np.ndarray) -> np.ndarray:
         """First words of the windows whose anchor's key is one of the sorted repeated ones."""

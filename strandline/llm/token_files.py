@@ -29,6 +29,9 @@ SKIPPABLE_MAGIC = 0x184D2A50
 SEEK_TABLE_MAGIC = 0x184D2A5E
 SEEKABLE_FOOTER = b"\xb1\xea\x92\x8f"
 
+#: Text bytes of a write task.
+TASK_BYTES = 1 << 27
+
 Document = tuple[int | None, np.ndarray]
 
 
@@ -97,7 +100,7 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, pattern: str, end_id: int
     """Encode every whole text, append end_id to each document and write token files in ascending order of the id.
 
     Null texts are empty documents (the end id alone). Null ids come first; documents with an equal id follow each other
-    in an order that depends on their texts alone. An empty table gives a folder without files. A file closes at about
+    in an order that depends on their texts alone; rows that repeat both may lie in many tasks. An empty table gives a folder without files. A file closes at about
     `file_bytes`, whatever the number of documents; a longer document is still one frame. Other columns are ignored.
     Returns the folder, by default a new one in the shared folder. Files are committed by Spark's own writer, so lost
     executors and repeated tasks leave no half files.
@@ -125,8 +128,9 @@ def write_tokens(docs: DataFrame, tokenizer_file: str, pattern: str, end_id: int
             yield close()
 
     rows = docs.select(docs[id_col].cast("long").alias("id"), docs[text_col].alias("text"))
-    tie = F.xxhash64("text")
-    sorted_rows = rows.repartitionByRange(partitions(spark), "id", tie).sortWithinPartitions("id", tie)
+    n_bytes = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    order = ("id", F.xxhash64("text"), F.monotonically_increasing_id())
+    sorted_rows = rows.repartitionByRange(max(partitions(spark), n_bytes // TASK_BYTES), *order).sortWithinPartitions("id", F.xxhash64("text"))
     out = path or scratch(spark, "tokens")
     files = sorted_rows.mapInArrow(run, "content binary").select(F.col("content").cast("string").alias("value"))
     (files.write.option("maxRecordsPerFile", 1).option("encoding", "ISO-8859-1").option("lineSep", SEEKABLE_FOOTER.decode("latin-1")).text(out))

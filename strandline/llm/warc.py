@@ -22,6 +22,9 @@ GZIP_MAGIC = b"\x1f\x8b\x08"
 #: A gzip member of nothing; it ends each run of members that the writer hands to Spark.
 EMPTY_MEMBER = bytes.fromhex("1f8b080000000000000303000000000000000000")
 _ID = "urn:strandline:page:"
+#: A header ends within so many bytes; what doesn't is no record.
+HEADER_BYTES = 1 << 16
+_HEADER = re.compile(rb"WARC/[0-9.]+\r\n(?:[^\r\n:]+:[^\r\n]*\r\n(?:[ \t][^\r\n]*\r\n)*)*\r\n")
 
 
 def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: str, size: int, refers_to: int | None = None, date: str = "1970-01-01T00:00:00Z") -> bytes:
@@ -39,7 +42,11 @@ def record_bytes(page_id: int | None, url: str | None, payload: bytes, digest: s
 
 
 class Damaged(ValueError):
-    """What stands here is no whole and valid record or member."""
+    """What stands here is no whole and valid record or member. to: where the search goes on, if the place is known."""
+
+    def __init__(self, reason: str, to: int | None = None):
+        super().__init__(reason)
+        self.to = to
 
 
 @dataclass
@@ -79,10 +86,16 @@ def _inside(data: bytes, at: int, end: int) -> tuple[list[Found], str | None]:
     """The valid records of a decompressed member, with the gaps between them as places in it; the first reason of a gap."""
     found, inner, reason, bad = [], 0, None, None
     while inner < len(data):
+        if bad is None and data.startswith(b"\r\n", inner):
+            inner += 2
+            continue
         try:
             record, to = _record(data, inner)
         except Damaged as e:
             reason, bad = reason or str(e), bad or (inner, str(e))
+            if e.to is not None and (e.to == len(data) or data.startswith(b"WARC/", e.to)):
+                inner = e.to
+                continue
             line = data.find(b"\nWARC/", inner)
             inner = line + 1 if line >= 0 else len(data)
             continue
@@ -110,9 +123,10 @@ def _record(data: bytes, at: int) -> tuple[Found, int]:
     """The record at a place in plain bytes, and where it ends, after all checks."""
     if not data.startswith(b"WARC/", at):
         raise Damaged("no version line")
-    blank = data.find(b"\r\n\r\n", at)
-    if blank < 0:
-        raise Damaged("header cut short")
+    header = _HEADER.match(data, at, at + HEADER_BYTES)
+    if header is None:
+        raise Damaged("header cut short, too long or with an odd line")
+    blank = header.end() - 4
     lines = data[at:blank].decode("utf-8", "replace").split("\r\n")
     headers = {k.strip().lower(): v.strip() for k, sep, v in (x.partition(":") for x in lines[1:]) if sep}
     size = headers.get("content-length", "")
@@ -126,7 +140,7 @@ def _record(data: bytes, at: int) -> tuple[Found, int]:
     if headers.get("content-type", "").startswith("application/http"):
         http, sep, payload = block.partition(b"\r\n\r\n")
         if not sep:
-            raise Damaged("HTTP header cut short")
+            raise Damaged("HTTP header cut short", end + 4)
         length = re.search(rb"(?im)^content-length:\s*(\d+)\s*$", http)
         sent = int(length[1]) if length else None
     stated = headers.get("warc-payload-digest", "").lower()
@@ -135,9 +149,9 @@ def _record(data: bytes, at: int) -> tuple[Found, int]:
     else:
         digest, n = hashlib.sha256(payload).hexdigest(), len(payload)
         if not _digest_holds(stated, payload):
-            raise Damaged("payload digest differs")
+            raise Damaged("payload digest differs", end + 4)
     if headers.get("warc-block-digest") and not _digest_holds(headers["warc-block-digest"].lower(), block):
-        raise Damaged("block digest differs")
+        raise Damaged("block digest differs", end + 4)
     return Found(0, 0, None, headers, payload, n, digest), end + 4
 
 
@@ -146,13 +160,15 @@ def salvage(content: bytes) -> Iterator[Found]:
 
     Where a check fails (CRC, lengths, header, payload or block digest), the reader looks for the next gzip magic or version line
     that opens a valid member or record and goes on there; the bytes passed over are yielded as one gap with the first
-    reason. Inside a member the search goes on in its decompressed bytes, and a gap there is one with the member's place,
+    reason. Where only a digest differs, and the stated length leads to another record or the end, it goes on there, so a record that a
+    damaged payload quotes isn't taken for one of the archive. A header ends within 64 KB. Inside a member the search goes on in its decompressed bytes, and a gap there is one with the member's place,
     whose reason says which of its bytes; of a damaged member, the records before the damage are yielded, and the gap from
     its start. An empty file gives nothing. Empty members and blank lines between records are no gaps.
     """
     view, n, at = memoryview(content), len(content), 0
     bad: tuple[int, str] | None = None
     known: set[str] = set()
+    candidates = _Candidates(content)
     while at < n:
         try:
             if content.startswith(GZIP_MAGIC, at):
@@ -160,14 +176,14 @@ def salvage(content: bytes) -> Iterator[Found]:
                 found, reason = _inside(data, at, end)
                 good = [x for x in found if not x.reason]
                 if (broken or reason) and not good:
-                    raise Damaged(broken or reason)
+                    raise Damaged(broken or reason, None if broken else end)
                 if broken:  # its good records; what follows the damage is sought in the file
                     if bad and bad[0] < at:
                         yield Found(bad[0], at, bad[1])
                     yield from good
                     bad = (at, broken)
                     known = {x.headers["warc-record-id"] for x in good}
-                    at = _candidate(content, at + 1)
+                    at = candidates.after(at + 1)
                     continue
             elif bad is None and content.startswith(b"\r\n", at):
                 found, end = [], at + 2
@@ -179,7 +195,8 @@ def salvage(content: bytes) -> Iterator[Found]:
                 found = [record]
         except Damaged as e:
             bad = bad or (at, str(e))
-            at = _candidate(content, at + 1)
+            known_end = e.to is not None and (e.to == n or content.startswith((b"WARC/", GZIP_MAGIC), e.to))
+            at = e.to if known_end else candidates.after(at + 1)
             continue
         if bad:
             yield Found(bad[0], at, bad[1])
@@ -190,12 +207,22 @@ def salvage(content: bytes) -> Iterator[Found]:
         yield Found(bad[0], n, bad[1])
 
 
-def _candidate(content: bytes, at: int) -> int:
-    """The next place where a member or a version line may stand."""
-    member = content.find(GZIP_MAGIC, at)
-    line = content.find(b"\nWARC/", at - 1)
-    places = [x for x in (member, line + 1 if line >= 0 else -1) if x >= 0]
-    return min(places, default=len(content))
+class _Candidates:
+    """Where members or version lines may stand; each is sought once, whatever comes between."""
+
+    def __init__(self, content: bytes):
+        self.content, self.member, self.line = content, -1, -1
+
+    def after(self, at: int) -> int:
+        """The next such place from here on; the end if there is none."""
+        none = len(self.content)
+        if self.member < at:
+            found = self.content.find(GZIP_MAGIC, at)
+            self.member = found if found >= 0 else none
+        if self.line < at:
+            found = self.content.find(b"\nWARC/", at - 1)
+            self.line = found + 1 if found >= 0 else none
+        return min(self.member, self.line)
 
 
 def write_warc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", revisit_bytes: int = 100, file_bytes: int = 8 << 20, path: str | None = None) -> str:

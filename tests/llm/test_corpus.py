@@ -681,3 +681,52 @@ def test_hosts_of_few_pages_are_cleaned(spark):
 def test_long_and_odd_markup_takes_linear_time():
     for source in ("<" * 50_000, "<a href=\"" * 20_000, "<p>" * 50_000, "<div>" * 3_000 + "deep", "<!--" * 20_000, "&" * 50_000):
         text_of(source)
+
+
+# ---- repeated rows, quoted records and long headers
+
+
+def test_blank_lines_and_quoted_records():
+    quoted = record(99, b"quoted payload")
+    damaged = record(1, b"see:\r\n" + quoted + b"end of it")
+    damaged = damaged.replace(b"end of it", b"End of it")  # the payload's digest differs, its length doesn't
+    for pack in (bytes, gz):
+        found = list(warc.salvage(pack(record(0, b"a")) + pack(damaged) + pack(record(2, b"b"))))
+        assert [(f.headers.get("warc-record-id", ""), bool(f.reason)) for f in found] == [("<urn:strandline:page:0>", False), ("", True), ("<urn:strandline:page:2>", False)]
+    inside = gz(record(0, b"a") + b"\r\n\r\n" + record(1, b"b") + b"\r\n" + record(2, b"c"))
+    assert [f.reason for f in warc.salvage(inside)] == [None] * 3
+
+
+@pytest.mark.parametrize("pack", [bytes, gz])
+def test_version_lines_take_linear_time(pack):
+    import time
+
+    def seconds(n):
+        content = pack(b"\nWARC/1.1\r\n" * n)
+        began = time.process_time()
+        assert all(f.reason for f in warc.salvage(content))
+        return time.process_time() - began
+
+    seconds(1000)
+    assert seconds(80_000) < 12 * max(seconds(10_000), 0.02)
+
+
+def test_rows_that_repeat_are_one_class(spark):
+    """One near copy and a row very many times: links are counted by classes, and of equal keys in order the first is taken."""
+    base = sentence(random.Random(1), 80)
+    docs = spark.range(20_000).select(F.lit(1).cast("long").alias("doc_id"), F.lit(base).alias("text")).repartition(4)
+    docs = docs.unionByName(spark.createDataFrame([(2, base + " end")], "doc_id long, text string"))
+    rows = jaccard.jaccard_groups(docs).groupBy("doc_id", "n_links", "component_id").count().collect()
+    assert sorted(map(tuple, rows)) == [(1, 20_000, 1, 20_000), (2, 20_000, 1, 1)]
+    batches = [pa.record_batch({"a": a, "b": b}) for a, b in (([1, 1, 1, 2], [5, 5, 6, 6]), ([2, 2], [6, 7]), ([], []), ([2, 3], [7, 7]))]
+    batches[2] = batches[0].slice(0, 0)
+    assert [r for b in jaccard._once(iter(batches), "a", "b") for r in map(tuple, zip(*b.to_pydict().values()))] == [(1, 5), (1, 6), (2, 6), (2, 7), (3, 7)]
+
+
+def test_homes_of_rows_that_repeat_id_and_text_spread(spark, monkeypatch):
+    monkeypatch.setattr(substring, "REPEATS", 50)
+    monkeypatch.setattr(substring, "HOME_BYTES", 1 << 12)
+    text = sentence(random.Random(1), 40)
+    rows = [(None, text)] * 600 + [(1, text)] + [(k, sentence(random.Random(k), 30)) for k in range(5, 20)]
+    found = [(r.row.doc_id, r.n_words, r.n_removed, r.kept_sha256, r.kept_text) for r in substring.substring_rows(frame(spark, rows), texts=True).collect()]
+    assert sorted(map(repr, found)) == sorted(map(repr, brute_substrings(rows, 20)))

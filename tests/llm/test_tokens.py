@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from strandline.llm import bpe, packing, token_files
+from strandline.llm import bpe, packing, piece_cache, token_files
 from strandline.llm.piece_cache import LibraryEncoder
 from strandline.llm.queries import WORD_PATTERN
 
@@ -285,3 +285,17 @@ def test_most_near_copies_meet_in_a_shard():
         scores[k] = -1
         same += shard[scores.argmax()] == shard[k]
     assert same > 0.6 * 200  # one in twenty by chance
+
+
+def test_text_without_white_space_leaves_tables_bounded(monkeypatch):
+    monkeypatch.setattr(piece_cache, "TABLE_BYTES", 1 << 16)
+    rng = random.Random(8)
+    encoder = piece_cache.LibraryEncoder(open(P.path("byte_bpe_50k.json")).read(), P.PATTERN, True, False)
+    library = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    for k in range(60):
+        texts = ["".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(2000)) + str(k), "x" * 5000 + f" {k} y{rng.random()} " + "z" * 900] + [f"w{rng.random()}" for _ in range(40)]
+        found = encoder.encode_all(pa.array(texts))
+        if k % 10 == 0:
+            assert [np.frombuffer(x, np.uint16).tolist() for x in found] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert encoder.table.nbytes + encoder.table_ids.nbytes <= 2 << 16
+        assert max(map(len, [*encoder.bare, *encoder.spaced, ""])) <= piece_cache.LONG_PIECE
