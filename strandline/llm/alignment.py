@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import Counter
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -18,8 +19,9 @@ from .piece_cache import byte_letters
 
 #: Text bytes that are handled together, and those of a chunk of documents, whose pairs travel together.
 SLICE, CHUNK_BYTES = 1 << 22, 1 << 24
-#: Longest piece that is kept for later texts, and bytes of pieces, groups and pairs that are kept.
-LONG_PIECE, TABLE_BYTES = 64, 1 << 27
+#: Longest piece that is kept for later texts, and bytes of pieces, groups and pairs that are kept; pieces that are encoded
+#: together; and links of a group from which on they are made of its distinct ids.
+LONG_PIECE, TABLE_BYTES, LEARNED, LARGE_GROUP = 64, 1 << 26, 1 << 14, 1 << 12
 #: Ids of the first side in a stripe, pairs that a task holds before it passes them on, and bytes of asked pairs that a task answers.
 STRIPE_IDS, HELD, ANSWER_BYTES = 64, 1 << 21, 1 << 26
 #: One space between characters that no tokenizer takes for white space: no token of either side goes across.
@@ -44,6 +46,8 @@ class Tokenizers:
             self.first_bytes[k] = bytes(map(byte_of.__getitem__, letters)) if byte_of.keys() >= set(letters) else letters.encode()
         pieces = [self.second.id_to_piece(k) for k in range(self.second.get_piece_size())]
         self.second_bytes = [bytes([int(p[3:5], 16)]) if self.second.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)]
+        self.first_lengths, self.second_lengths = (np.array(list(map(len, x)), np.int64) for x in (self.first_bytes, self.second_bytes))
+        self.decimal = list(map(str, range(max(self.shape))))
         #: merges of the second side stop before a space unless a piece has one behind another character
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
 
@@ -57,43 +61,61 @@ class Tokenizers:
         return [(x.ids, y) for x, y in zip(first, self.second.encode(list(texts), num_threads=1), strict=True)]
 
 
-Group = tuple[list[int], list[int]]
-
-
-def groups(a: list[int], b: list[int], a_bytes: Sequence[bytes], b_bytes: Sequence[bytes]) -> list[Group]:
-    """The ids of both sides between the byte offsets where tokens of both end; the sides cover the same bytes."""
-    out: list[Group] = []
-    i = j = start_a = start_b = at_a = at_b = 0
-    while i < len(a):
-        at_a += len(a_bytes[a[i]])
-        i += 1
-        while at_b < at_a:
-            at_b += len(b_bytes[b[j]])
-            j += 1
-        if at_a == at_b:
-            out.append((a[start_a:i], b[start_b:j]))
-            start_a, start_b = i, j
-    return out
-
-
-def linked_pairs(found: list[Group], width: int) -> tuple[np.ndarray, np.ndarray]:
-    """The linked id pairs as numbers a * width + b, rising, and how many links each has. A group's pairs are made of its
-    distinct ids."""
-    keys, times = [], []
-    for a, b in found:
-        if len(a) == 1 and len(b) == 1:
-            keys.append(a[0] * width + b[0])
-            times.append(1)
-        elif len(a) * len(b) <= 16:
-            for x in a:
-                for y in b:
-                    keys.append(x * width + y)
-                    times.append(1)
-        else:
-            first, second = Counter(a), Counter(b)
-            keys += (np.array(list(first), np.int64)[:, None] * width + np.array(list(second), np.int64)).ravel().tolist()
-            times += (np.array(list(first.values()), np.int64)[:, None] * np.array(list(second.values()), np.int64)).ravel().tolist()
-    return summed(np.array(keys, np.int64), np.array(times, np.int64))
+@dataclass
+class Groups:
+    """The groups of several strings, whose tokens stand one string after the other. For each token of a side its group, rising; for
+    each group its string."""
+
+    first: np.ndarray
+    second: np.ndarray
+    first_group: np.ndarray
+    second_group: np.ndarray
+    string: np.ndarray
+
+    def links(self) -> np.ndarray:
+        """How many each group has."""
+        n = len(self.string)
+        return np.bincount(self.first_group, minlength=n) * np.bincount(self.second_group, minlength=n)
+
+    def names(self, decimal: list[str], n: int) -> list[str]:
+        """`a1,a2|b1;a3|b2` for each of the n strings, all of which have groups."""
+        group = np.concatenate([self.first_group, self.second_group])
+        side = np.repeat([0, 1], [len(self.first), len(self.second)])
+        order = np.lexsort((side, group))
+        ids, group, side = np.concatenate([self.first, self.second])[order], group[order], side[order]
+        apart = np.full(len(ids), "\n", object)
+        apart[:-1] = np.select([side[1:] > side[:-1], group[1:] == group[:-1], self.string[group[1:]] == self.string[group[:-1]]], ["|", ",", ";"], "\n")
+        both = [""] * (2 * len(ids))
+        both[::2], both[1::2] = map(decimal.__getitem__, ids.tolist()), apart.tolist()
+        return "".join(both).split("\n")[:n]
+
+    def pairs(self, width: int, space: int) -> tuple[np.ndarray, np.ndarray]:
+        """string * space + a * width + b of the linked pairs, rising, and how many links of a string each has."""
+        n = len(self.string)
+        in_first, in_second = np.bincount(self.first_group, minlength=n), np.bincount(self.second_group, minlength=n)
+        first_at, second_at = np.cumsum(in_first) - in_first, np.cumsum(in_second) - in_second
+        large = in_first * in_second > LARGE_GROUP
+        each = np.where(large, 0, in_second)[self.first_group]
+        at = np.repeat(second_at[self.first_group] - np.cumsum(each) + each, each) + np.arange(int(each.sum()))
+        base = self.string[self.first_group].astype(np.int64) * space + self.first.astype(np.int64) * width
+        keys, times = [np.repeat(base, each) + self.second[at]], [np.ones(len(at), np.int64)]
+        for g in np.flatnonzero(large).tolist():  # made of their distinct ids
+            a, n_a = np.unique(self.first[first_at[g] : first_at[g] + in_first[g]], return_counts=True)
+            b, n_b = np.unique(self.second[second_at[g] : second_at[g] + in_second[g]], return_counts=True)
+            keys.append((self.string[g] * space + (a.astype(np.int64) * width)[:, None] + b).ravel())
+            times.append((n_a[:, None] * n_b).ravel())
+        return summed(np.concatenate(keys), np.concatenate(times))
+
+
+def groups(first: list[list[int]], second: list[list[int]], first_lengths: np.ndarray, second_lengths: np.ndarray) -> Groups:
+    """The ids of both sides between the byte offsets where tokens of both end. The sides of each string cover the same bytes;
+    lengths are the bytes of each id."""
+    a, b = (np.fromiter(chain.from_iterable(x), np.int64, sum(map(len, x))) for x in (first, second))
+    ends_a, ends_b = np.cumsum(first_lengths[a]), np.cumsum(second_lengths[b])
+    near = np.searchsorted(ends_b, ends_a)
+    common = ends_a[ends_b[np.minimum(near, max(0, len(ends_b) - 1))] == ends_a] if len(a) else ends_a
+    last = ends_a[np.cumsum(list(map(len, first))) - 1]
+    return Groups(a, b, np.searchsorted(common, ends_a), np.searchsorted(common, ends_b), np.searchsorted(last, common))
 
 
 def summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -122,33 +144,46 @@ class Aligner:
         self.held = 0
 
     def _learn(self, pieces: list[str]) -> None:
-        sides, width = self.sides, self.sides.shape[1]
-        counts, keys, times, ends = [], [self.keys], [self.times], []
-        size = len(self.keys)
-        for piece, (a, b) in zip(pieces, sides.encode(pieces), strict=True):
-            raw = b" " + piece.encode()
-            self.index[piece] = len(self.names)
-            if b"".join(map(sides.first_bytes.__getitem__, a)) == raw == b"".join(map(sides.second_bytes.__getitem__, b)):
-                found = groups(a, b, sides.first_bytes, sides.second_bytes)
-                k, t = linked_pairs(found, width)
-                self.names.append(";".join([f"{','.join(map(str, x))}|{','.join(map(str, y))}" for x, y in found]))
-                counts.append((len(a), len(b), len(found), int(t.sum())))
-                keys.append(k)
-                times.append(t)
-                size += len(k)
-            else:
-                self.names.append("")
-                counts.append((-1, 0, 0, 0))
-            ends.append(size)
-            self.held += 200 + len(piece) + len(self.names[-1])
-        self.held += 16 * (size - len(self.keys))
-        self.counts = np.concatenate([self.counts, np.array(counts, np.int64)])
-        self.keys, self.times, self.first = np.concatenate(keys), np.concatenate(times), np.concatenate([self.first, ends])
+        sides = self.sides
+        for k in range(0, len(pieces), LEARNED):
+            part = pieces[k : k + LEARNED]
+            coded = sides.encode(part)
+            a, b = [x for x, _ in coded], [x for _, x in coded]
+            raw = [b" " + x.encode() for x in part]
+            sides_of = [b"".join(map(table.__getitem__, chain.from_iterable(x))) for table, x in ((sides.first_bytes, a), (sides.second_bytes, b))]
+            good = [True] * len(part)
+            if sides_of[0] != b"".join(raw) or sides_of[1] != b"".join(raw):
+                good = [b"".join(map(sides.first_bytes.__getitem__, x)) == r == b"".join(map(sides.second_bytes.__getitem__, y)) for x, y, r in zip(a, b, raw, strict=True)]
+            self._keep(part, [x for x, g in zip(a, good, strict=True) if g], [x for x, g in zip(b, good, strict=True) if g], np.array(good))
+
+    def _keep(self, pieces: list[str], a: list[list[int]], b: list[list[int]], good: np.ndarray) -> None:
+        """a, b: the ids of the good ones."""
+        width = self.sides.shape[1]
+        space = self.sides.shape[0] * width
+        self.index.update(zip(pieces, range(len(self.names), len(self.names) + len(pieces)), strict=True))
+        counts = np.zeros((len(pieces), 4), np.int64)
+        counts[~good, 0] = -1
+        names, first, keys, times = [""] * len(pieces), np.zeros(len(pieces), np.int64), self.keys[:0], self.times[:0]
+        if a:
+            found = groups(a, b, self.sides.first_lengths, self.sides.second_lengths)
+            at = np.flatnonzero(good)
+            counts[at, 0], counts[at, 1] = list(map(len, a)), list(map(len, b))
+            counts[at, 2] = np.bincount(found.string, minlength=len(a))
+            keys, times = found.pairs(width, space)
+            owner, keys = np.divmod(keys, space)
+            np.add.at(counts[:, 3], at[owner], times)
+            first[at] = np.bincount(owner, minlength=len(a))
+            for k, name in zip(at.tolist(), found.names(self.sides.decimal, len(a)), strict=True):
+                names[k] = name
+        self.names += names
+        self.held += 250 * len(pieces) + sum(map(len, pieces)) + sum(map(len, names)) + 16 * len(keys)
+        self.counts = np.concatenate([self.counts, counts])
+        self.keys, self.times, self.first = np.concatenate([self.keys, keys]), np.concatenate([self.times, times]), np.concatenate([self.first, self.first[-1] + np.cumsum(first)])
 
     def _forget(self, n: int) -> None:
         """Drop the pieces from the n-th on."""
         for piece in list(self.index)[n:]:
-            self.held -= 200 + len(piece) + len(self.names[self.index.pop(piece)])
+            self.held -= 250 + len(piece) + len(self.names[self.index.pop(piece)])
         self.held -= 16 * (len(self.keys) - int(self.first[n]))
         self.names, self.counts = self.names[:n], self.counts[:n]
         self.keys, self.times, self.first = self.keys[: self.first[n]], self.times[: self.first[n]], self.first[: n + 1]

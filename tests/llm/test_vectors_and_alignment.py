@@ -151,7 +151,7 @@ def test_alignment_equals_brute_force(spark, sides, monkeypatch):
     kept = found.select(*columns, "groups").collect()
     assert sorted(repr(tuple(r)[:-1]) for r in kept) == expected
     assert all(r.groups_sha256 == (hashlib.sha256(r.groups.encode()).hexdigest() if r.groups else "") for r in kept)
-    for name, value in (("SLICE", 300), ("CHUNK_BYTES", 500), ("HELD", 50), ("ANSWER_BYTES", 1), ("STRIPE_IDS", 7)):
+    for name, value in (("LEARNED", 7), ("LARGE_GROUP", 5), ("SLICE", 300), ("CHUNK_BYTES", 500), ("HELD", 50), ("ANSWER_BYTES", 1), ("STRIPE_IDS", 7)):
         monkeypatch.setattr(alignment, name, value)
     again = alignment.align_tokenizers(docs, *PATHS, texts=False)
     assert sorted(repr(tuple(r)) for r in again.select(*columns).collect()) == expected and again.filter("groups is not null").isEmpty()
