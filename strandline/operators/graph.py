@@ -120,7 +120,7 @@ def walkback_targets(back: DataFrame, valid: DataFrame, known: DataFrame, seed:
 
 
 def walk_step(batches: DataFrame, valid: DataFrame, known: DataFrame, walkback_rate: int, seed: str) -> tuple[DataFrame, DataFrame]:
-    """Pages and edges that finished batches give.
+    """Pages and edges that finished batches give, each with its batch.
 
     batches: batch_id, crawl_id, source_channel, source_page_id, source_depth, sequence_id. valid: batch_id, channel (newly
     claimed ones, each once). A batch without new channels walks back; else a draw of 1..100 up to the rate walks back. Forward goes to
@@ -137,13 +137,13 @@ def walk_step(batches: DataFrame, valid: DataFrame, known: DataFrame, walkback_r
     rows = rows.join(targets, "batch_id", "left").withColumn("next", F.when(F.col("walkback"), F.col("back")).otherwise(F.col("forward"))).filter("next IS NOT NULL")
     fresh = F.sha2(F.concat_ws(":", F.lit(seed), F.lit("sequence"), "batch_id"), 256)
     pages = rows.select(
-        F.sha2(F.concat_ws(":", F.lit(seed), F.lit("page"), "batch_id"), 256).alias("page_id"), F.col("source_page_id").alias("parent_id"), (F.col("source_depth") + 1).alias("depth"),
+        "batch_id", F.sha2(F.concat_ws(":", F.lit(seed), F.lit("page"), "batch_id"), 256).alias("page_id"), F.col("source_page_id").alias("parent_id"), (F.col("source_depth") + 1).alias("depth"),
         F.col("next").alias("url"), "crawl_id", F.when(F.col("walkback"), fresh).otherwise(F.col("sequence_id")).alias("sequence_id"),
     )
-    primary = rows.select(F.col("next").alias("destination_channel"), "source_channel", "walkback", F.lit(False).alias("skipped"), "crawl_id", "sequence_id")
+    primary = rows.select("batch_id", F.col("next").alias("destination_channel"), "source_channel", "walkback", F.lit(False).alias("skipped"), "crawl_id", "sequence_id")
     left = rows.select("batch_id", "source_channel", "crawl_id", "sequence_id", "walkback", "next").join(valid, "batch_id")
     left = left.filter(F.col("walkback") | (F.col("channel") != F.col("next")))
-    skipped = left.select(F.col("channel").alias("destination_channel"), "source_channel", F.lit(False).alias("walkback"), F.lit(True).alias("skipped"), "crawl_id", "sequence_id")
+    skipped = left.select("batch_id", F.col("channel").alias("destination_channel"), "source_channel", F.lit(False).alias("walkback"), F.lit(True).alias("skipped"), "crawl_id", "sequence_id")
     return pages, primary.union(skipped)
 
 
@@ -151,8 +151,8 @@ def replacement(failed: DataFrame, edges: DataFrame, seeds: DataFrame, seed: str
     """What takes the place of failed pages (page_id, url, sequence_id): action promote with the channel, or seed with one,
     or walkback.
 
-    The edge that led there decides: none and a seed gives a random other seed; none else, or a walk back, walks back; a
-    forward edge gives a random skipped edge of its source and sequence, or walks back if there is none."""
+    The edge that led there decides: none and a seed gives another seed, drawn for each page by itself; none else, or a walk
+    back, walks back; a forward edge gives a random skipped edge of its source and sequence, or walks back if there is none."""
     led = edges.select(F.col("destination_channel").alias("url"), "sequence_id", "source_channel", "walkback", "edge_id")
     led = tables.first_wins(led, ["url", "sequence_id"], ["edge_id"])
     skipped = edges.filter("skipped").withColumn("__h", F.md5(F.concat_ws(":", F.lit(seed), "edge_id")))
@@ -160,10 +160,14 @@ def replacement(failed: DataFrame, edges: DataFrame, seeds: DataFrame, seed: str
     skipped = skipped.join(failed.select(F.col("url").alias("destination_channel"), "sequence_id"), ["destination_channel", "sequence_id"], "left_anti")
     best = skipped.groupBy("source_channel", "sequence_id").agg(F.min_by("destination_channel", F.struct("__h", "edge_id")).alias("other"))
     usable = seeds.join(failed.select(F.col("url").alias("channel_username")), "channel_username", "left_anti")
-    other_seed = F.lit(usable.agg(F.min_by("channel_username", F.md5(F.concat_ws(":", F.lit(seed), "channel_username")))).first()[0]).cast("string")
+    places, n = hash_ranks(usable.select(F.col("channel_username").alias("channel")), seed)
+    drawn = F.conv(F.substring(F.md5(F.concat_ws(":", F.lit(seed), F.lit("seed"), "page_id")), 1, 15), 16, 10).cast("bigint")
     known = seeds.select(F.col("channel_username").alias("url"), F.lit(True).alias("is_seed")).distinct()
     rows = failed.join(led, ["url", "sequence_id"], "left").join(known, "url", "left").join(best, ["source_channel", "sequence_id"], "left")
     no_edge = F.col("edge_id").isNull()
+    rows = rows.withColumn("rank", F.when(no_edge & F.col("is_seed"), F.pmod(drawn, F.lit(max(1, n)))))
+    rows = rows.join(places.select("rank", F.col("channel").alias("other_seed")), "rank", "left")
+    other_seed = F.col("other_seed")
     action = F.when(no_edge & F.coalesce("is_seed", F.lit(False)), F.when(other_seed.isNotNull(), "seed").otherwise("walkback")).when(no_edge | F.col("walkback"), "walkback").when(F.col("other").isNotNull(), "promote").otherwise("walkback")
     return rows.select("page_id", "url", action.alias("action"), F.when(action == "promote", F.col("other")).when(action == "seed", other_seed).alias("channel"))
 

@@ -53,14 +53,19 @@ def ready_batches(batches: DataFrame, edges: DataFrame) -> DataFrame:
     return batches.filter((F.col("status") == "closed") & (F.col("attempt_count") < MAX_ATTEMPTS)).join(waiting, "batch_id", "left_anti")
 
 
-def claim_batch(batches: DataFrame, edges: DataFrame, now: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The oldest ready batch with one more attempt, its edges, and the table in which it is being processed."""
-    claimed = ready_batches(batches, edges).orderBy("created_at", "batch_id").limit(1)
+def claim_batches(batches: DataFrame, edges: DataFrame, now: Column, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The k oldest ready batches, each with one more attempt, their edges, and the table in which they are being processed."""
+    claimed = ready_batches(batches, edges).orderBy("created_at", "batch_id").limit(k)
     claimed = claimed.withColumns({"status": F.lit("processing"), "attempt_count": F.col("attempt_count") + 1, "claimed_at": now})
     marks = claimed.select("batch_id", "status", "attempt_count", "claimed_at")
     return claimed, tables.known_rows(edges, claimed, ["batch_id"]), tables.update_by_key(batches, marks, ["batch_id"])
 
 
+def claim_batch(batches: DataFrame, edges: DataFrame, now: Column) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """claim_batches of one."""
+    return claim_batches(batches, edges, now, 1)
+
+
 def batch_statistics(edges: DataFrame, keys: tuple[str, ...] = ("crawl_id",), status: str = "validation_status", source: str = "source_type") -> DataFrame:
     """Counts of edges by source type; other statuses count in total only."""
     kind = F.coalesce(F.nullif(F.col(source), F.lit("")), F.lit("unknown")).alias("source_type")
@@ -171,17 +176,21 @@ def blocked_state(outcomes: DataFrame, keys: list[str], order: list[str], outcom
     return summaries.groupBy(*keys).applyInArrow(compose, T.StructType([*kept, T.StructField("counter", T.LongType()), T.StructField("blocked_at", T.LongType())]))
 
 
-def walkback_round(batches: DataFrame, edges: DataFrame, statistics: DataFrame, known: DataFrame, now: Column, walkback_rate: int, seed: str, stale_minutes: int = 10) -> Iterator[dict[str, DataFrame]]:
+def valid_channels(edges: DataFrame) -> DataFrame:
+    """batch_id, channel: the channels that a batch's valid edges lead to, each once."""
+    return edges.filter("validation_status = 'valid'").select("batch_id", F.col("destination_channel").alias("channel")).distinct()
+
+
+def walkback_round(batches: DataFrame, edges: DataFrame, statistics: DataFrame, known: DataFrame, now: Column, walkback_rate: int, seed: str, stale_minutes: int = 10, k: int = 1) -> Iterator[dict[str, DataFrame]]:
     """One round of the walk-back processor, as the changes to write one after the other.
 
-    Stale batches are recovered; the oldest ready batch is claimed; its valid edges give a page and edges to follow; the
-    batch is completed; then its counts are added to the statistics and its edges deleted. As completion is written before that, a
-    crash in between leaves a completed batch with edges, which without_orphans deletes; nothing is counted twice."""
+    Stale batches are recovered; the k oldest ready batches are claimed; the valid edges of each give a page and edges to follow;
+    the batches are completed; then their counts are added to the statistics and their edges deleted. As completion is written before
+    that, a crash in between leaves completed batches with edges, which without_orphans deletes; nothing is counted twice."""
     recovered, _ = recover_batches(batches, now, stale_minutes)
-    claimed, mine, processing = claim_batch(recovered, edges, now)
+    claimed, mine, processing = claim_batches(recovered, edges, now, k)
     yield {"batches": processing}
-    valid = mine.filter("validation_status = 'valid'").select("batch_id", F.col("destination_channel").alias("channel")).distinct()
-    pages, followed = graph.walk_step(claimed, valid, known, walkback_rate, seed)
+    pages, followed = graph.walk_step(claimed, valid_channels(mine), known, walkback_rate, seed)
     yield {"page_buffer": pages, "edges": followed}
     marks = claimed.select("batch_id", F.lit("completed").alias("status"), now.alias("completed_at"))
     done = processing if "completed_at" in processing.columns else processing.withColumn("completed_at", F.lit(None).cast(marks.schema["completed_at"].dataType))

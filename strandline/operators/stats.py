@@ -117,6 +117,18 @@ def tandem_done(buffered: DataFrame, in_flight: int, incomplete: DataFrame) -> D
     return left.agg(((F.sum("n") == 0) & F.lit(in_flight == 0)).alias("done"))
 
 
+def tandem_state(buffered: DataFrame, in_flight: DataFrame, batches: DataFrame) -> DataFrame:
+    """For each crawl with batches: pages buffered, pages in flight, batches incomplete, and whether it is over (none of them)."""
+
+    def counted(rows: DataFrame, name: str) -> DataFrame:
+        return rows.groupBy("crawl_id").agg(F.count("*").alias(name))
+
+    crawls = batches.select("crawl_id").union(in_flight.select("crawl_id")).distinct()
+    out = crawls.join(counted(buffered, "buffered"), "crawl_id", "left").join(counted(in_flight, "in_flight"), "crawl_id", "left")
+    out = out.join(counted(batches.filter("status <> 'completed'"), "incomplete"), "crawl_id", "left").fillna(0, ["buffered", "in_flight", "incomplete"])
+    return out.withColumn("done", F.col("buffered") + F.col("in_flight") + F.col("incomplete") == 0)
+
+
 def match_results(pages: DataFrame, results: DataFrame) -> DataFrame:
     """Pages with the status that their result brings, matched by depth and address."""
     got = results.select("depth", "url", F.col("status").alias("__status"), F.col("error").alias("__error"))

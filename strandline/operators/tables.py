@@ -83,6 +83,11 @@ def unexpired(table: DataFrame, at: str, now: Column, days: int = 30) -> DataFra
     return table.filter(F.col(at) > now - F.expr(f"INTERVAL {days} DAYS"))
 
 
+def with_expiry(table: DataFrame, at: str, now: Column, days: int = 30) -> DataFrame:
+    """Rows of a cache with `cached`: whether they are younger than `days`."""
+    return table.withColumn("cached", F.col(at) > now - F.expr(f"INTERVAL {days} DAYS"))
+
+
 def usable_seeds(seeds: DataFrame, now: Column, days: int = 30) -> DataFrame:
     """Seeds with a name that are not invalid, or have been for at least `days`."""
     past = F.col("invalidated_at") <= now - F.expr(f"INTERVAL {days} DAYS")

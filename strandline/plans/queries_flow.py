@@ -342,13 +342,13 @@ def f13_walkback_target(t: Tables) -> DataFrame:
 @query(f"""WITH {_TARGETS.strip()} SELECT sha256(concat_ws(':', '9', 'page', batch_id)) AS page_id, source_page_id AS parent_id, (source_depth + 1)::INT AS depth, next AS url, crawl_id,
     CASE WHEN walkback THEN sha256(concat_ws(':', '9', 'sequence', batch_id)) ELSE sequence_id END AS sequence_id FROM g WHERE next IS NOT NULL""")
 def f14_walk_step(t: Tables) -> DataFrame:
-    return graph.walk_step(*_walk_input(t), 30, "9")[0]
+    return graph.walk_step(*_walk_input(t), 30, "9")[0].drop("batch_id")
 
 
 @query(f"""WITH {_TARGETS.strip()} SELECT next AS destination_channel, source_channel, walkback, false AS skipped, crawl_id, sequence_id FROM g WHERE next IS NOT NULL
     UNION ALL SELECT v.channel, source_channel, false, true, crawl_id, sequence_id FROM g JOIN v ON v.batch_id = g.batch_id WHERE next IS NOT NULL AND (walkback OR v.channel <> next)""")
 def f14_walk_edges(t: Tables) -> DataFrame:
-    return graph.walk_step(*_walk_input(t), 30, "9")[1]
+    return graph.walk_step(*_walk_input(t), 30, "9")[1].drop("batch_id")
 
 
 def _walk_input(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -361,10 +361,11 @@ def _walk_input(t: Tables) -> tuple[DataFrame, DataFrame, DataFrame]:
     f2 AS (SELECT page_id, CASE WHEN CAST(substring(page_id, 2, 9) AS INT) % 120 = 0 THEN concat('chan', CAST(1 + CAST(substring(page_id, 2, 9) AS INT) % 7 + 300 AS STRING)) ELSE url END AS url, sequence_id FROM f),
     l AS (SELECT destination_channel AS url, sequence_id, source_channel, walkback FROM (SELECT *, row_number() OVER (PARTITION BY destination_channel, sequence_id ORDER BY edge_id) AS n FROM v_edges) WHERE n = 1),
     s AS (SELECT source_channel, sequence_id, arg_min(destination_channel, md5(concat_ws(':', '1', CAST(edge_id AS STRING)))) AS other FROM v_edges e WHERE skipped AND NOT EXISTS (SELECT 1 FROM f2 WHERE f2.url = e.destination_channel AND f2.sequence_id = e.sequence_id) GROUP BY ALL),
-    o AS (SELECT arg_min(channel_username, md5(concat_ws(':', '1', channel_username))) AS seed FROM v_seeds WHERE channel_username <> '' AND channel_username NOT IN (SELECT url FROM f2)),
+    o AS (SELECT channel_username AS seed, row_number() OVER (ORDER BY md5(concat_ws(':', '1', channel_username)), channel_username) - 1 AS rank FROM (SELECT DISTINCT channel_username FROM v_seeds WHERE channel_username <> '' AND channel_username NOT IN (SELECT url FROM f2))),
     r AS (SELECT page_id, other, CASE WHEN l.url IS NULL THEN CASE WHEN f2.url IN (SELECT channel_username FROM v_seeds) THEN 'seed' ELSE 'walkback' END WHEN walkback THEN 'walkback' WHEN s.source_channel IS NOT NULL THEN 'promote' ELSE 'walkback' END AS action
     FROM f2 LEFT JOIN l ON l.url = f2.url AND l.sequence_id = f2.sequence_id LEFT JOIN s ON s.source_channel = l.source_channel AND s.sequence_id = l.sequence_id)
-    SELECT page_id, action, CASE action WHEN 'promote' THEN other WHEN 'seed' THEN (SELECT seed FROM o) END AS channel FROM r""")
+    SELECT page_id, action, CASE action WHEN 'promote' THEN other WHEN 'seed' THEN seed END AS channel
+    FROM r LEFT JOIN o ON rank = ('0x' || substring(md5(concat_ws(':', '1', 'seed', page_id)), 1, 15))::BIGINT % (SELECT count(*) FROM o)""")
 def f15_replacement(t: Tables) -> DataFrame:
     n = F.col("edge_id")
     url = F.when(n % 120 == 0, F.concat(F.lit("chan"), (n % 7 + 301).cast("string"))).otherwise(F.col("destination_channel"))
@@ -443,7 +444,7 @@ def h02_blocked_state(t: Tables) -> DataFrame:
 
 @query(f"SELECT channel_username, {NOW} - INTERVAL 30 DAY < invalidated_at AS cached FROM v_seeds WHERE invalidated_at IS NOT NULL")
 def h05_ttl_cache(t: Tables) -> DataFrame:
-    return t.seeds.filter("invalidated_at IS NOT NULL").select("channel_username", (F.col("invalidated_at") > now() - F.expr("INTERVAL 30 DAYS")).alias("cached"))
+    return tables.with_expiry(t.seeds.filter("invalidated_at IS NOT NULL"), "invalidated_at", now()).select("channel_username", "cached")
 
 
 @query("SELECT channel_username, strftime(greatest(TIMESTAMP '2024-01-20 00:00:00', last_crawled_at), '%Y-%m-%d') AS min_date FROM v_seeds WHERE channel_username <> ''")
@@ -476,6 +477,22 @@ def h03_walkback_stats(t: Tables) -> DataFrame:
     return _round(t)[3]["source_stats"].select("crawl_id", "source_type", "total")
 
 
+_MANY = _ROUND.replace("LIMIT 1", "LIMIT 60")
+
+
+@query(f"WITH {_MANY.strip()} SELECT s.batch_id, CASE WHEN o.batch_id IS NULL THEN s.status ELSE 'completed' END AS status, (s.attempt_count + CASE WHEN o.batch_id IS NULL THEN 0 ELSE 1 END)::INT AS attempt_count FROM s LEFT JOIN o ON o.batch_id = s.batch_id")
+def h03_walkback_batches(t: Tables) -> DataFrame:
+    return _round(t, 60)[2]["batches"].select("batch_id", "status", "attempt_count")
+
+
+@query(f"""WITH {_MANY.strip()}, v AS (SELECT DISTINCT batch_id, destination_channel FROM v_pending WHERE validation_status = 'valid' AND batch_id IN (SELECT batch_id FROM o)),
+    n AS (SELECT o.batch_id, source_page_id, source_depth, count(v.batch_id) AS n FROM o LEFT JOIN v ON v.batch_id = o.batch_id GROUP BY ALL)
+    SELECT sha256(concat_ws(':', '9', 'page', batch_id)) AS page_id, source_page_id AS parent_id, (source_depth + 1)::INT AS depth FROM n""")
+def h03_walkback_pages(t: Tables) -> DataFrame:
+    """A page for each of the claimed batches; with some hundred known channels, ten draws find one to go back to."""
+    return _round(t, 60)[1]["page_buffer"].select("page_id", "parent_id", "depth")
+
+
 @query(f"WITH {_ROUND.strip()} SELECT pending_id FROM v_pending WHERE batch_id NOT IN (SELECT batch_id FROM o) AND batch_id NOT IN (SELECT batch_id FROM v_batches WHERE status = 'completed')")
 def h04_orphans_of_a_crash(t: Tables) -> DataFrame:
     """The round stops after its batch is completed and before its edges are deleted; the orphan rule deletes them."""
@@ -483,9 +500,9 @@ def h04_orphans_of_a_crash(t: Tables) -> DataFrame:
     return queues.without_orphans(t.pending, completed).select("pending_id")
 
 
-def _round(t: Tables) -> list[dict[str, DataFrame]]:
+def _round(t: Tables, k: int = 1) -> list[dict[str, DataFrame]]:
     none = t.batches.select("crawl_id").distinct().select("crawl_id", F.lit("unknown").alias("source_type"), F.lit(10).cast("bigint").alias("total"), *[F.lit(0).cast("bigint").alias(c) for c in queues.COUNTED])
-    return list(queues.walkback_round(t.batches, t.pending, none, graph.vertices(t.edges), now(), 30, "9"))
+    return list(queues.walkback_round(t.batches, t.pending, none, graph.vertices(t.edges), now(), 30, "9", k=k))
 
 
 @query("SELECT page_id FROM v_pages WHERE status = 'unfetched' OR (status = 'error' AND retries < 3)")
@@ -524,11 +541,26 @@ def h12_resume(t: Tables) -> DataFrame:
     return same.join(other, "page_id")
 
 
-@query("SELECT false AS done UNION ALL SELECT true")
+@query("""
+    SELECT crawl_id, coalesce(p.n, 0)::BIGINT AS buffered, b.flying::BIGINT AS in_flight, b.open::BIGINT AS incomplete, coalesce(p.n, 0) + b.flying + b.open = 0 AS done
+    FROM (SELECT crawl_id, count(*) FILTER (WHERE status = 'processing') AS flying, count(*) FILTER (WHERE status <> 'completed' AND attempt_count < 2) AS open FROM v_batches GROUP BY 1) b
+    LEFT JOIN (SELECT crawl_id, count(*) AS n FROM v_pages WHERE status = 'unfetched' AND depth > 2 GROUP BY 1) p USING (crawl_id)""")
 def h13_tandem_done(t: Tables) -> DataFrame:
-    left = queues.incomplete_batches(t.batches, "c1")
-    none = queues.incomplete_batches(t.batches.filter("status = 'completed'"), "c1")
-    return stats.tandem_done(t.pages, 0, left).union(stats.tandem_done(t.pages.limit(0), 0, none))
+    return stats.tandem_state(t.pages.filter("status = 'unfetched' AND depth > 2"), t.batches.filter("status = 'processing'"), t.batches.filter("attempt_count < 2"))
+
+
+@query("""
+    WITH RECURSIVE e AS (SELECT DISTINCT o_custkey AS a, (o_custkey * 7 + o_orderkey % 3) % 1500 AS b FROM orders),
+    r AS (SELECT 1::BIGINT AS channel UNION SELECT e.b FROM r JOIN e ON e.a = r.channel)
+    SELECT channel FROM r""")
+def f17_frontier_loop(t: Tables) -> DataFrame:
+    """The graph of orders from one channel to the end, popped 400 pages at a time."""
+    from ..streaming import frontier
+
+    edges = t.read("orders").select(F.col("o_custkey").alias("source"), ((F.col("o_custkey") * 7 + F.col("o_orderkey") % 3) % 1500).alias("destination")).distinct()
+    start = t.spark.range(1, 2).select(F.col("id").cast("string").alias("page_id"), F.col("id").alias("url"), F.lit(0).alias("depth"), F.lit("c").alias("crawl_id"))
+    found = frontier.run_frontier(start, frontier.links_of(edges), "c", 400)
+    return found.pages.select(F.col("url").alias("channel"))
 
 
 @query("SELECT event_type AS source_type, count(*)::BIGINT AS links, count(*) FILTER (WHERE event_id % 9 = 7) AS valid FROM events GROUP BY 1")

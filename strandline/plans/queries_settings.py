@@ -1,132 +1,16 @@
-"""Queries over parameters, settings and files: what the driver decides, shown as rows, and round trips of sources and sinks."""
+"""Queries over files and settings: round trips of sources and sinks."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
-from datetime import datetime
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import file_packing, graph, nulls, posts
 from ..sources import files
-from . import parameters
 from .catalogue import Tables, now, query
 
-_NOW = datetime(2024, 3, 31, 12, 30)
-
-
-def _cases(t: Tables, schema: str, cases: Sequence[Sequence], result: Callable[..., object]) -> DataFrame:
-    """Each case with its result as text; an error is 'error'."""
-
-    def shown(case: Sequence) -> str:
-        try:
-            return str(result(*case))
-        except ValueError:
-            return "error"
-
-    rows = [(k, shown(case)) for k, case in enumerate(cases)]
-    return t.spark.createDataFrame(rows, f"{schema} int, result string")
-
-
-def _values(name: str, results: Sequence[str]) -> str:
-    return f"SELECT * FROM (VALUES {', '.join(f'({k}, {r})' for k, r in enumerate(results))}) v({name}, result)"
-
-
-def _at(sql: str) -> str:
-    return f"strftime({sql}, '%Y-%m-%d %H:%M:%S')"
-
-
-_T = "TIMESTAMP '2024-03-31 12:30:00'"
-
-
-@query(_values("number", [_at(f"{_T} - INTERVAL 6 HOUR"), _at(f"{_T} - INTERVAL 30 DAY"), _at(f"{_T} - INTERVAL 14 DAY"), "'2024-03-02 12:30:00'", _at(f"{_T} - INTERVAL 1 YEAR"), "'error'", "'error'", "'error'"]))
-def g10_relative_time(t: Tables) -> DataFrame:
-    return _cases(t, "number", [("6h",), ("30d",), ("2w",), ("1m",), ("1y",), ("",), ("5x",), ("d",)], lambda text: parameters.relative_time(text, _NOW))
-
-
-@query(_values("number", ["'174600.0'", "'90.0'", "'1.5'", "'0.25'", "'error'", "'error'"]))
-def g11_duration_text(t: Tables) -> DataFrame:
-    return _cases(t, "number", [("48h30m",), ("1m30s",), ("1.5s",), ("250ms",), ("48",), ("h",)], lambda text: parameters.duration(text).total_seconds())
-
-
-@query(_values("number", ["'2024-01-01 2024-02-01'", "'2024-01-05 2024-01-05'", "'error'", "'error'", "'error'"]))
-def g12_date_pair(t: Tables) -> DataFrame:
-    return _cases(t, "number", [("2024-01-01,2024-02-01",), ("2024-01-05, 2024-01-05",), ("2024-02-01,2024-01-01",), ("2024-01-01",), ("x,y",)], lambda text: " ".join(f"{d:%Y-%m-%d}" for d in parameters.date_range(text)))
-
-
-@query("SELECT 'set' AS name, 'given' AS value UNION ALL SELECT 'unset', 'fallback' UNION ALL SELECT 'empty', 'fallback'")
-def g24_setting(t: Tables) -> DataFrame:
-    t.spark.conf.set("strandline.set", "given")
-    t.spark.conf.set("strandline.empty", "")
-    return t.spark.createDataFrame([(n, files.setting(t.spark, f"strandline.{n}", "fallback")) for n in ("set", "unset", "empty")], "name string, value string")
-
-
-@query(_values("number", ["'01-02 01-09'", "'01-05 03-31'", "'01-05 03-31'", "'01-01 03-31'", "'- 03-31'"]))
-def d09_date_window(t: Tables) -> DataFrame:
-    """A whole range goes before recency, half of one doesn't; recency goes before a first date."""
-    a, b, recent, first = (datetime(2024, 1, d) for d in (2, 9, 5, 1))
-    cases = [((a, b), recent, first), ((a, None), recent, first), ((None, None), recent, first), ((None, b), None, first), ((None, None), None, None)]
-    return _cases(t, "number", cases, lambda *c: " ".join(f"{d:%m-%d}" if d else "-" for d in parameters.date_window(_NOW, *c)))
-
-
-@query("""
-    WITH p AS (SELECT * FROM (VALUES ('telegram'), ('youtube'), ('other')) p(platform), (VALUES ('channel'), ('snowball'), ('random-walk'), ('random'), ('none')) m(method), (VALUES (0), (2)) u(urls), (VALUES (0), (5)) s(sample_size), (VALUES (0), (3)) d(seed_size))
-    SELECT platform, method, urls, sample_size, seed_size, coalesce(CASE WHEN platform = 'telegram' THEN method IN ('channel', 'snowball', 'random-walk') WHEN platform = 'youtube' THEN method IN ('channel', 'snowball', 'random') END, false)
-      AND CASE method WHEN 'random' THEN urls = 0 AND sample_size > 0 WHEN 'random-walk' THEN (urls > 0) <> (seed_size > 0) ELSE urls > 0 END AS valid FROM p""")
-def d10_sampling_matrix(t: Tables) -> DataFrame:
-    def valid(platform: str, method: str, urls: int, sample: int, seeds: int) -> bool:
-        try:
-            parameters.validate_sampling(platform, method, urls=urls, sample_size=sample, seed_size=seeds, crawl_id="c")
-        except ValueError:
-            return False
-        return True
-
-    cases = [(p, m, u, s, d) for p in ("telegram", "youtube", "other") for m in ("channel", "snowball", "random-walk", "random", "none") for u in (0, 2) for s in (0, 5) for d in (0, 3)]
-    return t.spark.createDataFrame([(*c, valid(*c)) for c in cases], "platform string, method string, urls int, sample_size int, seed_size int, valid boolean")
-
-
-@query(_values("number", ["'ok'", "'ok'", "'error'", "'ok'", "'error'", "'error'", "'error'"]))
-def d12_mode_check(t: Tables) -> DataFrame:
-    cases = [("",), ("orchestrator",), ("worker",), ("worker", "w1"), ("cluster",), ("job", "", 0, 10), ("job", "", 170, 100)]
-    return _cases(t, "number", cases, lambda *c: parameters.validate_mode(*c) or "ok")
-
-
-@query(_values("number", ["'crawl'", "'crawl'", "'maintenance'", "'crawl'", "'generic'", "'generic'"]))
-def d13_job_kind(t: Tables) -> DataFrame:
-    return _cases(t, "number", [("scheduled-crawl-1", ""), ("crawl", ""), ("maintenance-x", ""), ("other", "Crawl it"), ("crawler", ""), ("", "")], parameters.job_kind)
-
-
-@query(_values("number", ["'3 2 nightly'", "'8 -1 base'", "'3 -1 base'", "'error'"]))
-def d14_settings_overlay(t: Tables) -> DataFrame:
-    base = parameters.CrawlSettings(concurrency=3, crawl_label="base")
-
-    def laid(job: dict) -> str:
-        s = base.overlaid(job)
-        return f"{s.concurrency} {s.max_depth} {s.crawl_label}"
-
-    return _cases(t, "number", [({"concurrency": 0, "max_depth": 2, "crawl_label": "nightly"},), ({"concurrency": 8},), ({"crawl_label": ""},), ({"unknown": 1},)], laid)
-
-
-@query("SELECT range AS number, CASE WHEN range < 100 THEN least(50, greatest(5, CAST(floor(range * 10 / 3 + 1e-9) AS INT) + 1)) ELSE 50 END::BIGINT AS size FROM range(0, 200)")
-def f21_batch_size(t: Tables) -> DataFrame:
-    return t.spark.createDataFrame([(k, parameters.batch_size(k, 0.3)) for k in range(200)], "number bigint, size bigint")
-
-
-@query(_values("number", ["'(2, 60)'", "'(3, 100)'", "'(200, 0)'", "'(1, 10)'", "'(0, 0)'"]))
-def f20_quota_rounds(t: Tables) -> DataFrame:
-    """Rounds until the target; the rounds end at 100 for each wanted and 100 more."""
-    cases = [([50, 50], 60), ([30, 80, 80], 100), ([0] * 500, 1), ([80], 10), ([5], 0)]
-    return _cases(t, "number", cases, lambda found, target: parameters.quota_rounds(found, target))
-
-
-@query("SELECT * FROM (VALUES ('url', 'log', 'own text'), ('not_a_rule', 'critical', 'new'), ('post_link', 'critical', 'post_link is required')) v(path, behavior, message)")
-def d02_merged_rules(t: Tables) -> DataFrame:
-    rules = nulls.rules_table(t.spark, nulls.merged_rules("youtube", {"url": ("log", "own text"), "not_a_rule": ("critical", "new")}))
-    return rules.filter(F.col("path").isin("url", "not_a_rule", "post_link"))
-
-
 @query("SELECT event_id, concat_ws(',', CASE WHEN event_type = 'view' THEN 'inner.text' END, CASE WHEN user_id % 2 = 0 THEN 'n' END, CASE WHEN event_id % 3 = 0 THEN 'items' END) AS empty FROM events")
 def d03_empty_fields(t: Tables) -> DataFrame:
     """Fields of structs are walked; text, numbers and lists are empty at their zero; a struct has no rule of its own."""
@@ -222,12 +106,3 @@ def b16_dropped_files(t: Tables) -> DataFrame:
     """Files over the cap are dropped: they have no bin. Each region's folder is packed by itself."""
     rows = t.read("nation").select(F.col("n_nationkey").cast("bigint").alias("number"), "n_regionkey", F.when(F.length("n_name") <= 9, 1).otherwise(99).alias("size"))
     return file_packing.pack(rows, ["number"], "size", None, 50, ["n_regionkey"]).select("number", "bin")
-
-
-@query("SELECT seed AS channel_username FROM (VALUES ('chan_one'), ('two_two')) v(seed)")
-def b02_seed_file(t: Tables) -> DataFrame:
-    """A seed file that something else has fetched: a path is read."""
-    path = _folder(t, "seed-file")
-    t.spark.createDataFrame([("# list\n https://t.me/Chan_One \n\n@two_two",)], "value string").write.text(path)
-    return files.read_seeds(t.spark, path)
-

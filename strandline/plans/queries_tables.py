@@ -167,6 +167,12 @@ def a22_claim_ready_batch(t: Tables) -> DataFrame:
     return claimed.join(counted, "batch_id", "left").select("batch_id", "status", "attempt_count", F.coalesce("edges", F.lit(0)).cast("bigint").alias("edges"))
 
 
+@query(f"WITH c AS (SELECT batch_id FROM {_READY} ORDER BY created_at, batch_id LIMIT 40) SELECT b.batch_id, CASE WHEN c.batch_id IS NULL THEN status ELSE 'processing' END AS status, (attempt_count + CASE WHEN c.batch_id IS NULL THEN 0 ELSE 1 END)::INT AS attempt_count FROM v_batches b LEFT JOIN c ON c.batch_id = b.batch_id")
+def a22_claim_batches(t: Tables) -> DataFrame:
+    """The table in which the 40 oldest ready batches are being processed."""
+    return queues.claim_batches(t.batches, t.pending, now(), 40)[2].select("batch_id", "status", "attempt_count")
+
+
 @query("SELECT status, count(*)::BIGINT AS n FROM (SELECT CASE WHEN batch_id = 'b9' THEN 'completed' ELSE status END AS status FROM v_batches) GROUP BY status")
 def a23_complete_batch(t: Tables) -> DataFrame:
     return queues.complete_batch(t.batches.withColumn("completed_at", F.lit(None).cast("timestamp_ntz")), "b9", now()).groupBy("status").agg(F.count("*").alias("n"))

@@ -177,15 +177,6 @@ def d04_null_events(t: Tables) -> DataFrame:
     return nulls.events(nulls.validate(_ruled(t), _OWN_RULES), "doc_id").select("doc_id", "path", "behavior")
 
 
-@query("SELECT p AS platform, b AS behavior, n::BIGINT AS n FROM (VALUES ('youtube', 'critical', 9), ('youtube', 'log', 36), ('youtube', 'optional', 1), ('youtube', 'unavailable', 36), ('telegram', 'critical', 9), ('telegram', 'log', 26), ('telegram', 'unavailable', 47)) v(p, b, n)")
-def d01_null_rules(t: Tables) -> DataFrame:
-    out = None
-    for platform in nulls.PLATFORMS:
-        rows = nulls.rules_table(t.spark, nulls.merged_rules(platform)).groupBy("behavior").agg(F.count("*").alias("n")).select(F.lit(platform).alias("platform"), "behavior", "n")
-        out = rows if out is None else out.union(rows)
-    return out
-
-
 @query(f"SELECT doc_id FROM {_RULED} WHERE text <> ''")
 def d05_valid_channels(t: Tables) -> DataFrame:
     return nulls.valid_channels(nulls.validate(_ruled(t), _OWN_RULES)).select("doc_id")

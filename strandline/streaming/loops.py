@@ -1,16 +1,15 @@
-"""Streams of edges, messages and worker status; walk-back rounds on stored tables."""
+"""Streams of edges, messages and worker status."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from ..operators import queues, stats, tables
-from ..sources.files import newest_version, read_snapshot, write_snapshot
+from ..operators import stats, tables
 
 
 def file_stream(spark: SparkSession, path: str, schema: str, most_files: int = 1000, fmt: str = "json") -> DataFrame:
@@ -60,29 +59,6 @@ def validation_loop(spark: SparkSession, stream: DataFrame, checkpoint: str, ste
     return run_available(stream, each, checkpoint)
 
 
-def walkback_loop(spark: SparkSession, path: str, known: DataFrame, now: Column, walkback_rate: int, seed: str, rounds: int) -> int:
-    """Rounds of the walk-back processor over the tables stored under `path` (batches, pending_edges, source_stats,
-    page_buffer, edges), until no batch is ready or `rounds` are done; returns how many were.
-
-    Each change is a new version of a table, written in the order of queues.walkback_round. Orphans that a crash left are
-    deleted first."""
-    read = lambda name: read_snapshot(spark, f"{path}/{name}")
-
-    def write(name: str, table: DataFrame) -> None:
-        write_snapshot(table, f"{path}/{name}", newest_version(spark, f"{path}/{name}") + 1)
-
-    for done in range(rounds):
-        write("pending_edges", queues.without_orphans(read("pending_edges"), read("batches")))
-        recovered, _ = queues.recover_batches(read("batches"), now, 10)
-        if queues.ready_batches(recovered, read("pending_edges")).isEmpty():
-            return done
-        for change in queues.walkback_round(read("batches"), read("pending_edges"), read("source_stats"), known, now, walkback_rate, f"{seed}:{done}"):
-            for name, table in change.items():
-                grows = name in ("page_buffer", "edges")
-                write(name, read(name).unionByName(table, allowMissingColumns=True) if grows else table)
-    return rounds
-
-
 def heartbeats(status: DataFrame) -> DataFrame:
     """Last message of each worker, as a streaming aggregate."""
     return stats.last_seen(status, "worker_id", "timestamp", "status")

@@ -48,8 +48,7 @@ def test_a_run_packs_from_any_filling(trigger, cap):
             assert (filling - 1 - fillings[at] if fillings[at] < 0 else fillings[at], bins[at]) == (total, number)
 
 
-@pytest.mark.parametrize(("trigger", "cap"), CASES)
-@pytest.mark.parametrize(("rows", "group"), [(4, 2), (7, 3), (1, 64), (1000, 64)])
+@pytest.mark.parametrize(("trigger", "cap", "rows", "group"), [(None, 10, 4, 2), (7, 10, 4, 2), (7, 10, 1000, 64), (10, 10, 7, 3), (15, 10, 3, 64), (1, 10, 9, 2)])
 def test_packing_equals_the_fold(spark, monkeypatch, trigger, cap, rows, group):
     monkeypatch.setattr(slices, "SLICE_ROWS", rows)
     monkeypatch.setattr(slices, "GROUP", group)

@@ -287,30 +287,6 @@ def test_blocked_state(spark, tmp_path):
     assert [(r.event) for r in spark.read.parquet(str(tmp_path / "out")).orderBy("at").collect()] == ["paused", "resumed"]
 
 
-def test_walkback_loop_counts_no_batch_twice(spark, tmp_path):
-    batches = spark.createDataFrame([(f"b{k}", "c", "src", f"p{k}", 0, "q", "closed" if k < 3 else "processing", 0, NOW + timedelta(minutes=k), NOW - timedelta(minutes=30 if k == 3 else 1), None) for k in range(5)], "batch_id string, crawl_id string, source_channel string, source_page_id string, source_depth int, sequence_id string, status string, attempt_count int, created_at timestamp, claimed_at timestamp, completed_at timestamp")
-    edges = spark.createDataFrame([(10 * k + j, f"b{k}", "c", f"chan_{k}{j}", "src", NOW, "url", "valid" if j else "invalid") for k in range(5) for j in range(3)], "pending_id int, batch_id string, crawl_id string, destination_channel string, source_channel string, discovery_time timestamp, source_type string, validation_status string")
-    known = spark.createDataFrame([("src",), ("far",)], "channel string")
-    counts = ", ".join(f"{c} bigint" for c in ("total", *queues.COUNTED))
-    empty = {
-        "batches": batches, "pending_edges": edges, "source_stats": spark.createDataFrame([], f"crawl_id string, source_type string, {counts}"),
-        "page_buffer": spark.createDataFrame([], schemas.PAGE_BUFFER), "edges": spark.createDataFrame([], "destination_channel string, source_channel string, walkback boolean, skipped boolean, crawl_id string, sequence_id string"),
-    }
-    for name, table in empty.items():
-        files.write_snapshot(table, str(tmp_path / name), 0)
-    # a crash after b0 was completed and counted nowhere: its edges are orphans
-    crashed = list(queues.walkback_round(batches, edges, empty["source_stats"], known, F.lit(NOW), 0, "s"))
-    files.write_snapshot(crashed[2]["batches"], str(tmp_path / "batches"), 1)
-    assert loops.walkback_loop(spark, str(tmp_path), known, F.lit(NOW), 0, "s", 9) == 3
-    read = lambda name: files.read_snapshot(spark, str(tmp_path / name))
-    assert {r.batch_id: r.status for r in read("batches").collect()} == {"b0": "completed", "b1": "completed", "b2": "completed", "b3": "completed", "b4": "processing"}
-    assert {r.batch_id for r in read("pending_edges").collect()} == {"b4"}
-    row = read("source_stats").first()
-    assert (row.total, row.valid, row.invalid) == (9, 6, 3)
-    assert read("page_buffer").count() == 3 and read("edges").filter("skipped").count() == 3
-    assert loops.walkback_loop(spark, str(tmp_path), known, F.lit(NOW), 0, "s", 9) == 0
-
-
 def test_walkback_draws_are_uniform_and_run_out(spark):
     known = spark.range(20).select(F.concat(F.lit("chan"), F.col("id").cast("string")).alias("channel"))
     batches = spark.range(4000).select(F.concat(F.lit("b"), F.col("id").cast("string")).alias("batch_id"), F.lit("chan0").alias("source_channel"))
