@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.links import prefix_match, username_fault
 from . import tables
-from .slices import ensure_checkpoints
+from .slices import first_rows, shared_dir
 
 
 def save_edges(edges: DataFrame, rows: DataFrame, crawl_id: str) -> DataFrame:
@@ -172,23 +173,45 @@ def replacement(failed: DataFrame, edges: DataFrame, seeds: DataFrame, seed: str
     return rows.select("page_id", "url", action.alias("action"), F.when(action == "promote", F.col("other")).when(action == "seed", other_seed).alias("channel"))
 
 
+class Bucketed:
+    """Tables of a search in the shared folder, bucketed by a channel, so that joins on it read them without an exchange."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.name = spark, uuid.uuid4().hex
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def append(self, table: str, rows: DataFrame, key: str, *folders: str) -> None:
+        name = f"strandline_{table}_{self.name}"
+        writer = rows.write.mode("append").format("parquet").bucketBy(self.buckets, key).sortBy(key).option("path", f"{shared_dir(self.spark)}/{name}")
+        (writer.partitionBy(*folders) if folders else writer).saveAsTable(name)
+
+    def read(self, table: str) -> DataFrame:
+        return self.spark.table(f"strandline_{table}_{self.name}")
+
+
+def reached(found: Bucketed, depth: int) -> DataFrame:
+    """Channels that edges lead to from those of a depth, each once, without those seen: what is shuffled is what the edges lead to,
+    neither the edges nor the channels seen."""
+    here = found.read("seen").filter(F.col("depth") == depth).select(F.col("channel").alias("source"))
+    return found.read("edges").join(here, "source", "left_semi").select(F.col("destination").alias("channel")).distinct()
+
+
 def layers(edges: DataFrame, roots: DataFrame, max_depth: int = -1, allowed: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """channel, depth: breadth-first layers from the roots over edges (source, destination), each channel in its first one.
 
-    Stops at an empty layer or after max_depth layers (-1: none). `allowed` filters the channels of a layer. Edges are made
-    distinct and dealt by their source once; each layer is checkpointed, so lineage doesn't grow with depth."""
-    spark = edges.sparkSession
-    ensure_checkpoints(spark)
-    held = without_loops(edges, "source", "destination").select("source", "destination").distinct().repartition("source").checkpoint()
-    layer = roots.select("channel").distinct().withColumn("depth", F.lit(0)).checkpoint()
-    seen, depth = layer, 0
-    while (max_depth < 0 or depth < max_depth) and not layer.isEmpty():
+    Stops at an empty layer or after max_depth layers (-1: none). `allowed` filters the channels of a layer. Edges and the channels
+    seen are stored in buckets of their channel, the latter in a folder for each depth, so a layer reads them where they are and its
+    lineage doesn't grow with depth."""
+    found = Bucketed(edges.sparkSession)
+    found.append("edges", without_loops(edges, "source", "destination").select("source", "destination").distinct(), "source")
+    found.append("seen", roots.select("channel").distinct().withColumn("depth", F.lit(0)), "channel", "depth")
+    depth = 0
+    while (max_depth < 0 or depth < max_depth) and not found.read("seen").filter(F.col("depth") == depth).isEmpty():
+        layer = reached(found, depth)
+        layer = (allowed(layer) if allowed else layer).join(found.read("seen").select("channel"), "channel", "left_anti")
         depth += 1
-        found = held.join(layer.select(F.col("channel").alias("source")), "source", "left_semi").select(F.col("destination").alias("channel")).distinct()
-        found = allowed(found) if allowed else found
-        layer = found.join(seen, "channel", "left_anti").withColumn("depth", F.lit(depth)).checkpoint()
-        seen = seen.union(layer)
-    return seen
+        found.append("seen", layer.withColumn("depth", F.lit(depth)), "channel", "depth")
+    return found.read("seen").select("channel", "depth")
 
 
 def snowball(edges: DataFrame, seeds: DataFrame, sizes: DataFrame, min_videos: int = 10) -> DataFrame:
@@ -201,7 +224,7 @@ def snowball_videos(found: DataFrame, videos: DataFrame, at: str, key: str, per_
     """The newest videos (with a column channel) of the channels of a snowball (channel, depth), so many of each; in all at
     most `limit` (-1: no limit), those of nearer layers first."""
     newest = tables.top_per_key(tables.known_rows(videos, found, ["channel"]), ["channel"], [F.desc(at), F.col(key)], per_channel).join(found.select("channel", "depth"), "channel")
-    return newest.orderBy("depth", "channel", F.desc(at), key).limit(limit) if limit >= 0 else newest
+    return first_rows(newest, ["depth", "channel", F.desc(at), key], limit) if limit >= 0 else newest
 
 
 def prefix_sample(videos: DataFrame, prefixes: DataFrame, sizes: DataFrame, n: int, seed: str, per_search: int = 10, min_videos: int = 10) -> DataFrame:
@@ -226,7 +249,7 @@ def draw_seeds(seeds: DataFrame, n: int, seed: str, key: str = "channel_username
 
 
 def pop(buffer: DataFrame, crawl_id: str, n: int) -> DataFrame:
-    return buffer.filter(F.col("crawl_id") == crawl_id).orderBy("depth", "page_id").limit(n)
+    return first_rows(buffer.filter(F.col("crawl_id") == crawl_id), ["depth", "page_id"], n)
 
 
 def remove_pages(buffer: DataFrame, crawl_id: str, page_ids: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import graph, tables
-from .slices import in_slices, runs
+from .slices import first_rows, in_slices, runs
 
 #: A batch is given up after so many attempts.
 MAX_ATTEMPTS = 3
@@ -55,7 +55,7 @@ def ready_batches(batches: DataFrame, edges: DataFrame) -> DataFrame:
 
 def claim_batches(batches: DataFrame, edges: DataFrame, now: Column, k: int) -> tuple[DataFrame, DataFrame, DataFrame]:
     """The k oldest ready batches, each with one more attempt, their edges, and the table in which they are being processed."""
-    claimed = ready_batches(batches, edges).orderBy("created_at", "batch_id").limit(k)
+    claimed = first_rows(ready_batches(batches, edges), ["created_at", "batch_id"], k)
     claimed = claimed.withColumns({"status": F.lit("processing"), "attempt_count": F.col("attempt_count") + 1, "claimed_at": now})
     marks = claimed.select("batch_id", "status", "attempt_count", "claimed_at")
     return claimed, tables.known_rows(edges, claimed, ["batch_id"]), tables.update_by_key(batches, marks, ["batch_id"])

@@ -7,13 +7,15 @@ import tempfile
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Rows of a slice, and slices (or groups of them) that one task composes.
 SLICE_ROWS, GROUP = 1 << 18, 64
+#: Rows that one task may bring in order.
+ONE_TASK = 10_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -44,6 +46,30 @@ def in_slices(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> Dat
     return dealt.select("*", key.alias("__key"), F.spark_partition_id().alias("__slice")).checkpoint()
 
 
+def first_rows(rows: DataFrame, order: Sequence[str | Column], n: int) -> DataFrame:
+    """The first n rows in an order; all if there are fewer.
+
+    Up to ONE_TASK of them are sorted by one task, after each task has found its own first n. More are found by slices of the
+    order: as many as lie wholly before the n-th row are kept as they are, and of the one it lies in the first rows, so no task
+    gets more than a slice."""
+    if n <= ONE_TASK:
+        return rows.orderBy(*order).limit(n)
+    ensure_checkpoints(rows.sparkSession)
+    slices = max(1, -(-rows.count() // SLICE_ROWS))
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
+    dealt = rows.repartitionByRange(slices, *order).sortWithinPartitions(*order).withColumns({"__slice": F.spark_partition_id(), "__place": place}).checkpoint()
+    left, whole = n, -1
+    for number, size in sorted(tuple(r) for r in dealt.groupBy("__slice").count().collect()):
+        if size > left:
+            break
+        left, whole = left - size, number
+    # slices without rows have no number, so the next one that has some is the first above
+    rest = dealt.filter(F.col("__slice") > whole).agg(F.min("__slice")).first()[0]
+    here = F.col("__slice") <= whole
+    kept = dealt.filter(here if rest is None else here | (F.col("__slice") == rest) & (F.col("__place") < left))
+    return kept.drop("__slice", "__place")
+
+
 def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple[str, pa.Table]]]]:
     """The slice of a partition, if it has rows, and its rows key by key."""
     found = list(batches)

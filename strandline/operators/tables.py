@@ -5,11 +5,14 @@ Spark's file tables have no UPDATE, DELETE or MERGE, so each change gives the ne
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .slices import ONE_TASK, first_rows
+
 
 def append(table: DataFrame, rows: DataFrame, **defaults: Column) -> DataFrame:
     """Add rows; the columns in `defaults` replace null or empty values."""
@@ -56,6 +59,21 @@ def new_rows(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFram
     return rows.join(known.select(*keys), list(keys), "left_anti")
 
 
+def new_rows_of_few(rows: DataFrame, known: DataFrame, keys: Sequence[str], rate: float = 1e-4, most: int = 1 << 24) -> DataFrame:
+    """new_rows where the history is long and the rows are few: only what of the history may be among the rows is shuffled.
+
+    The rows' keys are hashed to so many values that about `rate` of other keys meet one of them; these go to all tasks that read the
+    history, which pass on the keys that hit. What passes decides exactly, whatever the rate. Rows with more than `most` keys, whose
+    hashes (8 bytes each) would be too much to broadcast, are joined as they are."""
+    n = rows.select(*keys).distinct().count()
+    if n > most:
+        return new_rows(rows, known, keys)
+    value = F.pmod(F.xxhash64(*keys), F.lit(max(1, int(n / rate)))).alias("__value")
+    hashes = rows.select(value).distinct()
+    near = known.select(*keys, value).join(F.broadcast(hashes), "__value", "left_semi").select(*keys).distinct()
+    return new_rows(rows, near, keys)
+
+
 def known_rows(rows: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     return rows.join(known.select(*keys), list(keys), "left_semi")
 
@@ -75,7 +93,7 @@ def claim_first(rows: DataFrame, known: DataFrame, keys: Sequence[str], order: S
 
 def claim_top(table: DataFrame, where: Column, order: Sequence[str | Column], k: int) -> DataFrame:
     """The first k rows of those that wait. One writer claims at a time; it replaces row locks."""
-    return table.filter(where).orderBy(*order).limit(k)
+    return first_rows(table.filter(where), order, k)
 
 
 def unexpired(table: DataFrame, at: str, now: Column, days: int = 30) -> DataFrame:
@@ -100,8 +118,17 @@ def hash_order(seed: str, *keys: str) -> Column:
 
 
 def random_rows(table: DataFrame, n: int, seed: str, *keys: str) -> DataFrame:
-    """n rows, uniformly without replacement; all if there are fewer."""
-    return table.orderBy(hash_order(seed, *keys), *keys).limit(n)
+    """n rows, uniformly without replacement; all if there are fewer.
+
+    Where many are asked for, rows whose hash is above all that are likely to be wanted are left out first: the n-th of so many
+    uniform hashes lies below the cut but for one case in 10**9, which is then seen and the cut left out."""
+    if n > ONE_TASK:
+        total = table.count()
+        share = (n + 6 * math.sqrt(n) + 40) / max(1, total)
+        if share < 0.9:
+            below = table.filter(F.substring(hash_order(seed, *keys), 1, 12) <= f"{int(share * 16**12):012x}")
+            table = below if below.count() >= n else table
+    return first_rows(table, [hash_order(seed, *keys), *keys], n)
 
 
 def top_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from ..operators import stats, tables
+from ..operators import stats
 
 
 def file_stream(spark: SparkSession, path: str, schema: str, most_files: int = 1000, fmt: str = "json") -> DataFrame:
@@ -34,15 +34,42 @@ def run_available(stream: DataFrame, each: Callable[[DataFrame, int], None], che
     return query
 
 
+class FirstRow(StatefulProcessor):
+    """Per key: whether a row of it was passed on. Of a batch's rows the first in order is."""
+
+    def __init__(self, columns: list[str], order: list[str]):
+        self.columns, self.order = columns, order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.claimed = handle.getValueState("claimed", "yes boolean")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        first = None
+        for part in rows:  # a key with very many rows comes in parts
+            best = pd.concat([part, first] if first is not None else [part]).sort_values(self.order, kind="stable").head(1)
+            first = best
+        if first is not None and not self.claimed.exists():
+            self.claimed.update((True,))
+            yield first[self.columns]
+
+    def close(self) -> None:
+        pass
+
+
+def first_of_each(stream: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """The first row of each key over all batches, by its state; what a batch costs doesn't depend on those before. Of rows that
+    come in one batch the least in `order` is first. Needs RocksDB."""
+    return stream.groupBy(key).transformWithStateInPandas(FirstRow(stream.columns, order), stream.schema, "Append", "None")
+
+
 def first_discoveries(spark: SparkSession, stream: DataFrame, state: str, checkpoint: str, key: str, order: list[str]) -> StreamingQuery:
     """Keep the first row of each key over all batches: batch n adds its new keys as the folder batch=n, which is written
-    again if the batch comes again; earlier ones stay as they are."""
+    again if the batch comes again; earlier ones stay as they are and aren't read."""
 
     def each(batch: DataFrame, number: int) -> None:
-        known = discoveries(spark, state).filter(F.col("batch") < number).drop("batch") if number else batch.limit(0)
-        tables.claim_first(batch, known, [key], order).write.mode("overwrite").parquet(f"{state}/batch={number}")
+        batch.write.mode("overwrite").parquet(f"{state}/batch={number}")
 
-    return run_available(stream, each, checkpoint)
+    return run_available(first_of_each(stream, key, order), each, checkpoint)
 
 
 def discoveries(spark: SparkSession, state: str) -> DataFrame:

@@ -5,7 +5,9 @@ import random
 import numpy as np
 import pytest
 
-from strandline.operators import file_packing, queues, slices
+from pyspark.sql import functions as F
+
+from strandline.operators import file_packing, graph, queues, slices, tables
 
 
 def fold(sizes, trigger, cap):
@@ -98,3 +100,48 @@ def test_a_validator_with_all_outcomes_is_dealt_to_many_slices(spark, monkeypatc
     found = {r.validator: (r.counter, r.blocked_at) for r in queues.blocked_state(df, ["validator"], ["at"]).collect()}
     assert found == {v: counted(kinds, 5) for v, kinds in own.items()}
     assert queues.blocked_state(df.limit(0), ["validator"], ["at"]).collect() == []
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("Exchange hashpartitioning")
+
+
+@pytest.mark.parametrize("n", [0, 1, 37, 200, 400, 1000])
+def test_many_of_many_without_one_task(spark, monkeypatch, n):
+    monkeypatch.setattr(slices, "ONE_TASK", 10)
+    monkeypatch.setattr(slices, "SLICE_ROWS", 60)
+    rows = spark.range(400).select("id", (F.col("id") * 7919 % 101).alias("k"))
+    expected = sorted(((r.k, r.id) for r in rows.collect()), key=lambda r: (-r[0], r[1]))[:n]
+    found = slices.first_rows(rows, [F.desc("k"), "id"], n)
+    assert sorted((r.k, r.id) for r in found.collect()) == sorted(expected)
+    assert n <= 10 or "Limit" not in found._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(tables, "ONE_TASK", 10)
+    drawn = sorted(r.id for r in tables.random_rows(rows, n, "s", "id").collect())
+    assert drawn == sorted(r.id for r in rows.orderBy(tables.hash_order("s", "id"), "id").limit(n).collect())
+
+
+@pytest.mark.parametrize("rate", [0.5, 1e-4])
+def test_few_new_rows_of_a_long_history(spark, rate):
+    known = spark.range(2000).select((F.col("id") * 3).cast("string").alias("url"))
+    rows = spark.range(60).select((F.col("id") * 50).cast("string").alias("url"), "id").unionByName(spark.createDataFrame([(None, 99)], "url string, id long"))
+    found = tables.new_rows_of_few(rows, known, ["url"], rate)
+    assert sorted(map(repr, found.collect())) == sorted(map(repr, tables.new_rows(rows, known, ["url"]).collect()))
+    assert tables.new_rows_of_few(rows, known, ["url"], most=3).count() == found.count()
+    assert tables.new_rows_of_few(rows.limit(0), known, ["url"]).collect() == []
+
+
+def test_a_layer_shuffles_what_it_reaches_only(spark):
+    edges = spark.createDataFrame([(f"c{k}", f"c{k + 1}") for k in range(25)] + [("c3", "c1"), ("c5", "x"), ("x", "c5")], "source string, destination string")
+    found = graph.layers(edges, spark.createDataFrame([("c0",)], "channel string"))
+    assert {r.channel: r.depth for r in found.collect()} == {**{f"c{k}": k for k in range(26)}, "x": 6}
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        own = graph.Bucketed(spark)
+        own.append("edges", edges, "source")
+        own.append("seen", spark.createDataFrame([("c0", 0), ("c1", 1)], "channel string, depth int"), "channel", "depth")
+        layer = graph.reached(own, 1).join(own.read("seen").select("channel"), "channel", "left_anti")
+        assert [r.channel for r in layer.collect()] == ["c2"]
+        assert exchanges(layer) == 1
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)

@@ -254,6 +254,7 @@ def test_files_round_trip(spark, tmp_path):
 
 
 def test_streamed_first_discoveries_equal_the_batch(spark, tmp_path):
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     schema = "channel string, n int"
     for k, rows in enumerate(([("a", 3), ("b", 1)], [("a", 1), ("c", 2)], [("c", 0), ("d", 9)])):
         spark.createDataFrame(rows, schema).coalesce(1).write.json(str(tmp_path / f"in/{k}"))
@@ -262,6 +263,12 @@ def test_streamed_first_discoveries_equal_the_batch(spark, tmp_path):
     found = loops.discoveries(spark, str(tmp_path / "state")).collect()
     assert sorted(r.batch for r in found) == sorted({"a": 0, "b": 0, "c": 1, "d": 2}.values())
     assert {r.channel for r in found} == {"a", "b", "c", "d"} and len(found) == 4
+    # a restart goes on with what it knows
+    spark.createDataFrame([("e", 1), ("a", 0), ("e", 0)], schema).coalesce(1).write.json(str(tmp_path / "in/9"))
+    stream = loops.file_stream(spark, str(tmp_path / "in/*"), schema, most_files=1)
+    loops.first_discoveries(spark, stream, str(tmp_path / "state"), str(tmp_path / "check"), "channel", ["n"])
+    found = loops.discoveries(spark, str(tmp_path / "state")).filter("batch > 2").collect()
+    assert [(r.channel, r.n) for r in found] == [("e", 0)]
 
 
 def test_validation_loop_and_topics(spark, tmp_path):
