@@ -223,7 +223,7 @@ def style_tree(pages: DataFrame, least_pages: int = 2, threshold: float = 0.1) -
     base m is (ln T - sum(c ln c) / T) / ln m, for T occurrences, c of them in a page. A leaf's content importance is one
     less the mean entropy of its texts, by occurrence; an inner element's presentation importance is the entropy of its
     sequences of child tags. A branch is noise if its top and all below it are under `threshold`. Few pages tell little: PRIOR pages of
-    importance 1 are added to those that have an element. Hosts with fewer than `least_pages` pages give no row. All sums are combined before they are shuffled, so a large host is
+    importance 1 are added to those that have an element. Hosts with fewer than `least_pages` pages give no row, and with the prior and a threshold of 0.1 a branch that all pages share is unimportant from four pages on. All sums are combined before they are shuffled, so a large host is
     no large group anywhere.
     """
     kinds = (pa.string(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64())

@@ -167,7 +167,8 @@ def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", car
     The model weighs the documents whose verdict it gives, all of them: those that the base rules keep. The statistics are
     written once to the shared folder; what comes to the driver is the number of documents for each
     pattern of votes, at most 3**rules rows. A null or empty text has no words, so base_failed is true and kept false.
-    Rows are independent, so null and repeated ids are carried as they are. An empty table gives no rows.
+    Rows are independent, so null and repeated ids are carried as they are. An empty table gives no rows. The rule of stop
+    words knows four languages; a long text in another one gets a bad vote from it, and from it alone.
     """
     rules = default_rules() if rules is None else list(rules)
     held = F.struct(*[docs[c].alias(c) for c in dict.fromkeys([id_col, *carry])])

@@ -243,9 +243,10 @@ def repeated_windows(bucket: Bucket, window: int, gram: int, bounds: Sequence[by
 def separators(sample: DataFrame, buckets: int) -> list[bytes]:
     """Up to about so many shortest separators of the sampled suffixes (key, with the hash of its start, gram), which deal them to
     ranges of equal weight. Spark sorts the sample; a separator for each bucket comes to the driver."""
-    often = materialise(sample.groupBy("gram").agg(F.count("*").alias("often")).filter("often > 1"), "often")
+    distinct = materialise(sample.groupBy("gram", "key").count(), "suffixes")  # equal suffixes can't be told apart by any separator
+    often = materialise(distinct.groupBy("gram").agg(F.sum("count").alias("often")).filter("often > 1"), "often")
     often = F.broadcast(often) if often.count() <= BROADCAST_GROUPS else often
-    weighed = materialise(sample.join(often, "gram", "left").select("key", F.when(F.col("often") > 1, REPEATED_WEIGHT).otherwise(1).alias("weight")), "weighed")
+    weighed = materialise(distinct.join(often, "gram", "left").select("key", F.when(F.col("often") > 1, REPEATED_WEIGHT).otherwise(1).alias("weight")), "weighed")
     step = (weighed.agg(F.sum("weight")).first()[0] or 0) / buckets
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -319,7 +320,7 @@ def byte_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", w
     buckets = max(BUCKETS * partitions(spark), n_bytes // BUCKET_BYTES)
     one_of = max(1, n_bytes // max(1, buckets * SAMPLE_BYTES))
     sampled = work.filter(F.pmod("h2", F.lit(one_of)) == 0).select("text")
-    bounds = spark.sparkContext.broadcast(separators(materialise(sampled.mapInArrow(_sample(window, gram), "gram long, key binary"), "suffixes"), buckets))
+    bounds = spark.sparkContext.broadcast(separators(sampled.mapInArrow(_sample(window, gram), "gram long, key binary"), buckets))
     placed = work.withColumn("home", F.pmod("h1", F.lit(homes))).withColumn("doc", F.col("h2")).select("row", "text", "home", "doc").repartition(n_parts, "home")
     told = _repeated_anchors(placed, window, gram, shards)
     sent = placed.groupBy("home").cogroup(told.groupBy("home")).applyInArrow(_send(window, gram, bounds), SENT)
