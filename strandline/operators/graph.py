@@ -50,6 +50,16 @@ def next_layer(found: DataFrame, key: str, order: list[str]) -> DataFrame:
     return tables.first_wins(found, [key], order)
 
 
+def without_layer_duplicates(pages: DataFrame, order: list[str]) -> DataFrame:
+    """Pages of which each address is once in a layer: the first in order."""
+    return tables.first_wins(pages, ["depth", "url"], order)
+
+
+def url_cache(pages: DataFrame) -> DataFrame:
+    """url, page_id: the page that stands for each address seen by this crawl or earlier ones, of several the deepest."""
+    return pages.groupBy("url").agg(F.max_by("page_id", F.struct("depth", "page_id")).alias("page_id"))
+
+
 def add_layer(known: DataFrame, found: DataFrame, key: str, order: list[str], max_pages: int, total: int, dead_ends: int) -> DataFrame:
     """New pages of a layer: addresses not known before, each once. Below the cap on pages as many as it leaves room for; at
     the cap as many as there are dead ends, which they replace; without a cap (0) all."""

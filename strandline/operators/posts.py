@@ -189,3 +189,14 @@ def pages_of_work(items: DataFrame) -> DataFrame:
 def discovered_pages(found: DataFrame, now: Column) -> DataFrame:
     """Channels found on a page (url, parent_id, depth) as pages of the next layer."""
     return found.select(F.sha2(F.concat_ws(":", "parent_id", "url"), 256).alias("id"), "url", (F.col("depth") + 1).alias("depth"), F.lit("unfetched").alias("status"), "parent_id", now.alias("timestamp"))
+
+
+def with_statistics(videos: DataFrame, statistics: DataFrame, key: str) -> DataFrame:
+    """Videos with their statistics; those without have nulls. A key's statistics are one row."""
+    return videos.join(statistics, key, "left")
+
+
+def with_channel_name(videos: DataFrame, channels: DataFrame, key: str, name: str) -> DataFrame:
+    """Videos with channel_name: that of their channel, or the key where the channel isn't known."""
+    named = channels.select(key, F.col(name).alias("__name"))
+    return videos.join(named, key, "left").withColumn("channel_name", F.coalesce("__name", F.col(key).cast("string"))).drop("__name")

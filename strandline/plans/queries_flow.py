@@ -148,7 +148,7 @@ def e03_next_layer(t: Tables) -> DataFrame:
 
 @query("SELECT DISTINCT url, depth FROM v_pages")
 def e04_layer_duplicates(t: Tables) -> DataFrame:
-    return t.pages.select("url", "depth").dropDuplicates(["url", "depth"])
+    return graph.without_layer_duplicates(t.pages.select("url", "depth", "page_id"), ["page_id"]).select("url", "depth")
 
 
 @query("""
@@ -168,7 +168,7 @@ def e05_dead_end_slots(t: Tables) -> DataFrame:
 @query("SELECT page_id FROM v_pages WHERE url NOT IN (SELECT concat('chan', CAST(c_custkey AS STRING)) FROM customer WHERE c_custkey % 2 = 0)")
 def e06_unseen_pages(t: Tables) -> DataFrame:
     known = t.read("customer").filter("c_custkey % 2 = 0").select(F.concat(F.lit("chan"), F.col("c_custkey").cast("string")).alias("url"))
-    return tables.new_rows(t.pages, known, ["url"]).select("page_id")
+    return tables.new_rows_of_few(t.pages, known, ["url"]).select("page_id")
 
 
 @query("SELECT 'some' AS run, n_name FROM nation WHERE n_nationkey >= 10 UNION ALL SELECT 'none', n_name FROM nation")
@@ -181,7 +181,7 @@ def e07_seed_filter(t: Tables) -> DataFrame:
 
 @query("SELECT url, max_by(page_id, struct_pack(d := depth, p := page_id)) AS page_id FROM v_pages GROUP BY url")
 def e08_url_cache(t: Tables) -> DataFrame:
-    return t.pages.groupBy("url").agg(F.max_by("page_id", F.struct("depth", "page_id")).alias("page_id"))
+    return graph.url_cache(t.pages)
 
 
 @query("SELECT channel FROM (SELECT source_channel AS channel FROM v_edges UNION SELECT destination_channel FROM v_edges) ORDER BY md5(concat_ws(':', '5', channel)), channel LIMIT 1")
@@ -201,13 +201,13 @@ def e11_no_loops(t: Tables) -> DataFrame:
 
 @query("SELECT number, CASE WHEN number % 4 > 0 THEN likes END AS likes FROM v_videos")
 def e12_video_statistics(t: Tables) -> DataFrame:
-    return t.videos.select("number").join(t.videos.filter("number % 4 > 0").select("number", "likes"), "number", "left")
+    return posts.with_statistics(t.videos.select("number"), t.videos.filter("number % 4 > 0").select("number", "likes"), "number")
 
 
 @query("SELECT number, CASE WHEN CAST(substring(channel_id, 3, 9) AS INT) % 2 = 0 THEN 'known' ELSE channel_id END AS channel_name FROM v_videos")
 def e13_channel_fallback(t: Tables) -> DataFrame:
     known = t.videos.filter("substring(channel_id, 3, 9) % 2 = 0").select("channel_id").distinct().withColumn("name", F.lit("known"))
-    return t.videos.join(known, "channel_id", "left").select("number", F.coalesce("name", "channel_id").alias("channel_name"))
+    return posts.with_channel_name(t.videos, known, "channel_id", "name").select("number", "channel_name")
 
 
 @query("""

@@ -82,11 +82,12 @@ def write_posts(posts: DataFrame, path: str) -> None:
     posts.withColumn("day", F.to_date("published_at")).write.mode("append").partitionBy("platform_name", "day").parquet(path)
 
 
-def export_parts(pages: DataFrame, size: str, order: str, part_bytes: int = 100 << 20, slices: int = 200) -> DataFrame:
+def export_parts(pages: DataFrame, size: str, order: str, part_bytes: int = 100 << 20, slice_rows: int = 1 << 18) -> DataFrame:
     """Pages in the order of a number with the export part they go to: a part closes as it reaches its size.
 
-    The running sum is taken in slices of the order, found by quantiles, and the slices' sums are added up before; so no
-    task sees all pages."""
+    The running sum is taken in slices of the order of about `slice_rows` pages, found by quantiles, and the slices' sums are
+    added up before; so no task sees all pages."""
+    slices = max(1, -(-pages.count() // slice_rows))
     bounds = pages.agg(F.percentile_approx(order, [k / slices for k in range(1, slices)], 10_000)).first()[0] or []
     cuts = F.array(*[F.lit(b) for b in sorted(set(bounds))]) if bounds else F.array().cast("array<bigint>")
     rows = pages.withColumn("__slice", F.size(F.filter(cuts, lambda b: b < F.col(order))))
