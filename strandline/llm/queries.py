@@ -142,6 +142,19 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, least(doc_id, coalesce(copy, doc_id)) AS class_id, coalesce(n.n, 0)::BIGINT AS n_links,
                c.c AS component_id, doc_id = c.c AS kept
         FROM documents JOIN c ON c.a = doc_id LEFT JOIN n ON n.a = doc_id""",
+    "op13_suffix_dedup": """
+        WITH t AS (SELECT row_number() OVER () AS r, doc_id, encode(coalesce(text, '')) AS b FROM documents),
+        w AS (SELECT r, i, md5(array_slice(b, i, i + 399)) AS h FROM (SELECT r, b, unnest(range(1, octet_length(b) - 398)) AS i FROM t)),
+        s AS (SELECT r, i, lag(i) OVER (PARTITION BY r ORDER BY i) AS before FROM w WHERE h IN (SELECT h FROM w GROUP BY h HAVING count(*) > 1)),
+        g AS (SELECT r, i, count(*) FILTER (WHERE before IS NULL OR i > before + 400) OVER (PARTITION BY r ORDER BY i) AS span FROM s),
+        p AS (SELECT r, span, min(i) AS a, max(i) + 399 AS z FROM g GROUP BY r, span),
+        q AS (SELECT r, count(*) AS n_spans, sum(z - a + 1) AS n_removed, max(z) AS z FROM p GROUP BY r),
+        c AS (SELECT r, span, coalesce(lag(z) OVER (PARTITION BY r ORDER BY span), 0) + 1 AS x, a - 1 AS y FROM p
+              UNION ALL SELECT r, 1000000000, coalesce(z, 0) + 1, octet_length(b) FROM t LEFT JOIN q USING (r)),
+        k AS (SELECT r, string_agg(CASE WHEN x > y THEN '' ELSE hex(array_slice(b, x, y)) END, '' ORDER BY span) AS kept FROM c JOIN t USING (r) GROUP BY r)
+        SELECT doc_id, octet_length(b)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+               sha256(unhex(kept)) AS kept_sha256
+        FROM t JOIN k USING (r) LEFT JOIN q USING (r)""",
     # on these pages the article element is the article
     "op10_site_style_tree": r"""
         WITH a AS (SELECT page_id, url, regexp_extract(html, '(?s)<article>(.*?)</article>', 1) AS body FROM pages),
