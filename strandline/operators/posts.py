@@ -200,3 +200,40 @@ def with_channel_name(videos: DataFrame, channels: DataFrame, key: str, name: st
     """Videos with channel_name: that of their channel, or the key where the channel isn't known."""
     named = channels.select(key, F.col(name).alias("__name"))
     return videos.join(named, key, "left").withColumn("channel_name", F.coalesce("__name", F.col(key).cast("string"))).drop("__name")
+
+
+#: Places of media and thumbnails in a message's content, by type. Fixed values.
+MEDIA_PATHS = ("video.video", "animation.animation", "audio.audio", "voice_note.voice", "document.document", "photo.sizes[0].photo")
+THUMBNAIL_PATHS = ("video.thumbnail", "animation.thumbnail", "document.thumbnail", "audio.album_cover_thumbnail")
+
+
+def raw_messages(lines: DataFrame, column: str = "value") -> DataFrame:
+    """Messages as they were fetched, JSON texts, with the columns of message_posts that a message has itself: message_id, chat_id, kind,
+    content, date, views, shares, album, reactions, sender, and raw (the whole message as a variant).
+
+    Messages are variants, so types of content that nobody knew and fields that were added later pass as they are; a value that
+    can't be cast to what is asked for is null (a number is a text, a list isn't a number). Texts that aren't JSON objects with an id are left out."""
+    rows = lines.select(F.try_parse_json(column).alias("raw"))
+
+    def get(path: str, kind: str = "string", of: Column | None = None) -> Column:
+        return F.try_variant_get(F.col("raw") if of is None else of, f"$.{path}", kind)
+
+    def first(paths: tuple[str, ...], end: str) -> Column:
+        return F.coalesce(*[get(f"content.{p}.{end}") for p in paths])
+
+    content = F.struct(
+        get("content.text.text").alias("text"), get("content.caption.text").alias("caption"), get("content.emoji").alias("emoji"), get("content.poll.question.text").alias("question"),
+        get("content.prize.name").alias("prize"), get("content.document.file_name").alias("file_name"), first(THUMBNAIL_PATHS, "file.remote.id").alias("thumbnail"), first(MEDIA_PATHS, "remote.id").alias("media"),
+    )
+    reactions = F.transform(
+        get("interaction_info.reactions.reactions", "array<variant>"),
+        lambda r: F.struct(
+            F.when(get('type["@type"]', of=r) == "reactionTypeEmoji", "emoji").otherwise("custom").alias("type"), get("type.emoji", of=r).alias("emoji"), get("total_count", "bigint", of=r).alias("count")
+        ),
+    )
+    sender = F.struct(get("sender.username").alias("username"), get("sender.first_name").alias("first"), get("sender.last_name").alias("last"))
+    return rows.filter(get("id", "bigint").isNotNull()).select(
+        get("id", "bigint").alias("message_id"), get("chat_id", "bigint").alias("chat_id"), get('content["@type"]').alias("kind"), content.alias("content"), F.timestamp_seconds(get("date", "bigint")).alias("date"),
+        get("interaction_info.view_count", "bigint").alias("views"), get("interaction_info.forward_count", "bigint").alias("shares"), (F.coalesce(get("media_album_id", "bigint"), F.lit(0)) != 0).alias("album"),
+        reactions.alias("reactions"), sender.alias("sender"), "raw",
+    )

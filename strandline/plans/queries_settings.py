@@ -41,6 +41,16 @@ def a35_seed_csv(t: Tables) -> DataFrame:
     return files.load_seed_csv(t.spark, path).select("channel_username", "chat_id", "member_count")
 
 
+@query("SELECT message_id, message_id % 3 AS channel FROM v_messages WHERE ts >= TIMESTAMP '2024-01-10 06:00:00' AND ts <= TIMESTAMP '2024-01-12 18:00:00'")
+def b04_stored_history(t: Tables) -> DataFrame:
+    """A scan of stored JSON lines; the bounds reach the folders."""
+    path = _folder(t, "history")
+    files.write_history(t.messages.select("message_id", "ts", (F.col("message_id") % 3).alias("number")), path, "ts", "number")
+    since, until = (F.expr(f"CAST('{text}' AS TIMESTAMP_NTZ)") for text in ("2024-01-10 06:00:00", "2024-01-12 18:00:00"))
+    rows = files.read_history(t.spark, path, "message_id BIGINT, ts TIMESTAMP_NTZ", "ts", since, until)
+    return rows.select("message_id", F.col("channel").cast("bigint").alias("channel"))
+
+
 @query("SELECT CAST(n_nationkey AS STRING) AS channel_id, n_name AS channel_name FROM nation")
 def b13_channel_sink(t: Tables) -> DataFrame:
     path = _folder(t, "channels")

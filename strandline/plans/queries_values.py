@@ -234,6 +234,33 @@ def c01_message_post(t: Tables) -> DataFrame:
     return out.select("post_uid", "channel_id", "engagement", "description", F.array_join("outlinks", ",").alias("outlinks"), F.element_at("reactions", F.lit("👍")).alias("thumbs_up"), "handle", F.date_format("published_at", "yyyy-MM-dd").alias("day"))
 
 
+def _fetched(t: Tables) -> DataFrame:
+    """The messages as JSON texts; every seventh has a number where the text should be, and all have a field that nobody reads."""
+    m = _raw(t)
+    c = lambda name: F.col(f"content.{name}")
+    named = lambda name, kind: F.struct(F.lit(kind).alias("@type"), name)
+    reaction = lambda r: F.struct(F.struct(F.when(r["type"] == "emoji", "reactionTypeEmoji").otherwise("reactionTypeCustom").alias("@type"), r["emoji"].alias("emoji")).alias("type"), r["count"].alias("total_count"))
+    content = F.struct(F.col("kind").alias("@type"), named(c("text").alias("text"), "formattedText").alias("text"), F.struct(c("caption").alias("text")).alias("caption"), F.struct(c("file_name").alias("file_name")).alias("document"), F.lit(1).alias("added_later"))
+    info = F.struct(F.col("views").alias("view_count"), F.col("shares").alias("forward_count"), F.struct(F.transform("reactions", reaction).alias("reactions")).alias("reactions"))
+    sender = F.struct(F.col("sender.username").alias("username"), F.col("sender.first").alias("first_name"), F.col("sender.last").alias("last_name"))
+    whole = F.to_json(F.struct(F.col("message_id").alias("id"), "chat_id", F.unix_timestamp("date").alias("date"), content.alias("content"), info.alias("interaction_info"), sender.alias("sender")))
+    odd = F.regexp_replace(whole, r'"text":"go [^"]*"', '"text":12')
+    return m.select(F.when(F.col("message_id") / 1048576 % 7 == 0, odd).otherwise(whole).alias("value"), "chat_id", "chat_title", "member_count", "post_count", "total_views", "comments")
+
+
+@query(f"""
+    SELECT concat(CAST(message_id AS STRING), '-chan', CAST(chat_id AS STRING)) AS post_uid, coalesce(views, 0) AS engagement,
+      CASE kind WHEN 'view' THEN CASE WHEN message_id % 7 = 0 THEN '12' ELSE concat('go t.me/Next_', CAST(message_id AS STRING), ' t.me/next_', CAST(message_id AS STRING)) END WHEN 'click' THEN concat('cap ', CAST(message_id AS STRING)) WHEN 'signup' THEN concat(CAST(message_id AS STRING), '.pdf') ELSE '' END AS description,
+      message_id + 1 AS thumbs_up, CASE WHEN message_id % 2 = 0 THEN 'poster' ELSE 'Ann' END AS handle, strftime(ts, '%Y-%m-%d') AS day FROM v_messages""")
+def c01_variant_post(t: Tables) -> DataFrame:
+    """Posts from JSON texts by way of variants; what the chat knows is joined."""
+    lines = _fetched(t)
+    chats = lines.select("chat_id", "chat_title", "member_count", "post_count", "total_views").distinct()
+    rows = posts.raw_messages(lines).join(chats, "chat_id").withColumns({"username": F.concat(F.lit("chan"), F.col("chat_id").cast("string")), "comments": F.array().cast("array<struct<text:string,reactions:map<string,bigint>,view_count:bigint,reply_count:bigint,handle:string>>")})
+    out = posts.message_posts(rows, F.expr("TIMESTAMP '2024-01-31 00:00:00'"))
+    return out.select("post_uid", "engagement", "description", F.element_at("reactions", F.lit("👍")).alias("thumbs_up"), "handle", F.date_format("published_at", "yyyy-MM-dd").alias("day"))
+
+
 def _videos(t: Tables) -> DataFrame:
     v = t.videos
     thumbs = F.create_map(F.lit("default"), F.lit("d.jpg"), F.lit("high"), F.when(F.col("number") % 2 == 0, "h.jpg").otherwise(""))

@@ -42,6 +42,27 @@ def scan_history(messages: DataFrame, at: str, keys: list[str], since: Column |
     return rows
 
 
+def write_history(messages: DataFrame, path: str, at: str, channel: str) -> None:
+    """Messages as JSON lines in folders by channel and day, so that a scan of some time opens the files of its days only."""
+    days = messages.withColumns({"channel": F.col(channel).cast("string"), "day": F.to_date(at)})
+    days.write.mode("append").partitionBy("channel", "day").json(path)
+
+
+def history_bounds(at: str, since: Column | None, until: Column | None) -> Column:
+    """The bounds of a scan, included, for the messages and, which is what prunes folders, for their days."""
+    kept = F.lit(True)
+    for bound, holds in ((since, lambda a, b: a >= b), (until, lambda a, b: a <= b)):
+        if bound is not None:
+            kept = kept & holds(F.col(at), bound) & holds(F.col("day"), F.to_date(bound))
+    return kept
+
+
+def read_history(spark: SparkSession, path: str, schema: str, at: str, since: Column | None = None, until: Column | None = None) -> DataFrame:
+    """Messages that write_history stored, within the bounds; the plan of the scan has them as partition filters."""
+    rows = spark.read.schema(f"{schema}, channel STRING, day DATE").json(path)
+    return rows.filter(history_bounds(at, since, until))
+
+
 def newest_page(messages: DataFrame, at: str, order: list[Column], most: int, since: Column, until: Column) -> DataFrame:
     """The newest messages of a single page, of which those in the range: the limit comes before the range."""
     return messages.orderBy(*order).limit(most).filter(F.col(at).between(since, until))

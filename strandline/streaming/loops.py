@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from ..operators import stats
+from ..sources.files import history_bounds
 
 
 def file_stream(spark: SparkSession, path: str, schema: str, most_files: int = 1000, fmt: str = "json") -> DataFrame:
@@ -17,6 +18,13 @@ def file_stream(spark: SparkSession, path: str, schema: str, most_files: int = 1
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", most_files).format(fmt).load(path)
 
 
+def history_stream(spark: SparkSession, path: str, schema: str, at: str, since: Column | None = None, most_files: int = 1000) -> DataFrame:
+    """Messages of a stored history (files.write_history) as they come: files seen once each, also over restarts, and of those of earlier
+    days than the bound nothing is read."""
+    rows = spark.readStream.schema(f"{schema}, channel STRING, day DATE").option("maxFilesPerTrigger", most_files).json(path)
+    return rows.filter(history_bounds(at, since, None))
+
+
 def topic(messages: DataFrame, schema: str, value: str = "value") -> DataFrame:
     """JSON messages of a topic (a Kafka value or a text line) as columns; unreadable ones are left out."""
     return messages.select(F.from_json(F.col(value).cast("string"), schema).alias("m")).filter("m IS NOT NULL").select("m.*")

@@ -4,7 +4,11 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from strandline.streaming import frontier, timers
+from pyspark.sql import functions as F
+
+from strandline.operators import posts
+from strandline.sources import files
+from strandline.streaming import frontier, loops, timers
 
 NOW = datetime(2024, 1, 31)
 PAGE = "page_id string, url string, depth int, crawl_id string"
@@ -110,3 +114,49 @@ def test_caches_age_and_shards_rotate(spark, tmp_path):
     found = streamed(spark, tmp_path, batches, "id string, at timestamp", lambda s: timers.first_seen(s, buckets=1, shard_items=3)).orderBy("at", "id").collect()
     assert [(r.id, r["at"]) for r in found] == [*((f"m{k}", at(k)) for k in range(7)), ("m0", at(31 * day)), ("n", at(31 * day)), ("m2", at(61 * day)), ("m0", at(70 * day))]
     assert [r.shard for r in found[:7]] == [0, 0, 0, 1, 1, 1, 2] and all(r.shard >= 2 for r in found[7:])
+
+
+# ---- stored histories and raw messages
+
+
+def test_history_scans_open_the_days_they_need(spark, tmp_path):
+    path = str(tmp_path / "history")
+    for day in range(4):
+        rows = spark.createDataFrame([(10 * day + k, k % 2, NOW + timedelta(days=day, hours=k)) for k in range(6)], "id long, chat int, at timestamp")
+        files.write_history(rows, path, "at", "chat")
+    since = F.lit(NOW + timedelta(days=1, hours=3))
+    until = F.lit(NOW + timedelta(days=2, hours=1))
+    found = files.read_history(spark, path, "id long, at timestamp", "at", since, until)
+    assert sorted(r.id for r in found.collect()) == [13, 14, 15, 20, 21]
+    opened = {r.f.split("day=")[1][:10] for r in found.select(F.input_file_name().alias("f")).collect()}
+    assert opened == {"2024-02-01", "2024-02-02"}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "day#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+    def run():
+        stream = loops.history_stream(spark, path, "id long, at timestamp", "at", since)
+        query = stream.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        return sorted(r.id for r in spark.read.parquet(str(tmp_path / "out")).collect())
+
+    first = run()
+    assert first == [13, 14, 15, *range(20, 26), *range(30, 36)]
+    files.write_history(spark.createDataFrame([(99, 1, NOW + timedelta(days=3))], "id long, chat int, at timestamp"), path, "at", "chat")
+    assert run() == [*first, 99]  # no file twice
+
+
+def test_raw_messages_of_any_shape(spark):
+    lines = [
+        '{"id": 1, "chat_id": 7, "date": 1704067200, "content": {"@type": "messageText", "text": {"text": "hi"}, "new": {"a": [1]}}, "interaction_info": {"view_count": 5, "reactions": {"reactions": [{"type": {"@type": "reactionTypeEmoji", "emoji": "x"}, "total_count": 2}, {"type": {"@type": "reactionTypePaid"}, "total_count": 1}]}}}',
+        '{"id": 2, "content": {"@type": "messageNobodyKnows", "text": [1, 2]}, "interaction_info": {"view_count": "many"}, "date": "x"}',
+        '{"id": 3, "content": {"@type": "messageDocument", "document": {"file_name": "a.pdf", "document": {"remote": {"id": "r1"}}, "thumbnail": {"file": {"remote": {"id": "t1"}}}}}, "media_album_id": "77"}',
+        '{"id": 4, "content": {"@type": "messagePhoto", "caption": {"text": "cap"}, "photo": {"sizes": [{"photo": {"remote": {"id": "p1"}}}]}}}',
+        '{"id": "x"}', "[1]", "not json", None,
+    ]
+    found = {r.message_id: r for r in posts.raw_messages(spark.createDataFrame([(x,) for x in lines], "value string")).drop("raw").collect()}
+    assert sorted(found) == [1, 2, 3, 4]
+    one = found[1]
+    assert (one.kind, one.content.text, one.views, one.date) == ("messageText", "hi", 5, datetime(2024, 1, 1)) and [tuple(x) for x in one.reactions] == [("emoji", "x", 2), ("custom", None, 1)]
+    assert (found[2].kind, found[2].views, found[2].date, found[2].reactions) == ("messageNobodyKnows", None, None, None)
+    assert (found[3].content.file_name, found[3].content.media, found[3].content.thumbnail, found[3].album) == ("a.pdf", "r1", "t1", True)
+    assert (found[4].content.caption, found[4].content.media, found[4].album) == ("cap", "p1", False)
