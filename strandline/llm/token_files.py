@@ -143,7 +143,8 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """Every document of a folder of token files: doc_id, start (ids before it in the whole), n_tokens, ids_crc32 (of the ids
-    as little-endian unsigned 32-bit integers). A damaged frame fails the job, as its checksum tells."""
+    as little-endian unsigned 32-bit integers). A damaged frame fails the job, as its checksum tells. Null ids are null again, rows that
+    repeat an id are rows again, and a folder without files gives no rows."""
 
     def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -175,7 +176,8 @@ def read_tokens(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_documents(spark: SparkSession, path: str, doc_ids: list[int]) -> DataFrame:
-    """The ids of the documents asked for: doc_id, ids (array<int>). Decompresses their frames only."""
+    """The ids of the documents asked for: doc_id, ids (array<int>). Decompresses their frames only. An id that several documents have
+    gives each of them, None those with a null id, and one that none has nothing; asking twice is asking once."""
     wanted = set(doc_ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

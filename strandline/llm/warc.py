@@ -290,6 +290,7 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True, glob: str =
 
 
 def page_records(records: DataFrame) -> DataFrame:
-    """The records that write_warc wrote, with page ids: page_id, payload_bytes, payload_digest, record_type, refers_to."""
+    """The records that write_warc wrote, with page ids: page_id, payload_bytes, payload_digest, record_type, refers_to. Gaps are left out; a
+    record whose id isn't one of write_warc's, or that of a null page id, has a null page_id; records that repeat stay."""
     number = lambda name: F.expr(f"try_cast(substring({name}, {len(_ID) + 1}) as bigint)")
     return records.filter("gap is null").select(number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to"))
