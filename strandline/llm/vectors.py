@@ -8,17 +8,22 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import NULL_ID, id_key, materialise, partitions, split_twins
 from .components import components, join_components
 from .jaccard import _groups
 
-#: Vectors that pivots are chosen from, most pivots, how many comparisons a copy of a vector costs, and vectors of a side of
-#: a cell's part, which are compared in strips.
-SAMPLE, MOST_PIVOTS, COPY_COST, BLOCK, STRIP = 4096, 256, 500, 8192, 128
+#: Vectors that pivots are chosen from, most pivots, how many comparisons a copy of a vector costs, and most vectors of a side of
+#: a cell's part, which are compared in strips with tiles of the other side.
+SAMPLE, MOST_PIVOTS, COPY_COST, BLOCK, STRIP, TILE = 4096, 256, 2000, 1 << 16, 128, 8192
+#: Bytes of a side of a part, of the copies that are sent on together, and links that are held before they are joined. Vectors
+#: of a side that is worth a task of its own, and sides that all vectors make at least, where they are enough.
+SIDE_BYTES, SENT_BYTES, HELD, LEAST_SIDE, SIDES = 1 << 25, 1 << 23, 1 << 18, 1024, 8
 SLACK = 1e-9
+#: What a vector is in a part: one of a block that meets itself, or on either side of two that meet.
+ALONE, FIRST, SECOND = 0, 1, 2
 
 
 def choose_pivots(vectors: np.ndarray, k: int) -> np.ndarray:
@@ -46,28 +51,55 @@ def visits(d: np.ndarray, lo: np.ndarray, hi: np.ndarray, reach: float) -> np.nd
     return out
 
 
+def visited(d: np.ndarray, home: np.ndarray, lo: np.ndarray, hi: np.ndarray, reach: float) -> np.ndarray:
+    """Which cells a vector goes to: its home, and of those it visits the ones before it. So a link is seen once, at the home
+    that comes first."""
+    there = visits(d, lo, hi, reach) & (np.arange(d.shape[1]) < home[:, None])
+    there[np.arange(len(d)), home] = True
+    return there
+
+
+def side_of(n: int) -> int:
+    """Most vectors of a side of a part, for n in all."""
+    return min(BLOCK, max(LEAST_SIDE, -(-n // SIDES)))
+
+
 def useful_pivots(vectors: np.ndarray, n: int, reach: float) -> np.ndarray:
-    """Pivots for n vectors of which some are given: of 2, 4, 8, ... the number with the least work, as these vectors tell it.
-    A vector costs a comparison with each home of the cells that it visits, and a copy for each; vectors without structure
-    visit every cell, so few pivots do for them."""
+    """Pivots for n vectors of which some are given: of 1, 2, 4, 8, ... the number with the least work, as these vectors tell it.
+    A vector costs a comparison with each home of the cells that it goes to, and a copy for each part of them; vectors without
+    structure visit every cell, so few pivots do for them."""
     pivots = choose_pivots(vectors, MOST_PIVOTS)
     d = distances(vectors, pivots)
     best = (math.inf, 1)
-    k = 2
+    k = 1
     while k <= len(pivots):
         part = d[:, :k]
         home = part.argmin(axis=1)
         lo, hi = np.full((k, k), np.inf), np.full((k, k), -np.inf)
         for i in np.unique(home).tolist():
             lo[i], hi[i] = part[home == i].min(axis=0), part[home == i].max(axis=0)
-        there = visits(part, lo, hi, reach)
-        best = min(best, (float((there @ np.bincount(home, minlength=k)).mean()) * n / len(vectors) + COPY_COST * float(there.sum(axis=1).mean()), k))
+        homes = np.bincount(home, minlength=k)
+        others = visited(part, home, lo, hi, reach).sum(axis=0) - homes
+        home_sides, other_sides = (np.ceil(x * (n / len(vectors) / side_of(n))) for x in (homes, others))
+        copies = homes @ (home_sides + other_sides) + others @ home_sides
+        compared = (homes @ (homes / 2 + others)) * (n / len(vectors))
+        best = min(best, (float(compared + COPY_COST * copies), k))
         k *= 2
     return pivots[: best[1]]
 
 
+def copies(batch: pa.RecordBatch, at: np.ndarray, dim: int, home: np.ndarray, there: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """A row for each cell that a vector of the batch goes to, in batches of SENT_BYTES: there may be hundreds of each vector."""
+    goes, to = np.nonzero(there)
+    rows = max(1, SENT_BYTES // (8 * dim))
+    for a in range(0, len(goes), rows):
+        i, cell = goes[a : a + rows], to[a : a + rows]
+        each = pa.array(at[i])
+        yield pa.RecordBatch.from_arrays([pa.array(dim * MOST_PIVOTS + cell), pa.array(cell == home[i]), *(batch.column(c).take(each) for c in ("node", "size", "unit"))], ["cell", "home", "node", "size", "unit"])
+
+
 class Links:
-    """Links of a block of unit vectors with another, reduced strip by strip: for each vector of the first the number of
+    """Links of a block of unit vectors with another, reduced strip by strip: for each vector of either the number of
     others it links with, weighed by their sizes, and for each of both sides a node that all linked with it share."""
 
     def __init__(self, own: np.ndarray, other: np.ndarray):
@@ -75,22 +107,42 @@ class Links:
         self.nodes, place = np.unique(np.concatenate([own, other]), return_inverse=True)
         self.own_at, self.other_at = place[: len(own)], place[len(own) :]
         self.root = np.arange(len(self.nodes))
-        self.count = np.zeros(len(own), np.int64)
-
-    def compare(self, x: np.ndarray, y: np.ndarray, sizes: np.ndarray, threshold: float) -> None:
-        """Single precision rules out most pairs, by the bound of its error; double precision settles the others."""
-        narrow = np.ascontiguousarray(y.astype(np.float32).T)
-        rough = threshold - (x.shape[1] + 4) * 2.0**-24 * 2
-        for a in range(0, len(x), STRIP):
-            i, j = np.divmod(np.flatnonzero(x[a : a + STRIP].astype(np.float32) @ narrow >= rough), len(y))
-            i += a
-            good = np.zeros(len(i), bool)
-            for c in range(0, len(i), 65536):
-                p, q = i[c : c + 65536], j[c : c + 65536]
-                good[c : c + 65536] = (np.einsum("ij,ij->i", x[p], y[q]) >= threshold) & (self.own[p] != self.other[q])
-            i, j = i[good], j[good]
-            self.count += np.bincount(i, sizes[j], len(x)).astype(np.int64)
-            self._join(self.own_at[i], self.other_at[j])
+        self.count, self.other_count = np.zeros(len(own), np.int64), np.zeros(len(other), np.int64)
+
+    def compare(self, x: np.ndarray, y: np.ndarray, sizes: np.ndarray, threshold: float, own_sizes: np.ndarray | None = None) -> None:
+        """Single precision settles most pairs, by the bound of its error; double precision settles the others. The other side
+        is counted too where own_sizes are given."""
+        error = (x.shape[1] + 4) * 2.0**-24 * 2
+        left, narrow = x.astype(np.float32), y.astype(np.float32).T
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+        n = 0
+        for b in range(0, len(y), TILE):
+            tile = np.ascontiguousarray(narrow[:, b : b + TILE])
+            for a in range(0, len(x), STRIP):
+                close = (left[a : a + STRIP] @ tile).ravel()
+                at = np.flatnonzero(close >= threshold - error)
+                if not len(at):
+                    continue
+                i, j = np.divmod(at, tile.shape[1])
+                i, j = i + a, j + b
+                good = self.own[i] != self.other[j]
+                unsure = np.flatnonzero(good & (close[at] < threshold + error))
+                for c in range(0, len(unsure), 65536):
+                    p = unsure[c : c + 65536]
+                    good[p] = np.einsum("ij,ij->i", x[i[p]], y[j[p]]) >= threshold
+                i, j = i[good], j[good]
+                strip = self.count[a : a + STRIP]
+                strip += np.bincount(i - a, sizes[j], len(strip)).astype(np.int64)
+                if own_sizes is not None:
+                    beside = self.other_count[b : b + TILE]
+                    beside += np.bincount(j - b, own_sizes[i], len(beside)).astype(np.int64)
+                held.append((self.own_at[i], self.other_at[j]))
+                n += len(i)
+                if n >= HELD:
+                    self._join(*(np.concatenate(c) for c in zip(*held, strict=True)))
+                    held, n = [], 0
+        if held:
+            self._join(*(np.concatenate(c) for c in zip(*held, strict=True)))
 
     def _join(self, a: np.ndarray, b: np.ndarray) -> None:
         while len(a):
@@ -114,9 +166,9 @@ def range_join(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "em
     are separate vectors. Equal vectors are one class (by 126 bits of hash), compared once. Other columns are ignored; an empty table gives no rows.
 
     Pivots come from a sample of up to 4096 classes (those of the least hashes), the farthest from each other, as many as
-    `useful_pivots` finds worth it. Every class has its home in the cell of the nearest pivot, and visits the cells that `visits` can't
-    rule out. In each cell those at home meet all present, so each link is seen at the home of either end. A cell with
-    many vectors is dealt to blocks of homes and of visitors that meet in tasks of their own.
+    `useful_pivots` finds worth it. Every class has its home in the cell of the nearest pivot, and visits those of the cells before it that
+    `visits` can't rule out. In each cell those at home meet each other and the visitors, so each link is seen once. A cell with
+    many vectors is dealt to blocks of homes and of visitors, bounded in bytes, each two of which meet in a part of their own.
     """
     spark = vectors.sparkSession
     reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + SLACK
@@ -206,36 +258,49 @@ def range_join(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "em
                 else:
                     never = (np.full(len(p), np.inf), np.full(len(p), -np.inf))
                     lo, hi = (np.array([shared_extent.value.get(dim * MOST_PIVOTS + i, never)[side] for i in range(len(p))]) for side in (0, 1))
-                    there = visits(d, lo - SLACK, hi + SLACK, reach)
-                    there[np.arange(len(at)), home] = True
-                i, cell = np.nonzero(there)
-                each = pa.array(at[i])
-                yield pa.RecordBatch.from_arrays([pa.array(dim * MOST_PIVOTS + cell), pa.array(cell == home[i]), *(batch.column(c).take(each) for c in ("node", "size", "unit"))], ["cell", "home", "node", "size", "unit"])
+                    there = visited(d, home, lo - SLACK, hi + SLACK, reach)
+                yield from copies(batch, at, dim, home, there)
 
     placed = classes.select("node", "size", "unit").mapInArrow(place, "cell long, home boolean, node long, size long, unit binary")
-    # a cell's homes are dealt to blocks, all that are present too; each block of homes meets each of those present
-    counts = materialise(placed.groupBy("cell").agg(F.count("*").alias("present"), F.count_if("home").alias("homes")), "cells")
+    # a cell's homes are dealt to blocks, its visitors too; each two blocks of homes meet, and each of homes with each of visitors
+    counts = materialise(placed.groupBy("cell").agg(F.count_if("home").alias("homes"), F.count_if(~F.col("home")).alias("others")), "cells")
     dealt = placed.join(counts, "cell")
-    homes, present = F.ceil(F.col("homes") / BLOCK).cast("int"), F.ceil(F.col("present") / BLOCK).cast("int")
-    as_home = F.transform(F.sequence(F.lit(0), present - 1), lambda j: F.struct(F.xxhash64("cell", F.pmod(F.xxhash64("node"), homes).cast("bigint"), j.cast("bigint")).alias("part"), F.lit(True).alias("asks")))
-    as_other = F.transform(F.sequence(F.lit(0), homes - 1), lambda i: F.struct(F.xxhash64("cell", i.cast("bigint"), F.pmod(F.xxhash64("node"), present).cast("bigint")).alias("part"), F.lit(False).alias("asks")))
-    parts = F.when(F.col("home"), F.concat(as_home, as_other)).otherwise(as_other)
-    dealt = dealt.filter("homes > 0").select(F.explode(parts).alias("p"), "node", "size", "unit").select("p.part", "p.asks", "node", "size", "unit")
+    side = F.greatest(F.lit(1), F.least(F.lit(side_of(n)), F.floor(F.lit(SIDE_BYTES // 8) / F.floor(F.col("cell") / MOST_PIVOTS))))
+    homes, others = F.ceil(F.col("homes") / side).cast("int"), F.ceil(F.col("others") / side).cast("int")
+    mine, visiting = (F.pmod(F.xxhash64("node"), F.greatest(x, F.lit(1))).cast("int") for x in (homes, others))
+
+    def part(first: Column, second: Column, kind: int, role: Column) -> Column:
+        return F.struct(F.xxhash64("cell", first.cast("bigint"), second.cast("bigint"), F.lit(kind)).alias("part"), role.alias("role"))
+
+    def upto(blocks: Column) -> Column:
+        return F.when(blocks > 0, F.sequence(F.lit(0), blocks - 1)).otherwise(F.array().cast("array<int>"))
+
+    with_homes = F.transform(upto(homes), lambda j: part(F.least(mine, j), F.greatest(mine, j), 0, F.when(mine == j, ALONE).when(mine < j, FIRST).otherwise(SECOND)))
+    with_others = F.transform(upto(others), lambda j: part(mine, j, 1, F.lit(FIRST)))
+    as_other = F.transform(upto(homes), lambda i: part(i, visiting, 1, F.lit(SECOND)))
+    parts = F.when(F.col("home"), F.concat(with_homes, with_others)).otherwise(as_other)
+    dealt = dealt.select(F.explode(parts).alias("p"), "node", "size", "unit").select("p.part", "p.role", "node", "size", "unit")
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for asks, nodes, sizes, units in _groups(batches, "part", ("asks", "node", "size", "unit")):
-            asks, nodes, sizes = np.array(asks, bool), np.array(nodes, np.int64), np.array(sizes, np.int64)
-            if not asks.any() or asks.all():
-                continue
+        for roles, nodes, sizes, units in _groups(batches, "part", ("role", "node", "size", "unit")):
+            roles, nodes, sizes = np.array(roles), np.array(nodes, np.int64), np.array(sizes, np.int64)
             x = np.frombuffer(b"".join(units)).reshape(len(nodes), -1)
-            links = Links(nodes[asks], nodes[~asks])
-            links.compare(x[asks], x[~asks], sizes[~asks], threshold)
-            linked = np.flatnonzero(links.root != np.arange(len(links.root)))
-            some = np.flatnonzero(links.count)
+            units.clear()
+            if roles[0] == ALONE:
+                links = Links(nodes, nodes)
+                links.compare(x, x, sizes, threshold)
+            else:
+                first = roles == FIRST
+                if not first.any() or first.all():
+                    continue
+                links = Links(nodes[first], nodes[~first])
+                links.compare(x[first], x[~first], sizes[~first], threshold, sizes[first])
+            linked, some, others = np.flatnonzero(links.root != np.arange(len(links.root))), np.flatnonzero(links.count), np.flatnonzero(links.other_count)
             if len(some):
-                a = np.concatenate([links.nodes[linked], links.own[some]])
-                b = np.concatenate([links.nodes[links.root[linked]], links.own[some]])
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.concatenate([np.zeros(len(linked), np.int64), links.count[some]]))], ["a", "b", "links"])
+                counted = np.concatenate([links.own[some], links.other[others]])
+                a = np.concatenate([links.nodes[linked], counted])
+                b = np.concatenate([links.nodes[links.root[linked]], counted])
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(np.concatenate([np.zeros(len(linked), np.int64), links.count[some], links.other_count[others]]))], ["a", "b", "links"])
 
     found = materialise(dealt.repartition(n_parts, "part").sortWithinPartitions("part").mapInArrow(meet, "a long, b long, links long"), "vector-links")
     links = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))

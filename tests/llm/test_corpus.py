@@ -342,6 +342,45 @@ def test_links_of_a_dense_block_are_reduced_by_strips():
     assert {int(n): int(links.nodes[r]) for n, r in zip(links.nodes, links.root, strict=True)} == least
 
 
+def test_vectors_without_structure_are_not_copied_to_many_cells():
+    """Of 615 384 such vectors each went to 222 of 256 cells, by batches of over a GB: executors ran out of memory."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(4096, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    assert len(vectors.useful_pivots(x, 615_384, 0.32)) <= 4
+
+
+def test_copies_of_vectors_are_sent_in_bounded_batches():
+    n, dim, cells = 1000, 64, 256
+    units = [np.full(dim, float(k)).tobytes() for k in range(n)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(n), pa.int64()), pa.array([1] * n, pa.int64()), pa.array(units, pa.binary())], ["node", "size", "unit"])
+    home = np.arange(n) % cells
+    found = list(vectors.copies(batch, np.arange(n), dim, home, np.arange(cells) <= home[:, None]))
+    assert max(b.nbytes for b in found) < 2 * vectors.SENT_BYTES and len(found) > 5
+    rows = [r for b in found for r in zip(*(b.column(c).to_pylist() for c in ("node", "cell", "home")), strict=True)]
+    assert rows == [(k, dim * vectors.MOST_PIVOTS + c, c == k % cells) for k in range(n) for c in range(k % cells + 1)]
+
+
+def test_a_link_is_found_at_one_cell_and_counted_on_both_sides():
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(9, 16))[rng.integers(0, 9, 400)] + 0.1 * rng.normal(size=(400, 16))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    reach = np.sqrt(0.1) + vectors.SLACK
+    d = vectors.distances(x, vectors.choose_pivots(x, 16))
+    home = d.argmin(axis=1)
+    lo, hi = (np.array([f(d[home == c], axis=0) for c in range(16)]) for f in (np.min, np.max))
+    there = vectors.visited(d, home, lo, hi, reach)
+    linked = x @ x.T >= 0.95
+    met = np.array([[there[b, home[a]] or there[a, home[b]] for b in range(400)] for a in range(400)])
+    both = np.array([[home[a] != home[b] and there[b, home[a]] and there[a, home[b]] for b in range(400)] for a in range(400)])
+    assert met[linked].all() and not both.any() and there[np.arange(400), home].all()
+    sizes = rng.integers(1, 4, 400)
+    links = vectors.Links(np.arange(150), np.arange(150, 400))
+    links.compare(x[:150], x[150:], sizes[150:], 0.95, sizes[:150])
+    assert links.count.tolist() == (linked[:150, 150:] * sizes[150:]).sum(axis=1).tolist()
+    assert links.other_count.tolist() == (linked[:150, 150:] * sizes[:150, None]).sum(axis=0).tolist()
+
+
 def test_classes_that_share_a_hash_are_told_apart(spark):
     from strandline.llm.common import split_twins
 
