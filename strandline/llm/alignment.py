@@ -10,6 +10,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,8 +21,9 @@ from .piece_cache import byte_letters
 #: Text bytes that are handled together, and those of a chunk of documents, whose pairs travel together.
 SLICE, CHUNK_BYTES = 1 << 22, 1 << 24
 #: Longest piece that is kept for later texts, and bytes of pieces, groups and pairs that are kept; pieces that are encoded
-#: together; and links of a group from which on they are made of its distinct ids.
-LONG_PIECE, TABLE_BYTES, LEARNED, LARGE_GROUP = 64, 1 << 26, 1 << 14, 1 << 12
+#: together, and those of them that are one string for the first side; and links of a group from which on they are made of its
+#: distinct ids.
+LONG_PIECE, TABLE_BYTES, LEARNED, JOINED, LARGE_GROUP = 64, 1 << 26, 1 << 14, 1 << 8, 1 << 12
 #: Ids of the first side in a stripe, pairs that a task holds before it passes them on, and bytes of asked pairs that a task answers.
 STRIPE_IDS, HELD, ANSWER_BYTES = 64, 1 << 21, 1 << 26
 #: One space between characters that no tokenizer takes for white space: no token of either side goes across.
@@ -57,9 +59,21 @@ class Tokenizers:
 
     def encode(self, texts: Sequence[str]) -> list[tuple[list[int], list[int]]]:
         """Ids of a space and the text by the first side, and of the text by the second, which adds the space."""
-        first = self.first.encode_batch([" " + x for x in texts], add_special_tokens=False)
+        first = self.first.encode_batch_fast([" " + x for x in texts], add_special_tokens=False)
         return [(x.ids, y) for x, y in zip(first, self.second.encode(list(texts), num_threads=1), strict=True)]
 
+    def encode_joined(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of the first side for pieces that neither start nor end with white space, one piece after the other, and how many
+        each has; None if a token goes across. Many pieces are one string, as calls and results cost more than short pieces."""
+        strings = [" " + " ".join(pieces[k : k + JOINED]) for k in range(0, len(pieces), JOINED)]
+        ids = np.array(list(chain.from_iterable(x.ids for x in self.first.encode_batch_fast(strings, add_special_tokens=False))), np.int64)
+        ends = np.cumsum(self.first_lengths[ids])
+        bounds = np.cumsum(np.array(list(map(len, map(str.encode, pieces)))) + 1)
+        upto = np.searchsorted(ends, bounds, side="right")
+        if not len(ids) or ends[-1] != bounds[-1] or (ends[upto - 1] != bounds).any():
+            return None
+        return ids, np.diff(upto, prepend=0)
+
 
 @dataclass
 class Groups:
@@ -107,14 +121,19 @@ class Groups:
         return summed(np.concatenate(keys), np.concatenate(times))
 
 
-def groups(first: list[list[int]], second: list[list[int]], first_lengths: np.ndarray, second_lengths: np.ndarray) -> Groups:
+def flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of some strings one after the other, and how many each has."""
+    n = np.array(list(map(len, lists)), np.int64)
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(n.sum())), n
+
+
+def groups(a: np.ndarray, n_a: np.ndarray, b: np.ndarray, first_lengths: np.ndarray, second_lengths: np.ndarray) -> Groups:
     """The ids of both sides between the byte offsets where tokens of both end. The sides of each string cover the same bytes;
-    lengths are the bytes of each id."""
-    a, b = (np.fromiter(chain.from_iterable(x), np.int64, sum(map(len, x))) for x in (first, second))
+    n_a are the ids that each string has on the first side, lengths the bytes of each id."""
     ends_a, ends_b = np.cumsum(first_lengths[a]), np.cumsum(second_lengths[b])
     near = np.searchsorted(ends_b, ends_a)
     common = ends_a[ends_b[np.minimum(near, max(0, len(ends_b) - 1))] == ends_a] if len(a) else ends_a
-    last = ends_a[np.cumsum(list(map(len, first))) - 1]
+    last = ends_a[np.cumsum(n_a) - 1]
     return Groups(a, b, np.searchsorted(common, ends_a), np.searchsorted(common, ends_b), np.searchsorted(last, common))
 
 
@@ -129,7 +148,8 @@ def summed(keys: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 class Aligner:
     """Aligns texts piece by piece; pieces are what stands between single spaces, so most are found in a table.
 
-    Long pieces are never kept, and a table of over TABLE_BYTES starts anew. This bounds memory and changes no result."""
+    Long pieces are never kept, and a table of over TABLE_BYTES keeps the pieces found again since it was last full, if they fill
+    no more than half of it. This bounds memory and changes no result."""
 
     def __init__(self, sides: Tokenizers):
         self.sides = sides
@@ -142,38 +162,42 @@ class Aligner:
         self.counts = np.zeros((0, 4), np.int64)
         self.keys, self.times, self.first = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(1, np.int64)
         self.held = 0
+        self.used = np.zeros(0, bool)
 
-    def _learn(self, pieces: list[str]) -> None:
+    def _learn(self, pieces: list[str], plain: bool) -> None:
+        """plain: no piece starts or ends with white space."""
         sides = self.sides
         for k in range(0, len(pieces), LEARNED):
             part = pieces[k : k + LEARNED]
+            raw = (" " + " ".join(part)).encode()
+            joined = sides.encode_joined(part) if plain and sides.cuts else None
+            if joined is not None:
+                b = flat(sides.second.encode(part, num_threads=1))
+                if all(b"".join(map(table.__getitem__, x.tolist())) == raw for table, x in ((sides.first_bytes, joined[0]), (sides.second_bytes, b[0]))):
+                    self._keep(part, *joined, *b, np.ones(len(part), bool))
+                    continue
             coded = sides.encode(part)
-            a, b = [x for x, _ in coded], [x for _, x in coded]
-            raw = [b" " + x.encode() for x in part]
-            sides_of = [b"".join(map(table.__getitem__, chain.from_iterable(x))) for table, x in ((sides.first_bytes, a), (sides.second_bytes, b))]
-            good = [True] * len(part)
-            if sides_of[0] != b"".join(raw) or sides_of[1] != b"".join(raw):
-                good = [b"".join(map(sides.first_bytes.__getitem__, x)) == r == b"".join(map(sides.second_bytes.__getitem__, y)) for x, y, r in zip(a, b, raw, strict=True)]
-            self._keep(part, [x for x, g in zip(a, good, strict=True) if g], [x for x, g in zip(b, good, strict=True) if g], np.array(good))
-
-    def _keep(self, pieces: list[str], a: list[list[int]], b: list[list[int]], good: np.ndarray) -> None:
-        """a, b: the ids of the good ones."""
+            good = [b"".join(map(sides.first_bytes.__getitem__, x)) == b" " + p.encode() == b"".join(map(sides.second_bytes.__getitem__, y)) for (x, y), p in zip(coded, part, strict=True)]
+            self._keep(part, *flat([x for (x, _), g in zip(coded, good, strict=True) if g]), *flat([y for (_, y), g in zip(coded, good, strict=True) if g]), np.array(good))
+
+    def _keep(self, pieces: list[str], a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray, good: np.ndarray) -> None:
+        """a, b: the ids of the good ones; n_a, n_b: how many each of these has."""
         width = self.sides.shape[1]
         space = self.sides.shape[0] * width
         self.index.update(zip(pieces, range(len(self.names), len(self.names) + len(pieces)), strict=True))
         counts = np.zeros((len(pieces), 4), np.int64)
         counts[~good, 0] = -1
         names, first, keys, times = [""] * len(pieces), np.zeros(len(pieces), np.int64), self.keys[:0], self.times[:0]
-        if a:
-            found = groups(a, b, self.sides.first_lengths, self.sides.second_lengths)
+        if len(n_a):
+            found = groups(a, n_a, b, self.sides.first_lengths, self.sides.second_lengths)
             at = np.flatnonzero(good)
-            counts[at, 0], counts[at, 1] = list(map(len, a)), list(map(len, b))
-            counts[at, 2] = np.bincount(found.string, minlength=len(a))
+            counts[at, 0], counts[at, 1] = n_a, n_b
+            counts[at, 2] = np.bincount(found.string, minlength=len(n_a))
             keys, times = found.pairs(width, space)
             owner, keys = np.divmod(keys, space)
             np.add.at(counts[:, 3], at[owner], times)
-            first[at] = np.bincount(owner, minlength=len(a))
-            for k, name in zip(at.tolist(), found.names(self.sides.decimal, len(a)), strict=True):
+            first[at] = np.bincount(owner, minlength=len(n_a))
+            for k, name in zip(at.tolist(), found.names(self.sides.decimal, len(n_a)), strict=True):
                 names[k] = name
         self.names += names
         self.held += 250 * len(pieces) + sum(map(len, pieces)) + sum(map(len, names)) + 16 * len(keys)
@@ -185,9 +209,23 @@ class Aligner:
         for piece in list(self.index)[n:]:
             self.held -= 250 + len(piece) + len(self.names[self.index.pop(piece)])
         self.held -= 16 * (len(self.keys) - int(self.first[n]))
-        self.names, self.counts = self.names[:n], self.counts[:n]
+        self.names, self.counts, self.used = self.names[:n], self.counts[:n], self.used[:n]
         self.keys, self.times, self.first = self.keys[: self.first[n]], self.times[: self.first[n]], self.first[: n + 1]
 
+    def _shrink(self) -> None:
+        """Keep the pieces that were found again, and forget that they were."""
+        at = np.flatnonzero(self.used)
+        index = list(self.index)
+        pieces, names, n = [index[k] for k in at.tolist()], [self.names[k] for k in at.tolist()], np.diff(self.first)[at]
+        held = 250 * len(pieces) + sum(map(len, pieces)) + sum(map(len, names)) + 16 * int(n.sum())
+        if held > TABLE_BYTES // 2:
+            self._clear()
+            return
+        keys = np.repeat(self.first[at] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        self.index, self.names, self.held = dict(zip(pieces, range(len(pieces)), strict=True)), names, held
+        self.counts, self.used = self.counts[at], np.zeros(len(at), bool)
+        self.keys, self.times, self.first = self.keys[keys], self.times[keys], np.concatenate([[0], np.cumsum(n)])
+
     def _pieces(self, text: str) -> list[str]:
         if not self.sides.cuts:
             return [text]
@@ -202,11 +240,25 @@ class Aligner:
             if text:
                 pieces += self._pieces(text)
             ends.append(len(pieces))
-        new = sorted(set(pieces) - self.index.keys(), key=len)
-        short = len(self.index) + sum(len(x) <= LONG_PIECE for x in new)
-        if new:
-            self._learn(new)
-        place = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
+        # Arrow tells distinct pieces apart, so that only these are looked up and kept as strings
+        coded = pa.array(pieces, pa.large_string()).dictionary_encode()
+        del pieces
+        distinct, at_piece = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        of_distinct = np.fromiter((self.index.get(x, -1) for x in distinct), np.int64, len(distinct))
+        known = len(self.index)
+        unknown = np.flatnonzero(of_distinct < 0)
+        new: dict[tuple[bool, bool], list[int]] = {}
+        for k in unknown.tolist():
+            x = distinct[k]
+            new.setdefault((len(x) > LONG_PIECE, x[:1].isspace() or x[-1:].isspace()), []).append(k)
+        for (_, odd), some in sorted(new.items()):  # short ones first
+            of_distinct[some] = np.arange(len(self.index), len(self.index) + len(some))
+            self._learn([distinct[k] for k in some], not odd)
+        short = known + sum(len(some) for (long, _), some in new.items() if not long)
+        del distinct
+        place = of_distinct[at_piece]
+        self.used = np.concatenate([self.used, np.zeros(len(self.index) - known, bool)])
+        self.used[of_distinct[of_distinct < known]] = True
         bounds = np.concatenate([[0], ends]).astype(np.int64)
         sums = np.zeros((len(place) + 1, 4), np.int64)
         np.cumsum(self.counts[place], axis=0, out=sums[1:])
@@ -223,18 +275,19 @@ class Aligner:
         key, times = summed(np.repeat(doc, n) * space + self.keys[at], self.times[at] * np.repeat(often, n))
         doc, key = np.divmod(key, space)
         cuts = np.searchsorted(doc, np.arange(len(texts) + 1))
+        names = pa.array(list(map(self.names.__getitem__, of_distinct.tolist())), pa.large_string()).take(pa.array(at_piece))
+        names = pc.binary_join(pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), names), pa.scalar(";", pa.large_string())).to_pylist()
         out = []
         for k, ok in enumerate(good.tolist()):
             a, b = bounds[k], bounds[k + 1]
             if ok:
-                name = ";".join([self.names[x] for x in place[a:b].tolist()])
-                out.append((tuple((sums[b] - sums[a]).tolist()), name, key[cuts[k] : cuts[k + 1]], times[cuts[k] : cuts[k + 1]]))
+                out.append((tuple((sums[b] - sums[a]).tolist()), names[k], key[cuts[k] : cuts[k + 1]], times[cuts[k] : cuts[k + 1]]))
             else:
                 out.append(((0, 0, 0, 0), "", key[:0], times[:0]))
         if short < len(self.index):
             self._forget(short)
         if self.held > TABLE_BYTES:
-            self._clear()
+            self._shrink()
         return out
 
 

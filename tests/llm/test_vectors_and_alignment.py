@@ -169,6 +169,26 @@ def test_alignment_table_is_bounded_in_bytes(sides, monkeypatch):
         assert all(len(p) <= alignment.LONG_PIECE for p in own.index) and own.held <= 20_000 and len(own.keys) == own.first[-1]
 
 
+def test_pieces_found_again_are_not_encoded_again(sides, monkeypatch):
+    monkeypatch.setattr(alignment, "TABLE_BYTES", 100_000)
+    own, often = alignment.Aligner(sides[2]), [f"often{j}" for j in range(50)]
+    learned, learn = Counter(), own._learn
+    monkeypatch.setattr(own, "_learn", lambda pieces, plain: (learned.update(pieces), learn(pieces, plain))[1])
+    for k in range(20):  # the table is full again and again
+        own.align([" ".join([*often, *[f"once{k}x{j}" for j in range(100)]])])
+        assert own.held <= 100_000 and len(own.index) == len(own.names) == len(own.counts) == len(own.used) == len(own.first) - 1
+    assert set(learned.values()) == {1} and len(learned) == 2050
+
+
+def test_pieces_that_are_one_string_are_encoded_as_each_alone(sides, monkeypatch):
+    first, _, tables = sides
+    pieces = [f"{a}{k}{b}" for k in range(30) for a in ("the", "Été", "'s", "<|endoftext|>", "日本", "(", "🙂") for b in ("", ",", "a  b\n c", "’s")]
+    monkeypatch.setattr(alignment, "JOINED", 16)
+    ids, n = tables.encode_joined(pieces)
+    alone = [first.encode(" " + x, add_special_tokens=False).ids for x in pieces]
+    assert n.tolist() == list(map(len, alone)) and ids.tolist() == [x for y in alone for x in y]
+
+
 def test_a_stripe_counts_as_a_dictionary():
     rng = np.random.default_rng(2)
     shape, stripes = (50, 30), 7
